@@ -4,14 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-def ref(name: str) -> Column:
-    """Column reference that is safe for names holding dots or backquotes."""
-    return F.col("`" + name.replace("`", "``") + "`")
+from twincheck.functions.sqltext import alias, pick, quote, ref
 
 
 def upper_names(df: DataFrame) -> DataFrame:
@@ -25,11 +22,11 @@ def upper_names(df: DataFrame) -> DataFrame:
 
 def trim_strings(df: DataFrame) -> DataFrame:
     """Strip blanks from both ends of every string column, in one projection."""
-    return df.select(
+    return df.selectExpr(
         *[
-            F.trim(ref(field.name)).alias(field.name)
+            alias(f"trim({quote(field.name)})", field.name)
             if isinstance(field.dataType, T.StringType)
-            else ref(field.name)
+            else quote(field.name)
             for field in df.schema.fields
         ]
     )
@@ -39,7 +36,7 @@ def drop_columns(df: DataFrame, skip: Iterable[str] | None) -> DataFrame:
     """Drop ``skip`` ignoring case and surrounding blanks; unknown names are ignored."""
     unwanted = {name.strip().upper() for name in skip or ()}
     kept = [name for name in df.columns if name.upper() not in unwanted]
-    return df if len(kept) == len(df.columns) else df.select(*[ref(name) for name in kept])
+    return df if len(kept) == len(df.columns) else pick(df, kept)
 
 
 def blank_nulls(df: DataFrame) -> DataFrame:
@@ -68,18 +65,18 @@ def impose_schema(df: DataFrame, schema: T.StructType, *, on_error: str = "fail"
     if on_error not in ("fail", "null"):
         raise ValueError("on_error must be 'fail' or 'null'")
     spelled = resolve_names(df, schema.fieldNames())
-    converted = []
-    for name, field in zip(spelled, schema.fields):
-        value = ref(name)
-        value = value.cast(field.dataType) if on_error == "fail" else value.try_cast(field.dataType)
-        converted.append(value.alias(field.name))
-    return df.select(*converted)
+    function = "cast" if on_error == "fail" else "try_cast"
+    return df.selectExpr(
+        *[
+            alias(f"{function}({quote(name)} AS {field.dataType.simpleString()})", field.name)
+            for name, field in zip(spelled, schema.fields)
+        ]
+    )
 
 
 def lookup(df: DataFrame, values: dict[str, object]) -> DataFrame:
     """Rows where every named column equals its value (NULL matches NULL)."""
-    spelled = resolve_names(df, list(values))
     condition = F.lit(True)
-    for name, value in zip(spelled, values.values()):
+    for name, value in zip(resolve_names(df, list(values)), values.values()):
         condition = condition & (ref(name).isNull() if value is None else ref(name) == F.lit(value))
     return df.where(condition)

@@ -1,14 +1,13 @@
 """When two column types may be compared, and on which common type.
 
 The decision is taken from the schemas on the driver, so no task ever meets an implicit ANSI cast that could throw.
+Expressions are SQL text.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _INTEGRAL_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
@@ -81,19 +80,30 @@ def key_type(left: T.DataType, right: T.DataType) -> T.DataType:
     return common
 
 
-def orderable(value: Column, kind: T.DataType) -> Column:
+def cast(value: str, own: T.DataType, wanted: T.DataType, *, lenient: bool = False) -> str:
+    if own == wanted:
+        return value
+    return f"{'try_cast' if lenient else 'cast'}({value} AS {wanted.simpleString()})"
+
+
+def orderable(value: str, kind: T.DataType) -> str:
     """Form of ``value`` that Spark can order, group and hash: maps become sorted entry lists, variants JSON text."""
     if isinstance(kind, T.MapType):
-        return F.array_sort(F.map_entries(value))
+        return f"array_sort(map_entries({value}))"
     if isinstance(kind, T.VariantType):
-        return F.to_json(value)
+        return f"to_json({value})"
     return value
 
 
-def _canonical_decimal_text(value: Column) -> Column:
+def as_text(value: str, kind: T.DataType) -> str:
+    nested = isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType))
+    return f"to_json({value})" if nested else f"cast({value} AS string)"
+
+
+def _canonical_decimal_text(value: str) -> str:
     """Decimal text without trailing zeros, for pairs whose common decimal type would exceed 38 digits."""
-    text = value.cast("string")
-    return F.when(F.instr(text, ".") > 0, F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
+    text = f"cast({value} AS string)"
+    return f"if(instr({text}, '.') > 0, regexp_replace({text}, '[.]?0+$', ''), {text})"
 
 
 def _text_target(left: T.DataType, right: T.DataType) -> T.DataType | None:
@@ -107,43 +117,44 @@ def _text_target(left: T.DataType, right: T.DataType) -> T.DataType | None:
 
 
 def values_match(
-    source: Column,
-    target: Column,
+    source: str,
+    target: str,
     source_type: T.DataType,
     target_type: T.DataType,
     tolerance: Tolerance = EXACT,
-) -> Column:
+) -> str:
     """Never-NULL boolean: NULL equals NULL, NULL never equals a value, text matches a typed value if it parses to it.
 
     Pairs with no common type match only where both are NULL.
     """
-    both_null = source.isNull() & target.isNull()
+    both_null = f"({source} IS NULL AND {target} IS NULL)"
     common = common_type(source_type, target_type)
     if common is not None:
-        left = source if source_type == common else source.cast(common)
-        right = target if target_type == common else target.cast(common)
-        equal = orderable(left, common).eqNullSafe(orderable(right, common))
+        left = orderable(cast(source, source_type, common), common)
+        right = orderable(cast(target, target_type, common), common)
+        equal = f"({left} <=> {right})"
     elif _exact_digits(source_type) and _exact_digits(target_type):
-        equal = _canonical_decimal_text(source).eqNullSafe(_canonical_decimal_text(target))
+        equal = f"({_canonical_decimal_text(source)} <=> {_canonical_decimal_text(target)})"
     else:
         common = _text_target(source_type, target_type)
         if common is None:
             return both_null
-        left, right = source.try_cast(common), target.try_cast(common)
-        equal = both_null | F.coalesce(left == right, F.lit(False))
+        left = cast(source, source_type, common, lenient=True)
+        right = cast(target, target_type, common, lenient=True)
+        equal = f"({both_null} OR coalesce({left} = {right}, false))"
     if not tolerance.exact and (common is None or is_numeric(common)):
-        left, right = source.try_cast("double"), target.try_cast("double")
-        slack = F.lit(float(tolerance.absolute)) + F.lit(float(tolerance.relative)) * F.abs(right)
-        equal = equal | F.coalesce(F.abs(left - right) <= slack, F.lit(False))
+        left, right = f"try_cast({source} AS double)", f"try_cast({target} AS double)"
+        slack = f"{float(tolerance.absolute)!r}D + {float(tolerance.relative)!r}D * abs({right})"
+        equal = f"({equal} OR coalesce(abs({left} - {right}) <= {slack}, false))"
     return equal
 
 
-def canonical_value(value: Column, own_type: T.DataType, other_type: T.DataType) -> Column:
+def canonical_value(value: str, own_type: T.DataType, other_type: T.DataType) -> str:
     """Form of ``value`` such that equal values of the two columns get equal hashes."""
     common = common_type(own_type, other_type)
     if common is not None:
-        return orderable(value if own_type == common else value.cast(common), common)
+        return orderable(cast(value, own_type, common), common)
     if _exact_digits(own_type) and _exact_digits(other_type):
         return _canonical_decimal_text(value)
     common = _text_target(own_type, other_type)
-    return orderable(value, own_type) if common is None else value.try_cast(common)
+    return orderable(value, own_type) if common is None else cast(value, own_type, common, lenient=True)

@@ -1,59 +1,64 @@
-"""Row hashes: a text MD5 that serves as a key, and fixed-width digests for cheap equality checks."""
+"""Row hashes: a text MD5 that serves as a key, and fixed-width digests for cheap equality checks.
+
+Expressions are SQL text.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from twincheck.functions.columns import ref, resolve_names
+from twincheck.functions.columns import resolve_names
+from twincheck.functions.comparability import as_text
+from twincheck.functions.sqltext import alias, literal, quote
 
 # Separator and name of the row-hash key.
 HASH_SEPARATOR = "||"
 HASH_COLUMN = "HASHED_UNIQUE_KEY"
 
 
-def row_hash(columns: Sequence[Column]) -> Column:
-    """MD5 over the joined text of the columns. NULLs leave no trace, so distinct rows may share a hash."""
-    return F.md5(F.concat_ws(HASH_SEPARATOR, *[column.cast("string") for column in columns]))
+def row_hash(texts: Sequence[str]) -> str:
+    """MD5 over joined text values. NULLs leave no trace, so distinct rows may share a hash."""
+    return f"md5(concat_ws({literal(HASH_SEPARATOR)}, {', '.join(texts)}))"
 
 
-def safe_row_hash(columns: Sequence[Column]) -> Column:
+def safe_row_hash(texts: Sequence[str]) -> str:
     """MD5 over length-prefixed text with an explicit NULL token: distinct rows have distinct input."""
-    parts = []
-    for column in columns:
-        text = column.cast("string")
-        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
-    return F.md5(F.concat_ws(",", *parts))
+    parts = [f"coalesce(concat(length({text}), ':', {text}), '-')" for text in texts]
+    return f"md5(concat_ws(',', {', '.join(parts)}))"
 
 
 def with_hash_key(
-    df: DataFrame,
-    skip: Iterable[str] | None = None,
-    *,
-    columns: Sequence[str] | None = None,
-    safe: bool = False,
-    name: str = HASH_COLUMN,
+    df: DataFrame, skip: Iterable[str] | None = None, *, safe: bool = False, name: str = HASH_COLUMN
 ) -> DataFrame:
-    """Add the row-hash key. ``columns`` fixes the order, so both sides of a pair can share one."""
+    """Add the row hash of one table. For a pair of tables use the shared hash key, which aligns both sides."""
     unwanted = {item.strip().upper() for item in skip or ()}
-    spelled = resolve_names(df, columns if columns is not None else df.columns)
-    hashed = [ref(item) for item in spelled if item.upper() not in unwanted]
-    return df.withColumn(name, safe_row_hash(hashed) if safe else row_hash(hashed))
+    names = [item for item in resolve_names(df, df.columns) if item.upper() not in unwanted]
+    texts = [as_text(quote(item), df.schema[item].dataType) for item in names]
+    return df.selectExpr("*", alias((safe_row_hash if safe else row_hash)(texts), name))
+
+
+def _null_masks(columns: Sequence[str]) -> list[str]:
+    """Which of the columns are NULL, as one BIGINT of bits per 62 columns."""
+    return [
+        " | ".join(
+            f"if({column} IS NULL, {1 << i}L, 0L)" for i, column in enumerate(columns[start : start + 62])
+        )
+        for start in range(0, len(columns), 62)
+    ]
 
 
-def null_aware_hash(values: Sequence[Column], nulls: Sequence[Column], seed: int) -> Column:
-    """64-bit hash of values and of which of them are NULL (plain ``xxhash64`` skips NULLs)."""
-    flags = [flag.isNull() for flag in nulls]
-    return F.xxhash64(F.lit(seed), *values, *flags)
+def null_aware_hash(values: Sequence[str], nulls: Sequence[str], seed: int) -> str:
+    """64-bit hash of values and of which of ``nulls`` are NULL (plain ``xxhash64`` skips NULLs)."""
+    return f"xxhash64({', '.join([str(seed), *values, *_null_masks(nulls)])})"
 
 
-def digest_parts(digest: Column) -> list[Column]:
+def digest_parts(digest: str) -> list[str]:
     """Cut a 64-bit digest into three short integers, whose BIGINT sums cannot overflow below 2^41 rows."""
-    mask = F.lit((1 << 22) - 1).cast("bigint")
+    mask = (1 << 22) - 1
     return [
-        digest.bitwiseAND(mask),
-        F.shiftrightunsigned(digest, 22).bitwiseAND(mask),
-        F.shiftrightunsigned(digest, 44),
+        f"({digest} & {mask}L)",
+        f"(shiftrightunsigned({digest}, 22) & {mask}L)",
+        f"shiftrightunsigned({digest}, 44)",
     ]

@@ -1,9 +1,11 @@
-"""Native catalog types of the source system in a common vocabulary, and the common vocabulary as Spark types."""
+"""Native catalog types of the source system in a common vocabulary, and the common vocabulary as Spark types.
+
+Expressions are SQL text.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from twincheck.functions.sqltext import literal
 
 # Native type codes of the source catalog.
 INTEGER_CODES = ["I", "N", "D", "I1", "I8", "I2"]
@@ -33,66 +35,57 @@ SPARK_TYPE = {
 }
 
 
-def _integer(value: Column) -> Column:
-    return value.cast("bigint")
+def _in(code: str, codes: list[str]) -> str:
+    return f"{code} IN ({', '.join(map(literal, codes))})"
 
 
-def common_type_name(code: Column) -> Column:
+def common_type_name(code: str) -> str:
+    single = " ".join(f"WHEN {code} = {literal(native)} THEN {literal(name)}" for native, name in TYPE_OF_CODE.items())
     text_codes = [*BYTE_CODES, *CHARACTER_CODES, *INTERVAL_CODES, PERIOD_CODE]
-    single = [F.when(code == native, F.lit(common)) for native, common in TYPE_OF_CODE.items()]
-    return F.coalesce(
-        F.when(code.isin(INTEGER_CODES), F.lit("NUMBER")),
-        F.when(code.isin(text_codes), F.lit("TEXT")),
-        *single,
-        F.lit(UNKNOWN_TYPE),
+    return (
+        f"CASE WHEN {_in(code, INTEGER_CODES)} THEN 'NUMBER' WHEN {_in(code, text_codes)} THEN 'TEXT' {single} "
+        f"ELSE {literal(UNKNOWN_TYPE)} END"
     )
 
 
-def character_length(code: Column, column_length: Column, column_format: Column) -> Column:
+def character_length(code: str, column_length: str, column_format: str) -> str:
     """Declared length; for characters the digits in a display format such as ``X(50)``."""
-    digits = F.regexp_extract(column_format, r"\((\d+)\)", 1).try_cast("bigint")
-    return F.coalesce(
-        F.when(code.isin([*BYTE_CODES, PERIOD_CODE]), _integer(column_length)),
-        F.when(code.isin(CHARACTER_CODES), digits),
-        F.when(code.isin(INTERVAL_CODES), F.lit(INTERVAL_LENGTH).cast("bigint")),
-        F.lit(0).cast("bigint"),
+    digits = f"try_cast(regexp_extract({column_format}, '[(]([0-9]+)[)]', 1) AS bigint)"
+    return (
+        f"coalesce(CASE WHEN {_in(code, [*BYTE_CODES, PERIOD_CODE])} THEN cast({column_length} AS bigint) "
+        f"WHEN {_in(code, CHARACTER_CODES)} THEN {digits} WHEN {_in(code, INTERVAL_CODES)} THEN {INTERVAL_LENGTH}L "
+        "END, 0L)"
     )
 
 
-def numeric_precision(code: Column, total_digits: Column) -> Column:
+def numeric_precision(code: str, total_digits: str) -> str:
     """Zero wherever no precision applies, also for zoned timestamps and unknown codes."""
     whole = [native for native in INTEGER_CODES if native != DECIMAL_CODE]
-    return F.coalesce(
-        F.when(code.isin(whole), F.lit(WHOLE_NUMBER_PRECISION).cast("bigint")),
-        F.when(code == DECIMAL_CODE, _integer(total_digits)),
-        F.lit(0).cast("bigint"),
+    return (
+        f"coalesce(CASE WHEN {_in(code, whole)} THEN {WHOLE_NUMBER_PRECISION}L "
+        f"WHEN {code} = {literal(DECIMAL_CODE)} THEN cast({total_digits} AS bigint) END, 0L)"
     )
 
 
-def numeric_scale(code: Column, fractional_digits: Column) -> Column:
+def numeric_scale(code: str, fractional_digits: str) -> str:
     """Fractional digits; a negative value marks a floating number and counts as a fixed scale."""
-    digits = _integer(fractional_digits)
-    return F.coalesce(
-        F.when(code == DECIMAL_CODE, digits),
-        F.when(code == NUMBER_CODE, F.when(digits < 0, F.lit(FLOATING_NUMBER_SCALE).cast("bigint")).otherwise(digits)),
-        F.lit(0).cast("bigint"),
+    digits = f"cast({fractional_digits} AS bigint)"
+    return (
+        f"coalesce(CASE WHEN {code} = {literal(DECIMAL_CODE)} THEN {digits} WHEN {code} = {literal(NUMBER_CODE)} "
+        f"THEN if({digits} < 0, {FLOATING_NUMBER_SCALE}L, {digits}) END, 0L)"
     )
 
 
-def spark_type_name(data_type: Column, precision: Column, scale: Column) -> Column:
+def spark_type_name(data_type: str, precision: str, scale: str) -> str:
     """Spark DDL type of a common type; NULL where there is none, so that the caller can report it."""
-    exact = F.concat(
-        F.lit("decimal("), precision.cast("string"), F.lit(","), scale.cast("string"), F.lit(")")
-    )
-    single = [F.when(data_type == common, F.lit(spark)) for common, spark in SPARK_TYPE.items()]
-    return F.coalesce(
-        F.when(data_type.isin(EXACT_NUMBER_TYPES), exact),
-        F.when(data_type.isin(TEXT_TYPES), F.lit("string")),
-        *single,
+    single = " ".join(f"WHEN {data_type} = {literal(name)} THEN {literal(spark)}" for name, spark in SPARK_TYPE.items())
+    return (
+        f"CASE WHEN {_in(data_type, EXACT_NUMBER_TYPES)} THEN concat('decimal(', {precision}, ',', {scale}, ')') "
+        f"WHEN {_in(data_type, TEXT_TYPES)} THEN 'string' {single} END"
     )
 
 
-def ddl_item(column_name: Column, data_type: Column, precision: Column, scale: Column) -> Column:
+def ddl_item(column_name: str, data_type: str, precision: str, scale: str) -> str:
     """One column of a reader schema, e.g. ```AMOUNT` decimal(18,2)``. NULL for a type without a Spark equivalent."""
-    quoted = F.concat(F.lit("`"), F.replace(column_name, F.lit("`"), F.lit("``")), F.lit("`"))
-    return F.concat(quoted, F.lit(" "), spark_type_name(data_type, precision, scale))
+    quoted = f"concat('`', replace({column_name}, '`', '``'), '`')"
+    return f"concat({quoted}, ' ', {spark_type_name(data_type, precision, scale)})"

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from twincheck.functions.columns import ref, resolve_names
-from twincheck.functions.comparability import EXACT, Tolerance, common_type, is_numeric
+from twincheck.functions.columns import resolve_names
+from twincheck.functions.comparability import EXACT, Tolerance, cast, common_type, is_numeric
+from twincheck.functions.sqltext import array, literal, quote, struct
 from twincheck.operators.counts import compare_frequencies
-from twincheck.verdict import verdict
+from twincheck.verdict import verdict_text
 
 # Aggregate function names.
 VALUE_FUNCTIONS = ("MIN", "MAX", "SUM", "AVG")
@@ -41,26 +43,24 @@ def aggregate_requests(
     return [r for r in requests if r.column.upper() not in unwanted]
 
 
-def _aggregate(name: str, kind: T.DataType, function: str) -> Column:
-    value = ref(name)
-    if function == "MIN":
-        return F.min(value)
-    if function == "MAX":
-        return F.max(value)
-    # Integers are summed as wide decimals: exact, and no overflow error at any row count.
-    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        value = value.cast(T.DecimalType(28, 0))
-    elif isinstance(kind, T.FloatType):
-        value = value.cast("double")
-    return F.sum(value) if function == "SUM" else F.avg(value)
+def _aggregate(name: str, kind: T.DataType, function: str) -> str:
+    value = quote(name)
+    if function in ("SUM", "AVG"):
+        # Integers are summed as wide decimals: exact, and no overflow error at any row count.
+        if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+            value = f"cast({value} AS decimal(28,0))"
+        elif isinstance(kind, T.FloatType):
+            value = f"cast({value} AS double)"
+    return f"{function}({value})"
 
 
 def _totals(df: DataFrame, requests: Sequence[AggregateRequest]) -> DataFrame:
     """One row with every requested aggregate as ``v0, v1, ..``: one scan, one aggregate."""
     names = resolve_names(df, [r.column for r in requests])
-    return df.agg(
+    schema = df.schema
+    return df.selectExpr(
         *[
-            _aggregate(name, df.schema[name].dataType, r.function).alias(f"v{i}")
+            f"{_aggregate(name, schema[name].dataType, r.function)} AS v{i}"
             for i, (name, r) in enumerate(zip(names, requests))
         ]
     )
@@ -70,19 +70,21 @@ def _as_cells(totals: DataFrame, other: DataFrame, is_source: bool) -> DataFrame
     """Long form ``is_source, position, text, number``; values are brought to the type common with the other side."""
     cells = []
     for i, (own, foreign) in enumerate(zip(totals.schema.fields, other.schema.fields)):
-        value = F.col(own.name)
         common = common_type(own.dataType, foreign.dataType)
-        if common is not None and common != own.dataType:
-            value = value.cast(common)
-        number = value.cast("double") if common is not None and is_numeric(common) else F.lit(None).cast("double")
+        value = own.name if common is None else cast(own.name, own.dataType, common)
+        numeric = common is not None and is_numeric(common)
         cells.append(
-            F.struct(
-                F.lit(i).cast("bigint").alias("position"),
-                value.cast("string").alias("text"),
-                number.alias("number"),
+            struct(
+                {
+                    "position": str(i),
+                    "text": f"cast({value} AS string)",
+                    "number": f"cast({value if numeric else 'NULL'} AS double)",
+                }
             )
         )
-    return totals.select(F.explode(F.array(*cells)).alias("cell")).select(F.lit(is_source).alias("is_source"), "cell.*")
+    return totals.selectExpr(f"explode({array(cells)}) AS cell").selectExpr(
+        f"{'true' if is_source else 'false'} AS is_source", "cell.*"
+    )
 
 
 def compare_aggregates(
@@ -106,35 +108,31 @@ def compare_aggregates(
     source_totals, target_totals = _totals(source, wanted), _totals(target, wanted)
     both = _as_cells(source_totals, target_totals, True).unionAll(_as_cells(target_totals, source_totals, False))
 
-    def of(side: bool, name: str) -> Column:
-        return F.max(F.when(F.col("is_source") == side, F.col(name)))
-
     joined = both.groupBy("position").agg(
-        of(True, "text").alias("source_value"),
-        of(False, "text").alias("target_value"),
-        of(True, "number").alias("source_number"),
-        of(False, "number").alias("target_number"),
+        F.expr("max(if(is_source, text, NULL)) AS source_value"),
+        F.expr("max(if(is_source, NULL, text)) AS target_value"),
+        F.expr("max(if(is_source, number, NULL)) AS source_number"),
+        F.expr("max(if(is_source, NULL, number)) AS target_number"),
     )
-    equal = F.col("source_value").eqNullSafe(F.col("target_value"))
+    equal = "source_value <=> target_value"
     if not tolerance.exact:
-        slack = F.lit(float(tolerance.absolute)) + F.lit(float(tolerance.relative)) * F.abs(F.col("target_number"))
-        near = F.abs(F.col("source_number") - F.col("target_number")) <= slack
-        equal = equal | F.coalesce(near, F.lit(False))
+        slack = f"{float(tolerance.absolute)!r}D + {float(tolerance.relative)!r}D * abs(target_number)"
+        equal = f"({equal} OR coalesce(abs(source_number - target_number) <= {slack}, false))"
 
-    def pick(items: Sequence[str]) -> Column:
-        return F.element_at(F.array(*[F.lit(item) for item in items]), F.col("position").cast("int") + 1)
+    def pick(items: Sequence[str]) -> str:
+        return f"element_at({array(map(literal, items))}, position + 1)"
 
     def query(r: AggregateRequest, table: str, where: str) -> str:
         return f"SELECT {r.function}({r.column}) FROM {table} {where}".strip()
 
-    return joined.select(
-        pick([r.column for r in wanted]).alias("COLUMN_NAME"),
-        pick([r.function for r in wanted]).alias("AGG_FUNCTION"),
-        F.col("source_value").alias("SOURCE_VALUE"),
-        F.col("target_value").alias("TARGET_VALUE"),
-        verdict(equal).alias("MATCH_RESULT"),
-        pick([query(r, source_name, source_filter) for r in wanted]).alias("SOURCE_QUERY"),
-        pick([query(r, target_name, target_filter) for r in wanted]).alias("TARGET_QUERY"),
+    return joined.selectExpr(
+        f"{pick([r.column for r in wanted])} AS COLUMN_NAME",
+        f"{pick([r.function for r in wanted])} AS AGG_FUNCTION",
+        "source_value AS SOURCE_VALUE",
+        "target_value AS TARGET_VALUE",
+        f"{verdict_text(equal)} AS MATCH_RESULT",
+        f"{pick([query(r, source_name, source_filter) for r in wanted])} AS SOURCE_QUERY",
+        f"{pick([query(r, target_name, target_filter) for r in wanted])} AS TARGET_QUERY",
     )
 
 
@@ -149,24 +147,17 @@ def aggregate_verdict(
     parts = []
     if any(r.function in VALUE_FUNCTIONS for r in requests):
         compared = compare_aggregates(source, target, requests, tolerance=tolerance)
-        parts.append(compared.select((F.col("MATCH_RESULT") == "MATCH").alias("equal")))
+        parts.append(compared.selectExpr("MATCH_RESULT = 'MATCH' AS equal"))
     counted = list(dict.fromkeys(r.column for r in requests if r.function == COUNT_FUNCTION))
     if counted:
         frequencies = compare_frequencies(source, target, counted)
-        per_column = frequencies.groupBy("column_name").agg(F.bool_and(F.col("status") == "match").alias("equal"))
+        per_column = frequencies.groupBy("column_name").agg(F.expr("bool_and(status = 'match') AS equal"))
         parts.append(per_column.select("equal"))
     if not parts:
         # Nothing was asked for, or every column was skipped: that proves nothing.
-        return source.sparkSession.range(1).select(
-            F.lit(0).cast("bigint").alias("checks"),
-            F.lit(0).cast("bigint").alias("failed_checks"),
-            F.lit("UNKNOWN").alias("verdict"),
-        )
-    checks = parts[0]
-    for part in parts[1:]:
-        checks = checks.unionAll(part)
-    return checks.agg(
-        F.count(F.lit(1)).alias("checks"),
-        F.count_if(~F.col("equal")).alias("failed_checks"),
-        verdict(F.bool_and("equal")).alias("verdict"),
+        return source.sparkSession.sql("SELECT 0L AS checks, 0L AS failed_checks, 'UNKNOWN' AS verdict")
+    return reduce(DataFrame.unionAll, parts).selectExpr(
+        "count(1) AS checks",
+        "count_if(NOT equal) AS failed_checks",
+        f"{verdict_text('bool_and(equal)')} AS verdict",
     )

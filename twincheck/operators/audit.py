@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from twincheck.functions.columns import ref, resolve_names
+from twincheck.functions.columns import resolve_names
 from twincheck.functions.comparability import EXACT, Tolerance
+from twincheck.functions.sqltext import array, literal, quote, struct
 from twincheck.operators.compare import RowComparison, compare_rows
 
 # Status of a finished load, and the audit columns reported for it.
@@ -19,8 +19,8 @@ AUDIT_COLUMNS = ["source_table_name", "start_time", "load_count", "load_type", "
 
 def successful_loads(audit: DataFrame, inventory: DataFrame, workflow: str) -> DataFrame:
     """Audit rows of successful loads whose job belongs to ``workflow``."""
-    jobs = inventory.where(F.col("wf_name") == workflow).select("job_name")
-    done = audit.where(F.col("status") == SUCCESS)
+    jobs = inventory.where(f"wf_name = {literal(workflow)}").select("job_name")
+    done = audit.where(f"status = {literal(SUCCESS)}")
     return done.join(jobs, "job_name", "left_semi").select(*AUDIT_COLUMNS)
 
 
@@ -45,21 +45,24 @@ def future_dates(
     if not names:
         raise ValueError("the table has no date column")
 
-    def counts(name: str) -> Column:
-        day = ref(name).cast("date")
-        outside = (day < F.lit(lowest).cast("date")) | (day > F.lit(highest).cast("date"))
-        late = day > F.lit(cutoff).cast("date")
-        return F.struct(
-            F.count_if(day.isNull()).alias("null_rows"),
-            F.count_if(~outside & ~late).alias("normal_rows"),
-            F.count_if(~outside & late).alias("future_rows"),
-            F.count_if(outside).alias("out_of_range_rows"),
-            F.max(day).cast("string").alias("latest_date"),
+    def counts(name: str) -> str:
+        day = f"cast({quote(name)} AS date)"
+        outside = f"({day} < DATE {literal(lowest)} OR {day} > DATE {literal(highest)})"
+        late = f"{day} > DATE {literal(cutoff)}"
+        return struct(
+            {
+                "column_name": literal(name),
+                "null_rows": f"count_if({day} IS NULL)",
+                "normal_rows": f"count_if(NOT {outside} AND NOT {late})",
+                "future_rows": f"count_if(NOT {outside} AND {late})",
+                "out_of_range_rows": f"count_if({outside})",
+                "latest_date": f"cast(max({day}) AS string)",
+            }
         )
 
-    totals = df.agg(*[counts(name).alias(f"d{i}") for i, name in enumerate(names)])
-    cells = F.array(*[F.struct(F.lit(name).alias("column_name"), F.col(f"d{i}.*")) for i, name in enumerate(names)])
-    return totals.select(F.explode(cells).alias("cell")).select("cell.*")
+    return (
+        df.selectExpr(f"{array(map(counts, names))} AS cells").selectExpr("explode(cells) AS cell").selectExpr("cell.*")
+    )
 
 
 def compare_queries(

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from twincheck.functions import typemap
+from twincheck.functions.sqltext import literal
 from twincheck.operators.compare import RowComparison, compare_rows
 
 # Names of the catalog layout, its key, and the object kinds that hold columns.
@@ -31,25 +31,25 @@ CATALOG_KEY = ["SCHEMA_NAME", "TABLE_NAME", "COLUMN_NAME"]
 TABLE_KINDS = ["O", "T", "V"]
 
 
-def _clean(identifier: Column) -> Column:
-    return F.upper(F.trim(identifier))
+def _clean(identifier: str) -> str:
+    return f"upper(trim({identifier}))"
 
 
-def same_identifier(column: Column, name: str | None) -> Column:
+def same_identifier(column: str, name: str | None) -> str:
     """Equality that ignores case and padding; no name means no restriction."""
-    return F.lit(True) if name is None else _clean(column) == F.lit(name.strip().upper())
+    return "true" if name is None else f"{_clean(column)} = {literal(name.strip().upper())}"
 
 
-def _one_of(column: Column, names: Sequence[str] | None) -> Column:
+def _one_of(column: str, names: Sequence[str] | None) -> str:
     if names is None or list(names) == ["*"]:
-        return F.lit(True)
-    return _clean(column).isin([name.strip().upper() for name in names])
+        return "true"
+    return f"{_clean(column)} IN ({', '.join(literal(name.strip().upper()) for name in names)})"
 
 
 def columns_of(columns: DataFrame, schema_name: str | None = None, table_name: str | None = None) -> DataFrame:
     """Raw catalog rows of one table, or of all."""
     return columns.where(
-        same_identifier(F.col("DatabaseName"), schema_name) & same_identifier(F.col("TableName"), table_name)
+        f"{same_identifier('DatabaseName', schema_name)} AND {same_identifier('TableName', table_name)}"
     )
 
 
@@ -66,22 +66,23 @@ def source_catalog(
     Positions number the columns of a table from 1 and are taken before ``column_names`` restricts the list, as on
     the target side.
     """
-    held = columns_of(tables, schema_name, table_name).where(F.col("TableKind").isin(TABLE_KINDS))
+    kinds = ", ".join(map(literal, TABLE_KINDS))
+    held = columns_of(tables, schema_name, table_name).where(f"TableKind IN ({kinds})")
     joined = held.select("DatabaseName", "TableName").join(
         columns_of(columns, schema_name, table_name), ["DatabaseName", "TableName"]
     )
-    code = F.trim(F.col("ColumnType"))
-    order = Window.partitionBy("DatabaseName", "TableName").orderBy("ColumnId")
-    return joined.select(
-        _clean(F.col("DatabaseName")).alias("SCHEMA_NAME"),
-        _clean(F.col("TableName")).alias("TABLE_NAME"),
-        _clean(F.col("ColumnName")).alias("COLUMN_NAME"),
-        F.row_number().over(order).cast("bigint").alias("COLUMN_POSITION"),
-        typemap.common_type_name(code).alias("DATA_TYPE"),
-        typemap.character_length(code, F.col("ColumnLength"), F.col("ColumnFormat")).alias("CHARACTER_MAX_LENGTH"),
-        typemap.numeric_precision(code, F.col("DecimalTotalDigits")).alias("NUMERIC_PRECISION"),
-        typemap.numeric_scale(code, F.col("DecimalFractionalDigits")).alias("NUMERIC_SCALE"),
-    ).where(_one_of(F.col("COLUMN_NAME"), column_names))
+    code = "trim(ColumnType)"
+    position = "row_number() OVER (PARTITION BY DatabaseName, TableName ORDER BY ColumnId)"
+    return joined.selectExpr(
+        f"{_clean('DatabaseName')} AS SCHEMA_NAME",
+        f"{_clean('TableName')} AS TABLE_NAME",
+        f"{_clean('ColumnName')} AS COLUMN_NAME",
+        f"cast({position} AS bigint) AS COLUMN_POSITION",
+        f"{typemap.common_type_name(code)} AS DATA_TYPE",
+        f"{typemap.character_length(code, 'ColumnLength', 'ColumnFormat')} AS CHARACTER_MAX_LENGTH",
+        f"{typemap.numeric_precision(code, 'DecimalTotalDigits')} AS NUMERIC_PRECISION",
+        f"{typemap.numeric_scale(code, 'DecimalFractionalDigits')} AS NUMERIC_SCALE",
+    ).where(_one_of("COLUMN_NAME", column_names))
 
 
 def target_catalog(
@@ -94,23 +95,21 @@ def target_catalog(
 ) -> DataFrame:
     """Target information-schema columns in the common layout; missing lengths and digits count as 0."""
 
-    def number(name: str) -> Column:
-        return F.coalesce(F.col(name).cast("bigint"), F.lit(0).cast("bigint"))
-
-    return columns.where(
-        same_identifier(F.col("table_catalog"), catalog_name)
-        & same_identifier(F.col("table_schema"), schema_name)
-        & same_identifier(F.col("table_name"), table_name)
-        & _one_of(F.col("column_name"), column_names)
-    ).select(
-        F.col("table_schema").alias("SCHEMA_NAME"),
-        F.col("table_name").alias("TABLE_NAME"),
-        F.col("column_name").alias("COLUMN_NAME"),
-        F.col("ordinal_position").cast("bigint").alias("COLUMN_POSITION"),
-        F.col("data_type").alias("DATA_TYPE"),
-        number("character_maximum_length").alias("CHARACTER_MAX_LENGTH"),
-        number("numeric_precision").alias("NUMERIC_PRECISION"),
-        number("numeric_scale").alias("NUMERIC_SCALE"),
+    conditions = [
+        same_identifier("table_catalog", catalog_name),
+        same_identifier("table_schema", schema_name),
+        same_identifier("table_name", table_name),
+        _one_of("column_name", column_names),
+    ]
+    return columns.where(" AND ".join(conditions)).selectExpr(
+        "table_schema AS SCHEMA_NAME",
+        "table_name AS TABLE_NAME",
+        "column_name AS COLUMN_NAME",
+        "cast(ordinal_position AS bigint) AS COLUMN_POSITION",
+        "data_type AS DATA_TYPE",
+        "coalesce(cast(character_maximum_length AS bigint), 0L) AS CHARACTER_MAX_LENGTH",
+        "coalesce(cast(numeric_precision AS bigint), 0L) AS NUMERIC_PRECISION",
+        "coalesce(cast(numeric_scale AS bigint), 0L) AS NUMERIC_SCALE",
     )
 
 
@@ -162,18 +161,16 @@ def reader_schemas(catalog: DataFrame) -> DataFrame:
 
     A group holds the columns of one table.
     """
-    item = typemap.ddl_item(
-        F.col("COLUMN_NAME"), F.col("DATA_TYPE"), F.col("NUMERIC_PRECISION"), F.col("NUMERIC_SCALE")
-    )
-    placed = F.array_sort(F.collect_list(F.struct(F.col("COLUMN_POSITION"), F.col("COLUMN_NAME"), item.alias("ddl"))))
-    grouped = catalog.groupBy("SCHEMA_NAME", "TABLE_NAME").agg(placed.alias("items"))
-
-    def joined(items: Column, field: str, separator: str) -> Column:
-        return F.concat_ws(separator, F.transform(items, lambda i: i[field]))
-
-    return grouped.select(
-        "SCHEMA_NAME",
-        "TABLE_NAME",
-        joined(F.filter("items", lambda i: i["ddl"].isNotNull()), "ddl", ", ").alias("ddl"),
-        joined(F.filter("items", lambda i: i["ddl"].isNull()), "COLUMN_NAME", ",").alias("unmapped_columns"),
+    item = typemap.ddl_item("COLUMN_NAME", "DATA_TYPE", "NUMERIC_PRECISION", "NUMERIC_SCALE")
+    placed = f"array_sort(collect_list(struct(COLUMN_POSITION, COLUMN_NAME, {item} AS ddl))) AS items"
+    mapped, unmapped = "filter(items, i -> i.ddl IS NOT NULL)", "filter(items, i -> i.ddl IS NULL)"
+    return (
+        catalog.groupBy("SCHEMA_NAME", "TABLE_NAME")
+        .agg(F.expr(placed))
+        .selectExpr(
+            "SCHEMA_NAME",
+            "TABLE_NAME",
+            f"concat_ws(', ', {mapped}.ddl) AS ddl",
+            f"concat_ws(',', {unmapped}.COLUMN_NAME) AS unmapped_columns",
+        )
     )

@@ -17,11 +17,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
-from twincheck.functions.columns import drop_columns, ref, resolve_names
-from twincheck.functions.comparability import EXACT, Tolerance, key_type, orderable, values_match
-from twincheck.verdict import verdict
+from twincheck.functions.columns import drop_columns, resolve_names
+from twincheck.functions.comparability import EXACT, Tolerance, as_text, cast, key_type, orderable, values_match
+from twincheck.functions.sqltext import alias, array, literal, quote, struct
+from twincheck.verdict import verdict_text
 
 # Row status values.
 MATCHED = "match"
@@ -29,7 +29,18 @@ DIFFERENT = "mismatch"
 ONLY_SOURCE = "only_source"
 ONLY_TARGET = "only_target"
 
-SOURCE, TARGET = "source", "target"
+# Columns of a classified pair beside the keys.
+STATUS = "row_status"
+SOURCE = "source_row"
+TARGET = "target_row"
+MATCHES = "cell_matches"
+SOURCE_ROWS = "source_rows"
+TARGET_ROWS = "target_rows"
+RESERVED = [STATUS, SOURCE, TARGET, MATCHES, SOURCE_ROWS, TARGET_ROWS]
+
+
+def status_is(*statuses: str) -> str:
+    return f"{STATUS} IN ({', '.join(map(literal, statuses))})"
 
 
 @dataclass(frozen=True)
@@ -52,6 +63,14 @@ class Pairing:
             self.target_schema[self.target_columns[index]].dataType,
         )
 
+    def key_values(self, target: bool = False) -> list[str]:
+        """Key expressions of one side, on the common key types."""
+        names, schema = (self.target_keys, self.target_schema) if target else (self.keys, self.source_schema)
+        return [
+            orderable(cast(quote(name), schema[name].dataType, kind), kind)
+            for name, kind in zip(names, self.key_types)
+        ]
+
 
 def pair_columns(
     source: DataFrame, target: DataFrame, keys: Sequence[str], *, case_sensitive: bool = False
@@ -65,81 +84,65 @@ def pair_columns(
 
     source_keys = resolve_names(source, keys, case_sensitive=case_sensitive)
     target_keys = resolve_names(target, keys, case_sensitive=case_sensitive)
+    clashes = [name for name in source_keys if name.lower() in RESERVED]
+    if clashes:
+        raise ValueError(f"key columns {clashes} bear reserved names; rename them on both sides")
     target_by_name = {fold(name): name for name in target.columns if name not in target_keys}
     values = [name for name in source.columns if name not in source_keys]
     shared = [name for name in values if fold(name) in target_by_name]
     shared_names = {fold(name) for name in shared}
+    source_schema, target_schema = source.schema, target.schema
     return Pairing(
         keys=tuple(source_keys),
         target_keys=tuple(target_keys),
         key_types=tuple(
-            key_type(source.schema[s].dataType, target.schema[t].dataType) for s, t in zip(source_keys, target_keys)
+            key_type(source_schema[s].dataType, target_schema[t].dataType) for s, t in zip(source_keys, target_keys)
         ),
         columns=tuple(shared),
         target_columns=tuple(target_by_name[fold(name)] for name in shared),
         source_extra=tuple(name for name in values if fold(name) not in shared_names),
         target_extra=tuple(name for name in target_by_name.values() if fold(name) not in shared_names),
-        source_schema=source.schema,
-        target_schema=target.schema,
+        source_schema=source_schema,
+        target_schema=target_schema,
     )
 
 
-def _side_struct(names: Sequence[str], schema: T.StructType) -> Column:
-    # The leading marker keeps the struct non-empty, so "struct is NULL" always means "no row on this side".
-    fields = [F.lit(True).alias("_row")]
-    fields += [orderable(ref(name), schema[name].dataType).alias(name) for name in names]
-    return F.struct(*fields)
-
-
 def tag_sides(source: DataFrame, target: DataFrame, pairing: Pairing) -> DataFrame:
-    """Union of both tables: key columns ``_k0..``, and one of the structs ``source`` / ``target`` filled."""
-    source_names = [*pairing.columns, *pairing.source_extra]
-    target_names = [*pairing.target_columns, *pairing.target_extra]
+    """Union of both tables: key columns ``_k0..``, and one of the two row structs filled."""
 
-    def keys(names: Sequence[str]) -> list[Column]:
-        return [
-            orderable(ref(name).cast(kind), kind).alias(f"_k{i}")
-            for i, (name, kind) in enumerate(zip(names, pairing.key_types))
-        ]
+    def side(df: DataFrame, names: Sequence[str], schema: T.StructType, label: str) -> DataFrame:
+        keys = [alias(key, f"_k{i}") for i, key in enumerate(pairing.key_values(label == TARGET))]
+        # The leading marker keeps the struct non-empty, so "struct is NULL" always means "no row on this side".
+        values = {"_row": "true"} | {name: orderable(quote(name), schema[name].dataType) for name in names}
+        return df.selectExpr(*keys, alias(struct(values), label))
 
-    left = source.select(*keys(pairing.keys), _side_struct(source_names, pairing.source_schema).alias(SOURCE))
-    right = target.select(*keys(pairing.target_keys), _side_struct(target_names, pairing.target_schema).alias(TARGET))
+    left = side(source, [*pairing.columns, *pairing.source_extra], pairing.source_schema, SOURCE)
+    right = side(target, [*pairing.target_columns, *pairing.target_extra], pairing.target_schema, TARGET)
     return left.unionByName(right, allowMissingColumns=True)
 
 
 def classify(tagged: DataFrame, pairing: Pairing, tolerance: Tolerance = EXACT) -> DataFrame:
-    """One row per key: ``keys.., status, source_rows, target_rows, source, target, matched``."""
-    key_names = [f"_k{i}" for i in range(len(pairing.keys))]
-    grouped = tagged.groupBy(*key_names).agg(
-        F.min(SOURCE).alias(SOURCE),
-        F.min(TARGET).alias(TARGET),
-        F.count(SOURCE).alias("source_rows"),
-        F.count(TARGET).alias("target_rows"),
+    """One row per key: the keys, then the columns of ``RESERVED``."""
+    grouped = tagged.groupBy(*[f"_k{i}" for i in range(len(pairing.keys))]).agg(
+        F.expr(f"min({SOURCE}) AS {SOURCE}"),
+        F.expr(f"min({TARGET}) AS {TARGET}"),
+        F.expr(f"count({SOURCE}) AS {SOURCE_ROWS}"),
+        F.expr(f"count({TARGET}) AS {TARGET_ROWS}"),
     )
-    in_source, in_target = F.col("source_rows") > 0, F.col("target_rows") > 0
-    flags = [F.lit(True).alias("_row")]
+    both = f"{SOURCE_ROWS} > 0 AND {TARGET_ROWS} > 0"
+    flags = {"_row": "true"}
     for i, (name, other) in enumerate(zip(pairing.columns, pairing.target_columns)):
-        kinds = pairing.column_types(i)
-        equal = values_match(F.col(SOURCE)[name], F.col(TARGET)[other], *kinds, tolerance)
-        flags.append((in_source & in_target & equal).alias(name))
-    flagged = grouped.withColumn("matched", F.struct(*flags))
-    all_equal = F.lit(True)
-    for name in pairing.columns:
-        all_equal = all_equal & F.col("matched")[name]
+        source, target = f"{SOURCE}.{quote(name)}", f"{TARGET}.{quote(other)}"
+        equal = values_match(source, target, *pairing.column_types(i), tolerance)
+        flags[name] = f"{both} AND {equal}"
+    all_equal = " AND ".join([f"{MATCHES}.{quote(name)}" for name in pairing.columns] or ["true"])
     status = (
-        F.when(~in_target, F.lit(ONLY_SOURCE))
-        .when(~in_source, F.lit(ONLY_TARGET))
-        .when(all_equal, F.lit(MATCHED))
-        .otherwise(F.lit(DIFFERENT))
+        f"CASE WHEN {TARGET_ROWS} = 0 THEN {literal(ONLY_SOURCE)} WHEN {SOURCE_ROWS} = 0 THEN {literal(ONLY_TARGET)} "
+        f"WHEN {all_equal} THEN {literal(MATCHED)} ELSE {literal(DIFFERENT)} END AS {STATUS}"
     )
-    return flagged.select(
-        *[F.col(k).alias(name) for k, name in zip(key_names, pairing.keys)],
-        status.alias("status"),
-        "source_rows",
-        "target_rows",
-        SOURCE,
-        TARGET,
-        "matched",
+    keys = [alias(f"_k{i}", name) for i, name in enumerate(pairing.keys)]
+    return grouped.selectExpr("*", alias(struct(flags), MATCHES)).selectExpr(
+        *keys, status, SOURCE, TARGET, MATCHES, SOURCE_ROWS, TARGET_ROWS
     )
 
 
@@ -150,35 +153,36 @@ class RowComparison:
     rows: DataFrame
     pairing: Pairing
 
-    def _key_columns(self) -> list[Column]:
-        return [ref(name) for name in self.pairing.keys]
+    @property
+    def _keys(self) -> list[str]:
+        return [quote(name) for name in self.pairing.keys]
 
     def with_status(self, *statuses: str) -> DataFrame:
-        return self.rows.where(F.col("status").isin(*statuses))
+        return self.rows.where(status_is(*statuses))
 
     def only_source(self) -> DataFrame:
         """Rows whose key is missing in the target, with every column of the source."""
         names = [*self.pairing.columns, *self.pairing.source_extra]
-        return self.with_status(ONLY_SOURCE).select(
-            *self._key_columns(), *[F.col(SOURCE)[name].alias(name) for name in names]
+        return self.with_status(ONLY_SOURCE).selectExpr(
+            *self._keys, *[alias(f"{SOURCE}.{quote(name)}", name) for name in names]
         )
 
     def only_target(self) -> DataFrame:
         """Rows whose key is missing in the source, with every column of the target."""
         names = [*self.pairing.target_columns, *self.pairing.target_extra]
-        return self.with_status(ONLY_TARGET).select(
-            *self._key_columns(), *[F.col(TARGET)[name].alias(name) for name in names]
+        return self.with_status(ONLY_TARGET).selectExpr(
+            *self._keys, *[alias(f"{TARGET}.{quote(name)}", name) for name in names]
         )
 
     def _side_by_side(self, rows: DataFrame) -> DataFrame:
         wide = []
         for name, other in zip(self.pairing.columns, self.pairing.target_columns):
             wide += [
-                F.col(SOURCE)[name].alias(f"{name}_source"),
-                F.col(TARGET)[other].alias(f"{name}_target"),
-                F.col("matched")[name].alias(f"{name}_match"),
+                alias(f"{SOURCE}.{quote(name)}", f"{name}_source"),
+                alias(f"{TARGET}.{quote(other)}", f"{name}_target"),
+                alias(f"{MATCHES}.{quote(name)}", f"{name}_match"),
             ]
-        return rows.select(*self._key_columns(), *wide)
+        return rows.selectExpr(*self._keys, *wide)
 
     def mismatched(self) -> DataFrame:
         """Keys on both sides with at least one differing column: both values and a flag for every column."""
@@ -190,73 +194,84 @@ class RowComparison:
 
     def differences(self) -> DataFrame:
         """Every row that is not an exact match, in the classified layout."""
-        return self.rows.where(F.col("status") != MATCHED)
+        return self.rows.where(f"{STATUS} <> {literal(MATCHED)}")
+
+    def value_text(self, side: str, name: str) -> str:
+        """A value of one side as text."""
+        schema = self.pairing.source_schema if side == SOURCE else self.pairing.target_schema
+        kind = schema[name].dataType
+        # Maps and variants were brought to an orderable form when the sides were tagged.
+        if isinstance(kind, T.VariantType):
+            return f"{side}.{quote(name)}"
+        return as_text(f"{side}.{quote(name)}", kind)
 
     def cells(self) -> DataFrame:
         """One row per differing cell, values as text."""
+        if not self.pairing.columns:
+            raise ValueError("no column is compared besides the keys")
         cells = [
-            F.struct(
-                F.lit(name).alias("column_name"),
-                as_text(F.col(SOURCE)[name], self.rows.schema[SOURCE].dataType[name].dataType).alias("source_value"),
-                as_text(F.col(TARGET)[other], self.rows.schema[TARGET].dataType[other].dataType).alias("target_value"),
-                F.col("matched")[name].alias("equal"),
+            struct(
+                {
+                    "column_name": literal(name),
+                    "source_value": self.value_text(SOURCE, name),
+                    "target_value": self.value_text(TARGET, other),
+                    "equal": f"{MATCHES}.{quote(name)}",
+                }
             )
             for name, other in zip(self.pairing.columns, self.pairing.target_columns)
         ]
-        if not cells:
-            raise ValueError("no column is compared besides the keys")
-        differing = F.filter(F.array(*cells), lambda cell: ~cell["equal"])
+        differing = f"filter({array(cells)}, cell -> NOT cell.equal)"
         return (
             self.with_status(DIFFERENT)
-            .select(*self._key_columns(), F.explode(differing).alias("cell"))
-            .select(*self._key_columns(), "cell.column_name", "cell.source_value", "cell.target_value")
+            .selectExpr(*self._keys, f"explode({differing}) AS cell")
+            .selectExpr(*self._keys, "cell.column_name", "cell.source_value", "cell.target_value")
         )
 
     def sample(self, size: int = 10, *, statuses: Iterable[str] | None = None) -> DataFrame:
-        """First ``size`` rows of every status in key order: ``status, sample_number, keys.., source, target``.
+        """First ``size`` rows of every status in key order: status, ``sample_number``, keys and both rows.
 
         The rank filter is also applied within every task before the exchange, so at most ``size`` rows per status and
         task are moved.
         """
         rows = self.rows if statuses is None else self.with_status(*statuses)
-        order = Window.partitionBy("status").orderBy(*[key.asc_nulls_first() for key in self._key_columns()])
-        number = F.row_number().over(order)
+        order = ", ".join(f"{key} ASC NULLS FIRST" for key in self._keys)
+        number = f"row_number() OVER (PARTITION BY {STATUS} ORDER BY {order}) AS sample_number"
         return (
-            rows.select("status", *self._key_columns(), SOURCE, TARGET, number.alias("sample_number"))
-            .where(F.col("sample_number") <= size)
+            rows.selectExpr(STATUS, *self._keys, SOURCE, TARGET, number)
+            .where(f"sample_number <= {int(size)}")
             .withColumn("sample_number", F.col("sample_number").cast("bigint"))
         )
 
     def class_counts(self) -> DataFrame:
         """Row count of every status that occurs."""
-        return self.rows.groupBy("status").agg(F.count(F.lit(1)).alias("row_count"))
-
-    def metric_columns(self) -> list[Column]:
-        """Aggregates that describe the whole comparison; usable in ``agg`` and in ``observe``."""
-        status = F.col("status")
-        both = status.isin(MATCHED, DIFFERENT)
-
-        def total(value: Column) -> Column:
-            return F.coalesce(F.sum(value), F.lit(0).cast("bigint"))
+        return self.rows.groupBy(STATUS).agg(F.expr("count(1) AS row_count"))
 
+    def metric_expressions(self) -> list[str]:
+        """Aggregates that describe the whole comparison."""
+        both = status_is(MATCHED, DIFFERENT)
         metrics = [
-            F.count_if(status != ONLY_TARGET).alias("source_keys"),
-            F.count_if(status != ONLY_SOURCE).alias("target_keys"),
-            F.count_if(both).alias("common_keys"),
-            F.count_if(status == MATCHED).alias("matched_keys"),
-            F.count_if(status == DIFFERENT).alias("mismatched_keys"),
-            F.count_if(status == ONLY_SOURCE).alias("only_source_keys"),
-            F.count_if(status == ONLY_TARGET).alias("only_target_keys"),
-            total(F.col("source_rows")).alias("source_rows"),
-            total(F.col("target_rows")).alias("target_rows"),
+            f"count_if(NOT {status_is(ONLY_TARGET)}) AS source_keys",
+            f"count_if(NOT {status_is(ONLY_SOURCE)}) AS target_keys",
+            f"count_if({both}) AS common_keys",
+            f"count_if({status_is(MATCHED)}) AS matched_keys",
+            f"count_if({status_is(DIFFERENT)}) AS mismatched_keys",
+            f"count_if({status_is(ONLY_SOURCE)}) AS only_source_keys",
+            f"count_if({status_is(ONLY_TARGET)}) AS only_target_keys",
+            f"coalesce(sum({SOURCE_ROWS}), 0L) AS {SOURCE_ROWS}",
+            f"coalesce(sum({TARGET_ROWS}), 0L) AS {TARGET_ROWS}",
+        ]
+        return metrics + [
+            f"count_if({both} AND NOT {MATCHES}.{quote(name)}) AS _mismatched_{i}"
+            for i, name in enumerate(self.pairing.columns)
         ]
-        for i, name in enumerate(self.pairing.columns):
-            metrics.append(F.count_if(both & ~F.col("matched")[name]).alias(f"_mismatched_{i}"))
-        return metrics
+
+    def metric_columns(self) -> list[Column]:
+        """The metrics in the form ``observe`` takes."""
+        return [F.expr(metric) for metric in self.metric_expressions()]
 
     def metrics(self) -> DataFrame:
         """One row of counts, including the mismatch count of every compared column."""
-        return self.rows.agg(*self.metric_columns())
+        return self.rows.selectExpr(*self.metric_expressions())
 
     def counts(self) -> DataFrame:
         """One row: keys and raw rows per side, duplicates, and the size of every difference class."""
@@ -270,19 +285,14 @@ class RowComparison:
         return verdict_report(self.metrics())
 
 
-def as_text(value: Column, kind: T.DataType) -> Column:
-    nested = isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType))
-    return F.to_json(value) if nested else value.cast("string")
-
-
 def count_report(metrics: DataFrame) -> DataFrame:
-    return metrics.select(
+    return metrics.selectExpr(
         "source_rows",
         "target_rows",
         "source_keys",
         "target_keys",
-        (F.col("source_rows") - F.col("source_keys")).alias("source_duplicates"),
-        (F.col("target_rows") - F.col("target_keys")).alias("target_duplicates"),
+        "source_rows - source_keys AS source_duplicates",
+        "target_rows - target_keys AS target_duplicates",
         "common_keys",
         "matched_keys",
         "mismatched_keys",
@@ -292,37 +302,29 @@ def count_report(metrics: DataFrame) -> DataFrame:
 
 
 def match_rate_report(metrics: DataFrame, columns: Sequence[str]) -> DataFrame:
-    schema = "array<struct<column_name:string,mismatched:bigint>>"
-    per_column = F.array(
-        *[
-            F.struct(F.lit(name).alias("column_name"), F.col(f"_mismatched_{i}").alias("mismatched"))
-            for i, name in enumerate(columns)
-        ]
-    ).cast(schema)
-    matched = F.col("common_keys") - F.col("cell.mismatched")
-    return metrics.select("common_keys", F.explode(per_column).alias("cell")).select(
-        "cell.column_name",
-        matched.alias("matched"),
+    cells = [struct({"name": literal(name), "mismatched": f"_mismatched_{i}"}) for i, name in enumerate(columns)]
+    if not cells:
+        raise ValueError("no column is compared besides the keys")
+    return metrics.selectExpr("common_keys", f"explode({array(cells)}) AS cell").selectExpr(
+        "cell.name AS column_name",
+        "common_keys - cell.mismatched AS matched",
         "cell.mismatched",
-        F.when(F.col("common_keys") > 0, matched / F.col("common_keys")).alias("match_rate"),
+        "try_divide(common_keys - cell.mismatched, common_keys) AS match_rate",
     )
 
 
-def verdict_column() -> Column:
+def verdict_of_metrics() -> str:
     """Over metrics: MATCH only if both sides have rows and no key differs; an empty side gives UNKNOWN."""
-    filled = (F.col("source_keys") > 0) & (F.col("target_keys") > 0)
-    clean = F.col("mismatched_keys") + F.col("only_source_keys") + F.col("only_target_keys") == 0
-    return verdict(F.when(filled, clean))
+    clean = "mismatched_keys + only_source_keys + only_target_keys = 0"
+    return verdict_text(f"if(source_keys > 0 AND target_keys > 0, {clean}, NULL)")
 
 
 def verdict_report(metrics: DataFrame) -> DataFrame:
     """One row: the verdict, the reason of an UNKNOWN, and the sizes of the difference classes."""
-    reason = F.when(F.col("source_keys") == 0, F.lit("source is empty")).when(
-        F.col("target_keys") == 0, F.lit("target is empty")
-    )
-    return metrics.select(
-        verdict_column().alias("verdict"),
-        F.coalesce(reason, F.lit("")).alias("reason"),
+    return metrics.selectExpr(
+        f"{verdict_of_metrics()} AS verdict",
+        "CASE WHEN source_keys = 0 THEN 'source is empty' WHEN target_keys = 0 THEN 'target is empty' ELSE '' END "
+        "AS reason",
         "mismatched_keys",
         "only_source_keys",
         "only_target_keys",

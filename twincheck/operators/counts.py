@@ -4,77 +4,62 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twincheck.functions.columns import ref, resolve_names
-from twincheck.functions.comparability import key_type, orderable
+from twincheck.functions.columns import resolve_names
+from twincheck.functions.comparability import as_text, cast, key_type, orderable
 from twincheck.functions.hashing import row_hash, safe_row_hash
-from twincheck.operators.compare import ONLY_SOURCE, ONLY_TARGET
-from twincheck.verdict import verdict
+from twincheck.functions.sqltext import alias, array, literal, quote, struct
+from twincheck.operators.hashkeys import aligned_texts
+from twincheck.verdict import verdict_text
 
-_SIDE = "_is_source"
-
-
-def _both(source: DataFrame, target: DataFrame) -> DataFrame:
-    return source.withColumn(_SIDE, F.lit(True)).unionByName(target.withColumn(_SIDE, F.lit(False)))
-
-
-def _side_counts(source_name: str, target_name: str) -> list[Column]:
-    return [F.count_if(F.col(_SIDE)).alias(source_name), F.count_if(~F.col(_SIDE)).alias(target_name)]
+_SIDE_COUNTS = ["count_if(_is_source) AS source_rows", "count_if(NOT _is_source) AS target_rows"]
+_COUNT_STATUS = (
+    "CASE WHEN target_rows = 0 THEN 'only_source' WHEN source_rows = 0 THEN 'only_target' "
+    "WHEN source_rows = target_rows THEN 'match' ELSE 'mismatch' END AS status"
+)
 
 
 def compare_row_counts(source: DataFrame, target: DataFrame) -> DataFrame:
     """One row: both counts, their signed difference and the verdict. No data column is read."""
-    counted = _both(source.select(), target.select()).agg(*_side_counts("source_rows", "target_rows"))
-    difference = F.col("source_rows") - F.col("target_rows")
-    return counted.select(
-        "source_rows", "target_rows", difference.alias("difference"), verdict(difference == 0).alias("verdict")
+    both = source.selectExpr("true AS _is_source").unionAll(target.selectExpr("false AS _is_source"))
+    return both.selectExpr(*_SIDE_COUNTS).selectExpr(
+        "*",
+        "source_rows - target_rows AS difference",
+        f"{verdict_text('source_rows = target_rows')} AS verdict",
     )
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key values that occur more than once, with their row count."""
-    spelled = resolve_names(df, keys)
-    grouped = df.groupBy(*[ref(name) for name in spelled]).agg(F.count(F.lit(1)).alias("row_count"))
-    return grouped.where(F.col("row_count") > 1)
+    grouped = df.groupBy(*[quote(name) for name in resolve_names(df, keys)]).agg(F.expr("count(1) AS row_count"))
+    return grouped.where("row_count > 1")
 
 
 def compare_frequencies(source: DataFrame, target: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows per distinct value of each column on both sides (NULL is a value).
+    """Rows per distinct value of each column on both sides (NULL is a value): ``column_name, value, source_rows,
+    target_rows, status``.
 
     All columns are counted in one scan per side: each row is spread into (column, value) pairs, which the map-side
     combine collapses again before the exchange.
     """
     source_names, target_names = resolve_names(source, columns), resolve_names(target, columns)
-    kinds = [
-        key_type(source.schema[s].dataType, target.schema[t].dataType) for s, t in zip(source_names, target_names)
-    ]
-
-    def spread(df: DataFrame, names: Sequence[str]) -> DataFrame:
-        pairs = F.array(
-            *[
-                F.struct(
-                    F.lit(label).alias("column_name"),
-                    orderable(ref(name).cast(kind), kind).cast("string").alias("value"),
-                )
-                for label, name, kind in zip(columns, names, kinds)
-            ]
+    kinds = [(source.schema[s].dataType, target.schema[t].dataType) for s, t in zip(source_names, target_names)]
+
+    def spread(df: DataFrame, names: Sequence[str], side: int) -> DataFrame:
+        pairs = []
+        for label, name, pair in zip(columns, names, kinds):
+            common = key_type(*pair)
+            value = as_text(orderable(cast(quote(name), pair[side], common), common), common)
+            pairs.append(struct({"column_name": literal(label), "value": value}))
+        return df.selectExpr(f"explode({array(pairs)}) AS pair").selectExpr(
+            "pair.*", f"{'true' if side == 0 else 'false'} AS _is_source"
         )
-        return df.select(F.explode(pairs).alias("pair")).select("pair.*")
 
-    counted = (
-        _both(spread(source, source_names), spread(target, target_names))
-        .groupBy("column_name", "value")
-        .agg(*_side_counts("source_rows", "target_rows"))
-    )
-    status = (
-        F.when(F.col("target_rows") == 0, F.lit(ONLY_SOURCE))
-        .when(F.col("source_rows") == 0, F.lit(ONLY_TARGET))
-        .when(F.col("source_rows") == F.col("target_rows"), F.lit("match"))
-        .otherwise(F.lit("mismatch"))
-    )
-    return counted.withColumn("status", status)
+    both = spread(source, source_names, 0).unionAll(spread(target, target_names, 1))
+    counted = both.groupBy("column_name", "value").agg(*map(F.expr, _SIDE_COUNTS))
+    return counted.selectExpr("*", _COUNT_STATUS)
 
 
 def multiset_differences(
@@ -90,16 +75,9 @@ def multiset_differences(
     combined before the exchange.
     """
     names = resolve_names(source, columns if columns is not None else source.columns)
-    spelled = resolve_names(target, names)
-    kinds = [key_type(source.schema[s].dataType, target.schema[t].dataType) for s, t in zip(names, spelled)]
-
-    def hashed(df: DataFrame, side_names: Sequence[str]) -> DataFrame:
-        values = [orderable(ref(name).cast(kind), kind) for name, kind in zip(side_names, kinds)]
-        return df.select((safe_row_hash(values) if safe else row_hash(values)).alias("row_hash"))
-
-    counted = (
-        _both(hashed(source, names), hashed(target, spelled))
-        .groupBy("row_hash")
-        .agg(*_side_counts("source_rows", "target_rows"))
+    left, right = aligned_texts(source, target, names)
+    hashed = safe_row_hash if safe else row_hash
+    both = source.selectExpr(alias(hashed(left), "row_hash"), "true AS _is_source").unionAll(
+        target.selectExpr(alias(hashed(right), "row_hash"), "false AS _is_source")
     )
-    return counted.where(F.col("source_rows") != F.col("target_rows"))
+    return both.groupBy("row_hash").agg(*map(F.expr, _SIDE_COUNTS)).where("source_rows <> target_rows")

@@ -2,30 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from twincheck.functions.sqltext import literal
 from twincheck.sources.dropfolder import SOURCE_SUFFIX, TARGET_SUFFIX
 
+# SQL text over a path.
+FOLDER = "regexp_extract({path}, '^(.*)/[^/]*$', 1)"
+BASE_NAME = "regexp_extract({path}, '([^/]*)$', 1)"
 
-def base_name(path: Column) -> Column:
-    return F.regexp_extract(path, r"([^/]*)$", 1)
 
+def folder_name(path: str) -> str:
+    return FOLDER.format(path=path)
 
-def folder_name(path: Column) -> Column:
-    return F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
 
+def base_name(path: str) -> str:
+    return BASE_NAME.format(path=path)
 
-def stem(path: Column, suffix: str) -> Column:
-    """File name without ``suffix``."""
-    name = base_name(path)
-    return F.left(name, F.length(name) - F.lit(len(suffix)))
 
-
-def _side(files: DataFrame, suffix: str, path_alias: str) -> DataFrame:
-    path = F.col("path")
-    return files.where(F.endswith(path, F.lit(suffix))).select(
-        folder_name(path).alias("folder"), stem(path, suffix).alias("stem"), path.alias(path_alias)
+def _side(files: DataFrame, suffix: str, path_name: str) -> DataFrame:
+    """Files that end in ``suffix``, with their folder and their name up to the suffix."""
+    name = base_name("path")
+    return files.where(f"endswith(path, {literal(suffix)})").selectExpr(
+        f"{folder_name('path')} AS folder",
+        f"left({name}, length({name}) - {len(suffix)}) AS stem",
+        f"path AS {path_name}",
     )
 
 
@@ -45,8 +46,8 @@ def unpaired_files(
     source, target = _side(files, source_suffix, "path"), _side(files, target_suffix, "path")
     return (
         source.join(target, key, "left_anti")
-        .select(F.lit("source").alias("side"), "path")
-        .unionByName(target.join(source, key, "left_anti").select(F.lit("target").alias("side"), "path"))
+        .selectExpr("'source' AS side", "path")
+        .unionByName(target.join(source, key, "left_anti").selectExpr("'target' AS side", "path"))
     )
 
 

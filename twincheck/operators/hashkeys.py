@@ -2,17 +2,32 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from twincheck.functions.columns import drop_columns, ref, resolve_names
-from twincheck.functions.comparability import key_type, orderable
+from twincheck.functions.columns import drop_columns, resolve_names
+from twincheck.functions.comparability import as_text, cast, key_type, orderable
 from twincheck.functions.hashing import HASH_COLUMN, row_hash, safe_row_hash
+from twincheck.functions.sqltext import alias, quote
 from twincheck.operators.compare import columns_only
 
 
+def aligned_texts(source: DataFrame, target: DataFrame, names: Sequence[str]) -> tuple[list[str], list[str]]:
+    """Text of the named columns on both sides, each pair brought to its common type first."""
+    spelled = resolve_names(target, names)
+    kinds = [(source.schema[s].dataType, target.schema[t].dataType) for s, t in zip(names, spelled)]
+
+    def texts(columns: Sequence[str], side: int) -> list[str]:
+        result = []
+        for column, pair in zip(columns, kinds):
+            common = key_type(*pair)
+            result.append(as_text(orderable(cast(quote(column), pair[side], common), common), common))
+        return result
+
+    return texts(names, 0), texts(spelled, 1)
+
+
 def with_shared_hash_key(
     source: DataFrame,
     target: DataFrame,
@@ -27,13 +42,8 @@ def with_shared_hash_key(
     target.
     """
     source, target = drop_columns(source, skip), drop_columns(target, skip)
-    extra = {column.upper() for column in columns_only(source, target)["only_source"]}
-    names = [column for column in source.columns if column.upper() not in extra]
-    spelled = resolve_names(target, names)
-    kinds = [key_type(source.schema[s].dataType, target.schema[t].dataType) for s, t in zip(names, spelled)]
-
-    def keyed(df: DataFrame, columns: list[str]) -> DataFrame:
-        values = [orderable(ref(c).cast(kind), kind) for c, kind in zip(columns, kinds)]
-        return df.withColumn(name, safe_row_hash(values) if safe else row_hash(values))
-
-    return keyed(source, names), keyed(target, spelled)
+    extra = set(columns_only(source, target)["only_source"])
+    names = [column for column in source.columns if column not in extra]
+    hashed = safe_row_hash if safe else row_hash
+    left, right = aligned_texts(source, target, names)
+    return source.selectExpr("*", alias(hashed(left), name)), target.selectExpr("*", alias(hashed(right), name))

@@ -9,35 +9,36 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from twincheck.functions.columns import ref
+from twincheck.functions.sqltext import alias, literal, quote
 from twincheck.operators.compare import RowComparison, columns_only, compare_rows
 from twincheck.session import ensure_checkpoint_dir
-from twincheck.verdict import verdict
+from twincheck.verdict import verdict_text
 
 ROW_INDEX = "_row_index"
 # Per-split counts are broadcast only up to this many splits (about 200 bytes each, so some 20 MB).
 MAX_BROADCAST_SPLITS = 100_000
-_SPLIT = ["_file", "_block"]
 
 
 def split_offsets(tagged: DataFrame) -> DataFrame:
-    """First row number and smallest id of every split, in order of file path and position in the file."""
-    splits = tagged.groupBy(*_SPLIT).agg(F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_first_id"))
-    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    in_file = splits.withColumn("_in_file", F.coalesce(F.sum("_rows").over(before), F.lit(0).cast("bigint")))
+    """First row number of every split, less its smallest id, in order of file path and position in the file."""
+    splits = tagged.groupBy("_file", "_block").agg(
+        F.expr("count(1) AS _rows"), F.expr("min(_id) AS _first_id")
+    )
+    before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    in_file = splits.selectExpr(
+        "*", f"coalesce(sum(_rows) OVER (PARTITION BY _file ORDER BY _block {before}), 0L) AS _in_file"
+    )
     # One row per file; the file listing itself is already held whole by the driver.
-    earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    files = (
-        splits.groupBy("_file")
-        .agg(F.sum("_rows").alias("_file_rows"))
-        .select("_file", F.coalesce(F.sum("_file_rows").over(earlier), F.lit(0).cast("bigint")).alias("_before_file"))
+    files = splits.groupBy("_file").agg(F.expr("sum(_rows) AS _file_rows"))
+    earlier = files.selectExpr(
+        "_file", f"coalesce(sum(_file_rows) OVER (ORDER BY _file {before}), 0L) AS _before_file"
+    )
+    return in_file.join(earlier, "_file").selectExpr(
+        "_file", "_block", "_before_file + _in_file - _first_id AS _offset"
     )
-    offset = F.col("_before_file") + F.col("_in_file") - F.col("_first_id")
-    return in_file.join(files, "_file").select(*_SPLIT, offset.alias("_offset"))
 
 
 def with_row_index(scan: DataFrame, name: str = ROW_INDEX) -> DataFrame:
@@ -47,17 +48,17 @@ def with_row_index(scan: DataFrame, name: str = ROW_INDEX) -> DataFrame:
     numbering job runs when this is called.
     """
     ensure_checkpoint_dir(scan.sparkSession)
-    data_columns = [ref(column) for column in scan.columns]
-    tagged = scan.select(
+    data_columns = [quote(column) for column in scan.columns]
+    tagged = scan.selectExpr(
         *data_columns,
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_id"),
+        "_metadata.file_path AS _file",
+        "_metadata.file_block_start AS _block",
+        "monotonically_increasing_id() AS _id",
     )
-    offsets = split_offsets(tagged.select(*_SPLIT, "_id")).checkpoint()
+    offsets = split_offsets(tagged.select("_file", "_block", "_id")).checkpoint()
     if offsets.count() <= MAX_BROADCAST_SPLITS:
         offsets = F.broadcast(offsets)
-    return tagged.join(offsets, _SPLIT).select((F.col("_offset") + F.col("_id")).alias(name), *data_columns)
+    return tagged.join(offsets, ["_file", "_block"]).selectExpr(alias("_offset + _id", name), *data_columns)
 
 
 class PositionalComparison:
@@ -70,20 +71,17 @@ class PositionalComparison:
 
     def verdict(self) -> DataFrame:
         """MATCH only if no row differs, neither side has surplus rows, and both have the same columns."""
-        return self.verdict_of(self.rows.metrics())
-
-    def verdict_of(self, metrics: DataFrame) -> DataFrame:
         same_columns = not (self.source_only_columns or self.target_only_columns)
-        clean: Column = F.col("mismatched_keys") + F.col("only_source_keys") + F.col("only_target_keys") == 0
-        return metrics.select(
-            verdict(clean & F.lit(same_columns)).alias("verdict"),
+        clean = "mismatched_keys + only_source_keys + only_target_keys = 0"
+        return self.rows.metrics().selectExpr(
+            f"{verdict_text(f'({clean} AND {str(same_columns).lower()})')} AS verdict",
             "source_rows",
             "target_rows",
-            F.col("mismatched_keys").alias("mismatched_rows"),
-            F.col("only_source_keys").alias("surplus_source_rows"),
-            F.col("only_target_keys").alias("surplus_target_rows"),
-            F.lit(",".join(self.source_only_columns)).alias("source_only_columns"),
-            F.lit(",".join(self.target_only_columns)).alias("target_only_columns"),
+            "mismatched_keys AS mismatched_rows",
+            "only_source_keys AS surplus_source_rows",
+            "only_target_keys AS surplus_target_rows",
+            f"{literal(','.join(self.source_only_columns))} AS source_only_columns",
+            f"{literal(','.join(self.target_only_columns))} AS target_only_columns",
         )
 
 

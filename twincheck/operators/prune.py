@@ -5,7 +5,8 @@ digests of each bucket, positive for the source and negative for the target. Buc
 rows on both sides (up to a 128-bit digest collision). Only rows of the other buckets enter the exact comparison.
 
 Cost on an intact copy: one scan of each side and an exchange of at most ``buckets`` short rows per task. The list of
-unequal buckets is at most ``buckets`` integers, which bounds what is broadcast.
+unequal buckets is at most ``buckets`` integers, which bounds what is broadcast. With differences all over the table
+nothing is saved; use the plain comparison then.
 """
 
 from __future__ import annotations
@@ -15,66 +16,50 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twincheck.functions.columns import drop_columns, ref
-from twincheck.functions.comparability import EXACT, Tolerance, canonical_value, orderable
+from twincheck.functions.columns import drop_columns
+from twincheck.functions.comparability import EXACT, Tolerance, canonical_value
 from twincheck.functions.hashing import digest_parts, null_aware_hash
-from twincheck.operators.compare import (
-    MATCHED,
-    SOURCE,
-    Pairing,
-    RowComparison,
-    classify,
-    pair_columns,
-    tag_sides,
-)
+from twincheck.functions.sqltext import quote
+from twincheck.operators.compare import MATCHED, STATUS, Pairing, RowComparison, classify, pair_columns, tag_sides
 
 DEFAULT_BUCKETS = 1 << 16
 MAX_BUCKETS = 1 << 22
 
 
-def _bucketed(tagged: DataFrame, pairing: Pairing, buckets: int) -> DataFrame:
-    keys = [F.col(f"_k{i}") for i in range(len(pairing.keys))]
-    bucket = F.pmod(null_aware_hash(keys, keys, 0), F.lit(buckets).cast("bigint"))
-    return tagged.withColumn("_bucket", bucket)
+def _bucket(keys: Sequence[str], buckets: int) -> str:
+    return f"pmod({null_aware_hash(keys, keys, 0)}, {buckets}L) AS _bucket"
 
 
-def _row_digest(df: DataFrame, names: Sequence[str], own: str, pairing: Pairing, sign: int, buckets: int) -> DataFrame:
-    """``_bucket``, a sign and digests of one side."""
-    if own == SOURCE:
-        key_names, schema, other_schema = pairing.keys, pairing.source_schema, pairing.target_schema
-        others = pairing.target_columns
-    else:
-        key_names, schema, other_schema = pairing.target_keys, pairing.target_schema, pairing.source_schema
-        others = pairing.columns
-    keys = [orderable(ref(name).cast(kind), kind) for name, kind in zip(key_names, pairing.key_types)]
-    raw = [ref(name) for name in names]
-    values = [
-        canonical_value(ref(name), schema[name].dataType, other_schema[other].dataType)
-        for name, other in zip(names, others)
+def _row_digests(df: DataFrame, pairing: Pairing, buckets: int, *, target: bool) -> DataFrame:
+    """``_bucket``, a sign and two digests of every row of one side."""
+    own, foreign = pairing.columns, pairing.target_columns
+    own_schema, foreign_schema = pairing.source_schema, pairing.target_schema
+    if target:
+        own, foreign, own_schema, foreign_schema = foreign, own, foreign_schema, own_schema
+    keys = pairing.key_values(target)
+    values = keys + [
+        canonical_value(quote(name), own_schema[name].dataType, foreign_schema[other].dataType)
+        for name, other in zip(own, foreign)
     ]
-    bucket = F.pmod(null_aware_hash(keys, keys, 0), F.lit(buckets).cast("bigint"))
-    first = null_aware_hash([*keys, *values], [*keys, *raw], 1)
-    second = null_aware_hash([*keys, *values], [*keys, *raw], 2)
-    return df.select(
-        bucket.alias("_bucket"), F.lit(sign).cast("bigint").alias("_sign"), first.alias("_d1"), second.alias("_d2")
+    nulls = keys + [quote(name) for name in own]
+    return df.selectExpr(
+        _bucket(keys, buckets),
+        f"{-1 if target else 1}L AS _sign",
+        f"{null_aware_hash(values, nulls, 1)} AS _d1",
+        f"{null_aware_hash(values, nulls, 2)} AS _d2",
     )
 
 
 def unequal_buckets(source: DataFrame, target: DataFrame, pairing: Pairing, buckets: int) -> DataFrame:
     """Numbers of the buckets whose row multisets differ."""
-    both = _row_digest(source, pairing.columns, SOURCE, pairing, 1, buckets).unionAll(
-        _row_digest(target, pairing.target_columns, "target", pairing, -1, buckets)
+    both = _row_digests(source, pairing, buckets, target=False).unionAll(
+        _row_digests(target, pairing, buckets, target=True)
     )
-    sums = [F.sum("_sign").alias("_n")]
-    for digest in ("_d1", "_d2"):
-        sums += [
-            F.sum(F.col("_sign") * part).alias(f"{digest}_{i}") for i, part in enumerate(digest_parts(F.col(digest)))
-        ]
-    totals = both.groupBy("_bucket").agg(*sums)
-    unequal = F.lit(False)
-    for name in totals.columns[1:]:
-        unequal = unequal | (F.col(name) != 0)
-    return totals.where(unequal).select("_bucket")
+    # Signed sums count rows and repeated rows; the parity of a second, independent digest widens the check.
+    sums = {"_rows": "sum(_sign)", "_parity": "bit_xor(_d2)"}
+    sums |= {f"_sum{i}": f"sum(_sign * {part})" for i, part in enumerate(digest_parts("_d1"))}
+    totals = both.groupBy("_bucket").agg(*[F.expr(f"{value} AS {name}") for name, value in sums.items()])
+    return totals.where(" OR ".join(f"{name} <> 0" for name in sums)).select("_bucket")
 
 
 def compare_pruned(
@@ -92,7 +77,8 @@ def compare_pruned(
     source, target = drop_columns(source, skip), drop_columns(target, skip)
     pairing = pair_columns(source, target, keys)
     changed = unequal_buckets(source, target, pairing, buckets)
-    tagged = _bucketed(tag_sides(source, target, pairing), pairing, buckets)
+    key_names = [f"_k{i}" for i in range(len(pairing.keys))]
+    tagged = tag_sides(source, target, pairing).selectExpr("*", _bucket(key_names, buckets))
     candidates = tagged.join(F.broadcast(changed), "_bucket", "left_semi").drop("_bucket")
-    rows = classify(candidates, pairing, tolerance).where(F.col("status") != MATCHED)
+    rows = classify(candidates, pairing, tolerance).where(f"{STATUS} <> '{MATCHED}'")
     return RowComparison(rows, pairing)

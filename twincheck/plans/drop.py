@@ -84,5 +84,5 @@ def validate_drop(
         except Exception as error:  # one unreadable pair must not hide the others
             rows.append((pair["folder"], pair["stem"], "UNKNOWN", *[None] * 5, "", "", f"{type(error).__name__}: {error}"))
     summary = spark.createDataFrame(rows, SUMMARY_SCHEMA)
-    unpaired = unpaired_files(files).withColumn("name", base_name(F.col("path")))
+    unpaired = unpaired_files(files).selectExpr("side", "path", f"{base_name('path')} AS name")
     return summary, unpaired

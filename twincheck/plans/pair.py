@@ -6,20 +6,20 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from twincheck.functions.columns import impose_schema, trim_strings, upper_names
 from twincheck.functions.comparability import EXACT, Tolerance
 from twincheck.functions.hashing import HASH_COLUMN
+from twincheck.functions.sqltext import array, literal, struct
 from twincheck.operators.aggregates import aggregate_requests, aggregate_verdict, compare_aggregates
 from twincheck.operators.catalog import compare_catalogs
-from twincheck.operators.compare import RowComparison, compare_rows, verdict_column
+from twincheck.operators.compare import RowComparison, compare_rows, verdict_of_metrics
 from twincheck.operators.counts import compare_frequencies, compare_row_counts
 from twincheck.operators.hashkeys import with_shared_hash_key
 from twincheck.sources.config import ConfigError, PairSpec
 from twincheck.sources.tables import split_list
-from twincheck.verdict import UNKNOWN, roll_up, verdict
+from twincheck.verdict import UNKNOWN, roll_up, verdict_text
 
 # Names of the checks a run may select, and the columns of its summary.
 ALL_CHECKS = "All"
@@ -130,18 +130,20 @@ def plan_pair(
     return PairChecks(spec=spec, selected=selected, **planned)
 
 
-def _check_row(name: str, status: Column, source_rows: Column | None = None, target_rows: Column | None = None):
-    missing = F.lit(None).cast("bigint")
-    return F.struct(
-        F.lit(name).alias("name"),
-        status.alias("status"),
-        (missing if source_rows is None else source_rows).alias("source_rows"),
-        (missing if target_rows is None else target_rows).alias("target_rows"),
+def _check_row(name: str, status: str, *, counted: bool = False) -> str:
+    missing = "cast(NULL AS bigint)"
+    return struct(
+        {
+            "name": literal(name),
+            "status": status,
+            "source_rows": "source_rows" if counted else missing,
+            "target_rows": "target_rows" if counted else missing,
+        }
     )
 
 
-def _exploded(report: DataFrame, *cells: Column) -> DataFrame:
-    return report.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+def _exploded(report: DataFrame, *cells: str) -> DataFrame:
+    return report.selectExpr(f"explode({array(cells)}) AS cell").selectExpr("cell.*")
 
 
 def check_rows(checks: PairChecks, content_metrics: DataFrame | None = None) -> DataFrame | None:
@@ -153,18 +155,16 @@ def check_rows(checks: PairChecks, content_metrics: DataFrame | None = None) ->
     rows = []
     if checks.content is not None:
         metrics = checks.content.metrics() if content_metrics is None else content_metrics
-        source, target = F.col("source_rows"), F.col("target_rows")
-        cells = [_check_row("DATA_CONTENT_STATUS", verdict_column())]
+        cells = [_check_row("DATA_CONTENT_STATUS", verdict_of_metrics())]
         if ROW_COUNT in checks.selected:
-            cells.append(_check_row("ROW_COUNT_STATUS", verdict(source == target), source, target))
+            cells.append(_check_row("ROW_COUNT_STATUS", verdict_text("source_rows = target_rows"), counted=True))
         rows.append(_exploded(metrics, *cells))
     if checks.row_counts is not None:
-        cell = _check_row("ROW_COUNT_STATUS", F.col("verdict"), F.col("source_rows"), F.col("target_rows"))
-        rows.append(_exploded(checks.row_counts, cell))
+        rows.append(_exploded(checks.row_counts, _check_row("ROW_COUNT_STATUS", "verdict", counted=True)))
     if checks.types is not None:
-        rows.append(_exploded(checks.types.metrics(), _check_row("DATA_TYPE_STATUS", verdict_column())))
+        rows.append(_exploded(checks.types.metrics(), _check_row("DATA_TYPE_STATUS", verdict_of_metrics())))
     if checks.aggregate_verdict is not None:
-        rows.append(_exploded(checks.aggregate_verdict, _check_row("AGG_STATUS", F.col("verdict"))))
+        rows.append(_exploded(checks.aggregate_verdict, _check_row("AGG_STATUS", "verdict")))
     return reduce(DataFrame.unionAll, rows) if rows else None
 
 
@@ -174,28 +174,23 @@ def summarize(checks: PairChecks, content_metrics: DataFrame | None = None) -> D
     rows = check_rows(checks, content_metrics)
     if rows is None:
         raise ConfigError("none of the selected checks applies to this pair")
-
-    def status(name: str) -> Column:
-        return F.coalesce(F.max(F.when(F.col("name") == name, F.col("status"))), F.lit(UNKNOWN)).alias(name)
-
-    def count(name: str) -> Column:
-        return F.coalesce(F.max(name).cast("string"), F.lit(""))
-
-    summary = rows.agg(
-        *[status(name) for name in STATUS_COLUMNS],
-        count("source_rows").alias("SOURCE_ROW_COUNT"),
-        count("target_rows").alias("TARGET_ROW_COUNT"),
+    totals = rows.selectExpr(
+        *[
+            f"coalesce(max(if(name = {literal(name)}, status, NULL)), {literal(UNKNOWN)}) AS {name}"
+            for name in STATUS_COLUMNS
+        ],
+        "coalesce(cast(max(source_rows) AS string), '') AS SOURCE_ROW_COUNT",
+        "coalesce(cast(max(target_rows) AS string), '') AS TARGET_ROW_COUNT",
     )
-    return summary.withColumns(
-        {
-            "STATUS": roll_up([F.col(name) for name in STATUS_COLUMNS]),
-            "SOURCE_TABLE": F.lit(spec.source_table),
-            "TARGET_TABLE": F.lit(spec.target_table),
-            "SOURCE_FILTER": F.lit(spec.source_filter),
-            "TARGET_FILTER": F.lit(spec.target_filter),
-            "VALIDATION_TIME": F.lit(""),
-        }
-    ).select(*SUMMARY_COLUMNS)
+    values = {name: name for name in totals.columns} | {
+        "STATUS": roll_up(STATUS_COLUMNS),
+        "SOURCE_TABLE": literal(spec.source_table),
+        "TARGET_TABLE": literal(spec.target_table),
+        "SOURCE_FILTER": literal(spec.source_filter),
+        "TARGET_FILTER": literal(spec.target_filter),
+        "VALIDATION_TIME": "''",
+    }
+    return totals.selectExpr(*[f"{values[name]} AS {name}" for name in SUMMARY_COLUMNS])
 
 
 def validate_pair(

@@ -128,7 +128,7 @@ def export_pair(checks: PairChecks, folder: str, *, compression: str = "gzip") -
     if checks.aggregates is not None:
         export_csv(checks.aggregates, f"{folder}/aggregates/{table}", single_file=True)
     if checks.frequencies is not None:
-        uneven = checks.frequencies.where(F.col("status") != "match")
+        uneven = checks.frequencies.where("status <> 'match'")
         export_csv(uneven, f"{folder}/frequencies/{table}", compression=compression)
     return observed
 

@@ -4,11 +4,21 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from twincheck.functions.columns import ref
-from twincheck.operators.compare import MATCHED, SOURCE, TARGET, RowComparison, as_text
+from twincheck.functions.comparability import as_text
+from twincheck.functions.sqltext import alias, array, literal, quote, struct
+from twincheck.operators.compare import (
+    MATCHED,
+    MATCHES,
+    SOURCE,
+    SOURCE_ROWS,
+    STATUS,
+    TARGET,
+    TARGET_ROWS,
+    RowComparison,
+)
 
 # CSV layout and compression names of exported files; time format of a run.
 CSV_OPTIONS = {
@@ -39,7 +49,7 @@ def export_csv(df: DataFrame, folder: str, *, compression: str = "none", single_
     rows.write.options(**CSV_OPTIONS).option("compression", compression).mode("errorifexists").csv(folder)
 
 
-def read_export(spark, folder: str) -> DataFrame:
+def read_export(spark: SparkSession, folder: str) -> DataFrame:
     """An exported folder as text columns."""
     return spark.read.options(**CSV_OPTIONS).csv(folder)
 
@@ -48,23 +58,18 @@ def flat_differences(comparison: RowComparison, rows: DataFrame | None = None) -
     """Differing rows as text: status, keys, row counts, and for every column both values and whether they agree."""
     rows = comparison.differences() if rows is None else rows
     pairing = comparison.pairing
-    schema = comparison.rows.schema
-
-    def side(struct: str, name: str) -> Column:
-        return as_text(F.col(struct)[name], schema[struct].dataType[name].dataType)
-
-    columns = [F.col("status").alias("diff_status")]
-    columns += [as_text(ref(name), schema[name].dataType).alias(name) for name in pairing.keys]
-    columns += [F.col(name).cast("string").alias(name) for name in ("source_rows", "target_rows")]
+    columns = [f"{STATUS} AS diff_status"]
+    columns += [alias(as_text(quote(name), kind), name) for name, kind in zip(pairing.keys, pairing.key_types)]
+    columns += [f"cast({name} AS string) AS {name}" for name in (SOURCE_ROWS, TARGET_ROWS)]
     for name, other in zip(pairing.columns, pairing.target_columns):
         columns += [
-            side(SOURCE, name).alias(f"{name}_source"),
-            side(TARGET, other).alias(f"{name}_target"),
-            F.col("matched")[name].cast("string").alias(f"{name}_match"),
+            alias(comparison.value_text(SOURCE, name), f"{name}_source"),
+            alias(comparison.value_text(TARGET, other), f"{name}_target"),
+            alias(f"cast({MATCHES}.{quote(name)} AS string)", f"{name}_match"),
         ]
-    columns += [side(SOURCE, name).alias(f"{name}_source") for name in pairing.source_extra]
-    columns += [side(TARGET, name).alias(f"{name}_target") for name in pairing.target_extra]
-    return rows.select(*columns)
+    columns += [alias(comparison.value_text(SOURCE, name), f"{name}_source") for name in pairing.source_extra]
+    columns += [alias(comparison.value_text(TARGET, name), f"{name}_target") for name in pairing.target_extra]
+    return rows.selectExpr(*columns)
 
 
 def export_differences(
@@ -79,7 +84,7 @@ def export_differences(
         raise ValueError(f"compression must be one of {COMPRESSIONS}")
     observation = Observation(f"{check}_metrics")
     observed = comparison.rows.observe(observation, *comparison.metric_columns())
-    flat = flat_differences(comparison, observed.where(F.col("status") != MATCHED))
+    flat = flat_differences(comparison, observed.where(f"{STATUS} <> {literal(MATCHED)}"))
     (
         flat.withColumns({"diff_table": F.lit(table), "diff_check": F.lit(check)})
         .write.options(**CSV_OPTIONS)
@@ -93,12 +98,9 @@ def export_differences(
 
 def metric_rows(metrics: DataFrame, *, table: str, check: str) -> DataFrame:
     """A one-row metrics frame in long form: ``table_name, check_name, metric, value``."""
-    cells = F.array(
-        *[
-            F.struct(F.lit(name).alias("metric"), F.col(name).cast("string").alias("value"))
-            for name in metrics.columns
-        ]
-    )
-    return metrics.select(F.explode(cells).alias("cell")).select(
-        F.lit(table).alias("table_name"), F.lit(check).alias("check_name"), "cell.metric", "cell.value"
+    cells = [
+        struct({"metric": literal(name), "value": f"cast({quote(name)} AS string)"}) for name in metrics.columns
+    ]
+    return metrics.selectExpr(f"explode({array(cells)}) AS cell").selectExpr(
+        f"{literal(table)} AS table_name", f"{literal(check)} AS check_name", "cell.metric", "cell.value"
     )

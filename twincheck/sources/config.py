@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from twincheck.functions.columns import blank_nulls
@@ -49,35 +49,31 @@ def active_rows(config: DataFrame) -> DataFrame:
     return config.where(F.col("ACTIVE") == ACTIVE_FLAG)
 
 
-def _items(column: str) -> Column:
-    parts = F.transform(F.split(F.col(column), ","), lambda item: F.trim(item))
-    return F.when(F.trim(F.col(column)) != "", F.filter(parts, lambda item: item != ""))
-
-
-def unit_code(name: Column) -> Column:
-    """Short code of a business unit: the last three characters of its label, lower case."""
-    return F.lower(F.right(name, F.lit(3)))
+def _items(column: str) -> str:
+    items = f"filter(transform(split({column}, ','), i -> trim(i)), i -> i <> '')"
+    return f"if(trim({column}) = '', NULL, {items}) AS {column}"
 
 
 def parse_config(config: DataFrame) -> DataFrame:
-    """Trimmed fields, upper-case type, full table names, and comma lists as arrays (NULL if blank)."""
-    filled = blank_nulls(config)
-
-    def text(name: str) -> Column:
-        return F.trim(F.col(name))
-
-    return filled.select(
-        text("ACTIVE").alias("ACTIVE"),
-        unit_code(text("LOB")).alias("LOB_CODE"),
-        F.upper(text("TYPE")).alias("TYPE"),
-        text("WF_NAME").alias("WF_NAME"),
-        F.concat_ws(".", text("SOURCE_SCHEMA_NAME"), text("SOURCE_TABLE_NAME")).alias("SOURCE_TABLE"),
-        F.concat_ws(".", text("TARGET_SCHEMA_NAME"), text("TARGET_TABLE_NAME")).alias("TARGET_TABLE"),
-        text("SOURCE_COLUMNS").alias("SOURCE_COLUMNS"),
-        text("TARGET_COLUMNS").alias("TARGET_COLUMNS"),
-        *[_items(name).alias(name) for name in _LISTS],
-        text("SOURCE_FILTER").alias("SOURCE_FILTER"),
-        text("TARGET_FILTER").alias("TARGET_FILTER"),
+    """Trimmed fields, upper-case type, full table names, comma lists as arrays (NULL if blank), and the short code of
+    the business unit: the last three characters of its label, lower case."""
+
+    def text(*names: str) -> list[str]:
+        return [f"trim({name}) AS {name}" for name in names]
+
+    def full_name(side: str) -> str:
+        return f"concat_ws('.', trim({side}_SCHEMA_NAME), trim({side}_TABLE_NAME)) AS {side}_TABLE"
+
+    return blank_nulls(config).selectExpr(
+        *text("ACTIVE"),
+        "lower(right(trim(LOB), 3)) AS LOB_CODE",
+        "upper(trim(TYPE)) AS TYPE",
+        *text("WF_NAME"),
+        full_name("SOURCE"),
+        full_name("TARGET"),
+        *text("SOURCE_COLUMNS", "TARGET_COLUMNS"),
+        *map(_items, _LISTS),
+        *text("SOURCE_FILTER", "TARGET_FILTER"),
     )
 
 

@@ -9,7 +9,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from twincheck.functions.columns import ref, resolve_names
+from twincheck.functions.columns import resolve_names
+from twincheck.functions.sqltext import pick
 
 _LEADING_WHERE = re.compile(r"^\s*where\b", re.IGNORECASE)
 # Fixed value: a column list that stands for all columns.
@@ -58,7 +59,7 @@ def narrow(df: DataFrame, columns: str = ALL_COLUMNS, condition: str = "") -> Da
         df = df.where(condition)
     names = split_list(columns)
     if names and names != [ALL_COLUMNS]:
-        df = df.select(*[ref(name) for name in resolve_names(df, names)])
+        df = pick(df, resolve_names(df, names))
     return df
 
 

@@ -1,9 +1,8 @@
-"""The three outcomes of a check."""
+"""The three outcomes of a check. Expressions are SQL text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Iterable
 
 # Outcome names.
 MISMATCH = "MISMATCH"
@@ -11,16 +10,15 @@ MATCH = "MATCH"
 UNKNOWN = "UNKNOWN"
 
 
-def verdict(matched: Column) -> Column:
+def verdict_text(matched: str) -> str:
     """TRUE, FALSE and NULL as the three outcomes."""
-    return F.when(matched, F.lit(MATCH)).when(~matched, F.lit(MISMATCH)).otherwise(F.lit(UNKNOWN))
+    return f"CASE WHEN {matched} THEN '{MATCH}' WHEN NOT ({matched}) THEN '{MISMATCH}' ELSE '{UNKNOWN}' END"
 
 
-def roll_up(statuses: list[Column]) -> Column:
+def roll_up(statuses: Iterable[str]) -> str:
     """Any MISMATCH wins, then any MATCH, else UNKNOWN."""
-    seen = F.array(*statuses)
+    seen = ", ".join(statuses)
     return (
-        F.when(F.array_contains(seen, MISMATCH), F.lit(MISMATCH))
-        .when(F.array_contains(seen, MATCH), F.lit(MATCH))
-        .otherwise(F.lit(UNKNOWN))
+        f"CASE WHEN '{MISMATCH}' IN ({seen}) THEN '{MISMATCH}' "
+        f"WHEN '{MATCH}' IN ({seen}) THEN '{MATCH}' ELSE '{UNKNOWN}' END"
     )

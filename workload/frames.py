@@ -5,18 +5,15 @@ Each Spark derivation has its SQL twin beside it, as the text of one or more com
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from twincheck.functions.sqltext import array, literal
 from workload.registry import table
 
 MONEY = "decimal(18,2)"
 
 
-def _every(column: str, n: int) -> Column:
-    return F.pmod(F.col(column), F.lit(n)) == 0
-
-
 # --- orders, with drift ----------------------------------------------------------------------------------------------
 
 ORDER_KEY = ["o_orderkey"]
@@ -24,27 +21,24 @@ ORDER_VALUES = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_
 
 
 def orders_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    raw = table(spark, sf_dir, "orders").select(
+    raw = table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey",
         "o_custkey",
         "o_orderstatus",
-        F.col("o_totalprice").cast(MONEY).alias("o_totalprice"),
+        f"cast(o_totalprice AS {MONEY}) AS o_totalprice",
         "o_orderdate",
         "o_orderpriority",
     )
-    priority = F.col("o_orderpriority")
-    source = raw.withColumn("o_orderpriority", F.when(~_every("o_orderkey", 59), priority))
-    changed = source.where(~_every("o_orderkey", 97)).select(
+    source = raw.withColumn("o_orderpriority", F.expr("if(o_orderkey % 59 <> 0, o_orderpriority, NULL)"))
+    changed = source.where("o_orderkey % 97 <> 0").selectExpr(
         "o_orderkey",
         "o_custkey",
-        F.when(~_every("o_orderkey", 53), F.col("o_orderstatus")).alias("o_orderstatus"),
-        (F.col("o_totalprice") + F.when(_every("o_orderkey", 31), F.lit("0.01")).otherwise("0").cast(MONEY))
-        .cast(MONEY)
-        .alias("o_totalprice"),
+        "if(o_orderkey % 53 <> 0, o_orderstatus, NULL) AS o_orderstatus",
+        f"cast(o_totalprice + if(o_orderkey % 31 = 0, 0.01, 0.00) AS {MONEY}) AS o_totalprice",
         "o_orderdate",
-        F.when(_every("o_orderkey", 41), F.concat(priority, F.lit("  "))).otherwise(priority).alias("o_orderpriority"),
+        "if(o_orderkey % 41 = 0, concat(o_orderpriority, '  '), o_orderpriority) AS o_orderpriority",
     )
-    extra = raw.where(_every("o_orderkey", 89)).withColumn("o_orderkey", -1 - F.col("o_orderkey"))
+    extra = raw.where("o_orderkey % 89 = 0").withColumn("o_orderkey", F.expr("-1 - o_orderkey"))
     return source, changed.unionByName(extra)
 
 
@@ -74,15 +68,15 @@ LINE_VALUES = ["l_partkey", "l_quantity", "l_returnflag"]
 
 
 def lines_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    source = table(spark, sf_dir, "lineitem").select(
+    source = table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey",
-        "l_linenumber",
+        "cast(l_linenumber AS bigint) AS l_linenumber",
         "l_partkey",
-        F.col("l_quantity").cast(MONEY).alias("l_quantity"),
+        f"cast(l_quantity AS {MONEY}) AS l_quantity",
         "l_returnflag",
     )
-    target = source.where(~_every("l_partkey", 23)).withColumn(
-        "l_returnflag", F.when(~_every("l_orderkey", 29), F.col("l_returnflag"))
+    target = source.where("l_partkey % 23 <> 0").withColumn(
+        "l_returnflag", F.expr("if(l_orderkey % 29 <> 0, l_returnflag, NULL)")
     )
     return source, target
 
@@ -102,13 +96,13 @@ tgt AS (
 
 def customers_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Scans without a shuffle, so file order is known. The source lacks some rows, so later rows shift."""
-    raw = table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_name", F.col("c_acctbal").cast(MONEY).alias("c_acctbal"), "c_mktsegment"
+    raw = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey", "c_name", f"cast(c_acctbal AS {MONEY}) AS c_acctbal", "c_mktsegment"
+    )
+    source = raw.where("c_custkey % 211 <> 0")
+    target = raw.withColumn("c_acctbal", F.expr("if(c_custkey % 71 <> 0, c_acctbal, NULL)")).where(
+        "c_custkey % 307 <> 0"
     )
-    source = raw.where(~_every("c_custkey", 211))
-    target = raw.withColumn(
-        "c_acctbal", F.when(_every("c_custkey", 71), F.lit(None)).otherwise(F.col("c_acctbal")).cast(MONEY)
-    ).where(~_every("c_custkey", 307))
     return source, target
 
 
@@ -132,63 +126,49 @@ NATIVE_CODES = (
 OBJECT_KINDS = ["O", "T", "V", "I", "M"]
 
 
-def _pick(items: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(item) for item in items]), (F.pmod(index, F.lit(len(items))) + 1).cast("int"))
+def _pick(items: list[str], number: str) -> str:
+    return f"element_at({array(map(literal, items))}, cast(pmod({number}, {len(items)}) + 1 AS int))"
 
 
 def source_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw source catalog: every part is a column; tables hold 30 columns each."""
-    part = table(spark, sf_dir, "part")
-    table_number = F.floor(F.col("p_partkey") / COLUMNS_PER_TABLE).cast("bigint")
-    number = table_number.cast("string")
-    size = F.col("p_size").cast("bigint")
-    return part.select(
-        F.concat(F.lit(" Db"), F.pmod(table_number, F.lit(7)).cast("string")).alias("DatabaseName"),
-        F.concat(F.lit("tab_"), number, F.lit("  ")).alias("TableName"),
-        F.concat(F.lit("col_"), F.col("p_partkey").cast("string"), F.lit(" ")).alias("ColumnName"),
-        F.col("p_partkey").alias("ColumnId"),
-        F.rpad(_pick(NATIVE_CODES, F.col("p_partkey")), 2, " ").alias("ColumnType"),
-        (size * 2).alias("ColumnLength"),
-        F.concat(F.lit("X("), size.cast("string"), F.lit(")")).alias("ColumnFormat"),
-        (F.pmod(size, F.lit(18)) + 19).alias("DecimalTotalDigits"),
-        F.when(F.pmod(size, F.lit(5)) == 0, F.lit(-128))
-        .otherwise(F.pmod(size, F.lit(5)))
-        .cast("bigint")
-        .alias("DecimalFractionalDigits"),
+    table_number = f"p_partkey DIV {COLUMNS_PER_TABLE}"
+    return table(spark, sf_dir, "part").selectExpr(
+        f"concat(' Db', ({table_number}) % 7) AS DatabaseName",
+        f"concat('tab_', {table_number}, '  ') AS TableName",
+        "concat('col_', p_partkey, ' ') AS ColumnName",
+        "p_partkey AS ColumnId",
+        f"rpad({_pick(NATIVE_CODES, 'p_partkey')}, 2, ' ') AS ColumnType",
+        "cast(p_size AS bigint) * 2 AS ColumnLength",
+        "concat('X(', p_size, ')') AS ColumnFormat",
+        "cast(p_size % 18 + 19 AS bigint) AS DecimalTotalDigits",
+        "cast(if(p_size % 5 = 0, -128, p_size % 5) AS bigint) AS DecimalFractionalDigits",
     )
 
 
 def source_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = source_columns(spark, sf_dir).select("DatabaseName", "TableName").distinct()
-    number = F.regexp_extract("TableName", r"(\d+)", 1).cast("bigint")
-    return names.withColumn("TableKind", _pick(OBJECT_KINDS, number))
+    number = "cast(regexp_extract(TableName, '([0-9]+)', 1) AS bigint)"
+    return names.selectExpr("*", f"{_pick(OBJECT_KINDS, number)} AS TableKind")
 
 
 def target_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw information-schema columns of the migrated tables, with drift."""
-    part = table(spark, sf_dir, "part")
-    key, size = F.col("p_partkey"), F.col("p_size").cast("bigint")
-    table_number = F.floor(key / COLUMNS_PER_TABLE).cast("bigint")
-    code = _pick(NATIVE_CODES, key)
-    numbers, texts = NATIVE_CODES[:6], NATIVE_CODES[6:26]
-    data_type = (
-        F.when(code.isin(numbers), F.lit("NUMBER"))
-        .when(code.isin(texts), F.lit("TEXT"))
-        .when(code.isin("TS", "SZ"), F.lit("TIMESTAMP_NTZ"))
-        .when(code == "DA", F.lit("DATE"))
-        .when(code == "F", F.lit("FLOAT"))
-        .otherwise(F.lit("VARIANT"))
-    )
-    return part.where(~_every("p_partkey", 43)).select(
-        F.lit("MIGRATED").alias("table_catalog"),
-        F.concat(F.lit("DB"), F.pmod(table_number, F.lit(7)).cast("string")).alias("table_schema"),
-        F.concat(F.lit("TAB_"), table_number.cast("string")).alias("table_name"),
-        F.concat(F.lit("COL_"), key.cast("string")).alias("column_name"),
-        (F.pmod(key, F.lit(COLUMNS_PER_TABLE)) + 1).alias("ordinal_position"),
-        data_type.alias("data_type"),
-        F.when(code.isin(texts), size).alias("character_maximum_length"),
-        F.when(code.isin(numbers), F.lit(38)).cast("bigint").alias("numeric_precision"),
-        F.when(code.isin(numbers), F.pmod(size, F.lit(5))).cast("bigint").alias("numeric_scale"),
+    table_number = f"p_partkey DIV {COLUMNS_PER_TABLE}"
+    numbers, texts = (", ".join(map(literal, codes)) for codes in (NATIVE_CODES[:6], NATIVE_CODES[6:26]))
+    coded = table(spark, sf_dir, "part").where("p_partkey % 43 <> 0")
+    return coded.selectExpr("*", f"{_pick(NATIVE_CODES, 'p_partkey')} AS code").selectExpr(
+        "'MIGRATED' AS table_catalog",
+        f"concat('DB', ({table_number}) % 7) AS table_schema",
+        f"concat('TAB_', {table_number}) AS table_name",
+        "concat('COL_', p_partkey) AS column_name",
+        f"p_partkey % {COLUMNS_PER_TABLE} + 1 AS ordinal_position",
+        f"CASE WHEN code IN ({numbers}) THEN 'NUMBER' WHEN code IN ({texts}) THEN 'TEXT' "
+        "WHEN code IN ('TS', 'SZ') THEN 'TIMESTAMP_NTZ' WHEN code = 'DA' THEN 'DATE' WHEN code = 'F' THEN 'FLOAT' "
+        "ELSE 'VARIANT' END AS data_type",
+        f"if(code IN ({texts}), p_size, NULL) AS character_maximum_length",
+        f"if(code IN ({numbers}), 38, NULL) AS numeric_precision",
+        f"if(code IN ({numbers}), p_size % 5, NULL) AS numeric_scale",
     )
 
 
@@ -260,26 +240,28 @@ CATALOG_VALUES = ["column_position", "data_type", "character_max_length", "numer
 
 def config_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One configuration row per customer, with blanks, padding and missing values."""
-    key, name = F.col("c_custkey"), F.col("c_name")
-    nation = F.col("c_nationkey").cast("string")
-    return table(spark, sf_dir, "customer").select(
-        _pick(["Y", "N", ""], key).alias("ACTIVE"),
-        F.concat(F.initcap("c_mktsegment"), F.lit(": "), F.substring("c_mktsegment", 1, 3)).alias("LOB"),
-        _pick(["table", "VIEW", " Table ", "report"], key).alias("TYPE"),
-        F.concat(F.lit(" wf_"), nation, F.lit(" ")).alias("WF_NAME"),
-        F.concat(F.lit("S"), nation, F.lit(" ")).alias("SOURCE_SCHEMA_NAME"),
-        name.alias("SOURCE_TABLE_NAME"),
-        F.concat(F.lit(" T"), nation).alias("TARGET_SCHEMA_NAME"),
-        F.upper(name).alias("TARGET_TABLE_NAME"),
-        _pick(["*", "ID, NAME", "ID"], key).alias("SOURCE_COLUMNS"),
-        F.lit("*").alias("TARGET_COLUMNS"),
-        _pick(["", "ID", " ID , LINE ,SEQ"], key).alias("UNIQUE_KEYS"),
-        F.when(F.pmod(key, F.lit(2)) == 0, F.lit("LOADED_AT, LOADED_BY")).alias("SKIP_COLUMNS"),
-        F.lit(None).cast("string").alias("DELTA_COLUMNS"),
-        F.when(F.pmod(key, F.lit(4)) == 1, F.concat(F.lit("WHERE day > "), key.cast("string"))).alias("SOURCE_FILTER"),
-        F.lit("").alias("TARGET_FILTER"),
-        _pick(["", "PRICE,QTY,FLAG"], key).alias("AGGREGATE_COLUMNS"),
-        _pick(["", "SUM, avg,COUNT"], key).alias("AGGREGATE_FUNCTIONS"),
+
+    def pick(*items: str) -> str:
+        return _pick(list(items), "c_custkey")
+
+    return table(spark, sf_dir, "customer").selectExpr(
+        f"{pick('Y', 'N', '')} AS ACTIVE",
+        "concat(initcap(c_mktsegment), ': ', substring(c_mktsegment, 1, 3)) AS LOB",
+        f"{pick('table', 'VIEW', ' Table ', 'report')} AS TYPE",
+        "concat(' wf_', c_nationkey, ' ') AS WF_NAME",
+        "concat('S', c_nationkey, ' ') AS SOURCE_SCHEMA_NAME",
+        "c_name AS SOURCE_TABLE_NAME",
+        "concat(' T', c_nationkey) AS TARGET_SCHEMA_NAME",
+        "upper(c_name) AS TARGET_TABLE_NAME",
+        f"{pick('*', 'ID, NAME', 'ID')} AS SOURCE_COLUMNS",
+        "'*' AS TARGET_COLUMNS",
+        f"{pick('', 'ID', ' ID , LINE ,SEQ')} AS UNIQUE_KEYS",
+        "if(c_custkey % 2 = 0, 'LOADED_AT, LOADED_BY', NULL) AS SKIP_COLUMNS",
+        "cast(NULL AS string) AS DELTA_COLUMNS",
+        "if(c_custkey % 4 = 1, concat('WHERE day > ', c_custkey), NULL) AS SOURCE_FILTER",
+        "'' AS TARGET_FILTER",
+        f"{pick('', 'PRICE,QTY,FLAG')} AS AGGREGATE_COLUMNS",
+        f"{pick('', 'SUM, avg,COUNT')} AS AGGREGATE_FUNCTIONS",
     )
 
 
@@ -301,38 +283,25 @@ config AS (
 # --- dropped files ---------------------------------------------------------------------------------------------------
 
 
+_STEM = "concat('/drop/', source, '/report_', doc_id DIV 2, if(doc_id % 2 = 0, '', '_late'))"
+
+
 def dropped_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paths of report extracts: two per document, some missing, some with names that are prefixes of others."""
-    documents = table(spark, sf_dir, "documents")
-    key = F.col("doc_id")
-    stem = F.concat(
-        F.lit("/drop/"),
-        F.col("source"),
-        F.lit("/report_"),
-        F.floor(key / 2).cast("string"),
-        F.when(_every("doc_id", 2), F.lit("")).otherwise(F.lit("_late")),
-    )
-    endings = F.array(
-        F.when(~_every("doc_id", 11), F.lit("_td.csv")),
-        F.when(~_every("doc_id", 13), F.lit("_sf.csv")),
-        F.when(_every("doc_id", 17), F.lit(".zip")),
-    )
-    return documents.select(stem.alias("stem"), F.explode(F.array_compact(endings)).alias("ending")).select(
-        F.concat("stem", "ending").alias("path")
+    endings = (
+        "array_compact(array(if(doc_id % 11 <> 0, '_td.csv', NULL), if(doc_id % 13 <> 0, '_sf.csv', NULL), "
+        "if(doc_id % 17 = 0, '.zip', NULL)))"
     )
+    named = table(spark, sf_dir, "documents").selectExpr(f"{_STEM} AS stem", f"explode({endings}) AS ending")
+    return named.selectExpr("concat(stem, ending) AS path")
 
 
 def processed_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ledger: both extracts of every report whose document was labelled good."""
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    documents = table(spark, sf_dir, "documents").select("doc_id", "source").join(good, "doc_id")
-    late = F.when(_every("doc_id", 2), F.lit("")).otherwise(F.lit("_late"))
-    stem = F.concat(
-        F.lit("/drop/"), F.col("source"), F.lit("/report_"), F.floor(F.col("doc_id") / 2).cast("string"), late
-    )
-    endings = F.explode(F.array(F.lit("_td.csv"), F.lit("_sf.csv")))
-    return documents.select(stem.alias("stem"), endings.alias("ending")).select(
-        F.concat("stem", "ending").alias("path")
+    named = table(spark, sf_dir, "documents").select("doc_id", "source").join(good, "doc_id")
+    return named.selectExpr(f"{_STEM} AS stem", "explode(array('_td.csv', '_sf.csv')) AS ending").selectExpr(
+        "concat(stem, ending) AS path"
     )
 
 

@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from twincheck.functions.columns import ref
+from twincheck.functions.sqltext import alias, quote
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,14 +33,10 @@ def plain(df: DataFrame) -> DataFrame:
     """Types every engine prints alike: decimals and times as text, integers as BIGINT."""
     columns = []
     for field in df.schema.fields:
-        value = ref(field.name)
+        value = quote(field.name)
         if isinstance(field.dataType, (T.DecimalType, T.TimestampType, T.TimestampNTZType, T.DateType)):
-            value = value.cast("string")
+            value = f"cast({value} AS string)"
         elif isinstance(field.dataType, (T.ByteType, T.ShortType, T.IntegerType)):
-            value = value.cast("bigint")
-        columns.append(value.alias(field.name))
-    return df.select(*columns)
-
-
-def fresh_columns(df: DataFrame, prefix: str) -> DataFrame:
-    return df.select(*[F.col(name).alias(f"{prefix}{name}") for name in df.columns])
+            value = f"cast({value} AS bigint)"
+        columns.append(alias(value, field.name))
+    return df.selectExpr(*columns)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twincheck.functions.columns import lookup, trim_strings, upper_names
+from twincheck.functions.hashing import with_hash_key
 from twincheck.operators.compare import RowComparison, columns_only, compare_rows
 from twincheck.operators.counts import multiset_differences
 from twincheck.operators.hashkeys import with_shared_hash_key
@@ -37,17 +38,18 @@ def trimmed_orders(spark: SparkSession, sf_dir: str) -> RowComparison:
 
 
 def side_by_side(df: DataFrame) -> DataFrame:
-    return df.select(
-        *[
-            F.col(c).cast("string").alias(c) if c.endswith(("_source", "_target")) else F.col(c)
-            for c in df.columns
-        ]
+    return df.selectExpr(
+        *[f"cast({c} AS string) AS {c}" if c.endswith(("_source", "_target")) else c for c in df.columns]
     )
 
 
+def order_texts(df: DataFrame) -> DataFrame:
+    return df.selectExpr("o_orderkey", *[f"cast({c} AS string) AS {c}" for c in w.ORDER_VALUES])
+
+
 @query("compare_classify", ORDERS_CLS + "SELECT o_orderkey, status, source_rows, target_rows FROM cls")
 def compare_classify(spark, sf_dir):
-    return orders(spark, sf_dir).rows.select("o_orderkey", "status", "source_rows", "target_rows")
+    return orders(spark, sf_dir).rows.selectExpr("o_orderkey", "row_status AS status", "source_rows", "target_rows")
 
 
 @query("compare_counts", TRIMMED_CLS + o.METRICS)
@@ -57,7 +59,7 @@ def compare_counts(spark, sf_dir):
 
 @query("diff_class_counts", TRIMMED_CLS + "SELECT status, count(*) AS row_count FROM cls GROUP BY status")
 def diff_class_counts(spark, sf_dir):
-    return trimmed_orders(spark, sf_dir).class_counts()
+    return trimmed_orders(spark, sf_dir).class_counts().withColumnRenamed("row_status", "status")
 
 
 @query(
@@ -66,8 +68,7 @@ def diff_class_counts(spark, sf_dir):
     "WHERE o_orderkey NOT IN (SELECT o_orderkey FROM tgt)",
 )
 def rows_only_source(spark, sf_dir):
-    rows = orders(spark, sf_dir).only_source()
-    return rows.select("o_orderkey", *[F.col(c).cast("string").alias(c) for c in w.ORDER_VALUES])
+    return order_texts(orders(spark, sf_dir).only_source())
 
 
 @query(
@@ -76,8 +77,7 @@ def rows_only_source(spark, sf_dir):
     "WHERE o_orderkey NOT IN (SELECT o_orderkey FROM src)",
 )
 def rows_only_target(spark, sf_dir):
-    rows = orders(spark, sf_dir).only_target()
-    return rows.select("o_orderkey", *[F.col(c).cast("string").alias(c) for c in w.ORDER_VALUES])
+    return order_texts(orders(spark, sf_dir).only_target())
 
 
 @query("rows_mismatch", ORDERS_CLS + f"SELECT o_orderkey, {SIDE_BY_SIDE} FROM cls WHERE status = 'mismatch'")
@@ -122,7 +122,7 @@ _UNSKIPPED = ["o_custkey", "o_orderdate", "o_orderpriority"]
 def compare_skip_columns(spark, sf_dir):
     skip = ["O_TOTALPRICE", " o_orderstatus", "no_such_column"]
     compared = compare_rows(*w.orders_pair(spark, sf_dir), w.ORDER_KEY, skip=skip)
-    return compared.differences().select("o_orderkey", "status")
+    return compared.differences().selectExpr("o_orderkey", "row_status AS status")
 
 
 @query(
@@ -134,18 +134,18 @@ def compare_skip_columns(spark, sf_dir):
 )
 def compare_duplicate_keys(spark, sf_dir):
     rows = compare_rows(*w.lines_pair(spark, sf_dir), w.LINE_KEY).rows
-    return rows.select(
+    return rows.selectExpr(
         "l_orderkey",
-        F.col("l_linenumber").cast("bigint").alias("l_linenumber"),
-        "status",
+        "cast(l_linenumber AS bigint) AS l_linenumber",
+        "row_status AS status",
         "source_rows",
         "target_rows",
-        F.col("source.l_partkey").alias("l_partkey_source"),
-        F.col("matched.l_partkey").alias("l_partkey_match"),
-        F.col("source.l_quantity").cast("string").alias("l_quantity_source"),
-        F.col("matched.l_quantity").alias("l_quantity_match"),
-        F.col("target.l_returnflag").alias("l_returnflag_target"),
-        F.col("matched.l_returnflag").alias("l_returnflag_match"),
+        "source_row.l_partkey AS l_partkey_source",
+        "cell_matches.l_partkey AS l_partkey_match",
+        "cast(source_row.l_quantity AS string) AS l_quantity_source",
+        "cell_matches.l_quantity AS l_quantity_match",
+        "target_row.l_returnflag AS l_returnflag_target",
+        "cell_matches.l_returnflag AS l_returnflag_match",
     )
 
 
@@ -157,14 +157,14 @@ def compare_duplicate_keys(spark, sf_dir):
 )
 def pruned_differences(spark, sf_dir):
     rows = compare_pruned(*w.lines_pair(spark, sf_dir), w.LINE_KEY).rows
-    return rows.select(
+    return rows.selectExpr(
         "l_orderkey",
-        F.col("l_linenumber").cast("bigint").alias("l_linenumber"),
-        "status",
+        "cast(l_linenumber AS bigint) AS l_linenumber",
+        "row_status AS status",
         "source_rows",
         "target_rows",
-        F.col("matched.l_partkey").alias("l_partkey_match"),
-        F.col("matched.l_returnflag").alias("l_returnflag_match"),
+        "cell_matches.l_partkey AS l_partkey_match",
+        "cell_matches.l_returnflag AS l_returnflag_match",
     )
 
 
@@ -183,13 +183,13 @@ def content_compare(spark, sf_dir):
     """Content check without declared keys: trimmed text, row hash as key."""
     source, target = (trim_strings(side) for side in w.orders_pair(spark, sf_dir))
     compared = compare_rows(*with_shared_hash_key(source, target), ["HASHED_UNIQUE_KEY"])
-    return compared.differences().select(
-        F.col("HASHED_UNIQUE_KEY").alias("row_key"),
-        "status",
+    return compared.differences().selectExpr(
+        "HASHED_UNIQUE_KEY AS row_key",
+        "row_status AS status",
         "source_rows",
         "target_rows",
-        F.col("source.o_orderkey").alias("o_orderkey_source"),
-        F.col("target.o_orderkey").alias("o_orderkey_target"),
+        "source_row.o_orderkey AS o_orderkey_source",
+        "target_row.o_orderkey AS o_orderkey_target",
     )
 
 
@@ -206,8 +206,6 @@ _SAFE_HASH = "md5(concat_ws(',', {}))".format(
 def hash_key(spark, sf_dir):
     source, target = w.orders_pair(spark, sf_dir)
     _, hashed = with_shared_hash_key(source, target, name="row_hash")
-    from twincheck.functions.hashing import with_hash_key
-
     both = with_hash_key(hashed, ["row_hash"], safe=True, name="safe_row_hash")
     return both.select("o_orderkey", "row_hash", "safe_row_hash")
 
@@ -251,8 +249,8 @@ def normalize_columns(spark, sf_dir):
 
 @query(
     "columns_only",
-    """SELECT CASE WHEN o_orderkey < 0 THEN '' ELSE 'O_ORDERDATE,O_TOTALPRICE' END AS source_only,
-       'LOADED_AT' AS target_only, count(*) AS source_rows FROM orders GROUP BY ALL""",
+    """SELECT 'O_ORDERDATE,O_TOTALPRICE' AS source_only, 'LOADED_AT' AS target_only, count(*) AS source_rows
+       FROM orders""",
 )
 def columns_only_query(spark, sf_dir):
     """Columns of one side only, beside the row count of the source."""
@@ -260,10 +258,10 @@ def columns_only_query(spark, sf_dir):
     source = upper_names(source)
     target = source.drop("O_TOTALPRICE", "O_ORDERDATE").withColumn("LOADED_AT", F.lit(None).cast("timestamp"))
     unique = columns_only(source, target)
-    return source.groupBy(
-        F.lit(",".join(sorted(unique["only_source"]))).alias("source_only"),
-        F.lit(",".join(unique["only_target"])).alias("target_only"),
-    ).agg(F.count(F.lit(1)).alias("source_rows"))
+    source_only, target_only = ",".join(sorted(unique["only_source"])), ",".join(unique["only_target"])
+    return source.selectExpr(
+        f"'{source_only}' AS source_only", f"'{target_only}' AS target_only", "count(1) AS source_rows"
+    )
 
 
 @query(
@@ -273,7 +271,7 @@ def columns_only_query(spark, sf_dir):
 )
 def point_lookup(spark, sf_dir):
     found = lookup(table(spark, sf_dir, "customer"), {"C_MKTSEGMENT": "BUILDING", "C_NATIONKEY": 7})
-    return plain(found.select("c_custkey", "c_name", "c_nationkey", F.col("c_acctbal").cast(w.MONEY).alias("c_acctbal")))
+    return plain(found.selectExpr("c_custkey", "c_name", "c_nationkey", f"cast(c_acctbal AS {w.MONEY}) AS c_acctbal"))
 
 
 _CUSTOMER_VALUES = ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"]
@@ -287,14 +285,14 @@ _CUSTOMER_VALUES = ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"]
 )
 def positional_compare(spark, sf_dir):
     rows = compare_positions(*w.customers_pair(spark, sf_dir)).rows.rows
-    return rows.select(
-        F.col("_row_index").alias("row_index"),
-        "status",
-        F.col("source.c_custkey").alias("c_custkey_source"),
-        F.col("target.c_custkey").alias("c_custkey_target"),
-        F.col("matched.c_custkey").alias("c_custkey_match"),
-        F.col("matched.c_acctbal").alias("c_acctbal_match"),
-        F.col("matched.c_mktsegment").alias("c_mktsegment_match"),
+    return rows.selectExpr(
+        "_row_index AS row_index",
+        "row_status AS status",
+        "source_row.c_custkey AS c_custkey_source",
+        "target_row.c_custkey AS c_custkey_target",
+        "cell_matches.c_custkey AS c_custkey_match",
+        "cell_matches.c_acctbal AS c_acctbal_match",
+        "cell_matches.c_mktsegment AS c_mktsegment_match",
     )
 
 
@@ -322,10 +320,10 @@ def positional_verdict(spark, sf_dir):
 )
 def diff_sample(spark, sf_dir):
     """The first ten rows of every status: the limit is the feature."""
-    return orders(spark, sf_dir).sample(10).select(
-        "status",
+    return orders(spark, sf_dir).sample(10).selectExpr(
+        "row_status AS status",
         "sample_number",
         "o_orderkey",
-        F.col("source.o_custkey").alias("o_custkey_source"),
-        F.col("target.o_totalprice").cast("string").alias("o_totalprice_target"),
+        "source_row.o_custkey AS o_custkey_source",
+        "cast(target_row.o_totalprice AS string) AS o_totalprice_target",
     )

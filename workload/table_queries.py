@@ -159,7 +159,7 @@ def view_schema_impose(spark, sf_dir):
             T.StructField("c_acctbal", T.DecimalType(18, 1)),
         ]
     )
-    exact = table(spark, sf_dir, "customer").withColumn("c_acctbal", F.col("c_acctbal").cast(w.MONEY))
+    exact = table(spark, sf_dir, "customer").withColumn("c_acctbal", F.expr(f"cast(c_acctbal AS {w.MONEY})"))
     return plain(impose_schema(exact, schema))
 
 
@@ -193,10 +193,8 @@ def catalog_target(spark, sf_dir):
         ColumnType AS column_type FROM dbcols WHERE upper(trim(DatabaseName)) = 'DB2'""",
 )
 def catalog_columns(spark, sf_dir):
-    return columns_of(w.source_columns(spark, sf_dir), "db2 ").select(
-        F.trim("ColumnName").alias("column_name"),
-        F.col("ColumnId").alias("column_id"),
-        F.trim("ColumnType").alias("column_type"),
+    return columns_of(w.source_columns(spark, sf_dir), "db2 ").selectExpr(
+        "trim(ColumnName) AS column_name", "ColumnId AS column_id", "trim(ColumnType) AS column_type"
     )
 
 
@@ -207,14 +205,14 @@ def catalog_columns(spark, sf_dir):
         AS numeric_precision, CAST(numeric_scale AS BIGINT) AS numeric_scale FROM mapped""",
 )
 def type_mapping(spark, sf_dir):
-    code = F.trim("ColumnType")
-    return w.source_columns(spark, sf_dir).select(
-        F.col("ColumnId").alias("column_id"),
-        code.alias("native_code"),
-        typemap.common_type_name(code).alias("data_type"),
-        typemap.character_length(code, F.col("ColumnLength"), F.col("ColumnFormat")).alias("character_max_length"),
-        typemap.numeric_precision(code, F.col("DecimalTotalDigits")).alias("numeric_precision"),
-        typemap.numeric_scale(code, F.col("DecimalFractionalDigits")).alias("numeric_scale"),
+    code = "trim(ColumnType)"
+    return w.source_columns(spark, sf_dir).selectExpr(
+        "ColumnId AS column_id",
+        f"{code} AS native_code",
+        f"{typemap.common_type_name(code)} AS data_type",
+        f"{typemap.character_length(code, 'ColumnLength', 'ColumnFormat')} AS character_max_length",
+        f"{typemap.numeric_precision(code, 'DecimalTotalDigits')} AS numeric_precision",
+        f"{typemap.numeric_scale(code, 'DecimalFractionalDigits')} AS numeric_scale",
     )
 
 
@@ -246,14 +244,14 @@ def type_to_ddl(spark, sf_dir):
 )
 def schema_compare(spark, sf_dir):
     rows = compare_catalogs(*catalogs(spark, sf_dir)).differences()
-    return rows.select(
+    return rows.selectExpr(
         "SCHEMA_NAME",
         "TABLE_NAME",
         "COLUMN_NAME",
-        "status",
-        F.col("source.DATA_TYPE").alias("data_type_source"),
-        F.col("target.DATA_TYPE").alias("data_type_target"),
-        *[F.col(f"matched.{c.upper()}").alias(f"{c}_match") for c in w.CATALOG_VALUES],
+        "row_status AS status",
+        "source_row.DATA_TYPE AS data_type_source",
+        "target_row.DATA_TYPE AS data_type_target",
+        *[f"cell_matches.{c.upper()} AS {c}_match" for c in w.CATALOG_VALUES],
     )
 
 
@@ -291,21 +289,19 @@ def active_config(spark, sf_dir):
         SOURCE_FILTER AS "SOURCE_FILTER" FROM config""",
 )
 def config_parse(spark, sf_dir):
-    parsed = parse_config(w.config_rows(spark, sf_dir))
+    def joined(name: str) -> str:
+        return f"if({name} IS NULL, NULL, concat_ws(',', {name}))"
 
-    def joined(name: str) -> F.Column:
-        return F.when(F.col(name).isNotNull(), F.concat_ws(",", F.col(name)))
-
-    return parsed.select(
+    return parse_config(w.config_rows(spark, sf_dir)).selectExpr(
         "LOB_CODE",
         "TYPE",
         "WF_NAME",
         "SOURCE_TABLE",
         "TARGET_TABLE",
-        joined("UNIQUE_KEYS").alias("unique_keys"),
-        F.coalesce(F.size("UNIQUE_KEYS"), F.lit(0)).cast("bigint").alias("key_count"),
-        joined("SKIP_COLUMNS").alias("skip_columns"),
-        joined("AGGREGATE_FUNCTIONS").alias("functions"),
+        f"{joined('UNIQUE_KEYS')} AS unique_keys",
+        "cast(coalesce(size(UNIQUE_KEYS), 0) AS bigint) AS key_count",
+        f"{joined('SKIP_COLUMNS')} AS skip_columns",
+        f"{joined('AGGREGATE_FUNCTIONS')} AS functions",
         "SOURCE_FILTER",
     )
 
@@ -353,11 +349,11 @@ def unprocessed_files_query(spark, sf_dir):
 def csv_pair_read(spark, sf_dir):
     """Customers written as CSV and read back as text, NULL as the empty string."""
     folder = scratch_folder(spark, "extract")
-    rows = table(spark, sf_dir, "customer").select(
+    rows = table(spark, sf_dir, "customer").selectExpr(
         "c_custkey",
         "c_name",
-        F.col("c_acctbal").cast(w.MONEY).alias("c_acctbal"),
-        F.when(F.pmod("c_custkey", F.lit(7)) != 0, F.col("c_mktsegment")).alias("c_mktsegment"),
+        f"cast(c_acctbal AS {w.MONEY}) AS c_acctbal",
+        "if(c_custkey % 7 <> 0, c_mktsegment, NULL) AS c_mktsegment",
     )
     export_csv(rows, folder)
     return read_csv(spark, folder)
@@ -370,9 +366,9 @@ def _write_by_segment(spark, sf_dir) -> str:
 
 
 def _written_folders(files: DataFrame) -> DataFrame:
-    nation = folder_name(F.col("path"))
-    return files.select(
-        base_name(folder_name(nation)).alias("segment"), base_name(nation).alias("nation")
+    nation = folder_name("path")
+    return files.selectExpr(
+        f"{base_name(folder_name(nation))} AS segment", f"{base_name(nation)} AS nation"
     ).distinct()
 
 
@@ -420,14 +416,14 @@ def csv_export_differences(spark, sf_dir):
     """All difference classes written in one job and read back."""
     folder = scratch_folder(spark, "differences")
     export_differences(trimmed_orders(spark, sf_dir), folder, table="orders", check="content")
-    return read_export(spark, folder).select(
+    return read_export(spark, folder).selectExpr(
         "diff_table",
         "diff_check",
         "diff_status",
         "o_orderkey",
-        F.coalesce("o_totalprice_source", F.lit("")).alias("price_source"),
-        F.coalesce("o_orderstatus_target", F.lit("")).alias("status_target"),
-        F.col("o_totalprice_match").cast("string").alias("price_match"),
+        "coalesce(o_totalprice_source, '') AS price_source",
+        "coalesce(o_orderstatus_target, '') AS status_target",
+        "o_totalprice_match AS price_match",
     )
 
 
@@ -469,7 +465,7 @@ def run_summary(spark, sf_dir):
     pairs = {
         ORDERS_SPEC: w.orders_pair(spark, sf_dir),
         PairSpec("sales.customer", "copy.customer", "VIEW", keys=("c_custkey",)): (customer, customer),
-        PairSpec("sales.part", "copy.part"): (part, part.where(F.pmod("p_partkey", F.lit(101)) != 0)),
+        PairSpec("sales.part", "copy.part"): (part, part.where("p_partkey % 101 <> 0")),
     }
     summary = run_pairs(spark, list(pairs), lambda spec: plan_pair(*pairs[spec], spec), parallel=3)
     return summary.select(*_TIMELESS)
@@ -486,19 +482,17 @@ def run_summary(spark, sf_dir):
          SELECT 'job_' || c_custkey FROM customer WHERE 'wf_' || c_mktsegment = 'wf_BUILDING')""",
 )
 def etl_audit(spark, sf_dir):
-    user = F.col("user_id").cast("string")
-    audit = table(spark, sf_dir, "events").select(
-        F.concat(F.lit("job_"), user).alias("job_name"),
-        F.concat(F.lit("table_"), user).alias("source_table_name"),
-        F.date_trunc("second", F.col("ts")).cast("timestamp_ntz").alias("start_time"),
-        F.col("event_id").alias("load_count"),
-        F.lit("full").alias("load_type"),
-        F.concat(F.lit("SELECT * FROM table_"), user).alias("extract_query"),
-        F.when(F.col("event_type") == "purchase", F.lit("SUCCESS")).otherwise(F.upper("event_type")).alias("status"),
+    audit = table(spark, sf_dir, "events").selectExpr(
+        "concat('job_', user_id) AS job_name",
+        "concat('table_', user_id) AS source_table_name",
+        "cast(date_trunc('second', ts) AS timestamp_ntz) AS start_time",
+        "event_id AS load_count",
+        "'full' AS load_type",
+        "concat('SELECT * FROM table_', user_id) AS extract_query",
+        "if(event_type = 'purchase', 'SUCCESS', upper(event_type)) AS status",
     )
-    inventory = table(spark, sf_dir, "customer").select(
-        F.concat(F.lit("job_"), F.col("c_custkey").cast("string")).alias("job_name"),
-        F.concat(F.lit("wf_"), F.col("c_mktsegment")).alias("wf_name"),
+    inventory = table(spark, sf_dir, "customer").selectExpr(
+        "concat('job_', c_custkey) AS job_name", "concat('wf_', c_mktsegment) AS wf_name"
     )
     return plain(successful_loads(audit, inventory, "wf_BUILDING"))
 
@@ -517,13 +511,10 @@ def etl_audit(spark, sf_dir):
         CAST(max(d) AS VARCHAR) AS latest_date FROM days GROUP BY column_name""",
 )
 def future_dates_query(spark, sf_dir):
-    key = F.col("o_orderkey")
-    dated = table(spark, sf_dir, "orders").select(
-        F.when(key % 53 == 0, F.lit(None))
-        .when(key % 67 == 0, F.lit("9999-12-31").cast("date"))
-        .otherwise(F.col("o_orderdate").cast("date"))
-        .alias("valid_to"),
-        F.col("o_orderdate").cast("date").alias("order_day"),
+    dated = table(spark, sf_dir, "orders").selectExpr(
+        "CASE WHEN o_orderkey % 53 = 0 THEN NULL WHEN o_orderkey % 67 = 0 THEN DATE '9999-12-31' "
+        "ELSE cast(o_orderdate AS date) END AS valid_to",
+        "cast(o_orderdate AS date) AS order_day",
     )
     return future_dates(dated, "2000-01-01", lowest="1995-02-01", highest="2262-04-11")
 
@@ -547,9 +538,9 @@ def business_query_compare(spark, sf_dir):
     compared = compare_queries(
         spark, statement % "src", statement % "tgt", ["o_custkey"], tables={"src": source, "tgt": target}
     )
-    return compared.differences().select(
+    return compared.differences().selectExpr(
         "o_custkey",
-        "status",
-        F.col("source.revenue").cast("string").alias("source_revenue"),
-        F.col("target.revenue").cast("string").alias("target_revenue"),
+        "row_status AS status",
+        "cast(source_row.revenue AS string) AS source_revenue",
+        "cast(target_row.revenue AS string) AS target_revenue",
     )
