@@ -8,8 +8,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from twincheck.functions.sqltext import alias, quote
+
 _INTEGRAL_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
 _MAX_DIGITS = 38
 
@@ -86,13 +89,30 @@ def cast(value: str, own: T.DataType, wanted: T.DataType, *, lenient: bool = Fal
     return f"{'try_cast' if lenient else 'cast'}({value} AS {wanted.simpleString()})"
 
 
+def _holds_unordered(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_holds_unordered(field.dataType) for field in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _holds_unordered(kind.elementType)
+    return isinstance(kind, (T.MapType, T.VariantType))
+
+
 def orderable(value: str, kind: T.DataType) -> str:
-    """Form of ``value`` that Spark can order, group and hash: maps become sorted entry lists, variants JSON text."""
-    if isinstance(kind, T.MapType):
+    """Form of ``value`` that Spark can order, group and hash.
+
+    Maps become entry lists sorted by key; variants, and maps nested in other values, become JSON text.
+    """
+    if isinstance(kind, T.MapType) and not _holds_unordered(kind.valueType):
         return f"array_sort(map_entries({value}))"
-    if isinstance(kind, T.VariantType):
-        return f"to_json({value})"
-    return value
+    return f"to_json({value})" if _holds_unordered(kind) else value
+
+
+def orderable_columns(df: DataFrame) -> DataFrame:
+    """The table with every column in a form that Spark can order, group and hash."""
+    fields = df.schema.fields
+    if not any(_holds_unordered(field.dataType) for field in fields):
+        return df
+    return df.selectExpr(*[alias(orderable(quote(f.name), f.dataType), f.name) for f in fields])
 
 
 def as_text(value: str, kind: T.DataType) -> str:
@@ -123,16 +143,14 @@ def values_match(
     target_type: T.DataType,
     tolerance: Tolerance = EXACT,
 ) -> str:
-    """Never-NULL boolean: NULL equals NULL, NULL never equals a value, text matches a typed value if it parses to it.
+    """Never-NULL boolean over values in orderable form: NULL equals NULL, NULL never equals a value, text matches a typed value if it parses to it.
 
     Pairs with no common type match only where both are NULL.
     """
     both_null = f"({source} IS NULL AND {target} IS NULL)"
     common = common_type(source_type, target_type)
     if common is not None:
-        left = orderable(cast(source, source_type, common), common)
-        right = orderable(cast(target, target_type, common), common)
-        equal = f"({left} <=> {right})"
+        equal = f"({cast(source, source_type, common)} <=> {cast(target, target_type, common)})"
     elif _exact_digits(source_type) and _exact_digits(target_type):
         equal = f"({_canonical_decimal_text(source)} <=> {_canonical_decimal_text(target)})"
     else:
@@ -150,11 +168,11 @@ def values_match(
 
 
 def canonical_value(value: str, own_type: T.DataType, other_type: T.DataType) -> str:
-    """Form of ``value`` such that equal values of the two columns get equal hashes."""
+    """Form of an orderable ``value`` such that equal values of the two columns get equal hashes."""
     common = common_type(own_type, other_type)
     if common is not None:
-        return orderable(cast(value, own_type, common), common)
+        return cast(value, own_type, common)
     if _exact_digits(own_type) and _exact_digits(other_type):
         return _canonical_decimal_text(value)
     common = _text_target(own_type, other_type)
-    return orderable(value, own_type) if common is None else cast(value, own_type, common, lenient=True)
+    return value if common is None else cast(value, own_type, common, lenient=True)

@@ -43,45 +43,44 @@ def aggregate_requests(
     return [r for r in requests if r.column.upper() not in unwanted]
 
 
-def _aggregate(name: str, kind: T.DataType, function: str) -> str:
-    value = quote(name)
+def _aggregate(name: str, own: T.DataType, common: T.DataType | None, function: str) -> str:
+    """Aggregate over the type both sides share, so that sums and averages get the same scale."""
+    value = quote(name) if common is None else cast(quote(name), own, common)
+    kind = own if common is None else common
     if function in ("SUM", "AVG"):
         # Integers are summed as wide decimals: exact, and no overflow error at any row count.
         if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-            value = f"cast({value} AS decimal(28,0))"
+            value = f"cast({value} AS decimal(22,0))"
         elif isinstance(kind, T.FloatType):
             value = f"cast({value} AS double)"
     return f"{function}({value})"
 
 
-def _totals(df: DataFrame, requests: Sequence[AggregateRequest]) -> DataFrame:
+def _totals(
+    df: DataFrame, names: Sequence[str], requests: Sequence[AggregateRequest], commons: Sequence[T.DataType | None]
+) -> DataFrame:
     """One row with every requested aggregate as ``v0, v1, ..``: one scan, one aggregate."""
-    names = resolve_names(df, [r.column for r in requests])
     schema = df.schema
     return df.selectExpr(
         *[
-            f"{_aggregate(name, schema[name].dataType, r.function)} AS v{i}"
-            for i, (name, r) in enumerate(zip(names, requests))
+            f"{_aggregate(name, schema[name].dataType, common, r.function)} AS v{i}"
+            for i, (name, r, common) in enumerate(zip(names, requests, commons))
         ]
     )
 
 
-def _as_cells(totals: DataFrame, other: DataFrame, is_source: bool) -> DataFrame:
-    """Long form ``is_source, position, text, number``; values are brought to the type common with the other side."""
-    cells = []
-    for i, (own, foreign) in enumerate(zip(totals.schema.fields, other.schema.fields)):
-        common = common_type(own.dataType, foreign.dataType)
-        value = own.name if common is None else cast(own.name, own.dataType, common)
-        numeric = common is not None and is_numeric(common)
-        cells.append(
-            struct(
-                {
-                    "position": str(i),
-                    "text": f"cast({value} AS string)",
-                    "number": f"cast({value if numeric else 'NULL'} AS double)",
-                }
-            )
+def _as_cells(totals: DataFrame, is_source: bool) -> DataFrame:
+    """Long form ``is_source, position, text, number``."""
+    cells = [
+        struct(
+            {
+                "position": str(i),
+                "text": f"cast({item.name} AS string)",
+                "number": f"cast({item.name if is_numeric(item.dataType) else 'NULL'} AS double)",
+            }
         )
+        for i, item in enumerate(totals.schema.fields)
+    ]
     return totals.selectExpr(f"explode({array(cells)}) AS cell").selectExpr(
         f"{'true' if is_source else 'false'} AS is_source", "cell.*"
     )
@@ -105,9 +104,14 @@ def compare_aggregates(
     wanted = [r for r in requests if r.function in VALUE_FUNCTIONS]
     if not wanted:
         raise ValueError("no MIN, MAX, SUM or AVG requested")
-    source_totals, target_totals = _totals(source, wanted), _totals(target, wanted)
-    both = _as_cells(source_totals, target_totals, True).unionAll(_as_cells(target_totals, source_totals, False))
-
+    columns = [r.column for r in wanted]
+    source_names, target_names = resolve_names(source, columns), resolve_names(target, columns)
+    commons = [
+        common_type(source.schema[s].dataType, target.schema[t].dataType) for s, t in zip(source_names, target_names)
+    ]
+    both = _as_cells(_totals(source, source_names, wanted, commons), True).unionAll(
+        _as_cells(_totals(target, target_names, wanted, commons), False)
+    )
     joined = both.groupBy("position").agg(
         F.expr("max(if(is_source, text, NULL)) AS source_value"),
         F.expr("max(if(is_source, NULL, text)) AS target_value"),

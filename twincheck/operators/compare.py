@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from twincheck.functions.columns import drop_columns, resolve_names
-from twincheck.functions.comparability import EXACT, Tolerance, as_text, cast, key_type, orderable, values_match
+from twincheck.functions.comparability import EXACT, Tolerance, as_text, cast, key_type, orderable_columns, values_match
 from twincheck.functions.sqltext import alias, array, literal, quote, struct
 from twincheck.verdict import verdict_text
 
@@ -67,7 +67,7 @@ class Pairing:
         """Key expressions of one side, on the common key types."""
         names, schema = (self.target_keys, self.target_schema) if target else (self.keys, self.source_schema)
         return [
-            orderable(cast(quote(name), schema[name].dataType, kind), kind)
+            cast(quote(name), schema[name].dataType, kind)
             for name, kind in zip(names, self.key_types)
         ]
 
@@ -110,14 +110,14 @@ def pair_columns(
 def tag_sides(source: DataFrame, target: DataFrame, pairing: Pairing) -> DataFrame:
     """Union of both tables: key columns ``_k0..``, and one of the two row structs filled."""
 
-    def side(df: DataFrame, names: Sequence[str], schema: T.StructType, label: str) -> DataFrame:
+    def side(df: DataFrame, names: Sequence[str], label: str) -> DataFrame:
         keys = [alias(key, f"_k{i}") for i, key in enumerate(pairing.key_values(label == TARGET))]
         # The leading marker keeps the struct non-empty, so "struct is NULL" always means "no row on this side".
-        values = {"_row": "true"} | {name: orderable(quote(name), schema[name].dataType) for name in names}
+        values = {"_row": "true"} | {name: quote(name) for name in names}
         return df.selectExpr(*keys, alias(struct(values), label))
 
-    left = side(source, [*pairing.columns, *pairing.source_extra], pairing.source_schema, SOURCE)
-    right = side(target, [*pairing.target_columns, *pairing.target_extra], pairing.target_schema, TARGET)
+    left = side(source, [*pairing.columns, *pairing.source_extra], SOURCE)
+    right = side(target, [*pairing.target_columns, *pairing.target_extra], TARGET)
     return left.unionByName(right, allowMissingColumns=True)
 
 
@@ -199,11 +199,7 @@ class RowComparison:
     def value_text(self, side: str, name: str) -> str:
         """A value of one side as text."""
         schema = self.pairing.source_schema if side == SOURCE else self.pairing.target_schema
-        kind = schema[name].dataType
-        # Maps and variants were brought to an orderable form when the sides were tagged.
-        if isinstance(kind, T.VariantType):
-            return f"{side}.{quote(name)}"
-        return as_text(f"{side}.{quote(name)}", kind)
+        return as_text(f"{side}.{quote(name)}", schema[name].dataType)
 
     def cells(self) -> DataFrame:
         """One row per differing cell, values as text."""
@@ -341,7 +337,7 @@ def compare_rows(
     case_sensitive: bool = False,
 ) -> RowComparison:
     """Compare two tables on ``keys``; every other shared column is compared unless listed in ``skip``."""
-    source, target = drop_columns(source, skip), drop_columns(target, skip)
+    source, target = (orderable_columns(drop_columns(side, skip)) for side in (source, target))
     pairing = pair_columns(source, target, keys, case_sensitive=case_sensitive)
     return RowComparison(classify(tag_sides(source, target, pairing), pairing, tolerance), pairing)
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twincheck.functions.columns import resolve_names
-from twincheck.functions.comparability import as_text, cast, key_type, orderable
+from twincheck.functions.comparability import as_text, cast, key_type, orderable_columns
 from twincheck.functions.hashing import row_hash, safe_row_hash
 from twincheck.functions.sqltext import alias, array, literal, quote, struct
 from twincheck.operators.hashkeys import aligned_texts
@@ -44,6 +44,7 @@ def compare_frequencies(source: DataFrame, target: DataFrame, columns: Sequence[
     All columns are counted in one scan per side: each row is spread into (column, value) pairs, which the map-side
     combine collapses again before the exchange.
     """
+    source, target = orderable_columns(source), orderable_columns(target)
     source_names, target_names = resolve_names(source, columns), resolve_names(target, columns)
     kinds = [(source.schema[s].dataType, target.schema[t].dataType) for s, t in zip(source_names, target_names)]
 
@@ -51,7 +52,7 @@ def compare_frequencies(source: DataFrame, target: DataFrame, columns: Sequence[
         pairs = []
         for label, name, pair in zip(columns, names, kinds):
             common = key_type(*pair)
-            value = as_text(orderable(cast(quote(name), pair[side], common), common), common)
+            value = as_text(cast(quote(name), pair[side], common), common)
             pairs.append(struct({"column_name": literal(label), "value": value}))
         return df.selectExpr(f"explode({array(pairs)}) AS pair").selectExpr(
             "pair.*", f"{'true' if side == 0 else 'false'} AS _is_source"
@@ -74,6 +75,7 @@ def multiset_differences(
     Needs no key. A changed row shows up as one surplus row on each side. Only the hash travels, and equal rows are
     combined before the exchange.
     """
+    source, target = orderable_columns(source), orderable_columns(target)
     names = resolve_names(source, columns if columns is not None else source.columns)
     left, right = aligned_texts(source, target, names)
     hashed = safe_row_hash if safe else row_hash

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 
 from twincheck.functions.columns import drop_columns, resolve_names
-from twincheck.functions.comparability import as_text, cast, key_type, orderable
+from twincheck.functions.comparability import as_text, cast, key_type, orderable_columns
 from twincheck.functions.hashing import HASH_COLUMN, row_hash, safe_row_hash
 from twincheck.functions.sqltext import alias, quote
 from twincheck.operators.compare import columns_only
@@ -22,7 +22,7 @@ def aligned_texts(source: DataFrame, target: DataFrame, names: Sequence[str]) ->
         result = []
         for column, pair in zip(columns, kinds):
             common = key_type(*pair)
-            result.append(as_text(orderable(cast(quote(column), pair[side], common), common), common))
+            result.append(as_text(cast(quote(column), pair[side], common), common))
         return result
 
     return texts(names, 0), texts(spelled, 1)
@@ -41,7 +41,7 @@ def with_shared_hash_key(
     With this key a changed row is never a mismatch; it counts as one row only in the source and one only in the
     target.
     """
-    source, target = drop_columns(source, skip), drop_columns(target, skip)
+    source, target = (orderable_columns(drop_columns(side, skip)) for side in (source, target))
     extra = set(columns_only(source, target)["only_source"])
     names = [column for column in source.columns if column not in extra]
     hashed = safe_row_hash if safe else row_hash

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twincheck.functions.columns import drop_columns
-from twincheck.functions.comparability import EXACT, Tolerance, canonical_value
+from twincheck.functions.comparability import EXACT, Tolerance, canonical_value, orderable_columns
 from twincheck.functions.hashing import digest_parts, null_aware_hash
 from twincheck.functions.sqltext import quote
 from twincheck.operators.compare import MATCHED, STATUS, Pairing, RowComparison, classify, pair_columns, tag_sides
@@ -74,7 +74,7 @@ def compare_pruned(
     """A comparison that holds every differing row, but no row that matches."""
     if not 1 <= buckets <= MAX_BUCKETS:
         raise ValueError(f"buckets must lie between 1 and {MAX_BUCKETS}")
-    source, target = drop_columns(source, skip), drop_columns(target, skip)
+    source, target = (orderable_columns(drop_columns(side, skip)) for side in (source, target))
     pairing = pair_columns(source, target, keys)
     changed = unequal_buckets(source, target, pairing, buckets)
     key_names = [f"_k{i}" for i in range(len(pairing.keys))]

@@ -180,14 +180,16 @@ def run_pairs(
 ) -> DataFrame:
     """Summary of all pairs. ``parallel`` pairs are submitted at a time; Spark interleaves their jobs."""
 
-    def one(spec: PairSpec) -> dict[str, str]:
-        return run_pair(spec, plan, folder)
+    def one(numbered: tuple[int, PairSpec]) -> dict[str, str]:
+        # A run may hold the same table twice, with different filters; every pair writes to a folder of its own.
+        number, spec = numbered
+        return run_pair(spec, plan, None if folder is None else f"{folder}/pair_{number:05d}")
 
     if parallel > 1:
         with ThreadPoolExecutor(max_workers=parallel) as pool:
-            rows = list(pool.map(inheritable_thread_target(spark)(one), specs))
+            rows = list(pool.map(inheritable_thread_target(spark)(one), enumerate(specs, start=1)))
     else:
-        rows = [one(spec) for spec in specs]
+        rows = [one(numbered) for numbered in enumerate(specs, start=1)]
     return spark.createDataFrame([tuple(r[n] for n in [*SUMMARY_COLUMNS, ERROR_COLUMN]) for r in rows], SUMMARY_SCHEMA)
 
 

@@ -361,20 +361,15 @@ def csv_pair_read(spark, sf_dir):
 
 def _write_by_segment(spark, sf_dir) -> str:
     folder = scratch_folder(spark, "drop")
-    table(spark, sf_dir, "customer").write.partitionBy("c_mktsegment", "c_nationkey").option("header", True).csv(folder)
+    table(spark, sf_dir, "customer").write.partitionBy("c_mktsegment").option("header", True).csv(folder)
     return folder
 
 
 def _written_folders(files: DataFrame) -> DataFrame:
-    nation = folder_name("path")
-    return files.selectExpr(
-        f"{base_name(folder_name(nation))} AS segment", f"{base_name(nation)} AS nation"
-    ).distinct()
+    return files.selectExpr(f"{base_name(folder_name('path'))} AS folder").distinct()
 
 
-_WRITTEN_SQL = (
-    "SELECT DISTINCT 'c_mktsegment=' || c_mktsegment AS segment, 'c_nationkey=' || c_nationkey AS nation FROM customer"
-)
+_WRITTEN_SQL = "SELECT DISTINCT 'c_mktsegment=' || c_mktsegment AS folder FROM customer"
 
 
 @query("file_discovery", _WRITTEN_SQL)
