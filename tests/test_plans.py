@@ -25,6 +25,19 @@ def test_classification_has_one_exchange_and_no_join(orders):
     assert "Join" not in shape
 
 
+def test_tables_bucketed_on_the_key_are_not_shuffled(spark, orders, tmp_path):
+    names = ["bucketed_source", "bucketed_target"]
+    for side, name in zip(orders, names):
+        writer = side.write.mode("overwrite").option("path", str(tmp_path / name))
+        writer.bucketBy(4, "o_orderkey").sortBy("o_orderkey").saveAsTable(name)
+    compared = compare_rows(*map(spark.table, names), w.ORDER_KEY)
+    assert "Exchange" not in plan(compared.rows)
+    expected = compare_rows(*orders, w.ORDER_KEY).class_counts().collect()
+    assert sorted(compared.class_counts().collect()) == sorted(expected)
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
+
+
 def test_metrics_add_only_a_one_row_exchange(orders):
     shape = plan(compare_rows(*orders, w.ORDER_KEY).metrics())
     assert shape.count("Exchange hashpartitioning") == 1

@@ -72,6 +72,18 @@ def test_a_view_takes_the_types_of_the_source(spark):
     assert imposed.dtypes == [("ID", "int"), ("V", "int")]
 
 
+def test_pruned_content_check(spark, pair):
+    source, target = pair
+    spec = PairSpec("s.t", "d.t", keys=("ID",))
+    changed = summary(validate_pair(source, target, spec, prune=True))
+    assert (changed["DATA_CONTENT_STATUS"], changed["TARGET_ROW_COUNT"]) == ("MISMATCH", "3")
+    intact = summary(validate_pair(source, source, spec, [CONTENT], prune=True))
+    assert (intact["DATA_CONTENT_STATUS"], intact["ROW_COUNT_STATUS"], intact["SOURCE_ROW_COUNT"]) == ("MATCH", "UNKNOWN", "")
+    empty = source.where("id > 99")
+    assert summary(validate_pair(empty, empty, spec, prune=True))["DATA_CONTENT_STATUS"] == "UNKNOWN"
+    assert summary(validate_pair(empty, empty, spec))["DATA_CONTENT_STATUS"] == "UNKNOWN"
+
+
 def test_nothing_to_do_is_an_error(pair):
     with pytest.raises(ConfigError):
         validate_pair(*pair, PairSpec("s", "t", keys=("ID",)), [AGGREGATION])

@@ -309,10 +309,12 @@ def match_rate_report(metrics: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+NO_DIFFERENCE = "mismatched_keys + only_source_keys + only_target_keys = 0"
+
+
 def verdict_of_metrics() -> str:
     """Over metrics: MATCH only if both sides have rows and no key differs; an empty side gives UNKNOWN."""
-    clean = "mismatched_keys + only_source_keys + only_target_keys = 0"
-    return verdict_text(f"if(source_keys > 0 AND target_keys > 0, {clean}, NULL)")
+    return verdict_text(f"if(source_keys > 0 AND target_keys > 0, {NO_DIFFERENCE}, NULL)")
 
 
 def verdict_report(metrics: DataFrame) -> DataFrame:

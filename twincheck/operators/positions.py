@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twincheck.functions.sqltext import alias, literal, quote
-from twincheck.operators.compare import RowComparison, columns_only, compare_rows
+from twincheck.operators.compare import NO_DIFFERENCE, RowComparison, columns_only, compare_rows
 from twincheck.session import ensure_checkpoint_dir
 from twincheck.verdict import verdict_text
 
@@ -72,9 +72,8 @@ class PositionalComparison:
     def verdict(self) -> DataFrame:
         """MATCH only if no row differs, neither side has surplus rows, and both have the same columns."""
         same_columns = not (self.source_only_columns or self.target_only_columns)
-        clean = "mismatched_keys + only_source_keys + only_target_keys = 0"
         return self.rows.metrics().selectExpr(
-            f"{verdict_text(f'({clean} AND {str(same_columns).lower()})')} AS verdict",
+            f"{verdict_text(f'({NO_DIFFERENCE} AND {str(same_columns).lower()})')} AS verdict",
             "source_rows",
             "target_rows",
             "mismatched_keys AS mismatched_rows",

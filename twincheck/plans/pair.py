@@ -14,9 +14,10 @@ from twincheck.functions.hashing import HASH_COLUMN
 from twincheck.functions.sqltext import array, literal, struct
 from twincheck.operators.aggregates import aggregate_requests, aggregate_verdict, compare_aggregates
 from twincheck.operators.catalog import compare_catalogs
-from twincheck.operators.compare import RowComparison, compare_rows, verdict_of_metrics
+from twincheck.operators.compare import NO_DIFFERENCE, RowComparison, compare_rows, verdict_of_metrics
 from twincheck.operators.counts import compare_frequencies, compare_row_counts
 from twincheck.operators.hashkeys import with_shared_hash_key
+from twincheck.operators.prune import compare_pruned
 from twincheck.sources.config import ConfigError, PairSpec
 from twincheck.sources.tables import split_list
 from twincheck.verdict import UNKNOWN, roll_up, verdict_text
@@ -46,6 +47,7 @@ SUMMARY_COLUMNS = [
     "TARGET_FILTER",
     "VALIDATION_TIME",
 ]
+_UNREPORTED_COUNT = "row count of a pruned check"
 STATUS_COLUMNS = ["ROW_COUNT_STATUS", "DATA_TYPE_STATUS", "DATA_CONTENT_STATUS", "AGG_STATUS"]
 
 
@@ -62,10 +64,14 @@ def select_checks(names: str | Iterable[str] | None) -> frozenset[str]:
 
 @dataclass(frozen=True)
 class PairChecks:
-    """Planned checks of a pair. A check that was not selected, or has nothing to do, is None."""
+    """Planned checks of a pair. A check that was not selected, or has nothing to do, is None.
+
+    ``pruned`` marks a content check that holds differing rows only; row counts are then planned beside it.
+    """
 
     spec: PairSpec
     selected: frozenset[str] = field(default_factory=frozenset)
+    pruned: bool = False
     row_counts: DataFrame | None = None
     types: RowComparison | None = None
     aggregates: DataFrame | None = None
@@ -84,13 +90,14 @@ def prepare(source: DataFrame, target: DataFrame, spec: PairSpec) -> tuple[DataF
 
 
 def content_comparison(
-    source: DataFrame, target: DataFrame, spec: PairSpec, tolerance: Tolerance = EXACT
+    source: DataFrame, target: DataFrame, spec: PairSpec, tolerance: Tolerance = EXACT, *, prune: bool = False
 ) -> RowComparison:
     """Row comparison on the declared keys, or on a row hash if there are none."""
+    compare = compare_pruned if prune else compare_rows
     if spec.keys:
-        return compare_rows(source, target, spec.keys, skip=spec.skip, tolerance=tolerance)
+        return compare(source, target, spec.keys, skip=spec.skip, tolerance=tolerance)
     hashed_source, hashed_target = with_shared_hash_key(source, target, spec.skip)
-    return compare_rows(hashed_source, hashed_target, [HASH_COLUMN], tolerance=tolerance)
+    return compare(hashed_source, hashed_target, [HASH_COLUMN], tolerance=tolerance)
 
 
 def plan_pair(
@@ -101,15 +108,19 @@ def plan_pair(
     *,
     catalogs: tuple[DataFrame, DataFrame] | None = None,
     tolerance: Tolerance = EXACT,
+    prune: bool = False,
 ) -> PairChecks:
-    """Plan the selected checks over two loaded tables. Nothing runs yet."""
+    """Plan the selected checks over two loaded tables. Nothing runs yet.
+
+    ``prune`` suits large copies with few differences: equal parts are recognised by digests and never shuffled.
+    """
     selected = select_checks(checks)
     left, right = prepare(source, target, spec)
     requests = aggregate_requests(spec.aggregate_columns, spec.aggregate_functions, spec.skip)
     planned: dict = {}
     if CONTENT in selected:
-        planned["content"] = content_comparison(left, right, spec, tolerance)
-    if ROW_COUNT in selected and CONTENT not in selected:
+        planned["content"] = content_comparison(left, right, spec, tolerance, prune=prune)
+    if (ROW_COUNT in selected and CONTENT not in selected) or (CONTENT in selected and prune):
         planned["row_counts"] = compare_row_counts(source, target)
     if DATA_TYPE in selected and catalogs is not None:
         planned["types"] = compare_catalogs(*catalogs)
@@ -127,7 +138,7 @@ def plan_pair(
         if counted:
             planned["frequencies"] = compare_frequencies(left, right, counted)
         planned["aggregate_verdict"] = aggregate_verdict(left, right, requests, tolerance=tolerance)
-    return PairChecks(spec=spec, selected=selected, **planned)
+    return PairChecks(spec=spec, selected=selected, pruned=prune, **planned)
 
 
 def _check_row(name: str, status: str, *, counted: bool = False) -> str:
@@ -155,12 +166,14 @@ def check_rows(checks: PairChecks, content_metrics: DataFrame | None = None) ->
     rows = []
     if checks.content is not None:
         metrics = checks.content.metrics() if content_metrics is None else content_metrics
-        cells = [_check_row("DATA_CONTENT_STATUS", verdict_of_metrics())]
-        if ROW_COUNT in checks.selected:
+        status = verdict_text(NO_DIFFERENCE) if checks.pruned else verdict_of_metrics()
+        cells = [_check_row("DATA_CONTENT_STATUS", status)]
+        if ROW_COUNT in checks.selected and not checks.pruned:
             cells.append(_check_row("ROW_COUNT_STATUS", verdict_text("source_rows = target_rows"), counted=True))
         rows.append(_exploded(metrics, *cells))
     if checks.row_counts is not None:
-        rows.append(_exploded(checks.row_counts, _check_row("ROW_COUNT_STATUS", "verdict", counted=True)))
+        name = "ROW_COUNT_STATUS" if ROW_COUNT in checks.selected else _UNREPORTED_COUNT
+        rows.append(_exploded(checks.row_counts, _check_row(name, "verdict", counted=True)))
     if checks.types is not None:
         rows.append(_exploded(checks.types.metrics(), _check_row("DATA_TYPE_STATUS", verdict_of_metrics())))
     if checks.aggregate_verdict is not None:
@@ -174,13 +187,20 @@ def summarize(checks: PairChecks, content_metrics: DataFrame | None = None) -> D
     rows = check_rows(checks, content_metrics)
     if rows is None:
         raise ConfigError("none of the selected checks applies to this pair")
+
+    def of(name: str, value: str) -> str:
+        return f"max(if(name = {literal(name)}, {value}, NULL))"
+
+    statuses = {name: of(name, "status") for name in STATUS_COLUMNS}
+    # An empty side proves nothing, also where the content check itself holds no row.
+    empty = "(max(source_rows) = 0 OR max(target_rows) = 0)"
+    statuses["DATA_CONTENT_STATUS"] = f"if({empty}, NULL, {statuses['DATA_CONTENT_STATUS']})"
     totals = rows.selectExpr(
+        *[f"coalesce({status}, {literal(UNKNOWN)}) AS {name}" for name, status in statuses.items()],
         *[
-            f"coalesce(max(if(name = {literal(name)}, status, NULL)), {literal(UNKNOWN)}) AS {name}"
-            for name in STATUS_COLUMNS
+            f"coalesce(cast({of('ROW_COUNT_STATUS', f'{side}_rows')} AS string), '') AS {side.upper()}_ROW_COUNT"
+            for side in ("source", "target")
         ],
-        "coalesce(cast(max(source_rows) AS string), '') AS SOURCE_ROW_COUNT",
-        "coalesce(cast(max(target_rows) AS string), '') AS TARGET_ROW_COUNT",
     )
     values = {name: name for name in totals.columns} | {
         "STATUS": roll_up(STATUS_COLUMNS),

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from twincheck.functions.comparability import EXACT, Tolerance
 from twincheck.operators.catalog import catalog_of, reader_schemas
 from twincheck.plans.pair import (
     ALL_CHECKS,
@@ -78,10 +77,9 @@ def plan_from_systems(
     systems: Systems,
     spec: PairSpec,
     checks: Iterable[str] = (ALL_CHECKS,),
-    *,
-    tolerance: Tolerance = EXACT,
+    **options,
 ) -> PairChecks:
-    """Load both tables of a pair and plan its checks."""
+    """Load both tables of a pair and plan its checks; ``options`` are those of :func:`plan_pair`."""
     source_catalog = _of_table(systems.source_catalog, spec.source_table)
     target_catalog = _of_table(systems.target_catalog, spec.target_table)
     source = systems.load_source(
@@ -100,7 +98,7 @@ def plan_from_systems(
         source_catalog = catalog_of(spark, source, *_split_name(spec.source_table))
     if target_catalog is None:
         target_catalog = catalog_of(spark, target, *_split_name(spec.target_table))
-    return plan_pair(source, target, spec, checks, catalogs=(source_catalog, target_catalog), tolerance=tolerance)
+    return plan_pair(source, target, spec, checks, catalogs=(source_catalog, target_catalog), **options)
 
 
 def export_pair(checks: PairChecks, folder: str, *, compression: str = "gzip") -> dict[str, dict[str, int]]:
@@ -201,9 +199,12 @@ def run_config(
     *,
     folder: str | None = None,
     parallel: int = 1,
-    tolerance: Tolerance = EXACT,
+    **options,
 ) -> DataFrame:
-    """Validate every active row of a configuration; with ``folder``, write all results and the configuration there."""
+    """Validate every active row of a configuration; with ``folder``, write all results and the configuration there.
+
+    ``options`` are those of :func:`plan_pair`.
+    """
     selected = select_checks(checks)
     parsed = parse_config(active_rows(config))
     specs, broken = [], []
@@ -214,7 +215,7 @@ def run_config(
             broken.append(_failed(PairSpec(row["SOURCE_TABLE"], row["TARGET_TABLE"]), error))
 
     def plan(spec: PairSpec) -> PairChecks:
-        return plan_from_systems(spark, systems, spec, selected, tolerance=tolerance)
+        return plan_from_systems(spark, systems, spec, selected, **options)
 
     summary = run_pairs(spark, specs, plan, folder=folder, parallel=parallel)
     if broken:

@@ -444,6 +444,12 @@ def validate_pair_query(spark, sf_dir):
     return validate_pair(*w.orders_pair(spark, sf_dir), ORDERS_SPEC).select(*_TIMELESS)
 
 
+@query("validate_pair_pruned", TRIMMED_CLS + _ORDERS_SUMMARY)
+def validate_pair_pruned(spark, sf_dir):
+    """The same pair with equal parts recognised by digests."""
+    return validate_pair(*w.orders_pair(spark, sf_dir), ORDERS_SPEC, prune=True).select(*_TIMELESS)
+
+
 @query(
     "run_summary",
     TRIMMED_CLS
