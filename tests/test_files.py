@@ -83,7 +83,8 @@ def test_archives_are_read_line_by_line(spark, tmp_path):
     make_archive(tmp_path, "z.zip", {"m_td.csv": text, "sub/": "", "sub/n_sf.csv": "id\n1"})
     lines = archive_lines(spark, str(tmp_path)).where("member = 'm_td.csv'").orderBy("line_number").collect()
     assert [r["line_number"] for r in lines] == [0, 1, 2, 3]
-    staged = {r["path"].rsplit("/", 1)[1]: r["read_path"] for r in stage_archives(spark, str(tmp_path), str(tmp_path / "s")).collect()}
+    members = stage_archives(spark, str(tmp_path), str(tmp_path / "s"))
+    staged = {r["path"].rsplit("/", 1)[1]: r["read_path"] for r in members.collect()}
     assert set(staged) == {"m_td.csv", "n_sf.csv"}
     member = read_staged_csv(spark, staged["m_td.csv"])
     assert member.columns == ["id", "a, b", "_c2", "x"]
@@ -102,16 +103,52 @@ def test_drop_folder(spark, tmp_path):
     found = {r["stem"]: (r["verdict"], r["mismatched_rows"], r["surplus_target_rows"]) for r in summary.collect()}
     assert found == {"same": ("MATCH", 0, 0), "diff": ("MISMATCH", 1, 1)}
     assert [(r["side"], r["name"]) for r in unpaired.collect()] == [("source", "lonely_td.csv")]
-    written = spark.read.option("header", True).csv(out + "/*")
+    written = spark.read.option("header", True).csv(out + "/*/differences")
     assert {r["diff_status"] for r in written.collect()} == {"mismatch", "only_target"}
     # A second run finds nothing new, until the missing half arrives.
     again, _ = validate_drop(spark, str(drop), out, ledger)
     assert again.isEmpty()
     write(drop / "one" / "lonely_sf.csv", ["1,x"])
-    later, unpaired = validate_drop(spark, str(drop), out, ledger)
+    later, unpaired = validate_drop(spark, str(drop), out, ledger, parallel=2)
     assert [r["stem"] for r in later.collect()] == ["lonely"] and unpaired.isEmpty()
 
 
+def test_a_failing_pair_is_reported_and_tried_again(spark, tmp_path, monkeypatch):
+    drop, out, ledger = tmp_path / "drop", str(tmp_path / "out"), str(tmp_path / "ledger")
+    drop.mkdir()
+    for name in ("bad_td.csv", "bad_sf.csv", "good_td.csv", "good_sf.csv"):
+        write(drop / name, ["1,x"], "bad" if name.startswith("bad") else "good")
+
+    def failing(source, target):
+        if source.columns[0] == "bad":
+            raise OSError("gone")
+        return compare_positions(source, target)
+
+    monkeypatch.setattr("twincheck.plans.drop.compare_positions", failing)
+    first, _ = validate_drop(spark, str(drop), out, ledger)
+    assert {r["stem"]: (r["verdict"], r["error"]) for r in first.collect()} == {
+        "bad": ("UNKNOWN", "OSError: gone"),
+        "good": ("MATCH", ""),
+    }
+    again, _ = validate_drop(spark, str(drop), out, ledger)
+    assert [r["stem"] for r in again.collect()] == ["bad"]
+
+
+def test_a_damaged_archive_is_reported_and_none_of_its_members_compared(spark, tmp_path):
+    drop, out, ledger = tmp_path / "drop", str(tmp_path / "out"), str(tmp_path / "ledger")
+    drop.mkdir()
+    make_archive(drop, "good.zip", {"a_td.csv": "id\n1\n", "a_sf.csv": "id\n1\n"})
+    with zipfile.ZipFile(drop / "bad.zip", "w", zipfile.ZIP_STORED) as archive:
+        archive.writestr("b_td.csv", "id\n1\n")
+        archive.writestr("b_sf.csv", "id\n" + "7\n" * 1000)
+    content = (drop / "bad.zip").read_bytes()
+    (drop / "bad.zip").write_bytes(content.replace(b"7\n7\n7\n", b"7\n8\n7\n", 1))
+    (drop / "worse.zip").write_bytes(b"no archive at all")
+    summary, _ = validate_drop(spark, str(drop), out, ledger)
+    found = {r["stem"]: (r["verdict"], r["error"].split(":")[0]) for r in summary.collect()}
+    assert found == {"a": ("MATCH", ""), "bad.zip": ("UNKNOWN", "BadZipFile"), "worse.zip": ("UNKNOWN", "BadZipFile")}
+
+
 def test_arrivals_are_reported_once(spark, tmp_path):
     drop, table, state = tmp_path / "drop", str(tmp_path / "arrivals"), str(tmp_path / "state")
     drop.mkdir()

@@ -138,6 +138,8 @@ def test_configured_run_with_export(spark, sf_dir, tmp_path):
     assert (narrow["ROW_COUNT_STATUS"], narrow["SOURCE_ROW_COUNT"], narrow["TARGET_ROW_COUNT"]) == ("MISMATCH", "5", "4")
     assert read_export(spark, f"{folder}/summary").count() == 3
     assert read_export(spark, f"{folder}/config").count() == 4
+    header = {r["item"]: r["value"] for r in read_export(spark, f"{folder}/run").collect()}
+    assert header["pairs"] == "3" and "Content Comparison" in header["checks"]
 
 
 def test_reader_schema_from_catalogs(spark):
@@ -163,6 +165,29 @@ def test_reader_schema_from_catalogs(spark):
     assert row["STATUS"] == "UNKNOWN" and "no Spark type" in row["ERROR"]
 
 
+def test_staging_and_remote_counts(spark, tmp_path):
+    config = spark.createDataFrame(
+        [("Y", "", "TABLE", "", "S", "T", "S", "T", "*", "*", "ID", "", "", "", "", "", "")],
+        ", ".join(f"{name} string" for name in HEADER.split(",")),
+    )
+    loads = []
+
+    def load(table, columns, condition, schema):
+        loads.append(table)
+        return spark.range(3).selectExpr("id AS ID")
+
+    row = run_config(spark, config, Systems(load, load, staging=str(tmp_path / "s"))).first()
+    assert (row["STATUS"], row["SOURCE_ROW_COUNT"], loads) == ("MATCH", "3", ["S.T", "S.T"])
+    assert len(list((tmp_path / "s").iterdir())) == 2
+
+    def count(n):
+        return lambda table, condition: spark.sql(f"SELECT {n}L AS ROW_COUNT")
+
+    counted = Systems(load, load, count_source=count(7), count_target=count(8))
+    row = run_config(spark, config, counted, ROW_COUNT).first()
+    assert (row["ROW_COUNT_STATUS"], row["SOURCE_ROW_COUNT"], row["TARGET_ROW_COUNT"]) == ("MISMATCH", "7", "8")
+
+
 def test_difference_export_is_one_pass_with_metrics(spark, pair, tmp_path):
     compared = compare_rows(*pair, ["id"])
     metrics = export_differences(compared, str(tmp_path / "d"), table="t", check="content")
@@ -182,4 +207,4 @@ def test_csv_export(spark, tmp_path):
     assert [r["t"] for r in read_export(spark, str(tmp_path / "e")).collect()] == [' a "q" ', "x,y"]
     with pytest.raises(ValueError):
         export_csv(df, str(tmp_path / "f"), compression="zip")
-    assert len(run_id()) == 17
+    assert len(run_id()) == 24

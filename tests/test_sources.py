@@ -4,7 +4,16 @@ import pytest
 
 from twincheck.sources.config import ConfigError, PairSpec, active_rows, pair_from_row, parse_config, read_config
 from twincheck.sources.csvfiles import read_csv, read_csv_inferred
+from twincheck.operators.counts import compare_given_counts
 from twincheck.sources.jdbc import Connection, ReadRange, query_options
+from twincheck.sources.remote import (
+    catalog_query,
+    count_loader,
+    index_query,
+    read_source_catalog,
+    read_target_catalog,
+    table_loader,
+)
 from twincheck.sources.tables import TableSpec, filter_condition, load_table, narrow, split_list
 
 
@@ -91,3 +100,49 @@ def test_wrong_pairs_are_refused():
         PairSpec("a", "b", "REPORT")
     with pytest.raises(ConfigError, match="aggregate"):
         PairSpec("a", "b", aggregate_columns=("x",))
+
+
+def test_remote_statements():
+    sent = []
+
+    def run(query, schema):
+        sent.append((query, schema))
+
+    table_loader(run)("S.T", "A, B", "WHERE A = 1", "A int, B int")
+    count_loader(run)("S.T", "WHERE A = 1")
+    assert sent == [
+        ("SELECT A, B FROM S.T WHERE A = 1", "A int, B int"),
+        ("SELECT CAST(COUNT(*) AS BIGINT) AS ROW_COUNT FROM S.T WHERE A = 1", "ROW_COUNT bigint"),
+    ]
+    assert index_query(" s", "it's").endswith(
+        "WHERE upper(trim(DatabaseName)) = 'S' AND upper(trim(TableName)) = 'IT''S'"
+    )
+    assert catalog_query("v", "s", "t").startswith("SELECT * FROM v WHERE")
+
+
+def test_remote_catalogs(spark):
+    """Views of the session stand in for the catalogs of the two systems."""
+    spark.sql(
+        "SELECT 'S ' AS DatabaseName, 't' AS TableName, 'T' AS TableKind, 'c' AS ColumnName, 1 AS ColumnId, "
+        "'D' AS ColumnType, 8 AS ColumnLength, '' AS ColumnFormat, 9 AS DecimalTotalDigits, "
+        "2 AS DecimalFractionalDigits"
+    ).createOrReplaceTempView("source_view")
+    spark.sql(
+        "SELECT 'C' AS table_catalog, 'S' AS table_schema, 'T' AS table_name, 'C' AS column_name, "
+        "1 AS ordinal_position, 'NUMBER' AS data_type, NULL AS character_maximum_length, 9 AS numeric_precision, "
+        "2 AS numeric_scale"
+    ).createOrReplaceTempView("target_view")
+
+    def run(query, schema):
+        for view in ("dbc.tablesV", "dbc.columnsV"):
+            query = query.replace(view, "source_view")
+        return spark.sql(query.replace("INFORMATION_SCHEMA.COLUMNS", "target_view"))
+
+    expected = ("S", "T", "C", 1, "NUMBER", 0, 9, 2)
+    assert tuple(read_source_catalog(run, "s", "T").first()) == expected
+    assert tuple(read_target_catalog(run, "C", "S", "T").first()) == expected
+
+
+def test_counts_from_the_systems(spark):
+    three, five = spark.sql("SELECT 3L AS ROW_COUNT"), spark.sql("SELECT 5 AS n")
+    assert tuple(compare_given_counts(three, five).first()) == (3, 5, -2, "MISMATCH")

@@ -81,7 +81,8 @@ def test_aggregate_verdict(spark):
 def test_frequencies_count_nulls_as_a_value(spark):
     source = spark.createDataFrame([("a",), (None,), (None,)], "v string")
     target = spark.createDataFrame([("a",), (None,), ("b",)], "v string")
-    found = {r["value"]: (r["source_rows"], r["target_rows"], r["status"]) for r in compare_frequencies(source, target, ["V"]).collect()}
+    counted = compare_frequencies(source, target, ["V"])
+    found = {r["value"]: (r["source_rows"], r["target_rows"], r["status"]) for r in counted.collect()}
     assert found == {"a": (1, 1, "match"), None: (2, 1, "mismatch"), "b": (0, 1, "only_target")}
 
 
@@ -160,6 +161,10 @@ def test_successful_loads(spark):
 def test_compare_queries(spark):
     df = spark.createDataFrame([(1, 2), (1, 3)], "k int, v int")
     compared = compare_queries(
-        spark, "SELECT k, sum(v) AS s FROM {a} GROUP BY k", "SELECT k, max(v) AS s FROM {a} GROUP BY k", ["k"], tables={"a": df}
+        spark,
+        "SELECT k, sum(v) AS s FROM {a} GROUP BY k",
+        "SELECT k, max(v) AS s FROM {a} GROUP BY k",
+        ["k"],
+        tables={"a": df},
     )
     assert compared.verdict().first()["verdict"] == "MISMATCH"

@@ -143,7 +143,9 @@ def values_match(
     target_type: T.DataType,
     tolerance: Tolerance = EXACT,
 ) -> str:
-    """Never-NULL boolean over values in orderable form: NULL equals NULL, NULL never equals a value, text matches a typed value if it parses to it.
+    """Never-NULL boolean over values in orderable form.
+
+    NULL equals NULL, NULL never equals a value, text matches a typed value if it parses to it.
 
     Pairs with no common type match only where both are NULL.
     """

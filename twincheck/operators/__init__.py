@@ -1 +1 @@
-"""See the README for an overview."""
+"""Comparisons and checks over DataFrames."""

@@ -24,7 +24,21 @@ _COUNT_STATUS = (
 def compare_row_counts(source: DataFrame, target: DataFrame) -> DataFrame:
     """One row: both counts, their signed difference and the verdict. No data column is read."""
     both = source.selectExpr("true AS _is_source").unionAll(target.selectExpr("false AS _is_source"))
-    return both.selectExpr(*_SIDE_COUNTS).selectExpr(
+    return _count_report(both.selectExpr(*_SIDE_COUNTS))
+
+
+def compare_given_counts(source_count: DataFrame, target_count: DataFrame) -> DataFrame:
+    """The same report from two one-row frames that hold a count, for tables that are counted where they live."""
+    both = source_count.toDF("n").selectExpr("n AS source", "cast(NULL AS bigint) AS target").unionAll(
+        target_count.toDF("n").selectExpr("cast(NULL AS bigint)", "n")
+    )
+    return _count_report(
+        both.selectExpr("cast(max(source) AS bigint) AS source_rows", "cast(max(target) AS bigint) AS target_rows")
+    )
+
+
+def _count_report(counts: DataFrame) -> DataFrame:
+    return counts.selectExpr(
         "*",
         "source_rows - target_rows AS difference",
         f"{verdict_text('source_rows = target_rows')} AS verdict",

@@ -1 +1 @@
-"""See the README for an overview."""
+"""Whole validations put together from operators."""

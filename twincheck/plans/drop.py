@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Row, SparkSession
 
-from twincheck.operators.filepairs import base_name, pair_files, unpaired_files, unprocessed_files
+from twincheck.operators.filepairs import base_name, folder_name, pair_files, unpaired_files, unprocessed_files
 from twincheck.operators.positions import PositionalComparison, compare_positions
+from twincheck.plans.parallel import run_each
 from twincheck.session import scratch_folder
-from twincheck.sinks.exports import export_differences, run_id
+from twincheck.sinks.exports import export_csv, export_differences, run_id
 from twincheck.sinks.ledger import read_ledger, record_processed
 from twincheck.sources.csvfiles import read_csv
-from twincheck.sources.dropfolder import list_files, read_staged_csv, stage_archives
+from twincheck.sources.dropfolder import ARCHIVE_SUFFIX, archive_errors, list_files, read_staged_csv, stage_archives
+from twincheck.verdict import MATCH, MISMATCH, UNKNOWN
 
 SUMMARY_SCHEMA = (
     "folder string, stem string, verdict string, source_rows bigint, target_rows bigint, mismatched_rows bigint, "
@@ -20,13 +21,16 @@ SUMMARY_SCHEMA = (
 )
 
 
-def dropped_files(spark: SparkSession, folder: str, staging: str) -> DataFrame:
-    """``path, read_path`` of loose CSV files and of archived ones; a loose file hides its archived namesake."""
-    loose = list_files(spark, folder, ".csv").select("path", F.col("path").alias("read_path"))
-    if list_files(spark, folder, ".zip").isEmpty():
-        return loose
+def dropped_files(spark: SparkSession, folder: str, staging: str) -> tuple[DataFrame, DataFrame | None]:
+    """``path, read_path`` of loose and of archived CSV files, and the errors of unreadable archives.
+
+    A loose file hides an archived one of the same name.
+    """
+    loose = list_files(spark, folder, ".csv").selectExpr("path", "path AS read_path")
+    if list_files(spark, folder, ARCHIVE_SUFFIX).isEmpty():
+        return loose, None
     archived = stage_archives(spark, folder, staging)
-    return loose.unionByName(archived.join(loose, "path", "left_anti"))
+    return loose.unionByName(archived.join(loose, "path", "left_anti")), archive_errors(spark, staging)
 
 
 def _read_extract(spark: SparkSession, path: str, read_path: str) -> DataFrame:
@@ -40,7 +44,7 @@ def _summary_row(folder: str, stem: str, compared: PositionalComparison, metrics
     return (
         folder,
         stem,
-        "MATCH" if clean else "MISMATCH",
+        MATCH if clean else MISMATCH,
         metrics["source_rows"],
         metrics["target_rows"],
         metrics["mismatched_keys"],
@@ -50,8 +54,12 @@ def _summary_row(folder: str, stem: str, compared: PositionalComparison, metrics
     )
 
 
+def _failed_row(folder: str, name: str, error: str) -> tuple:
+    return (folder, name, UNKNOWN, *[None] * 5, "", "", error)
+
+
 def validate_drop(
-    spark: SparkSession, folder: str, output: str, ledger: str, *, staging: str | None = None
+    spark: SparkSession, folder: str, output: str, ledger: str, *, staging: str | None = None, parallel: int = 1
 ) -> tuple[DataFrame, DataFrame]:
     """Compare every new file pair by row position, export its differences, and enter it in the ledger.
 
@@ -59,9 +67,8 @@ def validate_drop(
     executors. A pair that fails is reported and stays out of the ledger, so the next run takes it up again.
     """
     run = run_id()
-    files = unprocessed_files(
-        dropped_files(spark, folder, staging or scratch_folder(spark, "archives")), read_ledger(spark, ledger)
-    )
+    found, broken = dropped_files(spark, folder, staging or scratch_folder(spark, "archives"))
+    files = unprocessed_files(found, read_ledger(spark, ledger))
     places = files.select("path", "read_path")
     pairs = (
         pair_files(files)
@@ -69,20 +76,28 @@ def validate_drop(
         .join(places.toDF("target_path", "target_read"), "target_path")
         .orderBy("folder", "stem")
     )
-    rows = []
-    for pair in pairs.toLocalIterator():
+
+    def one(pair: Row) -> tuple:
         try:
             compared = compare_positions(
                 _read_extract(spark, pair["source_path"], pair["source_read"]),
                 _read_extract(spark, pair["target_path"], pair["target_read"]),
             )
+            differences = f"{output}/{run}/differences"
             metrics = export_differences(
-                compared.rows, f"{output}/{run}", table=pair["stem"], check="file", compression="none"
+                compared.rows, differences, table=pair["stem"], check="file", compression="none"
             )
-            rows.append(_summary_row(pair["folder"], pair["stem"], compared, metrics))
             record_processed(spark, ledger, [pair["source_path"], pair["target_path"]], run)
+            return _summary_row(pair["folder"], pair["stem"], compared, metrics)
         except Exception as error:  # one unreadable pair must not hide the others
-            rows.append((pair["folder"], pair["stem"], "UNKNOWN", *[None] * 5, "", "", f"{type(error).__name__}: {error}"))
+            return _failed_row(pair["folder"], pair["stem"], f"{type(error).__name__}: {error}")
+
+    rows = run_each(spark, one, pairs.toLocalIterator(), parallel)
+    if broken is not None:
+        named = broken.selectExpr(f"{folder_name('archive')} AS folder", f"{base_name('archive')} AS name", "error")
+        rows += [_failed_row(*archive) for archive in named.toLocalIterator()]
     summary = spark.createDataFrame(rows, SUMMARY_SCHEMA)
     unpaired = unpaired_files(files).selectExpr("side", "path", f"{base_name('path')} AS name")
+    export_csv(summary, f"{output}/{run}/summary", single_file=True)
+    export_csv(unpaired, f"{output}/{run}/unpaired", single_file=True)
     return summary, unpaired

@@ -15,7 +15,7 @@ from twincheck.functions.sqltext import array, literal, struct
 from twincheck.operators.aggregates import aggregate_requests, aggregate_verdict, compare_aggregates
 from twincheck.operators.catalog import compare_catalogs
 from twincheck.operators.compare import NO_DIFFERENCE, RowComparison, compare_rows, verdict_of_metrics
-from twincheck.operators.counts import compare_frequencies, compare_row_counts
+from twincheck.operators.counts import compare_frequencies, compare_given_counts, compare_row_counts
 from twincheck.operators.hashkeys import with_shared_hash_key
 from twincheck.operators.prune import compare_pruned
 from twincheck.sources.config import ConfigError, PairSpec
@@ -107,11 +107,14 @@ def plan_pair(
     checks: Iterable[str] = (ALL_CHECKS,),
     *,
     catalogs: tuple[DataFrame, DataFrame] | None = None,
+    counts: tuple[DataFrame, DataFrame] | None = None,
     tolerance: Tolerance = EXACT,
     prune: bool = False,
 ) -> PairChecks:
     """Plan the selected checks over two loaded tables. Nothing runs yet.
 
+    ``counts`` are one-row frames with the row counts, where the systems count themselves; they are used unless the
+    content check yields the counts anyway.
     ``prune`` suits large copies with few differences: equal parts are recognised by digests and never shuffled.
     """
     selected = select_checks(checks)
@@ -121,7 +124,7 @@ def plan_pair(
     if CONTENT in selected:
         planned["content"] = content_comparison(left, right, spec, tolerance, prune=prune)
     if (ROW_COUNT in selected and CONTENT not in selected) or (CONTENT in selected and prune):
-        planned["row_counts"] = compare_row_counts(source, target)
+        planned["row_counts"] = compare_given_counts(*counts) if counts else compare_row_counts(source, target)
     if DATA_TYPE in selected and catalogs is not None:
         planned["types"] = compare_catalogs(*catalogs)
     if AGGREGATION in selected and requests:

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from uuid import uuid4
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +21,8 @@ from twincheck.plans.pair import (
     select_checks,
     summarize,
 )
-from twincheck.sinks.exports import export_csv, export_differences, metric_rows
+from twincheck.plans.parallel import run_each
+from twincheck.sinks.exports import export_csv, export_differences, metric_rows, run_id
 from twincheck.sources.config import ConfigError, PairSpec, active_rows, pair_from_row, parse_config
 from twincheck.verdict import UNKNOWN
 
@@ -30,20 +30,28 @@ ERROR_COLUMN = "ERROR"
 SUMMARY_SCHEMA = ", ".join(f"{name} string" for name in [*SUMMARY_COLUMNS, ERROR_COLUMN])
 # (table name, column list, filter text, reader schema or None) -> DataFrame
 Loader = Callable[[str, str, str, "str | None"], DataFrame]
+# (table name, filter text) -> one-row DataFrame with the row count
+Counter = Callable[[str, str], DataFrame]
+Catalog = DataFrame | Callable[[str], DataFrame]
 
 
 @dataclass(frozen=True)
 class Systems:
     """How the tables of both sides are read, and their column catalogs if they have any.
 
-    Catalogs are in the common catalog layout. For tables they fix the reader schema; without them Spark's own schema
-    of the loaded table takes their place.
+    Catalogs give the columns of a table in the common catalog layout, as one frame for all tables or as a function of
+    the full table name. For tables they fix the reader schema; without them Spark's own schema of the loaded table
+    takes their place. Counters let the systems count rows themselves. With a ``staging`` folder, which all executors
+    must reach, every table is read from its system once and kept there for all checks.
     """
 
     load_source: Loader
     load_target: Loader
-    source_catalog: DataFrame | None = None
-    target_catalog: DataFrame | None = None
+    source_catalog: Catalog | None = None
+    target_catalog: Catalog | None = None
+    count_source: Counter | None = None
+    count_target: Counter | None = None
+    staging: str | None = None
 
 
 def _split_name(table: str) -> tuple[str, str]:
@@ -51,13 +59,20 @@ def _split_name(table: str) -> tuple[str, str]:
     return schema, name
 
 
-def _of_table(catalog: DataFrame | None, table: str) -> DataFrame | None:
+def _of_table(catalog: Catalog | None, table: str) -> DataFrame | None:
     if catalog is None:
         return None
+    if not isinstance(catalog, DataFrame):
+        return catalog(table)
     schema, name = _split_name(table)
     return catalog.where((F.upper("SCHEMA_NAME") == schema.upper()) & (F.upper("TABLE_NAME") == name.upper()))
 
 
+def _staged(df: DataFrame, folder: str) -> DataFrame:
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
 def _reader_schema(catalog: DataFrame | None, spec: PairSpec, columns: str) -> str | None:
     """DDL of one table; a type without a Spark equivalent is an error instead of a silently missing column."""
     if catalog is None or spec.object_type != "TABLE":
@@ -82,18 +97,17 @@ def plan_from_systems(
     """Load both tables of a pair and plan its checks; ``options`` are those of :func:`plan_pair`."""
     source_catalog = _of_table(systems.source_catalog, spec.source_table)
     target_catalog = _of_table(systems.target_catalog, spec.target_table)
-    source = systems.load_source(
-        spec.source_table,
-        spec.source_columns,
-        spec.source_filter,
-        _reader_schema(source_catalog, spec, spec.source_columns),
-    )
-    target = systems.load_target(
-        spec.target_table,
-        spec.target_columns,
-        spec.target_filter,
-        _reader_schema(target_catalog, spec, spec.target_columns),
-    )
+    source_schema = _reader_schema(source_catalog, spec, spec.source_columns)
+    target_schema = _reader_schema(target_catalog, spec, spec.target_columns)
+    source = systems.load_source(spec.source_table, spec.source_columns, spec.source_filter, source_schema)
+    target = systems.load_target(spec.target_table, spec.target_columns, spec.target_filter, target_schema)
+    if systems.staging is not None:
+        source, target = (_staged(side, f"{systems.staging}/{uuid4().hex}") for side in (source, target))
+    elif systems.count_source and systems.count_target:
+        options["counts"] = (
+            systems.count_source(spec.source_table, spec.source_filter),
+            systems.count_target(spec.target_table, spec.target_filter),
+        )
     if source_catalog is None:
         source_catalog = catalog_of(spark, source, *_split_name(spec.source_table))
     if target_catalog is None:
@@ -183,11 +197,7 @@ def run_pairs(
         number, spec = numbered
         return run_pair(spec, plan, None if folder is None else f"{folder}/pair_{number:05d}")
 
-    if parallel > 1:
-        with ThreadPoolExecutor(max_workers=parallel) as pool:
-            rows = list(pool.map(inheritable_thread_target(spark)(one), enumerate(specs, start=1)))
-    else:
-        rows = [one(numbered) for numbered in enumerate(specs, start=1)]
+    rows = run_each(spark, one, enumerate(specs, start=1), parallel)
     return spark.createDataFrame([tuple(r[n] for n in [*SUMMARY_COLUMNS, ERROR_COLUMN]) for r in rows], SUMMARY_SCHEMA)
 
 
@@ -205,6 +215,7 @@ def run_config(
 
     ``options`` are those of :func:`plan_pair`.
     """
+    started = run_id()
     selected = select_checks(checks)
     parsed = parse_config(active_rows(config))
     specs, broken = [], []
@@ -222,6 +233,14 @@ def run_config(
         rows = [tuple(r[n] for n in [*SUMMARY_COLUMNS, ERROR_COLUMN]) for r in broken]
         summary = summary.unionAll(spark.createDataFrame(rows, SUMMARY_SCHEMA))
     if folder is not None:
+        header = [
+            ("started", started),
+            ("finished", run_id()),
+            ("checks", ", ".join(sorted(selected))),
+            ("pairs", str(len(specs) + len(broken))),
+            ("output", folder),
+        ]
+        export_csv(spark.createDataFrame(header, "item string, value string"), f"{folder}/run", single_file=True)
         export_csv(summary, f"{folder}/summary", single_file=True)
         export_csv(config, f"{folder}/config", single_file=True)
     return summary

@@ -1 +1 @@
-"""See the README for an overview."""
+"""Where results go."""

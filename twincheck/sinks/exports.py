@@ -20,7 +20,7 @@ from twincheck.operators.compare import (
     RowComparison,
 )
 
-# CSV layout and compression names of exported files; time format of a run.
+# CSV layout and compression names of exported files.
 CSV_OPTIONS = {
     "header": True,
     "quoteAll": True,
@@ -31,13 +31,14 @@ CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": False,
 }
 COMPRESSIONS = ["none", "gzip"]
-RUN_TIME_FORMAT = "%Y%m%d_%H_%M_%S"
+RUN_TIME_FORMAT = "%Y%m%d_%H_%M_%S_%f"
 
 # Partition columns of difference exports; data columns carry a side suffix or are keys, so they rarely clash.
 PARTITIONS = ["diff_table", "diff_check", "diff_status"]
 
 
 def run_id(now: datetime | None = None) -> str:
+    """Name of a run: its start in UTC."""
     return (now or datetime.now(timezone.utc)).strftime(RUN_TIME_FORMAT)
 
 

@@ -1 +1 @@
-"""See the README for an overview."""
+"""Where tables, catalogs, configurations and files come from."""

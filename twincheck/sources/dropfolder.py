@@ -7,12 +7,15 @@ import csv
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from twincheck.functions.sqltext import alias, literal
+
 # Endings of the two extracts of a pair and of archives.
 SOURCE_SUFFIX = "_td.csv"
 TARGET_SUFFIX = "_sf.csv"
 ARCHIVE_SUFFIX = ".zip"
 
 _LINES_PER_BATCH = 20_000
+ERROR_LINE = -1
 
 
 def list_files(spark: SparkSession, folder: str, suffix: str = "") -> DataFrame:
@@ -30,35 +33,35 @@ def archive_lines(spark: SparkSession, folder: str) -> DataFrame:
     """``archive, member, line_number, line`` of every file in the zip archives below ``folder``.
 
     An archive is unpacked by one task (zip is not splittable) and its members are streamed line by line. Line ends
-    are removed, a carriage return stays.
+    are removed, a carriage return stays. An unreadable archive adds one row with line number -1 and the error text.
     """
     schema = "archive string, member string, line_number bigint, line string"
+    lines_per_batch, error_line = _LINES_PER_BATCH, ERROR_LINE
 
     def unpack(batches):
         import io
+        import itertools
         import zipfile
 
         import pandas as pd
 
-        columns = ["archive", "member", "line_number", "line"]
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
+        def lines(path, content):
+            try:
                 with zipfile.ZipFile(io.BytesIO(content)) as archive:
                     for entry in archive.infolist():
                         if entry.is_dir():
                             continue
-                        rows = []
                         with archive.open(entry) as stream:
                             for number, line in enumerate(stream):
-                                text = line.rstrip(b"\n").decode("utf-8", "replace")
-                                rows.append((path, entry.filename, number, text))
-                                if len(rows) == lines_per_batch:
-                                    yield pd.DataFrame(rows, columns=columns)
-                                    rows = []
-                        if rows:
-                            yield pd.DataFrame(rows, columns=columns)
-
-    lines_per_batch = _LINES_PER_BATCH
+                                yield path, entry.filename, number, line.rstrip(b"\n").decode("utf-8", "replace")
+            except (zipfile.BadZipFile, zipfile.LargeZipFile, EOFError, NotImplementedError, RuntimeError) as error:
+                yield path, "", error_line, f"{type(error).__name__}: {error}"
+
+        for batch in batches:
+            rows = itertools.chain.from_iterable(map(lines, batch["path"], batch["content"]))
+            while chunk := list(itertools.islice(rows, lines_per_batch)):
+                yield pd.DataFrame(chunk, columns=["archive", "member", "line_number", "line"])
+
     archives = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
@@ -73,23 +76,26 @@ def stage_archives(spark: SparkSession, folder: str, staging: str) -> DataFrame:
     """Unpack every archive once into a table of lines below ``staging``; the archives stay untouched.
 
     Returns ``path, read_path``: the path a member would have as a loose file beside its archive, and the folder that
-    holds its lines. A folder is written by one task in line order and is read by as many tasks as its size asks for.
+    holds its lines. Members of an archive that could not be read to the end are left out; see ``archive_errors``. A
+    folder is written by one task in line order and is read by as many tasks as its size asks for.
     """
     ids = ["archive_id", "member_id"]
-    lines = archive_lines(spark, folder).select(
-        F.md5("archive").alias("archive_id"),
-        F.md5("member").alias("member_id"),
-        "archive",
-        "member",
-        "line_number",
-        "line",
-    )
+    lines = archive_lines(spark, folder).selectExpr("md5(archive) AS archive_id", "md5(member) AS member_id", "*")
     # The explicit sort matches the partition columns, so the writer keeps the order of lines.
     lines.sortWithinPartitions(*ids, "line_number").write.mode("overwrite").partitionBy(*ids).parquet(staging)
-    beside = F.concat(F.regexp_extract("archive", r"^(.*)/[^/]*$", 1), F.lit("/"), F.col("member"))
-    place = F.concat(F.lit(f"{staging}/archive_id="), F.col(ids[0]), F.lit("/member_id="), F.col(ids[1]))
     staged = spark.read.parquet(staging)
-    return staged.where(F.col("line_number") == 0).select(beside.alias("path"), place.alias("read_path"))
+    broken = archive_errors(spark, staging).select("archive")
+    members = staged.where("line_number = 0").join(broken, "archive", "left_anti")
+    return members.selectExpr(
+        "concat(regexp_extract(archive, '^(.*)/[^/]*$', 1), '/', member) AS path",
+        f"concat({literal(staging)}, '/archive_id=', archive_id, '/member_id=', member_id) AS read_path",
+    )
+
+
+def archive_errors(spark: SparkSession, staging: str) -> DataFrame:
+    """``archive, error`` of staged archives that could not be read to the end."""
+    staged = spark.read.parquet(staging)
+    return staged.where(f"line_number = {ERROR_LINE}").selectExpr("archive", "line AS error")
 
 
 def _header_names(line: str, delimiter: str) -> list[str]:
@@ -104,13 +110,9 @@ def _header_names(line: str, delimiter: str) -> list[str]:
 def read_staged_csv(spark: SparkSession, read_path: str, *, delimiter: str = ",") -> DataFrame:
     """A staged member as an all-text CSV scan in line order; the first line names the columns."""
     lines = spark.read.parquet(read_path)
-    header = lines.where(F.col("line_number") == 0).select("line").head()["line"]
+    header = lines.where("line_number = 0").select("line").head()["line"]
     names = _header_names(header.rstrip("\r"), delimiter)
     schema = ", ".join(f"c{i} string" for i in range(len(names)))
-    text = F.rtrim(F.col("line"), F.lit("\r"))
-    parsed = lines.where((F.col("line_number") > 0) & (text != "")).withColumn(
-        "row", F.from_csv(text, schema, {"sep": delimiter})
-    )
-    return parsed.select(
-        *[F.coalesce(F.col(f"row.c{i}"), F.lit("")).alias(name) for i, name in enumerate(names)]
-    )
+    filled = lines.where("line_number > 0").selectExpr("rtrim('\\r', line) AS text").where("text <> ''")
+    parsed = filled.select(F.from_csv("text", schema, {"sep": delimiter}).alias("row"))
+    return parsed.selectExpr(*[alias(f"coalesce(row.c{i}, '')", name) for i, name in enumerate(names)])

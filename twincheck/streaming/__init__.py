@@ -1 +1 @@
-"""See the README for an overview."""
+"""Continuous intake of dropped files."""

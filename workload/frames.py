@@ -189,7 +189,8 @@ dbcols AS (
          p_partkey // {COLUMNS_PER_TABLE} AS table_number
   FROM part),
 dbtabs AS (
-  SELECT DISTINCT DatabaseName, TableName, {_KINDS_SQL}[CAST(table_number % {len(OBJECT_KINDS)} AS INTEGER) + 1] AS TableKind
+  SELECT DISTINCT DatabaseName, TableName,
+         {_KINDS_SQL}[CAST(table_number % {len(OBJECT_KINDS)} AS INTEGER) + 1] AS TableKind
   FROM dbcols),
 mapped AS (
   SELECT *,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from twincheck.functions import typemap
-from twincheck.functions.columns import impose_schema, trim_strings
+from twincheck.functions.columns import impose_schema
 from twincheck.operators.aggregates import AggregateRequest, aggregate_verdict, compare_aggregates
 from twincheck.operators.audit import compare_queries, future_dates, successful_loads
 from twincheck.operators.catalog import (
