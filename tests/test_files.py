@@ -43,6 +43,17 @@ def test_row_numbers_run_on_over_the_files_of_a_folder(spark, tmp_path, small_sp
     assert indexed.count() == 4000
 
 
+def test_changed_splits_are_an_error_not_a_wrong_number(spark, tmp_path, small_splits):
+    write(tmp_path / "f.csv", [f"{i},v{i}" for i in range(5000)])
+    indexed = with_row_index(read_csv(spark, str(tmp_path / "f.csv")))
+    for size in ("3000", "9000", "100000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        with pytest.raises(Exception, match="number the rows again"):
+            indexed.select("_row_index").collect()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    assert indexed.count() == 5000
+
+
 def test_positional_comparison(spark, tmp_path):
     write(tmp_path / "a.csv", ["1,x", "2,y", "3,"], "id,V")
     write(tmp_path / "b.csv", ["1,x", "2,z"], "id,V")

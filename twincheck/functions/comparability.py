@@ -116,6 +116,8 @@ def orderable_columns(df: DataFrame) -> DataFrame:
 
 
 def as_text(value: str, kind: T.DataType) -> str:
+    if isinstance(kind, T.BinaryType):
+        return f"hex({value})"
     nested = isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType))
     return f"to_json({value})" if nested else f"cast({value} AS string)"
 

@@ -18,26 +18,33 @@ from twincheck.session import ensure_checkpoint_dir
 from twincheck.verdict import verdict_text
 
 ROW_INDEX = "_row_index"
+_SPLITS_CHANGED = "the input was cut into other splits than when its rows were counted; number the rows again"
 # Per-split counts are broadcast only up to this many splits (about 200 bytes each, so some 20 MB).
 MAX_BROADCAST_SPLITS = 100_000
 
 
-def split_offsets(tagged: DataFrame) -> DataFrame:
-    """First row number of every split, less its smallest id, in order of file path and position in the file."""
-    splits = tagged.groupBy("_file", "_block").agg(
-        F.expr("count(1) AS _rows"), F.expr("min(_id) AS _first_id")
+def _tagged(scan: DataFrame) -> DataFrame:
+    """The scan with the file and split of each row, and an id that increases within a split."""
+    return scan.selectExpr(
+        *[quote(column) for column in scan.columns],
+        "_metadata.file_path AS _file",
+        "_metadata.file_block_start AS _block",
+        "monotonically_increasing_id() AS _id",
     )
+
+
+def split_offsets(tagged: DataFrame) -> DataFrame:
+    """First row number, row count and smallest id of every split, in order of file path and position in the file."""
+    splits = tagged.groupBy("_file", "_block").agg(F.expr("count(1) AS _rows"), F.expr("min(_id) AS _first_id"))
     before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     in_file = splits.selectExpr(
         "*", f"coalesce(sum(_rows) OVER (PARTITION BY _file ORDER BY _block {before}), 0L) AS _in_file"
     )
     # One row per file; the file listing itself is already held whole by the driver.
     files = splits.groupBy("_file").agg(F.expr("sum(_rows) AS _file_rows"))
-    earlier = files.selectExpr(
-        "_file", f"coalesce(sum(_file_rows) OVER (ORDER BY _file {before}), 0L) AS _before_file"
-    )
+    earlier = files.selectExpr("_file", f"coalesce(sum(_file_rows) OVER (ORDER BY _file {before}), 0L) AS _before_file")
     return in_file.join(earlier, "_file").selectExpr(
-        "_file", "_block", "_before_file + _in_file - _first_id AS _offset"
+        "_file", "_block", "_before_file + _in_file AS _start", "_rows", "_first_id"
     )
 
 
@@ -45,20 +52,21 @@ def with_row_index(scan: DataFrame, name: str = ROW_INDEX) -> DataFrame:
     """Add a gap-free BIGINT row number, from 0, in file order.
 
     ``scan`` must read files (CSV, text, Parquet, ...) and may carry filters and added columns, but no shuffle. The
-    numbering job runs when this is called.
+    counting job runs when this is called. Numbers are right only if the scan is later cut into the same splits. Every
+    row checks that its rank lies within the counted rows of its split, so a scan that is cut differently, for instance
+    because the cluster has grown, fails with an error instead of giving wrong numbers. To rule that out on a cluster
+    that grows and shrinks, set ``spark.sql.files.minPartitionNum``.
     """
     ensure_checkpoint_dir(scan.sparkSession)
-    data_columns = [quote(column) for column in scan.columns]
-    tagged = scan.selectExpr(
-        *data_columns,
-        "_metadata.file_path AS _file",
-        "_metadata.file_block_start AS _block",
-        "monotonically_increasing_id() AS _id",
-    )
+    tagged = _tagged(scan)
     offsets = split_offsets(tagged.select("_file", "_block", "_id")).checkpoint()
     if offsets.count() <= MAX_BROADCAST_SPLITS:
         offsets = F.broadcast(offsets)
-    return tagged.join(offsets, ["_file", "_block"]).selectExpr(alias("_offset + _id", name), *data_columns)
+    error = f"cast(raise_error({literal(_SPLITS_CHANGED)}) AS bigint)"
+    number = f"if(_id - _first_id >= 0 AND _id - _first_id < _rows, _start + _id - _first_id, {error})"
+    return tagged.join(offsets, ["_file", "_block"], "left").selectExpr(
+        alias(number, name), *[quote(column) for column in scan.columns]
+    )
 
 
 class PositionalComparison:

@@ -83,7 +83,7 @@ def export_differences(
     """
     if compression not in COMPRESSIONS:
         raise ValueError(f"compression must be one of {COMPRESSIONS}")
-    observation = Observation(f"{check}_metrics")
+    observation = Observation()
     observed = comparison.rows.observe(observation, *comparison.metric_columns())
     flat = flat_differences(comparison, observed.where(f"{STATUS} <> {literal(MATCHED)}"))
     (

@@ -12,6 +12,9 @@ from twincheck.operators.counts import multiset_differences
 from twincheck.operators.hashkeys import with_shared_hash_key
 from twincheck.operators.positions import compare_positions
 from twincheck.operators.prune import compare_pruned
+from twincheck.session import scratch_folder
+from twincheck.sinks.exports import export_csv
+from twincheck.sources.csvfiles import read_csv
 from workload import frames as w
 from workload import oracle_parts as o
 from workload.registry import plain, query, table
@@ -296,20 +299,33 @@ def positional_compare(spark, sf_dir):
     )
 
 
-@query(
-    "positional_verdict",
+ORACLE_VERDICT = (
     o.classified(w.CUSTOMERS_SQL, ["row_index"], _CUSTOMER_VALUES)
     + """SELECT CASE WHEN count(*) FILTER (status <> 'match') = 0 THEN 'MATCH' ELSE 'MISMATCH' END AS verdict,
          CAST(sum(source_rows) AS BIGINT) AS source_rows, CAST(sum(target_rows) AS BIGINT) AS target_rows,
          count(*) FILTER (status = 'mismatch') AS mismatched_rows,
          count(*) FILTER (status = 'only_source') AS surplus_source_rows,
          count(*) FILTER (status = 'only_target') AS surplus_target_rows,
-         '' AS source_only_columns, '' AS target_only_columns FROM cls""",
+         '' AS source_only_columns, '' AS target_only_columns FROM cls"""
 )
+
+
+@query("positional_verdict", ORACLE_VERDICT)
 def positional_verdict(spark, sf_dir):
     return compare_positions(*w.customers_pair(spark, sf_dir)).verdict()
 
 
+@query("positional_csv", ORACLE_VERDICT)
+def positional_csv(spark, sf_dir):
+    """The same rows written as CSV in key order, read back as text and compared row by row."""
+    extracts = []
+    for side, label in zip(w.customers_pair(spark, sf_dir), ("source", "target")):
+        folder = scratch_folder(spark, label)
+        export_csv(side.orderBy("c_custkey"), folder)
+        extracts.append(read_csv(spark, folder))
+    return compare_positions(*extracts).verdict()
+
+
 @query(
     "diff_sample",
     ORDERS_CLS
