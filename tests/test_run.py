@@ -127,7 +127,7 @@ def test_configured_run_with_export(spark, sf_dir, tmp_path):
 
     folder = str(tmp_path / "out")
     systems = Systems(loader("orders_source"), loader("orders_target"))
-    rows = run_config(spark, read_config(spark, str(config)), systems, folder=folder).collect()
+    rows = run_config(spark, read_config(spark, str(config)), systems, folder=folder, parallel=2).collect()
     assert len(rows) == 3
     by_filter = {(r["SOURCE_FILTER"], r["ERROR"] != ""): r for r in rows}
     drifted = by_filter["", False]

@@ -9,7 +9,6 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 
-from twincheck.functions.columns import resolve_names
 from twincheck.functions.comparability import as_text
 from twincheck.functions.sqltext import alias, literal, quote
 
@@ -34,7 +33,7 @@ def with_hash_key(
 ) -> DataFrame:
     """Add the row hash of one table. For a pair of tables use the shared hash key, which aligns both sides."""
     unwanted = {item.strip().upper() for item in skip or ()}
-    names = [item for item in resolve_names(df, df.columns) if item.upper() not in unwanted]
+    names = [item for item in df.columns if item.upper() not in unwanted]
     texts = [as_text(quote(item), df.schema[item].dataType) for item in names]
     return df.selectExpr("*", alias((safe_row_hash if safe else row_hash)(texts), name))
 

@@ -23,11 +23,6 @@ def read_csv(
     return blank_nulls(reader.csv(path))
 
 
-def read_csv_unfilled(spark: SparkSession, path: str | list[str], *, delimiter: str = ",") -> DataFrame:
-    """All-text CSV that still exposes file metadata columns, for reads that number rows."""
-    return spark.read.option("sep", delimiter).option("header", True).csv(path)
-
-
 def read_csv_inferred(spark: SparkSession, path: str | list[str], *, delimiter: str = ",") -> DataFrame:
     """CSV whose types are guessed from the data; costs an extra pass."""
     return spark.read.option("sep", delimiter).option("header", True).option("inferSchema", True).csv(path)
