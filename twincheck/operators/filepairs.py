@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from twincheck.functions.sqltext import literal
 from twincheck.sources.dropfolder import SOURCE_SUFFIX, TARGET_SUFFIX
@@ -30,24 +31,28 @@ def _side(files: DataFrame, suffix: str, path_name: str) -> DataFrame:
     )
 
 
-def pair_files(
+def grouped_files(
     files: DataFrame, *, source_suffix: str = SOURCE_SUFFIX, target_suffix: str = TARGET_SUFFIX
 ) -> DataFrame:
+    """``folder, stem, source_path, target_path`` of all extracts; a missing one is NULL. One shuffle pairs them all."""
+    both = _side(files, source_suffix, "source_path").unionByName(
+        _side(files, target_suffix, "target_path"), allowMissingColumns=True
+    )
+    return both.groupBy("folder", "stem").agg(
+        F.expr("max(source_path) AS source_path"), F.expr("max(target_path) AS target_path")
+    )
+
+
+def pair_files(files: DataFrame, **suffixes: str) -> DataFrame:
     """``folder, stem, source_path, target_path``: extracts of one folder whose names agree up to the suffix."""
-    source = _side(files, source_suffix, "source_path")
-    return source.join(_side(files, target_suffix, "target_path"), ["folder", "stem"])
+    return grouped_files(files, **suffixes).where("source_path IS NOT NULL AND target_path IS NOT NULL")
 
 
-def unpaired_files(
-    files: DataFrame, *, source_suffix: str = SOURCE_SUFFIX, target_suffix: str = TARGET_SUFFIX
-) -> DataFrame:
+def unpaired_files(files: DataFrame, **suffixes: str) -> DataFrame:
     """``side, path`` of extracts whose counterpart is missing."""
-    key = ["folder", "stem"]
-    source, target = _side(files, source_suffix, "path"), _side(files, target_suffix, "path")
-    return (
-        source.join(target, key, "left_anti")
-        .selectExpr("'source' AS side", "path")
-        .unionByName(target.join(source, key, "left_anti").selectExpr("'target' AS side", "path"))
+    single = grouped_files(files, **suffixes).where("source_path IS NULL OR target_path IS NULL")
+    return single.selectExpr(
+        "if(target_path IS NULL, 'source', 'target') AS side", "coalesce(source_path, target_path) AS path"
     )
 
 
