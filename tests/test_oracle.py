@@ -4,6 +4,7 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry_point
+from workload.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -11,7 +12,7 @@ def con(sf_dir):
     return oracle.connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_its_sql(spark, sf_dir, con, name):
     assert name in entry_point.oracle_sql(), "a registered query needs SQL"
     assert oracle.difference(entry_point.queries()[name](spark, sf_dir), con, entry_point.oracle_sql()[name]) is None
