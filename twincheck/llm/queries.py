@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from twincheck.llm.mixing import mix_summary, plan_mix, source_targets, with_size
 from twincheck.llm.neardup import NearDuplicates, near_duplicate_classes
+from twincheck.llm.quality import judge_quality, train_quality
+from twincheck.llm.scratch import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,3 +66,54 @@ FROM sets JOIN low USING (doc_id)
 @query("op2_minhash_neardup", NEARDUP_SQL)
 def op2_minhash_neardup(spark, sf_dir):
     return near_duplicate_classes(table(spark, sf_dir, "documents"), NearDuplicates(words=4))
+
+
+@query("op3_quality_rules")
+def op3_quality_rules(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return judge_quality(documents, train_quality(documents, table(spark, sf_dir, "labels")))
+
+
+MIXING_SQL = f"""
+WITH docs AS (
+    SELECT doc_id, source, len({WORDS.format("coalesce(text, '')")}) AS size,
+        coalesce(md5(CAST(doc_id AS VARCHAR)), '') AS k FROM documents
+),
+totals AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+        row_number() OVER (ORDER BY source IS NULL, source) - 1 AS place
+    FROM docs GROUP BY source
+),
+weighted AS (SELECT *, CAST([5, 2, 1][CAST(place % 3 + 1 AS INT)] AS DOUBLE) AS weight FROM totals),
+ratios AS (
+    SELECT *, 2 * source_size / weight AS ratio, 150 * sum(source_size) OVER () / 100 AS demand,
+        sum(weight) OVER () AS all_weight FROM weighted
+),
+levels AS (
+    SELECT *, (demand - coalesce(2 * sum(source_size) OVER w, 0)) / (all_weight - coalesce(sum(weight) OVER w, 0)) AS lv
+    FROM ratios WINDOW w AS (ORDER BY ratio, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+opened AS (SELECT arg_min(lv, place) AS lv FROM levels WHERE lv <= ratio
+           AND ratio = (SELECT min(ratio) FROM levels WHERE lv <= ratio)),
+targets AS (
+    SELECT source, source_size, CASE WHEN o.lv IS NULL OR ratio < o.lv THEN CAST(2 * source_size AS DOUBLE)
+        ELSE o.lv * weight END AS target
+    FROM levels LEFT JOIN opened o ON true
+),
+starts AS (
+    SELECT d.doc_id, d.size, t.source_size, t.target, round(t.target) AS due,
+        sum(d.size) OVER (PARTITION BY d.source ORDER BY k, doc_id, size
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size AS start
+    FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+    CAST(greatest(least(due - start, size), 0) + greatest(least(due - start - source_size, size), 0) AS BIGINT) AS taken
+FROM starts
+"""
+
+
+@query("op6_mixing_curriculum", MIXING_SQL)
+def op6_mixing_curriculum(spark, sf_dir):
+    sized = with_size(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    short = Scratch(spark, "mixing").save(sized.select("doc_id", "source", "size"), "sizes")
+    return mix_summary(plan_mix(short, source_targets(short))).drop("first_position")
