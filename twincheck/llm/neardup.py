@@ -18,6 +18,7 @@ _STEP = np.uint64(0xD1342543DE82EF95)
 _LOW = np.uint64(0xFFFFFFFF)
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 SKETCH_BYTES = 1 << 20
+BITMAP_LONGS = 16
 
 
 @dataclass(frozen=True)
@@ -134,6 +135,15 @@ def _sketch_task(rule: NearDuplicates):
     return run
 
 
+def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of BITMAP_LONGS words for each set: every bit is the parity of the shingles that fall on it."""
+    out = np.zeros((len(sets), BITMAP_LONGS), dtype=np.uint64)
+    for row, own in zip(out, sets):
+        h = mix(own ^ _STEP)
+        np.bitwise_xor.at(row, (h >> np.uint64(8)).astype(np.int64) % BITMAP_LONGS, np.uint64(1) << (h & np.uint64(63)))
+    return out
+
+
 def _set_task(rule: NearDuplicates):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,8 +157,12 @@ def _set_task(rule: NearDuplicates):
                         as_long(one),
                         as_long(two),
                         pa.ListArray.from_arrays(pa.array(starts), as_long(np.concatenate(sets))),
+                        pa.ListArray.from_arrays(
+                            pa.array(np.arange(0, BITMAP_LONGS * len(sets) + 1, BITMAP_LONGS, dtype=np.int32)),
+                            as_long(bitmaps(sets).reshape(-1)),
+                        ),
                     ],
-                    names=["doc_id", "digest_a", "digest_b", "shingles"],
+                    names=["doc_id", "digest_a", "digest_b", "shingles", "bitmap"],
                 )
 
     return run
@@ -161,8 +175,9 @@ def near_duplicate_classes(documents: DataFrame, rule: NearDuplicates = NearDupl
     2. Texts of equal sets fall into one class by their digest, with the smallest doc_id as representative, so exact
        copies cost one comparison however many there are.
     3. Representatives that share a band key form a bucket. A bucket is never expanded into all pairs: in each round it
-       compares pivots with its members of other components only. A bucket is done when the members that have not been
-       pivots lie in one component; pivots per bucket double with each round, so few rounds are needed.
+       compares pivots with its members of other components only, leaving out pairs that cannot be similar enough by
+       their sizes or by bitmaps of their sets (bounds that never reject a link). A bucket is done when the members that have not been
+       pivots lie in one component; pivots per bucket grow sixteenfold with each round, so few rounds are needed.
     4. A pair counts only if its full sets agree. component_id is the smallest doc_id reachable over such links.
 
     Null or empty texts and texts without words have an empty set and are linked with nothing. Rows with the same doc_id
@@ -206,34 +221,48 @@ def _components(texts: DataFrame, members: DataFrame, rule: NearDuplicates, scra
     wanted = members.select("rep", "digest_a", "digest_b").distinct()
     sets = scratch.save(
         texts.join(wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-        .mapInArrow(_set_task(rule), "doc_id long, digest_a long, digest_b long, shingles array<long>")
+        .mapInArrow(_set_task(rule), "doc_id long, digest_a long, digest_b long, shingles array<long>, bitmap array<long>")
         .join(wanted.withColumnRenamed("rep", "doc_id"), ["doc_id", "digest_a", "digest_b"], "left_semi")
         .dropDuplicates(["doc_id", "digest_a", "digest_b"])
-        .select(F.col("doc_id").alias("rep"), "shingles"),
+        .select(F.col("doc_id").alias("rep"), "shingles", "bitmap"),
         "sets",
     )
-    open_members = members.select("key", "rep", F.col("n_shingles").alias("n")).withColumn("comp", F.col("rep"))
-    links = tested = None
+    open_members = members.select("key", "rep", F.col("n_shingles").alias("n")).join(sets.select("rep", "bitmap"), "rep")
+    open_members = open_members.withColumn("comp", F.col("rep"))
+    # Sets differ in at least as many shingles as their bitmaps in bits.
+    apart = " + ".join(f"bit_count(get(bitmap, {i}) ^ get(pivot_bitmap, {i}))" for i in range(BITMAP_LONGS))
+    tested = labels = None
     turn = 0
     while True:
-        chosen = _pivots(open_members, 1 << turn)
-        rest = open_members.join(
-            chosen.selectExpr("key", "rep AS pivot", "n AS pivot_n", "comp AS pivot_comp"), "key"
-        ).filter(f"pivot_comp <> comp AND 100 * least(n, pivot_n) >= {rule.percent} * greatest(n, pivot_n)")
-        pairs = rest.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
+        chosen = _pivots(open_members, 16**turn)
+        pairs = (
+            open_members.join(
+                chosen.selectExpr("key", "rep AS pivot", "n AS pivot_n", "comp AS pivot_comp", "bitmap AS pivot_bitmap"),
+                "key",
+            )
+            .filter(
+                f"pivot_comp <> comp AND 100 * least(n, pivot_n) >= {rule.percent} * greatest(n, pivot_n)"
+                f" AND {100 + rule.percent} * ({apart}) <= {100 - rule.percent} * (n + pivot_n)"
+            )
+            .select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"))
+            .distinct()
+        )
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         checked = scratch.save(_check(pairs, sets, rule), f"checked-{turn}")
         tested = checked.select("a", "b") if tested is None else tested.unionByName(checked.select("a", "b"))
         new = checked.filter("linked").select("a", "b")
-        links = new if links is None else links.unionByName(new)
-        labels = connected(links, scratch, f"components-{turn}")
-        unused = open_members.join(chosen.select("key", "rep"), ["key", "rep"], "left_anti").select("key", "rep", "n")
+        if labels is None or not new.isEmpty():
+            links = new if labels is None else labels.selectExpr("node AS a", "component AS b").unionByName(new)
+            labels = connected(links, scratch, f"components-{turn}")
+        unused = open_members.join(chosen.select("key", "rep"), ["key", "rep"], "left_anti").drop("comp")
         labelled = unused.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-            "key", "rep", "n", F.coalesce("component", "rep").alias("comp")
+            "key", "rep", "n", "bitmap", F.coalesce("component", "rep").alias("comp")
+        )
+        ends = labelled.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+        open_members = scratch.save(
+            labelled.join(ends.filter("low < high").select("key"), "key", "left_semi"), f"open-{turn}"
         )
-        apart = labelled.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high")
-        open_members = scratch.save(labelled.join(apart.select("key"), "key", "left_semi"), f"open-{turn}")
         turn += 1
         if open_members.isEmpty():
             return labels
@@ -248,7 +277,7 @@ def _pivots(open_members: DataFrame, each: int) -> DataFrame:
     ranked = open_members.join(sizes.select("key", "comp", "size"), ["key", "comp"]).withColumn(
         "rank", F.expr("row_number() OVER (PARTITION BY key ORDER BY size, comp, rep)")
     )
-    return ranked.filter(F.col("rank") <= each).select("key", "rep", "n", "comp")
+    return ranked.filter(F.col("rank") <= each).drop("rank", "size")
 
 
 def _check(pairs: DataFrame, sets: DataFrame, rule: NearDuplicates) -> DataFrame:
