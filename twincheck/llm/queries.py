@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from twincheck.llm.decontaminate import decontaminate
 from twincheck.llm.mixing import mix_summary, plan_mix, source_targets, with_size
 from twincheck.llm.neardup import NearDuplicates, near_duplicate_classes
+from twincheck.llm.packing import pack_documents
 from twincheck.llm.quality import judge_quality, train_quality
 from twincheck.llm.scratch import Scratch
 
@@ -117,3 +119,39 @@ def op6_mixing_curriculum(spark, sf_dir):
     sized = with_size(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     short = Scratch(spark, "mixing").save(sized.select("doc_id", "source", "size"), "sizes")
     return mix_summary(plan_mix(short, source_targets(short))).drop("first_position")
+
+
+@query("op4_token_packing")
+def op4_token_packing(spark, sf_dir):
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
+ALNUM = "regexp_extract_all({0}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+LEAKS_SQL = f"""
+WITH docs AS (SELECT doc_id, {ALNUM.format(LOWER.format("coalesce(text, '')"))} AS w FROM documents),
+items AS (SELECT item_id, {ALNUM.format(LOWER.format("coalesce(text, '')"))} AS w FROM benchmark),
+item_windows AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS k,
+        unnest(list_transform(range(1, len(w) - least(len(w), 10) + 2),
+                              lambda i: array_to_string(w[i:i + least(len(w), 10) - 1], ' '))) AS g
+    FROM items WHERE len(w) > 0
+),
+places AS (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM docs, (SELECT DISTINCT k FROM item_windows)),
+found AS (
+    SELECT doc_id, i, p.k, item_id
+    FROM places p JOIN item_windows v ON v.k = p.k AND v.g = array_to_string(w[i:i + p.k - 1], ' ')
+),
+hit AS (SELECT doc_id, count(DISTINCT pos) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS pos FROM found) GROUP BY doc_id),
+listed AS (
+    SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(listed.n, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
+
+
+@query("op5_winnow_decontamination", LEAKS_SQL)
+def op5_winnow_decontamination(spark, sf_dir):
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("digest")
