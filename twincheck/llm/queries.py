@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from twincheck.llm.decontaminate import decontaminate
+from twincheck.llm.lmscore import score_texts
 from twincheck.llm.mixing import mix_summary, plan_mix, source_targets, with_size
 from twincheck.llm.neardup import NearDuplicates, near_duplicate_classes
 from twincheck.llm.packing import pack_documents
@@ -155,3 +156,8 @@ FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
 @query("op5_winnow_decontamination", LEAKS_SQL)
 def op5_winnow_decontamination(spark, sf_dir):
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("digest")
+
+
+@query("op10_lm_scoring")
+def op10_lm_scoring(spark, sf_dir):
+    return score_texts(table(spark, sf_dir, "documents"), "crc32(cast(doc_id AS string)) % 10 = 0")
