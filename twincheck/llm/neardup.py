@@ -177,7 +177,7 @@ def near_duplicate_classes(documents: DataFrame, rule: NearDuplicates = NearDupl
     3. Representatives that share a band key form a bucket. A bucket is never expanded into all pairs: in each round it
        compares pivots with its members of other components only, leaving out pairs that cannot be similar enough by
        their sizes or by bitmaps of their sets (bounds that never reject a link). A bucket is done when the members that have not been
-       pivots lie in one component; pivots per bucket grow sixteenfold with each round, so few rounds are needed.
+       pivots lie in one component; pivots per bucket grow 64-fold with each round, so few rounds are needed.
     4. A pair counts only if its full sets agree. component_id is the smallest doc_id reachable over such links.
 
     Null or empty texts and texts without words have an empty set and are linked with nothing. Rows with the same doc_id
@@ -231,10 +231,10 @@ def _components(texts: DataFrame, members: DataFrame, rule: NearDuplicates, scra
     open_members = open_members.withColumn("comp", F.col("rep"))
     # Sets differ in at least as many shingles as their bitmaps in bits.
     apart = " + ".join(f"bit_count(get(bitmap, {i}) ^ get(pivot_bitmap, {i}))" for i in range(BITMAP_LONGS))
-    tested = labels = None
+    labels = None
     turn = 0
     while True:
-        chosen = _pivots(open_members, 16**turn)
+        chosen = _pivots(open_members, 64**turn)
         pairs = (
             open_members.join(
                 chosen.selectExpr("key", "rep AS pivot", "n AS pivot_n", "comp AS pivot_comp", "bitmap AS pivot_bitmap"),
@@ -247,11 +247,7 @@ def _components(texts: DataFrame, members: DataFrame, rule: NearDuplicates, scra
             .select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"))
             .distinct()
         )
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        checked = scratch.save(_check(pairs, sets, rule), f"checked-{turn}")
-        tested = checked.select("a", "b") if tested is None else tested.unionByName(checked.select("a", "b"))
-        new = checked.filter("linked").select("a", "b")
+        new = scratch.save(_links(pairs, sets, rule), f"links-{turn}")
         if labels is None or not new.isEmpty():
             links = new if labels is None else labels.selectExpr("node AS a", "component AS b").unionByName(new)
             labels = connected(links, scratch, f"components-{turn}")
@@ -280,16 +276,15 @@ def _pivots(open_members: DataFrame, each: int) -> DataFrame:
     return ranked.filter(F.col("rank") <= each).drop("rank", "size")
 
 
-def _check(pairs: DataFrame, sets: DataFrame, rule: NearDuplicates) -> DataFrame:
-    """For each pair whether its full sets are similar enough."""
+def _links(pairs: DataFrame, sets: DataFrame, rule: NearDuplicates) -> DataFrame:
+    """The pairs whose full sets are similar enough. A repeated doc_id with different texts has several sets: one that
+    is similar is enough."""
     first = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("set_a"))
     second = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("set_b"))
-    common = "size(array_intersect(set_a, set_b))"
-    # A repeated doc_id with different texts has several sets: one that is similar is enough.
     return (
         pairs.join(first, "a")
         .join(second, "b")
-        .selectExpr("a", "b", f"{common} AS common", "size(set_a) + size(set_b) AS total")
-        .groupBy("a", "b")
-        .agg(F.max(F.expr(f"100 * common >= {rule.percent} * (total - common)")).alias("linked"))
+        .selectExpr("a", "b", "size(array_intersect(set_a, set_b)) AS common", "size(set_a) + size(set_b) AS total")
+        .filter(f"100 * common >= {rule.percent} * (total - common)")
+        .select("a", "b")
     )
