@@ -16,6 +16,7 @@ from twincheck.llm.neardup import NearDuplicates, near_duplicate_classes
 from twincheck.llm.packing import pack_documents
 from twincheck.llm.quality import judge_quality, train_quality
 from twincheck.llm.scratch import Scratch
+from twincheck.llm.substrings import repeated_spans
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -199,3 +200,8 @@ def op7_language_id(spark, sf_dir):
     held_out = "coalesce(crc32(cast(doc_id AS string)) % 4 = 2, false)"
     model = train_language(documents.filter(f"NOT {held_out}"))
     return predict_language(documents, model).selectExpr("doc_id", f"{held_out} AS held_out", "lang_pred", "score")
+
+
+@query("op8_substring_dedup")
+def op8_substring_dedup(spark, sf_dir):
+    return repeated_spans(table(spark, sf_dir, "documents"))
