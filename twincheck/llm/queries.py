@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from twincheck.llm.chat import format_chats, read_back, turns_from_columns, turns_from_json
 from twincheck.llm.decontaminate import decontaminate
 from twincheck.llm.language import predict_language, train_language
+from twincheck.llm.licenses import TEMPLATES, scan_licences, template_words
 from twincheck.llm.lmscore import score_texts
 from twincheck.llm.mixing import mix_summary, plan_mix, source_targets, with_size
 from twincheck.llm.neardup import NearDuplicates, near_duplicate_classes
@@ -205,3 +206,61 @@ def op7_language_id(spark, sf_dir):
 @query("op8_substring_dedup")
 def op8_substring_dedup(spark, sf_dir):
     return repeated_spans(table(spark, sf_dir, "documents"))
+
+
+#: Every document is a file of an archive of its source: a folder for each thousand ids, in it one for each hundred;
+#: the first file of each folder, and that of each ten thousand ids, lies there as the folder's licence file.
+ARCHIVE_PATH = (
+    "concat_ws('/', coalesce(source, 'none'), CASE WHEN doc_id % 10000 = 0 THEN 'LICENSE' WHEN doc_id % 1000 = 0 THEN"
+    " concat('k', {0}, '/LICENSE') WHEN doc_id % 100 = 0 THEN concat('k', {0}, '/c', {1}, '/LICENSE')"
+    " ELSE concat('k', {0}, '/c', {1}, '/', doc_id, '.txt') END)"
+)
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_TERMS = "list_filter(regexp_split_to_array({0}, '[^a-z0-9]+'), lambda t: t <> '')"
+LICENCE_SQL = f"""
+WITH templates(template, licence, t) AS (VALUES {", ".join(
+    f"({i}, {_quoted(licence)}, {_quoted(' '.join(template_words(text)))})" for i, (licence, text) in enumerate(TEMPLATES)
+)}),
+template_tf AS (SELECT template, licence, term, count(*) AS tf
+    FROM (SELECT template, licence, unnest(string_split(t, ' ')) AS term FROM templates) GROUP BY ALL),
+files AS (SELECT doc_id, {ARCHIVE_PATH.format("doc_id // 1000", "doc_id // 100")} AS path,
+    coalesce({LOWER.format("text")}, '') AS text FROM documents),
+size AS (SELECT count(*) AS n FROM files),
+df AS (SELECT term, count(*) AS df FROM (
+    SELECT DISTINCT doc_id, unnest({_TERMS.format("text")}) AS term FROM files) JOIN
+    (SELECT DISTINCT term FROM template_tf) USING (term) GROUP BY term),
+idf AS (SELECT term, ln((1 + n) / (1 + coalesce(df, 0))) + 1 AS idf
+    FROM (SELECT DISTINCT term FROM template_tf) LEFT JOIN df USING (term), size),
+weighed AS (SELECT template, licence, term, tf * idf AS w FROM template_tf JOIN idf USING (term)),
+template_vectors AS (SELECT template, licence, term, w / sqrt(sum(w * w) OVER (PARTITION BY template)) AS w FROM weighed),
+passages AS (SELECT doc_id, path, unnest(list_distinct(list_concat(string_split(text, chr(10)),
+    string_split_regex(text, '\\n[ \\t\\r]*\\n'), CASE WHEN path LIKE '%/LICENSE' THEN [text] ELSE [] END))) AS p FROM files),
+terms AS (SELECT doc_id, path, p, term, count(*) AS tf
+    FROM (SELECT doc_id, path, p, unnest({_TERMS.format("p")}) AS term FROM passages) GROUP BY ALL),
+vectors AS (SELECT doc_id, path, p, term, tf, tf * idf AS w FROM terms LEFT JOIN idf USING (term)),
+lengths AS (SELECT doc_id, path, p, sqrt(sum(CASE WHEN w IS NULL THEN tf * pow(ln(1 + n) + 1, 2) ELSE w * w END)) AS len
+    FROM vectors, size GROUP BY ALL),
+scores AS (SELECT doc_id, path, p, template, licence, sum(v.w * t.w) AS dot
+    FROM vectors v JOIN template_vectors t USING (term) GROUP BY ALL),
+own AS (SELECT doc_id, path, max({{'score': round(dot / len, 9), 'licence': licence}}) AS best
+    FROM scores JOIN lengths USING (doc_id, path, p) WHERE dot / len >= 0.7 GROUP BY ALL),
+licensed AS (SELECT regexp_replace(path, '[^/]*$', '') AS above, max(best) AS given
+    FROM own WHERE path LIKE '%/LICENSE' GROUP BY 1),
+inherited AS (SELECT f.doc_id, arg_max(given, length(above)) AS given
+    FROM files f JOIN licensed ON starts_with(f.path, above) GROUP BY f.doc_id)
+SELECT doc_id, coalesce(own.best, i.given).licence AS licence, round(coalesce(own.best, i.given).score, 6) AS score,
+    CASE WHEN own.best IS NOT NULL THEN 'own' WHEN i.given IS NOT NULL THEN 'inherited' END AS origin
+FROM files LEFT JOIN own USING (doc_id) LEFT JOIN inherited i USING (doc_id)
+"""
+
+
+@query("op1_license_scan", LICENCE_SQL)
+def op1_license_scan(spark, sf_dir):
+    path = ARCHIVE_PATH.format("doc_id div 1000", "doc_id div 100")
+    files = table(spark, sf_dir, "documents").selectExpr("doc_id", f"{path} AS path", "text")
+    return scan_licences(files).selectExpr("doc_id", "licence", "round(score, 6) AS score", "origin")
