@@ -45,13 +45,58 @@ def test_each_class_and_its_metrics(spark):
     assert [tuple(r) for r in compared.only_target().collect()] == [(4, 4, "d")]
 
 
-def test_duplicate_keys_keep_the_smallest_row_whatever_the_partitioning(spark):
+def test_all_rows_of_a_repeated_key_count_whatever_the_partitioning(spark):
     rows = [(1, v, t) for v in (5, None, 2) for t in ("b", None, "a")]
-    target = frame(spark, [(1, None, None)])
     for parts in (1, 3, 7):
-        compared = compare_rows(frame(spark, rows).repartition(parts), target, ["k"])
-        assert statuses(compared) == [(1, "match")]
-        assert compared.rows.first()["source_rows"] == 9
+        source = frame(spark, rows).repartition(parts)
+        assert statuses(compare_rows(source, frame(spark, rows[::-1]), ["k"])) == [(1, "match")]
+        fewer = compare_rows(source, frame(spark, [(1, None, None)]), ["k"])
+        assert statuses(fewer) == [(1, "mismatch")] and fewer.rows.first()["source_rows"] == 9
+    cases = [
+        ([(1, 1, "A"), (1, 1, "B"), (1, 1, "B")], [(1, 1, "A"), (1, 1, "C")]),
+        ([(1, 1, "A"), (1, 1, "B")], [(1, 1, "A"), (1, 1, "C")]),
+        ([(1, 1, "A"), (1, 1, "A"), (1, 1, "B")], [(1, 1, "A"), (1, 1, "B"), (1, 1, "B")]),
+        ([(1, 1, "A")], [(1, 1, "A"), (1, 1, "A")]),
+    ]
+    for left, right in cases:
+        for compare in (compare_rows, compare_pruned):
+            compared = compare(frame(spark, left), frame(spark, right), ["k"])
+            assert statuses(compared) == [(1, "mismatch")]
+        assert compare_rows(frame(spark, left), frame(spark, right), ["k"]).verdict().first()["verdict"] == "MISMATCH"
+
+
+def test_exact_against_floating_numbers_loses_nothing(spark):
+    source = spark.sql("SELECT * FROM VALUES (1, 9007199254740993L), (2, 9007199254740992L), (3, 7L), (4, NULL), (5, 0L) v(k, n)")
+    target = spark.sql(
+        "SELECT * FROM VALUES (1, 9007199254740992D), (2, 9007199254740992D), (3, 7.5D), (4, NULL), (5, double('NaN')) v(k, n)"
+    )
+    expected = [(1, "mismatch"), (2, "match"), (3, "mismatch"), (4, "match"), (5, "mismatch")]
+    assert statuses(compare_rows(source, target, ["k"])) == expected
+    assert statuses(compare_rows(target, source, ["k"])) == expected
+    assert statuses(compare_pruned(source, target, ["k"])) == [e for e in expected if e[1] == "mismatch"]
+
+
+_SAMPLES = [
+    "'1'", "'1.50'", "'x'", "'abc'", "'true'", "1", "2", "-1L", "cast(1 AS tinyint)", "1.50", "cast(1.5 AS decimal(38,20))",
+    "cast(1 AS decimal(38,0))", "1D", "1.5D", "cast(0.1 AS float)", "0.1D", "0.10", "true", "X'616263'", "DATE '1970-01-03'",
+    "TIMESTAMP '1970-01-03 00:00:00'", "TIMESTAMP_NTZ '1970-01-03 00:00:00'", "array(1)", "named_struct('a', 1)",
+]
+
+
+@PROPERTY
+@given(data=st.data())
+def test_pruned_is_plain_without_the_matches_for_all_type_pairs(spark, data):
+    left, right = data.draw(st.sampled_from(_SAMPLES)), data.draw(st.sampled_from(_SAMPLES))
+
+    def side(value):
+        return spark.sql(f"SELECT 1 AS k, {value} AS v UNION ALL SELECT 2, NULL UNION ALL SELECT 3, {value}")
+
+    for copies in (1, 2):
+        source, target = side(left), side(right)
+        if copies == 2:
+            source, target = source.unionAll(source), target.unionAll(target)
+        plain = [s for s in statuses(compare_rows(source, target, ["k"])) if s[1] != "match"]
+        assert statuses(compare_pruned(source, target, ["k"])) == plain
 
 
 def test_text_against_number_matches_where_it_parses(spark):

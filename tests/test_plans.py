@@ -4,10 +4,10 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_point
 from twincheck.operators.aggregates import AggregateRequest, compare_aggregates
 from twincheck.operators.compare import compare_rows
-from workload import frames as w
+from workload import frames as w, row_queries, table_queries  # noqa: F401  (importing registers the queries)
+from workload.registry import QUERIES
 
 
 def plan(df) -> str:
@@ -61,7 +61,7 @@ def test_samples_are_limited_before_the_exchange(orders):
     assert re.search(r"WindowGroupLimit .*Partial", shape)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_query_pairs_all_rows(spark, sf_dir, name):
-    shape = plan(entry_point.queries()[name](spark, sf_dir))
+    shape = plan(QUERIES[name](spark, sf_dir))
     assert "CartesianProduct" not in shape and "BroadcastNestedLoopJoin" not in shape

@@ -128,6 +128,22 @@ def _canonical_decimal_text(value: str) -> str:
     return f"if(instr({text}, '.') > 0, regexp_replace({text}, '[.]?0+$', ''), {text})"
 
 
+def _exact_against_float(left: T.DataType, right: T.DataType) -> T.DecimalType | None:
+    """For an exact number against a floating one: the decimal type in which they are compared."""
+    for exact, other in ((left, right), (right, left)):
+        digits = _exact_digits(exact)
+        if digits and _is_float(other):
+            return T.DecimalType(_MAX_DIGITS, digits[1])
+    return None
+
+
+def _float_as_decimal(value: str, wanted: T.DecimalType) -> str:
+    """The decimal that is exactly this floating number as written; NULL if the type has none."""
+    number = f"cast({value} AS double)"
+    decimal = f"try_cast({number} AS {wanted.simpleString()})"
+    return f"if(cast({decimal} AS double) = {number}, {decimal}, NULL)"
+
+
 def _text_target(left: T.DataType, right: T.DataType) -> T.DataType | None:
     """For text against a typed column: the type the text must parse as."""
     for text, typed in ((left, right), (right, left)):
@@ -153,7 +169,14 @@ def values_match(
     """
     both_null = f"({source} IS NULL AND {target} IS NULL)"
     common = common_type(source_type, target_type)
-    if common is not None:
+    decimal = _exact_against_float(source_type, target_type)
+    if decimal is not None:
+        left, right = (
+            _float_as_decimal(value, decimal) if _is_float(kind) else f"try_cast({value} AS {decimal.simpleString()})"
+            for value, kind in ((source, source_type), (target, target_type))
+        )
+        equal = f"({both_null} OR coalesce({left} = {right}, false))"
+    elif common is not None:
         equal = f"({cast(source, source_type, common)} <=> {cast(target, target_type, common)})"
     elif _exact_digits(source_type) and _exact_digits(target_type):
         equal = f"({_canonical_decimal_text(source)} <=> {_canonical_decimal_text(target)})"
@@ -171,12 +194,26 @@ def values_match(
     return equal
 
 
-def canonical_value(value: str, own_type: T.DataType, other_type: T.DataType) -> str:
-    """Form of an orderable ``value`` such that equal values of the two columns get equal hashes."""
+def canonical_value(value: str, own_type: T.DataType, other_type: T.DataType, *, target: bool = False) -> str:
+    """Form of an orderable ``value`` such that values of the two columns get equal hashes if and only if they match.
+
+    Values that can match nothing on the other side carry the mark of their own side.
+    """
+    marked = f"concat('{'t' if target else 's'}', {as_text(value, own_type)})"
+    decimal = _exact_against_float(own_type, other_type)
+    if decimal is not None:
+        exact = f"try_cast({value} AS {decimal.simpleString()})"
+        shared = _float_as_decimal(value, decimal) if _is_float(own_type) else exact
+        return f"coalesce(cast({shared} AS string), {marked})"
     common = common_type(own_type, other_type)
     if common is not None:
         return cast(value, own_type, common)
     if _exact_digits(own_type) and _exact_digits(other_type):
         return _canonical_decimal_text(value)
     common = _text_target(own_type, other_type)
-    return value if common is None else cast(value, own_type, common, lenient=True)
+    if common is None:
+        return marked
+    if own_type == common:
+        return value
+    # Text that does not parse matches nothing.
+    return cast(value, own_type, common, lenient=True)

@@ -5,8 +5,9 @@ row and how many rows each side had. Compared with de-duplicating both sides and
 instead of three, is NULL-safe by nature of grouping, and combines on the map side, so a key that holds a large part
 of a table leaves each map task as a single row.
 
-The survivor among rows that share a key is the smallest one over the remaining columns, NULL first, which makes the
-result independent of partitioning.
+Rows that share a key count as a whole: such a key matches only if both sides hold the same rows equally often, which
+fixed-width digest sums of each key's rows tell. Values shown for such a key, and its per-column flags, are those of the
+smallest row over the remaining columns, NULL first, which makes them independent of partitioning.
 """
 
 from __future__ import annotations
@@ -19,7 +20,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from twincheck.functions.columns import drop_columns, resolve_names
-from twincheck.functions.comparability import EXACT, Tolerance, as_text, cast, key_type, orderable_columns, values_match
+from twincheck.functions.comparability import (
+    EXACT,
+    Tolerance,
+    as_text,
+    canonical_value,
+    cast,
+    key_type,
+    orderable_columns,
+    values_match,
+)
+from twincheck.functions.hashing import digest_parts, null_aware_hash
 from twincheck.functions.sqltext import alias, array, literal, quote, struct
 from twincheck.verdict import verdict_text
 
@@ -107,11 +118,38 @@ def pair_columns(
     )
 
 
+def row_digests(pairing: Pairing, *, target: bool) -> list[str]:
+    """``_sign`` and two digests of a row's compared values, alike on both sides where the values match exactly."""
+    own, foreign = pairing.columns, pairing.target_columns
+    own_schema, foreign_schema = pairing.source_schema, pairing.target_schema
+    if target:
+        own, foreign, own_schema, foreign_schema = foreign, own, foreign_schema, own_schema
+    keys = pairing.key_values(target)
+    values = keys + [
+        canonical_value(quote(name), own_schema[name].dataType, foreign_schema[other].dataType, target=target)
+        for name, other in zip(own, foreign)
+    ]
+    nulls = keys + [quote(name) for name in own]
+    return [
+        f"{-1 if target else 1}L AS _sign",
+        f"{null_aware_hash(values, nulls, 1)} AS _d1",
+        f"{null_aware_hash(values, nulls, 2)} AS _d2",
+    ]
+
+
+def digest_sums() -> dict[str, str]:
+    """Signed sums over digests of both sides: all are zero where the sides hold the same rows equally often (up to a
+    128-bit collision). The parity of the second digest widens the check."""
+    sums = {"_rows": "sum(_sign)", "_parity": "bit_xor(_d2)"}
+    return sums | {f"_sum{i}": f"sum(_sign * {part})" for i, part in enumerate(digest_parts("_d1"))}
+
+
 def tag_sides(source: DataFrame, target: DataFrame, pairing: Pairing) -> DataFrame:
-    """Union of both tables: key columns ``_k0..``, and one of the two row structs filled."""
+    """Union of both tables: key columns ``_k0..``, row digests, and one of the two row structs filled."""
 
     def side(df: DataFrame, names: Sequence[str], label: str) -> DataFrame:
         keys = [alias(key, f"_k{i}") for i, key in enumerate(pairing.key_values(label == TARGET))]
+        keys += row_digests(pairing, target=label == TARGET)
         # The leading marker keeps the struct non-empty, so "struct is NULL" always means "no row on this side".
         values = {"_row": "true"} | {name: quote(name) for name in names}
         return df.selectExpr(*keys, alias(struct(values), label))
@@ -122,12 +160,17 @@ def tag_sides(source: DataFrame, target: DataFrame, pairing: Pairing) -> DataFra
 
 
 def classify(tagged: DataFrame, pairing: Pairing, tolerance: Tolerance = EXACT) -> DataFrame:
-    """One row per key: the keys, then the columns of ``RESERVED``."""
+    """One row per key: the keys, then the columns of ``RESERVED``.
+
+    A tolerance applies to keys with one row on each side; the rows of a repeated key must agree exactly.
+    """
+    same_rows = " AND ".join(f"{name} = 0" for name in digest_sums())
     grouped = tagged.groupBy(*[f"_k{i}" for i in range(len(pairing.keys))]).agg(
         F.expr(f"min({SOURCE}) AS {SOURCE}"),
         F.expr(f"min({TARGET}) AS {TARGET}"),
         F.expr(f"count({SOURCE}) AS {SOURCE_ROWS}"),
         F.expr(f"count({TARGET}) AS {TARGET_ROWS}"),
+        *[F.expr(f"{value} AS {name}") for name, value in digest_sums().items()],
     )
     both = f"{SOURCE_ROWS} > 0 AND {TARGET_ROWS} > 0"
     flags = {"_row": "true"}
@@ -138,7 +181,9 @@ def classify(tagged: DataFrame, pairing: Pairing, tolerance: Tolerance = EXACT)
     all_equal = " AND ".join([f"{MATCHES}.{quote(name)}" for name in pairing.columns] or ["true"])
     status = (
         f"CASE WHEN {TARGET_ROWS} = 0 THEN {literal(ONLY_SOURCE)} WHEN {SOURCE_ROWS} = 0 THEN {literal(ONLY_TARGET)} "
-        f"WHEN {all_equal} THEN {literal(MATCHED)} ELSE {literal(DIFFERENT)} END AS {STATUS}"
+        f"WHEN {SOURCE_ROWS} = 1 AND {TARGET_ROWS} = 1 AND {all_equal} THEN {literal(MATCHED)} "
+        f"WHEN ({SOURCE_ROWS} > 1 OR {TARGET_ROWS} > 1) AND {same_rows} THEN {literal(MATCHED)} "
+        f"ELSE {literal(DIFFERENT)} END AS {STATUS}"
     )
     keys = [alias(f"_k{i}", name) for i, name in enumerate(pairing.keys)]
     return grouped.selectExpr("*", alias(struct(flags), MATCHES)).selectExpr(
@@ -185,7 +230,8 @@ class RowComparison:
         return rows.selectExpr(*self._keys, *wide)
 
     def mismatched(self) -> DataFrame:
-        """Keys on both sides with at least one differing column: both values and a flag for every column."""
+        """Keys on both sides whose rows differ: both values and a flag for every column. Of a repeated key the smallest
+        rows are shown; they may agree where others do not."""
         return self._side_by_side(self.with_status(DIFFERENT))
 
     def common(self) -> DataFrame:

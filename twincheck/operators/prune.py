@@ -17,10 +17,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twincheck.functions.columns import drop_columns
-from twincheck.functions.comparability import EXACT, Tolerance, canonical_value, orderable_columns
-from twincheck.functions.hashing import digest_parts, null_aware_hash
-from twincheck.functions.sqltext import quote
-from twincheck.operators.compare import MATCHED, STATUS, Pairing, RowComparison, classify, pair_columns, tag_sides
+from twincheck.functions.comparability import EXACT, Tolerance, orderable_columns
+from twincheck.functions.hashing import null_aware_hash
+from twincheck.operators.compare import (
+    MATCHED,
+    STATUS,
+    Pairing,
+    RowComparison,
+    classify,
+    digest_sums,
+    pair_columns,
+    row_digests,
+    tag_sides,
+)
 
 DEFAULT_BUCKETS = 1 << 16
 MAX_BUCKETS = 1 << 22
@@ -32,22 +41,7 @@ def _bucket(keys: Sequence[str], buckets: int) -> str:
 
 def _row_digests(df: DataFrame, pairing: Pairing, buckets: int, *, target: bool) -> DataFrame:
     """``_bucket``, a sign and two digests of every row of one side."""
-    own, foreign = pairing.columns, pairing.target_columns
-    own_schema, foreign_schema = pairing.source_schema, pairing.target_schema
-    if target:
-        own, foreign, own_schema, foreign_schema = foreign, own, foreign_schema, own_schema
-    keys = pairing.key_values(target)
-    values = keys + [
-        canonical_value(quote(name), own_schema[name].dataType, foreign_schema[other].dataType)
-        for name, other in zip(own, foreign)
-    ]
-    nulls = keys + [quote(name) for name in own]
-    return df.selectExpr(
-        _bucket(keys, buckets),
-        f"{-1 if target else 1}L AS _sign",
-        f"{null_aware_hash(values, nulls, 1)} AS _d1",
-        f"{null_aware_hash(values, nulls, 2)} AS _d2",
-    )
+    return df.selectExpr(_bucket(pairing.key_values(target), buckets), *row_digests(pairing, target=target))
 
 
 def unequal_buckets(source: DataFrame, target: DataFrame, pairing: Pairing, buckets: int) -> DataFrame:
@@ -55,9 +49,7 @@ def unequal_buckets(source: DataFrame, target: DataFrame, pairing: Pairing, buck
     both = _row_digests(source, pairing, buckets, target=False).unionAll(
         _row_digests(target, pairing, buckets, target=True)
     )
-    # Signed sums count rows and repeated rows; the parity of a second, independent digest widens the check.
-    sums = {"_rows": "sum(_sign)", "_parity": "bit_xor(_d2)"}
-    sums |= {f"_sum{i}": f"sum(_sign * {part})" for i, part in enumerate(digest_parts("_d1"))}
+    sums = digest_sums()
     totals = both.groupBy("_bucket").agg(*[F.expr(f"{value} AS {name}") for name, value in sums.items()])
     return totals.where(" OR ".join(f"{name} <> 0" for name in sums)).select("_bucket")
 

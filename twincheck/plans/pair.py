@@ -92,11 +92,12 @@ def prepare(source: DataFrame, target: DataFrame, spec: PairSpec) -> tuple[DataF
 def content_comparison(
     source: DataFrame, target: DataFrame, spec: PairSpec, tolerance: Tolerance = EXACT, *, prune: bool = False
 ) -> RowComparison:
-    """Row comparison on the declared keys, or on a row hash if there are none."""
+    """Row comparison on the declared keys, or on a row hash if there are none: distinct rows then have distinct keys,
+    and a row that one side holds more often is a mismatch."""
     compare = compare_pruned if prune else compare_rows
     if spec.keys:
         return compare(source, target, spec.keys, skip=spec.skip, tolerance=tolerance)
-    hashed_source, hashed_target = with_shared_hash_key(source, target, spec.skip)
+    hashed_source, hashed_target = with_shared_hash_key(source, target, spec.skip, safe=True)
     return compare(hashed_source, hashed_target, [HASH_COLUMN], tolerance=tolerance)
 
 

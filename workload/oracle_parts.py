@@ -12,7 +12,10 @@ def null_safe(left: str, right: str, columns: Sequence[str]) -> str:
 def classified(
     ctes: str, keys: Sequence[str], values: Sequence[str], *, source: str = "src", target: str = "tgt"
 ) -> str:
-    """CTE ``cls``: one row per key with status, multiplicities, both values and a flag per column."""
+    """CTE ``cls``: one row per key with status, multiplicities, both values and a flag per column.
+
+    A key matches if its rows on both sides are the same multiset.
+    """
     key_list = ", ".join(keys)
     order = ", ".join(f"{c} NULLS FIRST" for c in values) or "1"
 
@@ -22,18 +25,22 @@ def classified(
             f"row_number() OVER (PARTITION BY {key_list} ORDER BY {order}) AS n FROM {side}"
         )
 
+    bag = ", ".join(values) or "1"
+
+    def bags(side: str) -> str:
+        return f"SELECT {key_list}, list(ROW({bag}) ORDER BY {order}) AS bag FROM {side} GROUP BY {key_list}"
+
     flags = {c: f"(s.n IS NOT NULL AND t.n IS NOT NULL AND s.{c} IS NOT DISTINCT FROM t.{c})" for c in values}
-    every = " AND ".join(flags.values()) or "TRUE"
     columns = [f"CASE WHEN s.n IS NOT NULL THEN s.{k} ELSE t.{k} END AS {k}" for k in keys]
     for c in values:
         columns += [f"s.{c} AS {c}_source", f"t.{c} AS {c}_target", f"{flags[c]} AS {c}_match"]
     return f"""WITH {ctes},
-s1 AS (SELECT * FROM ({ranked(source)}) WHERE n = 1),
-t1 AS (SELECT * FROM ({ranked(target)}) WHERE n = 1),
+s1 AS (SELECT r.*, b.bag FROM ({ranked(source)}) r JOIN ({bags(source)}) b ON {null_safe("r", "b", keys)} WHERE n = 1),
+t1 AS (SELECT r.*, b.bag FROM ({ranked(target)}) r JOIN ({bags(target)}) b ON {null_safe("r", "b", keys)} WHERE n = 1),
 cls AS (
   SELECT {", ".join(columns)}, coalesce(s.n_rows, 0) AS source_rows, coalesce(t.n_rows, 0) AS target_rows,
          CASE WHEN t.n IS NULL THEN 'only_source' WHEN s.n IS NULL THEN 'only_target'
-              WHEN {every} THEN 'match' ELSE 'mismatch' END AS status
+              WHEN s.bag IS NOT DISTINCT FROM t.bag THEN 'match' ELSE 'mismatch' END AS status
   FROM s1 s FULL JOIN t1 t ON {null_safe("s", "t", keys)})
 """
 

@@ -12,8 +12,10 @@ from twincheck.operators.counts import multiset_differences
 from twincheck.operators.hashkeys import with_shared_hash_key
 from twincheck.operators.positions import compare_positions
 from twincheck.operators.prune import compare_pruned
+from twincheck.plans.pair import content_comparison
 from twincheck.session import scratch_folder
 from twincheck.sinks.exports import export_csv
+from twincheck.sources.config import PairSpec
 from twincheck.sources.csvfiles import read_csv
 from workload import frames as w
 from workload import oracle_parts as o
@@ -152,6 +154,31 @@ def compare_duplicate_keys(spark, sf_dir):
     )
 
 
+REPEATED_CLS = o.classified(w.REPEATED_SQL, w.LINE_KEY, w.LINE_VALUES)
+
+
+@query(
+    "compare_repeated_rows",
+    REPEATED_CLS + "SELECT l_orderkey, l_linenumber, status, source_rows, target_rows FROM cls",
+)
+def compare_repeated_rows(spark, sf_dir):
+    rows = compare_rows(*w.repeated_pair(spark, sf_dir), w.LINE_KEY).rows
+    return rows.selectExpr("l_orderkey", "l_linenumber", "row_status AS status", "source_rows", "target_rows")
+
+
+@query(
+    "content_compare_keyless",
+    f"""WITH {w.REPEATED_SQL},
+    s AS (SELECT *, count(*) AS n FROM src GROUP BY ALL), t AS (SELECT *, count(*) AS n FROM tgt GROUP BY ALL)
+    SELECT count(*) FILTER (t.n IS NULL) AS only_source_keys, count(*) FILTER (s.n IS NULL) AS only_target_keys,
+      count(*) FILTER (s.n <> t.n) AS mismatched_keys, count(*) FILTER (s.n = t.n) AS matched_keys
+    FROM s FULL JOIN t ON {o.null_safe("s", "t", [*w.LINE_KEY, *w.LINE_VALUES])}""",
+)
+def content_compare_keyless(spark, sf_dir):
+    compared = content_comparison(*w.repeated_pair(spark, sf_dir), PairSpec("s", "t", "TABLE"))
+    return compared.metrics().select("only_source_keys", "only_target_keys", "mismatched_keys", "matched_keys")
+
+
 @query(
     "pruned_differences",
     LINES_CLS

@@ -219,10 +219,10 @@ def type_mapping(spark, sf_dir):
 @query(
     "type_to_ddl",
     f"""WITH {w.CATALOG_SQL}, items AS (
-        SELECT schema_name, table_name, column_name, column_position, CASE data_type
-          WHEN 'NUMBER' THEN 'decimal(' || numeric_precision || ',' || numeric_scale || ')'
-          WHEN 'TEXT' THEN 'string' WHEN 'TIME' THEN 'string' WHEN 'TIMESTAMP_NTZ' THEN 'timestamp_ntz'
-          WHEN 'TIMESTAMP_TZ' THEN 'timestamp' WHEN 'DATE' THEN 'date' WHEN 'FLOAT' THEN 'double' END AS spark_type
+        SELECT schema_name, table_name, column_name, column_position,
+          if(data_type = 'NUMBER', 'decimal(' || numeric_precision || ',' || numeric_scale || ')',
+             MAP {{'TEXT': 'string', 'TIME': 'string', 'TIMESTAMP_NTZ': 'timestamp_ntz', 'TIMESTAMP_TZ': 'timestamp',
+                   'DATE': 'date', 'FLOAT': 'double'}}[data_type]) AS spark_type
         FROM src)
       SELECT schema_name AS "SCHEMA_NAME", table_name AS "TABLE_NAME",
         coalesce(string_agg('`' || column_name || '` ' || spark_type, ', ' ORDER BY column_position)
