@@ -56,10 +56,13 @@ def _least(grams: str, window: int) -> str:
 
 
 def _placed(grams: str, window: int) -> str:
-    """SQL for the distinct (print, back) of all windows; back is minus the place of the least hash's last occurrence."""
+    """SQL for the (print, back) of all windows; back is minus the place of the least hash's last occurrence.
+
+    Neighbouring windows often share them. array_distinct() would compare structs pair by pair, so they stay.
+    """
     return (
-        f"CASE WHEN size({grams}) >= {window} THEN array_distinct(transform(sequence(0, size({grams}) - {window}),"
-        f" i -> array_min(transform(sequence(i, i + {window - 1}), j -> struct(get({grams}, j) AS print, -j AS back)))))"
+        f"CASE WHEN size({grams}) >= {window} THEN transform(sequence(0, size({grams}) - {window}),"
+        f" i -> array_min(transform(sequence(i, i + {window - 1}), j -> struct(get({grams}, j) AS print, -j AS back))))"
         " ELSE cast(array() AS array<struct<print: bigint, back: int>>) END"
     )
 
@@ -115,8 +118,11 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, rule: Winnowing =
                 + " END"
             ),
         )
-        .select("item_id", "digest", F.explode("kept").alias("kept"))
-        .selectExpr("item_id", "digest", "kept.print", "-kept.back AS item_at"),
+        # explode() would let Spark infer a filter on the array's size, which computes all its parts once for each word.
+        .select("item_id", "digest", F.explode_outer("kept").alias("kept"))
+        .filter("kept IS NOT NULL")
+        .selectExpr("item_id", "digest", "kept.print", "-kept.back AS item_at")
+        .distinct(),
         "item-prints",
     )
 
@@ -133,16 +139,16 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, rule: Winnowing =
         .agg(F.max("found").alias("found")),
         "marked",
     )
+    # A table of its own has a known size, by which Spark chooses the join.
+    wanted = scratch.save(marked.filter("found = 1").select("doc_id", "digest"), "wanted")
     candidates = scratch.save(
-        split.alias("d")
-        .join(marked.filter("found = 1").select("doc_id", "digest").alias("c"), _same("d", "c", "doc_id"), "left_semi"),
-        "candidates",
+        split.alias("d").join(wanted.alias("c"), _same("d", "c", "doc_id"), "left_semi"), "candidates"
     )
     doc_prints = _with_grams(candidates, sizes).select(
         "doc_id",
         "digest",
-        F.explode(F.expr("concat(" + ", ".join(_placed(f"g{k}", window) for k, window in windows) + ")")).alias("kept"),
-    )
+        F.explode_outer(F.expr("concat(" + ", ".join(_placed(f"g{k}", window) for k, window in windows) + ")")).alias("kept"),
+    ).filter("kept IS NOT NULL")
     aligned = (
         doc_prints.selectExpr("doc_id", "digest", "kept.print AS print", "-kept.back AS doc_at")
         .join(item_prints.withColumnRenamed("digest", "item_digest"), "print")
