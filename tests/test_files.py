@@ -8,6 +8,7 @@ from twincheck.operators.filepairs import pair_files, unpaired_files
 from twincheck.operators.positions import compare_positions, with_row_index
 from twincheck.plans.drop import validate_drop
 from twincheck.session import ensure_checkpoint_dir, scratch_folder
+from twincheck.sinks.exports import export_csv, read_export
 from twincheck.sources.csvfiles import read_csv
 from twincheck.sources.dropfolder import archive_lines, list_files, read_staged_csv, stage_archives
 from twincheck.streaming.arrivals import record_arrivals
@@ -124,6 +125,42 @@ def test_drop_folder(spark, tmp_path):
     assert [r["stem"] for r in later.collect()] == ["lonely"] and unpaired.isEmpty()
 
 
+def test_many_pairs_in_parallel_redelivery_and_clashes(spark, tmp_path):
+    drop, out, ledger = tmp_path / "drop", str(tmp_path / "out"), str(tmp_path / "ledger")
+    for folder in ("a", "b"):
+        (drop / folder).mkdir(parents=True)
+        for i in range(8):
+            write(drop / folder / f"p{i}_td.csv", ["1,x", f"2,{folder}"], "id,v" if folder == "a" else "id,w")
+            write(drop / folder / f"p{i}_sf.csv", ["1,x", "2,a"], "id,v" if folder == "a" else "id,w")
+    for archive in ("one.zip", "two.zip"):
+        make_archive(drop / "a", archive, {"m_td.csv": "id\n1\n", "m_sf.csv": "id\n1\n"})
+    summary, _ = validate_drop(spark, str(drop), out, ledger, parallel=8)
+    found = {(r["folder"][-1], r["stem"]): (r["verdict"], r["mismatched_rows"]) for r in summary.collect()}
+    assert found == {
+        **{("a", f"p{i}"): ("MATCH", 0) for i in range(8)},
+        **{("b", f"p{i}"): ("MISMATCH", 1) for i in range(8)},
+        ("a", "m"): ("UNKNOWN", None),
+    }
+    assert spark.read.parquet(ledger).count() == 32
+    written = spark.read.option("header", True).csv(out + "/*/differences")
+    assert written.groupBy("diff_pair").count().count() == 8
+    # Ragged rows and a redelivered pair of the same names.
+    write(drop / "a" / "p3_td.csv", ["1,x", "2,a", "3,c"])
+    write(drop / "a" / "p3_sf.csv", ["1,x", "2,a,EXTRA", "3,c"])
+    again, _ = validate_drop(spark, str(drop), out, ledger, parallel=4)
+    found = {r["stem"]: (r["verdict"], r["mismatched_rows"]) for r in again.collect()}
+    assert found == {"p3": ("MISMATCH", 1), "m": ("UNKNOWN", None)}
+
+
+def test_csv_cells_survive_a_round_trip(spark, tmp_path):
+    texts = ['say "hi"', "back\\", 'both \\"', "two\nlines", " padded ", "a,b", ""]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id int, v string")
+    export_csv(frame, str(tmp_path / "e"), single_file=True)
+    assert {int(r["id"]): r["v"] or "" for r in read_export(spark, str(tmp_path / "e")).collect()} == dict(enumerate(texts))
+    reread = read_csv(spark, str(tmp_path / "e"), multi_line=True).collect()
+    assert {int(r["id"]): r["v"].strip() for r in reread} == {i: t.strip() for i, t in enumerate(texts)}
+
+
 def test_a_failing_pair_is_reported_and_tried_again(spark, tmp_path, monkeypatch):
     drop, out, ledger = tmp_path / "drop", str(tmp_path / "out"), str(tmp_path / "ledger")
     drop.mkdir()
@@ -182,7 +219,8 @@ def test_listing_reads_no_content(spark, tmp_path):
 class _Session:
     """Just the settings of a session."""
 
-    def __init__(self, settings):
+    def __init__(self, settings, master="local[2]"):
+        self.master = master
         self.conf = settings
         self.sparkContext = self
 
@@ -193,5 +231,8 @@ class _Session:
 def test_shared_folder_is_taken_from_the_session(spark):
     assert scratch_folder(_Session({"spark.checkpoint.dir": "hdfs://shared/ck/"}), "x").startswith("hdfs://shared/ck/x-")
     assert scratch_folder(_Session({}), "x").startswith("/tmp/run-")
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            scratch_folder(_Session({}, master), "x")
     ensure_checkpoint_dir(spark)
     assert spark.sparkContext.getCheckpointDir() is not None

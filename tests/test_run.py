@@ -131,7 +131,7 @@ def test_configured_run_with_export(spark, sf_dir, tmp_path):
     assert len(rows) == 3
     by_filter = {(r["SOURCE_FILTER"], r["ERROR"] != ""): r for r in rows}
     drifted = by_filter["", False]
-    assert (drifted["STATUS"], drifted["AGG_STATUS"], drifted["DATA_TYPE_STATUS"]) == ("MISMATCH", "MISMATCH", "MISMATCH")
+    assert (drifted["STATUS"], drifted["AGG_STATUS"], drifted["DATA_TYPE_STATUS"]) == ("MISMATCH", "MISMATCH", "MATCH")
     assert (drifted["SOURCE_ROW_COUNT"], drifted["TARGET_ROW_COUNT"]) == ("1500", "1501")
     assert "REPORT" in by_filter["", True]["ERROR"]
     narrow = by_filter["WHERE o_orderkey < 5", False]

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -272,15 +273,16 @@ class RowComparison:
     def sample(self, size: int = 10, *, statuses: Iterable[str] | None = None) -> DataFrame:
         """First ``size`` rows of every status in key order: status, ``sample_number``, keys and both rows.
 
-        The rank filter is also applied within every task before the exchange, so at most ``size`` rows per status and
-        task are moved.
+        Each status is cut to ``size`` rows by a sort that keeps as many in every task, before they are numbered.
         """
-        rows = self.rows if statuses is None else self.with_status(*statuses)
+        wanted = list(statuses or (MATCHED, DIFFERENT, ONLY_SOURCE, ONLY_TARGET))
         order = ", ".join(f"{key} ASC NULLS FIRST" for key in self._keys)
         number = f"row_number() OVER (PARTITION BY {STATUS} ORDER BY {order}) AS sample_number"
+        keys = [F.col(key).asc_nulls_first() for key in self._keys]
+        parts = [self.with_status(status).orderBy(*keys).limit(int(size)) for status in wanted]
         return (
-            rows.selectExpr(STATUS, *self._keys, SOURCE, TARGET, number)
-            .where(f"sample_number <= {int(size)}")
+            reduce(DataFrame.unionAll, parts)
+            .selectExpr(STATUS, *self._keys, SOURCE, TARGET, number)
             .withColumn("sample_number", F.col("sample_number").cast("bigint"))
         )
 

@@ -57,5 +57,6 @@ def unpaired_files(files: DataFrame, **suffixes: str) -> DataFrame:
 
 
 def unprocessed_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Files whose path is not yet in the ledger of processed ones."""
-    return files.join(ledger.select("path"), "path", "left_anti")
+    """Files that are not yet in the ledger of processed ones, by the columns both have of path, length and modified."""
+    identity = [name for name in ("path", "length", "modified") if name in files.columns and name in ledger.columns]
+    return files.join(ledger.select(*identity), identity, "left_anti")

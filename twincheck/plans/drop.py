@@ -2,16 +2,28 @@
 
 from __future__ import annotations
 
+from hashlib import md5
+
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
-from twincheck.operators.filepairs import base_name, folder_name, pair_files, unpaired_files, unprocessed_files
+from twincheck.functions.sqltext import literal
+from twincheck.operators.filepairs import base_name, folder_name, unprocessed_files
 from twincheck.operators.positions import PositionalComparison, compare_positions
 from twincheck.plans.parallel import run_each
 from twincheck.session import scratch_folder
 from twincheck.sinks.exports import export_csv, export_differences, run_id
 from twincheck.sinks.ledger import read_ledger, record_processed
 from twincheck.sources.csvfiles import read_csv
-from twincheck.sources.dropfolder import ARCHIVE_SUFFIX, archive_errors, list_files, read_staged_csv, stage_archives
+from twincheck.sources.dropfolder import (
+    ARCHIVE_SUFFIX,
+    SOURCE_SUFFIX,
+    TARGET_SUFFIX,
+    archive_errors,
+    list_files,
+    read_staged_csv,
+    stage_archives,
+)
 from twincheck.verdict import MATCH, MISMATCH, UNKNOWN
 
 SUMMARY_SCHEMA = (
@@ -22,19 +34,51 @@ SUMMARY_SCHEMA = (
 
 
 def dropped_files(spark: SparkSession, folder: str, staging: str) -> tuple[DataFrame, DataFrame | None]:
-    """``path, read_path`` of loose and of archived CSV files, and the errors of unreadable archives.
+    """All loose and archived CSV files, and the errors of unreadable archives.
 
-    A loose file hides an archived one of the same name.
+    Columns: ``place`` (where the file lies, or would lie beside its archive), ``read_path``, and its identity: ``path``
+    (of a member: archive, exclamation mark, member), ``length`` and ``modified`` (of a member: its archive's).
     """
-    loose = list_files(spark, folder, ".csv").selectExpr("path", "path AS read_path")
-    if list_files(spark, folder, ARCHIVE_SUFFIX).isEmpty():
+    loose = list_files(spark, folder, ".csv").selectExpr(
+        "path AS place", "path AS read_path", "path", "length", "modificationTime AS modified"
+    )
+    archives = list_files(spark, folder, ARCHIVE_SUFFIX)
+    if archives.isEmpty():
         return loose, None
-    archived = stage_archives(spark, folder, staging)
-    return loose.unionByName(archived.join(loose, "path", "left_anti")), archive_errors(spark, staging)
+    staged = stage_archives(spark, folder, staging).withColumnRenamed("path", "place")
+    archived = staged.join(archives.withColumnRenamed("path", "archive"), "archive").selectExpr(
+        "place", "read_path", "concat(archive, '!', member) AS path", "length", "modificationTime AS modified"
+    )
+    return loose.unionByName(archived), archive_errors(spark, staging)
+
+
+def _sides(files: DataFrame) -> DataFrame:
+    """``folder, stem`` of all extracts with, for each side, how many files there are, one of them, and all paths."""
+    name = base_name("place")
+
+    def side(suffix: str, is_source: bool) -> DataFrame:
+        return files.where(f"endswith(place, {literal(suffix)})").selectExpr(
+            f"{folder_name('place')} AS folder",
+            f"left({name}, length({name}) - {len(suffix)}) AS stem",
+            f"{str(is_source).lower()} AS is_source",
+            "struct(path, length, modified, read_path) AS file",
+        )
+
+    both = side(SOURCE_SUFFIX, True).unionAll(side(TARGET_SUFFIX, False))
+    return both.groupBy("folder", "stem").agg(
+        *[
+            F.expr(f"{what} FILTER (WHERE {where}) AS {label}_{name}")
+            for label, where in (("source", "is_source"), ("target", "NOT is_source"))
+            for name, what in (("files", "count(1)"), ("file", "max(file)"))
+        ],
+        F.expr("array_sort(collect_list(file.path)) AS paths"),
+    )
 
 
 def _read_extract(spark: SparkSession, path: str, read_path: str) -> DataFrame:
-    return read_csv(spark, path) if path == read_path else read_staged_csv(spark, read_path)
+    return read_csv(spark, path, extra_cells=True) if path == read_path else read_staged_csv(
+        spark, read_path, extra_cells=True
+    )
 
 
 def _summary_row(folder: str, stem: str, compared: PositionalComparison, metrics: dict[str, int]) -> tuple:
@@ -64,40 +108,48 @@ def validate_drop(
     """Compare every new file pair by row position, export its differences, and enter it in the ledger.
 
     Returns the summary (one row per pair) and the unpaired files. Only pair names reach the driver; rows stay on the
-    executors. A pair that fails is reported and stays out of the ledger, so the next run takes it up again.
+    executors. Each pair writes to a folder of its own, and the ledger is written once, after all pairs. A pair that
+    fails is reported and stays out of the ledger, so the next run takes it up again. So does a name that several files
+    bear in one folder, archives included: which of them belong together is not known.
     """
     run = run_id()
     found, broken = dropped_files(spark, folder, staging or scratch_folder(spark, "archives"))
     files = unprocessed_files(found, read_ledger(spark, ledger))
-    places = files.select("path", "read_path")
-    pairs = (
-        pair_files(files)
-        .join(places.toDF("source_path", "source_read"), "source_path")
-        .join(places.toDF("target_path", "target_read"), "target_path")
-        .orderBy("folder", "stem")
-    )
+    sides = _sides(files)
+    pairs = sides.where("source_files > 0 AND target_files > 0").orderBy("folder", "stem")
+    done: list[tuple] = []
 
     def one(pair: Row) -> tuple:
         try:
+            if pair["source_files"] > 1 or pair["target_files"] > 1:
+                raise ValueError(f"several files of one name: {', '.join(pair['paths'])}")
+            source, target = pair["source_file"], pair["target_file"]
             compared = compare_positions(
-                _read_extract(spark, pair["source_path"], pair["source_read"]),
-                _read_extract(spark, pair["target_path"], pair["target_read"]),
+                _read_extract(spark, source["path"], source["read_path"]),
+                _read_extract(spark, target["path"], target["read_path"]),
             )
-            differences = f"{output}/{run}/differences"
+            name = md5(f"{pair['folder']}/{pair['stem']}".encode()).hexdigest()
             metrics = export_differences(
-                compared.rows, differences, table=pair["stem"], check="file", compression="none"
+                compared.rows,
+                f"{output}/{run}/differences/diff_pair={name}",
+                table=pair["stem"],
+                check="file",
+                compression="none",
             )
-            record_processed(spark, ledger, [pair["source_path"], pair["target_path"]], run)
+            done.extend((file["path"], file["length"], file["modified"]) for file in (source, target))
             return _summary_row(pair["folder"], pair["stem"], compared, metrics)
         except Exception as error:  # one unreadable pair must not hide the others
             return _failed_row(pair["folder"], pair["stem"], f"{type(error).__name__}: {error}")
 
     rows = run_each(spark, one, pairs.toLocalIterator(), parallel)
+    record_processed(spark, ledger, done, run)
     if broken is not None:
         named = broken.selectExpr(f"{folder_name('archive')} AS folder", f"{base_name('archive')} AS name", "error")
         rows += [_failed_row(*archive) for archive in named.toLocalIterator()]
     summary = spark.createDataFrame(rows, SUMMARY_SCHEMA)
-    unpaired = unpaired_files(files).selectExpr("side", "path", f"{base_name('path')} AS name")
+    unpaired = sides.where("source_files = 0 OR target_files = 0").selectExpr(
+        "if(target_files = 0, 'source', 'target') AS side", "explode(paths) AS path"
+    ).selectExpr("side", "path", "regexp_extract(path, '([^/!]*)$', 1) AS name")
     export_csv(summary, f"{output}/{run}/summary", single_file=True)
     export_csv(unpaired, f"{output}/{run}/unpaired", single_file=True)
     return summary, unpaired

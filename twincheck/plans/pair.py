@@ -127,7 +127,7 @@ def plan_pair(
     if (ROW_COUNT in selected and CONTENT not in selected) or (CONTENT in selected and prune):
         planned["row_counts"] = compare_given_counts(*counts) if counts else compare_row_counts(source, target)
     if DATA_TYPE in selected and catalogs is not None:
-        planned["types"] = compare_catalogs(*catalogs)
+        planned["types"] = compare_catalogs(*catalogs, one_table=True)
     if AGGREGATION in selected and requests:
         values = [r for r in requests if r.function != "COUNT"]
         counted = [r.column for r in requests if r.function == "COUNT"]

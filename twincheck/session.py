@@ -17,14 +17,18 @@ def _configured_folder(spark: SparkSession) -> str | None:
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable, without overriding a folder that is already set."""
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(_configured_folder(spark) or _local_folder())
+        spark.sparkContext.setCheckpointDir(_configured_folder(spark) or _local_folder(spark))
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder that every executor can reach. Only sessions without the setting get a local one."""
     base = _configured_folder(spark)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}" if base else f"{_local_folder()}/{label}"
+    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}" if base else f"{_local_folder(spark)}/{label}"
 
 
-def _local_folder() -> str:
+def _local_folder(spark: SparkSession) -> str:
+    """A folder of this machine, where all of the session runs on it; on a cluster other machines would not see it."""
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all machines share")
     return tempfile.mkdtemp(prefix="run-", dir="/tmp")

@@ -51,8 +51,8 @@ def export_csv(df: DataFrame, folder: str, *, compression: str = "none", single_
 
 
 def read_export(spark: SparkSession, folder: str) -> DataFrame:
-    """An exported folder as text columns."""
-    return spark.read.options(**CSV_OPTIONS).csv(folder)
+    """An exported folder as text columns, cells with line breaks included."""
+    return spark.read.options(**CSV_OPTIONS, multiLine=True).csv(folder)
 
 
 def flat_differences(comparison: RowComparison, rows: DataFrame | None = None) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.utils import AnalysisException
 
-LEDGER_SCHEMA = "path string, run_id string"
+# A file that is delivered again under its name differs in length or time, and is a new file.
+LEDGER_SCHEMA = "path string, length bigint, modified timestamp, run_id string"
 
 
 def read_ledger(spark: SparkSession, folder: str) -> DataFrame:
@@ -18,7 +19,8 @@ def read_ledger(spark: SparkSession, folder: str) -> DataFrame:
         return spark.createDataFrame([], LEDGER_SCHEMA)
 
 
-def record_processed(spark: SparkSession, folder: str, paths: list[str], run: str) -> None:
-    """Append the files of one finished pair."""
-    entries = spark.createDataFrame([(path, run) for path in paths], LEDGER_SCHEMA)
-    entries.coalesce(1).write.mode("append").parquet(folder)
+def record_processed(spark: SparkSession, folder: str, files: list[tuple], run: str) -> None:
+    """Append the files (path, length, modified) of a run's finished pairs, in one file."""
+    if files:
+        entries = spark.createDataFrame([(*file, run) for file in files], LEDGER_SCHEMA)
+        entries.coalesce(1).write.mode("append").parquet(folder)

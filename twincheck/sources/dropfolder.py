@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twincheck.functions.sqltext import alias, literal
+from twincheck.sources.csvfiles import EXTRA_CELLS, EXTRA_COLUMN
 
 # Endings of the two extracts of a pair and of archives.
 SOURCE_SUFFIX = "_td.csv"
@@ -33,7 +34,8 @@ def archive_lines(spark: SparkSession, folder: str) -> DataFrame:
     """``archive, member, line_number, line`` of every file in the zip archives below ``folder``.
 
     An archive is unpacked by one task (zip is not splittable) and its members are streamed line by line. Line ends
-    are removed, a carriage return stays. An unreadable archive adds one row with line number -1 and the error text.
+    are removed, a carriage return stays. Bytes that are no UTF-8 become escapes such as ``\\xff``, different ones
+    different text. An unreadable archive adds one row with line number -1 and the error text.
     """
     schema = "archive string, member string, line_number bigint, line string"
     lines_per_batch, error_line = _LINES_PER_BATCH, ERROR_LINE
@@ -42,6 +44,7 @@ def archive_lines(spark: SparkSession, folder: str) -> DataFrame:
         import io
         import itertools
         import zipfile
+        import zlib
 
         import pandas as pd
 
@@ -53,8 +56,9 @@ def archive_lines(spark: SparkSession, folder: str) -> DataFrame:
                             continue
                         with archive.open(entry) as stream:
                             for number, line in enumerate(stream):
-                                yield path, entry.filename, number, line.rstrip(b"\n").decode("utf-8", "replace")
-            except (zipfile.BadZipFile, zipfile.LargeZipFile, EOFError, NotImplementedError, RuntimeError) as error:
+                                yield path, entry.filename, number, line.rstrip(b"\n").decode("utf-8", "backslashreplace")
+            except (zipfile.BadZipFile, zipfile.LargeZipFile, zlib.error, EOFError, OSError, ValueError,
+                    NotImplementedError, RuntimeError) as error:
                 yield path, "", error_line, f"{type(error).__name__}: {error}"
 
         for batch in batches:
@@ -75,8 +79,8 @@ def archive_lines(spark: SparkSession, folder: str) -> DataFrame:
 def stage_archives(spark: SparkSession, folder: str, staging: str) -> DataFrame:
     """Unpack every archive once into a table of lines below ``staging``; the archives stay untouched.
 
-    Returns ``path, read_path``: the path a member would have as a loose file beside its archive, and the folder that
-    holds its lines. Members of an archive that could not be read to the end are left out; see ``archive_errors``. A
+    Returns ``path, read_path, archive, member``: the path a member would have as a loose file beside its archive, the
+    folder that holds its lines, and where it is. Members of an archive that could not be read to the end are left out; see ``archive_errors``. A
     folder is written by one task in line order and is read by as many tasks as its size asks for.
     """
     ids = ["archive_id", "member_id"]
@@ -89,6 +93,8 @@ def stage_archives(spark: SparkSession, folder: str, staging: str) -> DataFrame:
     return members.selectExpr(
         "concat(regexp_extract(archive, '^(.*)/[^/]*$', 1), '/', member) AS path",
         f"concat({literal(staging)}, '/archive_id=', archive_id, '/member_id=', member_id) AS read_path",
+        "archive",
+        "member",
     )
 
 
@@ -107,12 +113,19 @@ def _header_names(line: str, delimiter: str) -> list[str]:
     ]
 
 
-def read_staged_csv(spark: SparkSession, read_path: str, *, delimiter: str = ",") -> DataFrame:
-    """A staged member as an all-text CSV scan in line order; the first line names the columns."""
+def read_staged_csv(
+    spark: SparkSession, read_path: str, *, delimiter: str = ",", extra_cells: bool = False
+) -> DataFrame:
+    """A staged member as an all-text CSV scan in line order; the first line names the columns. See ``read_csv``."""
     lines = spark.read.parquet(read_path)
     header = lines.where("line_number = 0").select("line").head()["line"]
     names = _header_names(header.rstrip("\r"), delimiter)
-    schema = ", ".join(f"c{i} string" for i in range(len(names)))
+    cells = len(names) + EXTRA_CELLS
+    schema = ", ".join(f"c{i} string" for i in range(cells))
     filled = lines.where("line_number > 0").selectExpr("rtrim('\\r', line) AS text").where("text <> ''")
-    parsed = filled.select(F.from_csv("text", schema, {"sep": delimiter}).alias("row"))
-    return parsed.selectExpr(*[alias(f"coalesce(row.c{i}, '')", name) for i, name in enumerate(names)])
+    parsed = filled.select(F.from_csv("text", schema, {"sep": delimiter, "escape": '"'}).alias("row"))
+    extra = ", ".join(f"row.c{i}" for i in range(len(names), cells))
+    return parsed.selectExpr(
+        *[alias(f"coalesce(row.c{i}, '')", name) for i, name in enumerate(names)],
+        *([alias(f"concat_ws('{delimiter}', {extra})", EXTRA_COLUMN)] if extra_cells else []),
+    )
