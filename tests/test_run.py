@@ -1,6 +1,7 @@
 """Whole runs: one pair, many pairs, a configuration, exports."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from twincheck.operators.compare import compare_rows
 from twincheck.plans.pair import (
@@ -208,3 +209,35 @@ def test_csv_export(spark, tmp_path):
     with pytest.raises(ValueError):
         export_csv(df, str(tmp_path / "f"), compression="zip")
     assert len(run_id()) == 24
+
+
+def test_every_selected_check_is_reported(spark, tmp_path):
+    from twincheck.plans.pair import BUSINESS, ETL_AUDIT, FILES, FUTURE_DATES, BusinessQuery, LoadAudit, check_report, plan_pair
+    from twincheck.plans.run import export_pair
+    from twincheck.sources.config import PairSpec
+
+    source = spark.sql("SELECT id AS k, date_add(DATE '2020-01-01', cast(id AS int)) AS d, id % 3 AS v FROM range(50)")
+    target = source.where("k <> 7").withColumn("v", F.expr("if(k = 9, 99, v)"))
+    spec = PairSpec("s.t", "d.t", keys=("K",))
+    bare = {r["check_name"]: r["status"] for r in check_report(plan_pair(source, target, spec)).collect()}
+    assert {bare[name] for name in (BUSINESS, ETL_AUDIT, FILES, FUTURE_DATES)} == {"UNKNOWN"}
+    audit = spark.sql(
+        "SELECT 'T' AS source_table_name, '' AS start_time, 1 AS load_count, 'full' AS load_type, '' AS extract_query,"
+        " 'j' AS job_name, 'SUCCESS' AS status"
+    )
+    inventory = spark.sql("SELECT 'j' AS job_name, 'w' AS wf_name")
+    queries = [
+        BusinessQuery("total", "SELECT 1 AS one, sum(V) AS s FROM {source}", "SELECT 1 AS one, sum(V) AS s FROM {target}", ("one",)),
+        BusinessQuery("same", "SELECT max(K) AS m FROM {source}", "SELECT max(K) AS m FROM {target}", ("m",)),
+    ]
+    checks = plan_pair(
+        source, target, spec, cutoff="2020-01-05", business=queries, audit=LoadAudit(audit, inventory, "w")
+    )
+    found = {(r["check_name"], r["item"]): r["status"] for r in check_report(checks).collect()}
+    assert found[(FUTURE_DATES, "")] == "MISMATCH" and found[(ETL_AUDIT, "")] == "MATCH"
+    assert (found[(BUSINESS, "total")], found[(BUSINESS, "same")]) == ("MISMATCH", "MATCH")
+    export_pair(checks, str(tmp_path / "out"))
+    sample = read_export(spark, str(tmp_path / "out" / "samples" / "d.t")).collect()
+    assert {(r["diff_status"], r["K"]) for r in sample} == {("only_source", "7"), ("mismatch", "9")}
+    metrics = {r["metric"]: r["value"] for r in read_export(spark, str(tmp_path / "out" / "metrics" / "d.t" / "content")).collect()}
+    assert metrics["mismatched_keys"] == "1" and "s.t" in metrics["source_query"]

@@ -6,13 +6,14 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from twincheck.functions.columns import impose_schema, trim_strings, upper_names
 from twincheck.functions.comparability import EXACT, Tolerance
 from twincheck.functions.hashing import HASH_COLUMN
 from twincheck.functions.sqltext import array, literal, struct
 from twincheck.operators.aggregates import aggregate_requests, aggregate_verdict, compare_aggregates
+from twincheck.operators.audit import compare_queries, date_columns, future_dates, successful_loads
 from twincheck.operators.catalog import compare_catalogs
 from twincheck.operators.compare import NO_DIFFERENCE, RowComparison, compare_rows, verdict_of_metrics
 from twincheck.operators.counts import compare_frequencies, compare_given_counts, compare_row_counts
@@ -78,6 +79,28 @@ class PairChecks:
     frequencies: DataFrame | None = None
     aggregate_verdict: DataFrame | None = None
     content: RowComparison | None = None
+    future: RowComparison | None = None
+    business: tuple[tuple[str, RowComparison], ...] = ()
+    loads: DataFrame | None = None
+
+
+@dataclass(frozen=True)
+class BusinessQuery:
+    """One query for each side, naming its prepared tables as ``{source}`` and ``{target}``, compared on ``keys``."""
+
+    name: str
+    source: str
+    target: str
+    keys: tuple[str, ...]
+
+
+@dataclass(frozen=True)
+class LoadAudit:
+    """Audit rows, the inventory of jobs, and the workflow whose loads must have succeeded."""
+
+    audit: DataFrame
+    inventory: DataFrame
+    workflow: str
 
 
 def prepare(source: DataFrame, target: DataFrame, spec: PairSpec) -> tuple[DataFrame, DataFrame]:
@@ -111,12 +134,17 @@ def plan_pair(
     counts: tuple[DataFrame, DataFrame] | None = None,
     tolerance: Tolerance = EXACT,
     prune: bool = False,
+    cutoff: str | None = None,
+    business: Iterable[BusinessQuery] = (),
+    audit: LoadAudit | None = None,
 ) -> PairChecks:
     """Plan the selected checks over two loaded tables. Nothing runs yet.
 
     ``counts`` are one-row frames with the row counts, where the systems count themselves; they are used unless the
     content check yields the counts anyway.
     ``prune`` suits large copies with few differences: equal parts are recognised by digests and never shuffled.
+    ``cutoff`` (a date), ``business`` and ``audit`` feed the checks of future dates, business queries and loads; a
+    selected check without its input is reported as UNKNOWN by :func:`check_report`.
     """
     selected = select_checks(checks)
     left, right = prepare(source, target, spec)
@@ -142,9 +170,56 @@ def plan_pair(
         if counted:
             planned["frequencies"] = compare_frequencies(left, right, counted)
         planned["aggregate_verdict"] = aggregate_verdict(left, right, requests, tolerance=tolerance)
+    if FUTURE_DATES in selected and cutoff is not None and date_columns(left) and date_columns(right):
+        planned["future"] = compare_rows(future_dates(left, cutoff), future_dates(right, cutoff), ["column_name"])
+    if BUSINESS in selected:
+        spark = source.sparkSession
+        tables = {"source": left, "target": right}
+        planned["business"] = tuple(
+            (q.name, compare_queries(spark, q.source, q.target, q.keys, tables=tables, tolerance=tolerance))
+            for q in business
+        )
+    if ETL_AUDIT in selected and audit is not None:
+        own = f"upper(trim(source_table_name)) = {literal(spec.source_table.split('.')[-1].strip().upper())}"
+        planned["loads"] = successful_loads(audit.audit, audit.inventory, audit.workflow).where(own)
     return PairChecks(spec=spec, selected=selected, pruned=prune, **planned)
 
 
+def check_report(checks: PairChecks) -> DataFrame:
+    """One row for each selected check and business query that the summary has no column for: ``check_name, item,
+    status, reason``. What was selected but could not run is UNKNOWN, with the reason; nothing selected vanishes.
+
+    Loads MATCH if the table was loaded at least once with success. File pairs belong to the drop folder.
+    """
+    reported = []
+
+    def row(name: str, item: str, status: str, reason: str = "''") -> str:
+        return struct({"check_name": literal(name), "item": literal(item), "status": status, "reason": reason})
+
+    if checks.future is not None:
+        reported.append(_exploded(checks.future.verdict(), row(FUTURE_DATES, "", "verdict", "reason")))
+    for name, compared in checks.business:
+        reported.append(_exploded(compared.verdict(), row(BUSINESS, name, "verdict", "reason")))
+    if checks.loads is not None:
+        loads = checks.loads.selectExpr("count(1) AS n")
+        reported.append(_exploded(loads, row(ETL_AUDIT, "", verdict_text("n > 0"))))
+    missing = {
+        FUTURE_DATES: (checks.future is None, "no cutoff, or no date column on both sides"),
+        BUSINESS: (not checks.business, "no business query given"),
+        ETL_AUDIT: (checks.loads is None, "no load audit given"),
+        FILES: (True, "file pairs are compared by the drop folder run"),
+        DATA_TYPE: (checks.types is None, "no catalogs given"),
+        AGGREGATION: (checks.aggregate_verdict is None, "no aggregate requested"),
+    }
+    unknown = [
+        (name, "", UNKNOWN, reason) for name, (lacking, reason) in missing.items() if name in checks.selected and lacking
+    ]
+    schema = "check_name string, item string, status string, reason string"
+    if unknown or not reported:
+        reported.append(SparkSession.active().createDataFrame(unknown, schema))
+    return reduce(DataFrame.unionAll, reported)
+
+
 def _check_row(name: str, status: str, *, counted: bool = False) -> str:
     missing = "cast(NULL AS bigint)"
     return struct(

@@ -11,12 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from twincheck.functions.sqltext import quote
 from twincheck.operators.catalog import catalog_of, reader_schemas
+from twincheck.operators.compare import DIFFERENT, ONLY_SOURCE, ONLY_TARGET, SOURCE, STATUS, TARGET
 from twincheck.plans.pair import (
     ALL_CHECKS,
     STATUS_COLUMNS,
     SUMMARY_COLUMNS,
     PairChecks,
+    check_report,
     plan_pair,
     select_checks,
     summarize,
@@ -24,6 +27,7 @@ from twincheck.plans.pair import (
 from twincheck.plans.parallel import run_each
 from twincheck.sinks.exports import export_csv, export_differences, metric_rows, run_id
 from twincheck.sources.config import ConfigError, PairSpec, active_rows, pair_from_row, parse_config
+from twincheck.sources.tables import TableSpec
 from twincheck.verdict import UNKNOWN
 
 ERROR_COLUMN = "ERROR"
@@ -115,8 +119,11 @@ def plan_from_systems(
     return plan_pair(source, target, spec, checks, catalogs=(source_catalog, target_catalog), **options)
 
 
-def export_pair(checks: PairChecks, folder: str, *, compression: str = "gzip") -> dict[str, dict[str, int]]:
-    """Write every difference class, the aggregate details and the metrics of one pair below ``folder``.
+def export_pair(
+    checks: PairChecks, folder: str, *, compression: str = "gzip", sample_size: int = 10
+) -> dict[str, dict[str, int]]:
+    """Write every difference class, the first ``sample_size`` rows of each, the aggregate details, the metrics and the
+    other selected checks of one pair below ``folder``.
 
     Returns the observed metrics of the row comparisons, so the summary needs no second pass.
     """
@@ -132,11 +139,34 @@ def export_pair(checks: PairChecks, folder: str, *, compression: str = "gzip") -
         # Column mismatch counts are named after their column in the report.
         names = {f"_mismatched_{i}": f"mismatched {name}" for i, name in enumerate(comparison.pairing.columns)}
         named = {names.get(metric, metric): value for metric, value in observed[check].items()}
-        export_csv(
-            metric_rows(_one_row(spark, named), table=table, check=check),
-            f"{folder}/metrics/{table}/{check}",
-            single_file=True,
+        reported = metric_rows(_one_row(spark, named), table=table, check=check)
+        if check == "content":
+            spec = checks.spec
+            sql = [
+                ("source_query", TableSpec(spec.source_table, spec.source_columns, spec.source_filter).query),
+                ("target_query", TableSpec(spec.target_table, spec.target_columns, spec.target_filter).query),
+            ]
+            texts = [(table, check, name, text) for name, text in sql]
+            reported = reported.unionAll(spark.createDataFrame(texts, reported.schema))
+        export_csv(reported, f"{folder}/metrics/{table}/{check}", single_file=True)
+    if checks.content is not None and sample_size:
+        statuses = [DIFFERENT, ONLY_SOURCE, ONLY_TARGET]
+        sample = checks.content.sample(sample_size, statuses=statuses)
+        flat = sample.selectExpr(
+            f"{STATUS} AS diff_status",
+            "sample_number",
+            *[quote(key) for key in checks.content.pairing.keys],
+            f"to_json({SOURCE}) AS source_row",
+            f"to_json({TARGET}) AS target_row",
         )
+        export_csv(flat, f"{folder}/samples/{table}", single_file=True)
+    export_csv(check_report(checks), f"{folder}/checks/{table}", single_file=True)
+    if checks.future is not None:
+        export_csv(checks.future.common(), f"{folder}/future_dates/{table}", single_file=True)
+    if checks.loads is not None:
+        export_csv(checks.loads, f"{folder}/loads/{table}", single_file=True)
+    for name, compared in checks.business:
+        export_csv(metric_rows(compared.metrics(), table=table, check=name), f"{folder}/business/{name}", single_file=True)
     if checks.aggregates is not None:
         export_csv(checks.aggregates, f"{folder}/aggregates/{table}", single_file=True)
     if checks.frequencies is not None:
