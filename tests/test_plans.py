@@ -36,10 +36,20 @@ def test_tables_bucketed_on_the_key_are_not_shuffled(spark, orders, tmp_path):
         spark.sql(f"DROP TABLE {name}")
 
 
-def test_metrics_add_only_a_one_row_exchange(orders):
-    shape = plan(compare_rows(*orders, w.ORDER_KEY).metrics())
-    assert shape.count("Exchange hashpartitioning") == 1
-    assert shape.count("Exchange SinglePartition") == 1
+@pytest.mark.parametrize("report", ["counts", "verdict", "class_counts"])
+def test_counts_move_keys_and_digests_only(orders, report):
+    shape = plan(getattr(compare_rows(*orders, w.ORDER_KEY), report)())
+    assert shape.count("Exchange hashpartitioning") == 1 and shape.count("Exchange SinglePartition") == 1
+    assert "SortAggregate" not in shape and "Join" not in shape
+    exchanged = shape.split("Exchange hashpartitioning")[1].split("\n")[1]
+    assert "HashAggregate" in exchanged and "o_totalprice" not in exchanged
+
+
+def test_column_metrics_agree_with_the_classified_rows(orders):
+    compared = compare_rows(*orders, w.ORDER_KEY)
+    expected = compared.rows.selectExpr(*compared.metric_expressions()).first().asDict()
+    assert compared.metrics().first().asDict() == expected
+    assert compared.key_metrics().first().asDict().items() <= expected.items()
 
 
 def test_skipped_columns_are_not_read(orders):

@@ -192,12 +192,43 @@ def classify(tagged: DataFrame, pairing: Pairing, tolerance: Tolerance = EXACT)
     )
 
 
+def bucket(keys: Sequence[str], buckets: int) -> str:
+    return f"pmod({null_aware_hash(keys, keys, 0)}, {buckets}L) AS _bucket"
+
+
+def digest_keys(source: DataFrame, target: DataFrame, pairing: Pairing) -> DataFrame:
+    """One short row per key: ``_k0..``, the rows of each side, and whether both hold the same rows equally often.
+
+    Only keys and digests travel, combined before the exchange in buffers of fixed width.
+    """
+
+    def side(df: DataFrame, target: bool) -> DataFrame:
+        keys = [alias(key, f"_k{i}") for i, key in enumerate(pairing.key_values(target))]
+        return df.selectExpr(*keys, *row_digests(pairing, target=target))
+
+    sums = digest_sums()
+    counted = {SOURCE_ROWS: "count_if(_sign > 0)", TARGET_ROWS: "count_if(_sign < 0)"} | sums
+    keyed = side(source, False).unionAll(side(target, True)).groupBy(*[f"_k{i}" for i in range(len(pairing.keys))])
+    same = " AND ".join(f"{name} = 0" for name in sums)
+    return keyed.agg(*[F.expr(f"{value} AS {name}") for name, value in counted.items()]).selectExpr(
+        *[f"_k{i}" for i in range(len(pairing.keys))], SOURCE_ROWS, TARGET_ROWS, f"{same} AS _same"
+    )
+
+
+# Differing keys are looked up by as many numbers at most, which bounds what is broadcast.
+DIFFERING_BUCKETS = 1 << 16
+
+
 @dataclass(frozen=True)
 class RowComparison:
-    """A classified pair and the reports derived from it. Every report is a lazy DataFrame."""
+    """A classified pair and the reports derived from it. Every report is a lazy DataFrame.
+
+    With both ``sides`` given, counts and verdicts come from digests by key, without moving whole rows.
+    """
 
     rows: DataFrame
     pairing: Pairing
+    sides: tuple[DataFrame, DataFrame] | None = None
 
     @property
     def _keys(self) -> list[str]:
@@ -288,6 +319,12 @@ class RowComparison:
 
     def class_counts(self) -> DataFrame:
         """Row count of every status that occurs."""
+        if self.sides is not None:
+            names = {ONLY_SOURCE: "only_source_keys", ONLY_TARGET: "only_target_keys", MATCHED: "matched_keys"}
+            names[DIFFERENT] = "mismatched_keys"
+            cells = [struct({STATUS: literal(status), "row_count": name}) for status, name in names.items()]
+            counted = self.key_metrics().selectExpr(f"explode({array(cells)}) AS cell").selectExpr("cell.*")
+            return counted.where("row_count > 0")
         return self.rows.groupBy(STATUS).agg(F.expr("count(1) AS row_count"))
 
     def metric_expressions(self) -> list[str]:
@@ -315,18 +352,51 @@ class RowComparison:
 
     def metrics(self) -> DataFrame:
         """One row of counts, including the mismatch count of every compared column."""
-        return self.rows.selectExpr(*self.metric_expressions())
+        if self.sides is None:
+            return self.rows.selectExpr(*self.metric_expressions())
+        # Whole rows are fetched only where a key of their bucket differs.
+        keyed = digest_keys(*self.sides, self.pairing)
+        names = [f"_k{i}" for i in range(len(self.pairing.keys))]
+        differing = keyed.where(f"NOT _same AND {SOURCE_ROWS} > 0 AND {TARGET_ROWS} > 0")
+        buckets = differing.selectExpr(bucket(names, DIFFERING_BUCKETS)).distinct()
+        tagged = tag_sides(*self.sides, self.pairing).selectExpr("*", bucket(names, DIFFERING_BUCKETS))
+        candidates = tagged.join(F.broadcast(buckets), "_bucket", "left_semi").drop("_bucket")
+        flags = classify(candidates, self.pairing).where(status_is(DIFFERENT))
+        columns = [f"_mismatched_{i}" for i in range(len(self.pairing.columns))]
+        per_column = flags.selectExpr(
+            *[f"count_if(NOT {MATCHES}.{quote(n)}) AS {c}" for c, n in zip(columns, self.pairing.columns)],
+            *(["count(1) AS _none"] if not columns else []),
+        )
+        both = self.key_metrics().unionByName(per_column, allowMissingColumns=True)
+        return both.selectExpr(*[f"max({name}) AS {name}" for name in both.columns if name != "_none"])
+
+    def key_metrics(self) -> DataFrame:
+        """The metrics without those of single columns."""
+        if self.sides is None:
+            return self.metrics().drop(*[f"_mismatched_{i}" for i in range(len(self.pairing.columns))])
+        both = f"{SOURCE_ROWS} > 0 AND {TARGET_ROWS} > 0"
+        return digest_keys(*self.sides, self.pairing).selectExpr(
+            f"count_if({SOURCE_ROWS} > 0) AS source_keys",
+            f"count_if({TARGET_ROWS} > 0) AS target_keys",
+            f"count_if({both}) AS common_keys",
+            f"count_if({both} AND _same) AS matched_keys",
+            f"count_if({both} AND NOT _same) AS mismatched_keys",
+            f"count_if({TARGET_ROWS} = 0) AS only_source_keys",
+            f"count_if({SOURCE_ROWS} = 0) AS only_target_keys",
+            f"coalesce(sum({SOURCE_ROWS}), 0L) AS {SOURCE_ROWS}",
+            f"coalesce(sum({TARGET_ROWS}), 0L) AS {TARGET_ROWS}",
+        )
 
     def counts(self) -> DataFrame:
         """One row: keys and raw rows per side, duplicates, and the size of every difference class."""
-        return count_report(self.metrics())
+        return count_report(self.key_metrics())
 
     def match_rates(self) -> DataFrame:
         """Matched and mismatched keys of every compared column, over the common keys."""
         return match_rate_report(self.metrics(), self.pairing.columns)
 
     def verdict(self) -> DataFrame:
-        return verdict_report(self.metrics())
+        return verdict_report(self.key_metrics())
 
 
 def count_report(metrics: DataFrame) -> DataFrame:
@@ -389,7 +459,9 @@ def compare_rows(
     """Compare two tables on ``keys``; every other shared column is compared unless listed in ``skip``."""
     source, target = (orderable_columns(drop_columns(side, skip)) for side in (source, target))
     pairing = pair_columns(source, target, keys, case_sensitive=case_sensitive)
-    return RowComparison(classify(tag_sides(source, target, pairing), pairing, tolerance), pairing)
+    rows = classify(tag_sides(source, target, pairing), pairing, tolerance)
+    # Digests know no tolerance.
+    return RowComparison(rows, pairing, (source, target) if tolerance.exact else None)
 
 
 def columns_only(source: DataFrame, target: DataFrame, *, case_sensitive: bool = False) -> dict[str, list[str]]:

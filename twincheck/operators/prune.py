@@ -18,12 +18,12 @@ from pyspark.sql import functions as F
 
 from twincheck.functions.columns import drop_columns
 from twincheck.functions.comparability import EXACT, Tolerance, orderable_columns
-from twincheck.functions.hashing import null_aware_hash
 from twincheck.operators.compare import (
     MATCHED,
     STATUS,
     Pairing,
     RowComparison,
+    bucket,
     classify,
     digest_sums,
     pair_columns,
@@ -35,13 +35,9 @@ DEFAULT_BUCKETS = 1 << 16
 MAX_BUCKETS = 1 << 22
 
 
-def _bucket(keys: Sequence[str], buckets: int) -> str:
-    return f"pmod({null_aware_hash(keys, keys, 0)}, {buckets}L) AS _bucket"
-
-
 def _row_digests(df: DataFrame, pairing: Pairing, buckets: int, *, target: bool) -> DataFrame:
     """``_bucket``, a sign and two digests of every row of one side."""
-    return df.selectExpr(_bucket(pairing.key_values(target), buckets), *row_digests(pairing, target=target))
+    return df.selectExpr(bucket(pairing.key_values(target), buckets), *row_digests(pairing, target=target))
 
 
 def unequal_buckets(source: DataFrame, target: DataFrame, pairing: Pairing, buckets: int) -> DataFrame:
@@ -70,7 +66,7 @@ def compare_pruned(
     pairing = pair_columns(source, target, keys)
     changed = unequal_buckets(source, target, pairing, buckets)
     key_names = [f"_k{i}" for i in range(len(pairing.keys))]
-    tagged = tag_sides(source, target, pairing).selectExpr("*", _bucket(key_names, buckets))
+    tagged = tag_sides(source, target, pairing).selectExpr("*", bucket(key_names, buckets))
     candidates = tagged.join(F.broadcast(changed), "_bucket", "left_semi").drop("_bucket")
     rows = classify(candidates, pairing, tolerance).where(f"{STATUS} <> '{MATCHED}'")
     return RowComparison(rows, pairing)

@@ -244,7 +244,7 @@ def check_rows(checks: PairChecks, content_metrics: DataFrame | None = None) ->
     """
     rows = []
     if checks.content is not None:
-        metrics = checks.content.metrics() if content_metrics is None else content_metrics
+        metrics = checks.content.key_metrics() if content_metrics is None else content_metrics
         status = verdict_text(NO_DIFFERENCE) if checks.pruned else verdict_of_metrics()
         cells = [_check_row("DATA_CONTENT_STATUS", status)]
         if ROW_COUNT in checks.selected and not checks.pruned:
@@ -254,7 +254,7 @@ def check_rows(checks: PairChecks, content_metrics: DataFrame | None = None) ->
         name = "ROW_COUNT_STATUS" if ROW_COUNT in checks.selected else _UNREPORTED_COUNT
         rows.append(_exploded(checks.row_counts, _check_row(name, "verdict", counted=True)))
     if checks.types is not None:
-        rows.append(_exploded(checks.types.metrics(), _check_row("DATA_TYPE_STATUS", verdict_of_metrics())))
+        rows.append(_exploded(checks.types.key_metrics(), _check_row("DATA_TYPE_STATUS", verdict_of_metrics())))
     if checks.aggregate_verdict is not None:
         rows.append(_exploded(checks.aggregate_verdict, _check_row("AGG_STATUS", "verdict")))
     return reduce(DataFrame.unionAll, rows) if rows else None
