@@ -180,10 +180,16 @@ def train_language(documents: DataFrame, rule: LanguageRule = LanguageRule()) ->
     df[found.column(0).to_numpy()] = found.column(1).to_numpy()
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
 
+    # About four times the documents wanted of each language go on to the ranking, however many it has. No more
+    # languages than sampled documents can be learned, which bounds the broadcast.
+    named = known.filter("doc_id IS NOT NULL").select("doc_id", "lang")
+    sizes = named.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(rule.sample)
+    drawn = named.join(F.broadcast(sizes), "lang").filter(
+        f"pmod(xxhash64(doc_id), {1 << 31}) < {4 * rule.per_language << 31}L / n"
+    )
     order = "xxhash64(doc_id), doc_id"
     chosen = (
-        known.filter("doc_id IS NOT NULL")
-        .selectExpr("doc_id", "lang", f"row_number() OVER (PARTITION BY lang ORDER BY {order}) AS turn")
+        drawn.selectExpr("doc_id", "lang", f"row_number() OVER (PARTITION BY lang ORDER BY {order}) AS turn")
         .filter(F.col("turn") <= rule.per_language)
         .orderBy("turn", F.xxhash64("doc_id", "lang"), "doc_id", "lang")
         .limit(rule.sample)
