@@ -545,3 +545,27 @@ def business_query_compare(spark, sf_dir):
         "cast(source_row.revenue AS string) AS source_revenue",
         "cast(target_row.revenue AS string) AS target_revenue",
     )
+
+
+@query("csv_roundtrip", "SELECT doc_id, md5(text) AS digest FROM documents")
+def csv_roundtrip(spark, sf_dir):
+    """Texts with quotes, backslashes and line breaks, written as CSV and read again."""
+    folder = f"{scratch_folder(spark, 'csv')}/documents"
+    export_csv(table(spark, sf_dir, "documents").select("doc_id", "text"), folder)
+    return read_csv(spark, folder, multi_line=True).selectExpr("cast(doc_id AS bigint) AS doc_id", "md5(text) AS digest")
+
+
+RENAMED_SQL = f"""{w.CATALOG_SQL},
+one AS (SELECT * FROM src WHERE table_name = 'TAB_0'), other AS (SELECT * FROM tgt WHERE table_name = 'TAB_0')"""
+
+
+@query(
+    "schema_compare_renamed",
+    o.classified(RENAMED_SQL, ["column_name"], w.CATALOG_VALUES, source="one", target="other")
+    + 'SELECT column_name AS "COLUMN_NAME", status FROM cls',
+)
+def schema_compare_renamed(spark, sf_dir):
+    """Types of one table that bears another name in the target."""
+    source, target = (side.where("TABLE_NAME = 'TAB_0'") for side in catalogs(spark, sf_dir))
+    renamed = target.selectExpr("* EXCEPT (SCHEMA_NAME, TABLE_NAME)", "'MOVED' AS SCHEMA_NAME", "'NEW_NAME' AS TABLE_NAME")
+    return compare_catalogs(source, renamed, one_table=True).rows.selectExpr("COLUMN_NAME", "row_status AS status")
