@@ -66,6 +66,18 @@ def test_a_small_filter_keeps_the_frequent(documents, texts, monkeypatch):
     check(score_texts(documents, HELD, Model(filter_bytes=0)).collect(), plain(texts))
 
 
+def test_scores_do_not_depend_on_the_size_of_the_broadcast(documents):
+    whole = sorted(map(tuple, score_texts(documents, HELD).collect()))
+    for filter_bytes in (200_000, 0):
+        assert sorted(map(tuple, score_texts(documents, HELD, Model(filter_bytes=filter_bytes)).collect())) == whole
+
+
+def test_rare_words_and_bigrams_count_in_any_group(frame):
+    documents = frame([(1, "rare pair"), (2, "common " * 200), (10, "rare pair"), (31, "odd other")])
+    scores = {r["doc_id"]: r["score"] for r in score_texts(documents, "doc_id >= 10", Model(filter_bytes=0)).collect()}
+    assert scores[10] == scores[1] > scores[31] + 3
+
+
 def test_edge_cases(frame):
     rows = [(1, None), (2, ""), (3, "A a\tb"), (3, "A a\tb"), (None, "b c"), (10, "x " * 50_000), (31, "q")]
     documents = frame(rows).withColumnRenamed("n_chars", "score")

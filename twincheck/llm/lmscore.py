@@ -25,9 +25,9 @@ SLICE_TOKENS = 1_000_000
 class Model:
     """``probes`` bits for each entry of the filter; ``prior`` tokens of weight for the unigrams in a bigram's estimate.
 
-    Two things are broadcast, each of a fixed size at most. The filter takes ``filter_bytes``: it holds all n-grams that
-    occur ``floor`` times or more, for the smallest floor among powers of two that fits; rarer bigrams are scored by
-    their words. ``head`` words are kept with their exact counts; those beyond are looked up by a join.
+    The filter holds every n-gram, however rare, and grows with them; it is broadcast in groups of buckets of
+    ``filter_bytes`` at most (one bucket at least), one pass over the texts for each. Scores do not depend on the number
+    of groups. ``head`` words are kept with their exact counts; those beyond are looked up by a join.
     """
 
     probes: int = 4
@@ -38,7 +38,10 @@ class Model:
 
 @dataclass
 class Filter:
-    """Bit segments, one for each bucket of n-grams. A count c is there as 1 + floor(log2 c) entries."""
+    """Bit segments, one for each bucket of n-grams. A count c is there as 1 + floor(log2 c) entries.
+
+    A bucket of size 0 is empty or belongs to another group; none of its n-grams is found.
+    """
 
     bits: np.ndarray
     starts: np.ndarray
@@ -46,10 +49,14 @@ class Filter:
     probes: int
 
     def counts(self, grams: np.ndarray) -> np.ndarray:
-        """Estimated counts: how many entries in turn are there, in the middle of the counts that make as many."""
+        """Estimated counts of n-grams."""
+        return counts_of(self.levels(grams))
+
+    def levels(self, grams: np.ndarray) -> np.ndarray:
+        """How many entries in turn are there."""
         level = np.zeros(len(grams), dtype=np.int64)
         if not len(self.sizes):
-            return level.astype(float)
+            return level
         bucket = bucket_of(grams, len(self.sizes))
         start, size = self.starts[bucket], self.sizes[bucket]
         going = np.flatnonzero(size)
@@ -60,7 +67,12 @@ class Filter:
                 here = here[(self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
             level[here] += 1
             going = here[level[here] < 60]
-        return np.where(level > 0, 1.5 * 2.0 ** (level - 1) - 0.5, 0.0)
+        return level
+
+
+def counts_of(level: np.ndarray) -> np.ndarray:
+    """The middle of the counts that make as many entries."""
+    return np.where(level > 0, 1.5 * 2.0 ** (level.astype(np.int64) - 1) - 0.5, 0.0)
 
 
 def bucket_of(grams: np.ndarray, buckets: int) -> np.ndarray:
@@ -150,7 +162,7 @@ def _count_task(buckets: int):
 
 
 def _merge_task(rule: Model):
-    """Exact counts of a bucket's n-grams: unigrams go out as they are, all as segments for rising floors."""
+    """Exact counts of a bucket's n-grams: unigrams go out as they are, all as a segment."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, int], list[list[np.ndarray]]] = {}
@@ -167,40 +179,43 @@ def _merge_task(rule: Model):
             keys = np.concatenate([m[0] for m in merged.values()])
             counts = np.concatenate([m[1] for m in merged.values()])
             word_keys, word_counts = merged.get(1, (keys[:0], counts[:0]))
-            yield _merged(bucket, -1, word_keys, word_counts, b"")
-            floor = 1
-            while True:
-                some = counts >= floor
-                yield _merged(bucket, floor, keys[:0], counts[:0], segment(keys[some], counts[some], rule.probes).tobytes())
-                if not some.any():
-                    break
-                floor *= 2
+            yield _merged(bucket, word_keys, word_counts, segment(keys, counts, rule.probes).tobytes())
 
     return run
 
 
-def _merged(bucket, floor, words, counts, bits) -> pa.RecordBatch:
+def _merged(bucket, words, counts, bits) -> pa.RecordBatch:
     longs = pa.list_(pa.int64())
     return pa.RecordBatch.from_arrays(
         [
             pa.array([bucket], pa.int32()),
-            pa.array([floor], pa.int64()),
             pa.ListArray.from_arrays([0, len(words)], as_long(words)).cast(longs),
             pa.array([counts], longs),
             pa.array([bits], pa.binary()),
         ],
-        names=["bucket", "floor", "words", "counts", "bits"],
+        names=["bucket", "words", "counts", "bits"],
     )
 
 
-def _filter(merged: DataFrame, buckets: int, rule: Model) -> Filter:
-    """The segments of the smallest floor that fits; a bucket without a segment for a floor has none of its n-grams."""
-    sizes = merged.filter("floor > 0").groupBy("floor").agg(F.sum(F.length("bits")).alias("size")).collect()
-    fitting = [r["floor"] for r in sizes if r["size"] <= rule.filter_bytes]
-    found = {}
-    if fitting:
-        chosen = merged.filter(F.col("floor") == min(fitting)).select("bucket", "bits").toArrow()
-        found = dict(zip(chosen.column("bucket").to_pylist(), chosen.column("bits").to_pylist()))
+def _groups(merged: DataFrame, rule: Model) -> list[tuple[int, int]]:
+    """First and last bucket of each group of segments that is broadcast at once; one group at least."""
+    sizes = merged.select("bucket", F.length("bits").alias("size")).collect()
+    groups: list[tuple[int, int]] = []
+    held = 0
+    for bucket, size in sorted(sizes):
+        if groups and held + size <= rule.filter_bytes:
+            groups[-1] = groups[-1][0], bucket
+            held += size
+        else:
+            groups.append((bucket, bucket))
+            held = size
+    return groups or [(0, 0)]
+
+
+def _filter(merged: DataFrame, group: tuple[int, int], buckets: int, rule: Model) -> Filter:
+    """The segments of a group's buckets; the others have none."""
+    chosen = merged.filter(F.col("bucket").between(*group)).select("bucket", "bits").toArrow()
+    found = dict(zip(chosen.column("bucket").to_pylist(), chosen.column("bits").to_pylist()))
     lengths = np.array([8 * len(found.get(b, b"")) for b in range(buckets)], dtype=np.uint64)
     bits = np.frombuffer(b"".join(found[b] for b in sorted(found)), dtype=np.uint8)
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.uint64)
@@ -226,6 +241,38 @@ def _head(words: DataFrame, rule: Model) -> tuple[int, np.ndarray, np.ndarray]:
     return least, keys[order], found.column("c").to_numpy()[order]
 
 
+def _look_up(model: Filter, found: np.ndarray, each: np.ndarray, back: np.ndarray, carried: np.ndarray | None):
+    """For each token its level and that of its bigram, of this group or, ``carried`` along, of an earlier one."""
+    pairs, pair_back = np.unique(bigrams(found), return_inverse=True)
+    levels = np.stack([model.levels(each)[back], model.levels(pairs)[pair_back]], axis=1).astype(np.uint8)
+    return levels if carried is None else np.maximum(levels, carried)
+
+
+def _carried(batch: pa.RecordBatch, block: Block) -> np.ndarray | None:
+    if "levels" not in batch.schema.names:
+        return None
+    own = batch.column("levels").slice(block.first, block.texts).to_pylist()
+    return np.frombuffer(b"".join(own), dtype=np.uint8).reshape(-1, 2)
+
+
+def _level_task(filter_):
+    """The texts, with the levels found in this group and the earlier ones: two bytes for each token."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(batch.column("text")):
+                found, bounds = tokens(block)
+                each, back = np.unique(found, return_inverse=True)
+                levels = _look_up(filter_.value, found, each, back, _carried(batch, block))
+                own = [levels[low:high].tobytes() for low, high in zip(bounds[:-1], bounds[1:])]
+                given = [batch.column(c).slice(block.first, block.texts) for c in ("doc_id", "text", "held_out")]
+                yield pa.RecordBatch.from_arrays(
+                    [*given, pa.array(own, pa.binary())], names=["doc_id", "text", "held_out", "levels"]
+                )
+
+    return run
+
+
 def _score_task(filter_, head, total: int, distinct: int, rule: Model):
     room = np.log10(total + 0.1 * (distinct + 1))
 
@@ -242,12 +289,12 @@ def _score_task(filter_, head, total: int, distinct: int, rule: Model):
                 rest = ~known[back]
                 tails = np.searchsorted(np.flatnonzero(rest), bounds)
 
-                roughly = model.counts(each)
+                roughly, pairs = counts_of(_look_up(model, found, each, back, _carried(batch, block))).T
                 word_p = (roughly + 0.1) / (total + 0.1 * (distinct + 1))
-                pairs, pair_back = np.unique(bigrams(found), return_inverse=True)
-                history = np.concatenate([roughly[np.searchsorted(each, [END])], roughly[back[:-1]]])
-                together = np.minimum(model.counts(pairs)[pair_back], history)
-                p = (together + rule.prior * word_p[back]) / (history + rule.prior)
+                # The last token is an end, as the one before the first.
+                history = np.concatenate([roughly[-1:], roughly[:-1]])
+                together = np.minimum(pairs, history)
+                p = (together + rule.prior * word_p) / (history + rule.prior)
                 n = block.texts
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -275,9 +322,11 @@ def score_texts(documents: DataFrame, held_out: str, rule: Model = Model()) -> D
     ``score`` is the bigram model's: P(w | u) = (c(u, w) + prior * P(w)) / (c(u) + prior), counts from the filter.
 
     1. Tasks count the n-grams of slices of their training texts; packed counts are shuffled by bucket and summed, so
-       frequent n-grams cost one entry for each slice. Each bucket becomes a filter segment for every floor.
-    2. The segments of one floor are joined and broadcast, and so are the exact counts of the head words.
-    3. Each text is scored in one pass; its words outside the head are joined with their exact counts.
+       frequent n-grams cost one entry for each slice. Each bucket becomes a segment of the filter, in a shared folder.
+    2. Segments are broadcast group after group. All groups but the last take a pass that adds what they find to the
+       texts, in a table that replaces the one before; so passes grow with the distinct n-grams.
+    3. The pass of the last group scores each text, with the exact counts of the head words broadcast too; words outside
+       the head are joined with their exact counts.
 
     Null and empty texts are one end token. Rows are scored each for itself, also with equal or null ids. Without
     training texts all counts are 0. An empty table gives no rows.
@@ -293,19 +342,28 @@ def score_texts(documents: DataFrame, held_out: str, rule: Model = Model()) -> D
         .select("text")
         .mapInArrow(_count_task(buckets), "bucket int, size int, keys binary, counts binary")
         .repartition(buckets, "bucket")
-        .mapInArrow(_merge_task(rule), "bucket int, floor long, words array<long>, counts array<long>, bits binary"),
+        .mapInArrow(_merge_task(rule), "bucket int, words array<long>, counts array<long>, bits binary"),
         "counts",
     )
-    words = scratch.save(
-        merged.filter("floor = -1").selectExpr("inline(arrays_zip(words, counts)) AS (word, c)"), "words"
-    )
+    words = scratch.save(merged.selectExpr("inline(arrays_zip(words, counts)) AS (word, c)"), "words")
     totals = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     least, *head = _head(words, rule)
     context = spark.sparkContext
+    *earlier, last = _groups(merged, rule)
+    before = None
+    for group in earlier:
+        shared, own = context.broadcast(_filter(merged, group, buckets, rule)), Scratch(spark, "lmscore-levels")
+        texts = own.save(
+            texts.mapInArrow(_level_task(shared), "doc_id long, text string, held_out boolean, levels binary"), "levels"
+        )
+        shared.unpersist()
+        if before is not None:
+            before.clear()
+        before = own
     scored = scratch.save(
         texts.mapInArrow(
             _score_task(
-                context.broadcast(_filter(merged, buckets, rule)), context.broadcast(tuple(head)),
+                context.broadcast(_filter(merged, last, buckets, rule)), context.broadcast(tuple(head)),
                 totals["n"], totals["v"], rule,
             ),
             "line long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double,"
@@ -313,6 +371,8 @@ def score_texts(documents: DataFrame, held_out: str, rule: Model = Model()) -> D
         ),
         "scored",
     )
+    if before is not None:
+        before.clear()
     tail = (
         scored.select("line", F.explode("tail").alias("word"))
         .groupBy("line", "word")
