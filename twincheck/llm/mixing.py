@@ -16,14 +16,47 @@ def with_size(documents: DataFrame) -> DataFrame:
     return documents.withColumn("size", F.expr(f"cast(coalesce(regexp_count(text, '{WORDS}'), 0) AS bigint)"))
 
 
+Schedule = Sequence[tuple[float, float]]
+
+
+def integrated(schedule: Schedule) -> tuple[float, list[dict[str, float]]]:
+    """The integral of a schedule, and its pieces (at, until, done, until_done, start, end) as in ``segments``.
+
+    A schedule is a line through points (time, factor), times from 0 to 1; two points at one time are a step. Pieces
+    without any weight are left out, as nothing is trained on in them.
+    """
+    times = [float(t) for t, _ in schedule]
+    if len(times) < 2 or times != sorted(times) or times[0] != 0 or times[-1] != 1 or min(f for _, f in schedule) < 0:
+        raise ValueError(f"a schedule needs factors from 0 on at rising times from 0 to 1: {schedule}")
+    pieces, done = [], 0.0
+    for (at, start), (until, end) in zip(schedule, schedule[1:]):
+        area = (until - at) * (start + end) / 2
+        if area > 0:
+            piece = {"at": at, "until": until, "done": done, "until_done": done + area, "start": start, "end": end}
+            pieces.append({k: float(v) for k, v in piece.items()})
+            done += area
+    if not pieces:
+        raise ValueError(f"a schedule needs some weight: {schedule}")
+    for piece in pieces:
+        piece["done"] /= done
+        piece["until_done"] /= done
+    return done, pieces
+
+
 def source_targets(
-    sizes: DataFrame, weights: Sequence[float] = (5, 2, 1), percent: int = 150, cap: int = 2, swing: float = 0.5
+    sizes: DataFrame,
+    weights: Sequence[float] = (5, 2, 1),
+    percent: int = 150,
+    cap: int = 2,
+    swing: float = 0.5,
+    schedules: Sequence[Schedule] | None = None,
 ) -> DataFrame:
     """Targets of the sources of ``sizes`` (source, size): source, source_size, weight, target, segments.
 
-    Sources in code point order, null last, take the weights in turn; each weight is the integral over the training of
-    the source's weight schedule. Schedules are straight lines through ``weight`` at half time, rising by ``swing`` for
-    every other source and falling for the rest. The targets share ``percent`` of all words by weight; what exceeds
+    Sources in code point order, null last, take the weights and the ``schedules`` in turn. A schedule (see
+    :func:`integrated`) says by which factor the weight is multiplied at each time; the source's weight in all is the
+    integral over the training. Without ``schedules`` they are straight lines through 1 at half time, rising by ``swing``
+    for every other source and falling for the rest. The targets share ``percent`` of all words by weight; what exceeds
     ``cap`` times a source's size is shared among the others by weight, until none exceeds it.
 
     ``segments`` describes the schedule for :func:`training_position`: pieces (at, until, done, until_done, start, end)
@@ -31,12 +64,21 @@ def source_targets(
     source, so the ordered window over sources sees short rows only.
     """
     totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    made = [integrated(s) for s in schedules or ([(0, 1 - swing), (1, 1 + swing)], [(0, 1 + swing), (1, 1 - swing)])]
     listed = ", ".join(f"{float(w)}D" for w in weights)
+    integrals = ", ".join(f"{total}D" for total, _ in made)
+    segments = ", ".join(
+        "array(" + ", ".join(
+            "named_struct(" + ", ".join(f"'{k}', {v}D" for k, v in piece.items()) + ")" for piece in pieces
+        ) + ")"
+        for _, pieces in made
+    )
     ranked = totals.selectExpr(
         "source", "source_size", "row_number() OVER (ORDER BY source IS NULL, source) - 1 AS place"
     ).selectExpr(
         "*",
-        f"element_at(array({listed}), cast(place % {len(weights)} + 1 AS int)) AS weight",
+        f"element_at(array({listed}), cast(place % {len(weights)} + 1 AS int))"
+        f" * element_at(array({integrals}), cast(place % {len(made)} + 1 AS int)) AS weight",
     )
     ordered = ranked.selectExpr(
         "*",
@@ -60,9 +102,7 @@ def source_targets(
         "weight",
         f"CASE WHEN first_open IS NULL OR ratio < first_open.level THEN cast({cap} * source_size AS double)"
         " ELSE first_open.level * weight END AS target",
-        "array(named_struct('at', 0D, 'until', 1D, 'done', 0D, 'until_done', 1D,"
-        f" 'start', CASE WHEN place % 2 = 0 THEN 1 - {swing}D ELSE 1 + {swing}D END,"
-        f" 'end', CASE WHEN place % 2 = 0 THEN 1 + {swing}D ELSE 1 - {swing}D END)) AS segments",
+        f"element_at(array({segments}), cast(place % {len(made)} + 1 AS int)) AS segments",
     )
 
 
@@ -133,19 +173,34 @@ def training_position(progress: str) -> str:
     done = f"(({progress} - {piece}.done) / ({piece}.until_done - {piece}.done))"
     area = f"({done} * ({piece}.start + {piece}.end))"
     slope = f"({piece}.end - {piece}.start)"
-    part = f"{area} / ({piece}.start + sqrt({piece}.start * {piece}.start + {slope} * {area}))"
+    # A line that begins at 0 has no area at its beginning; one that ends at 0 may round below it.
+    root = f"sqrt(greatest({piece}.start * {piece}.start + {slope} * {area}, 0D))"
+    part = f"coalesce({area} / nullif({piece}.start + {root}, 0D), {progress} * 0D)"
     return f"{piece}.at + ({piece}.until - {piece}.at) * {part}"
 
 
-def training_order(plan: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row for each take of a plan, range-sorted by its position: ``columns``, then copy, words, position."""
+def training_order(plan: DataFrame, columns: Sequence[str], untaken: bool = False) -> DataFrame:
+    """One row for each take of a plan, range-sorted by its position: ``columns``, then copy, words, position.
+
+    With ``untaken``, documents without a take come first, copy, words and position null.
+    """
+    explode = F.explode_outer if untaken else F.explode
     return (
-        plan.select(*columns, F.explode("takes").alias("take"))
+        plan.select(*columns, explode("takes").alias("take"))
         .select(*columns, "take.copy", "take.words", "take.position")
         .orderBy("position", "doc_id", "copy")
     )
 
 
+def mix_positions(plan: DataFrame) -> DataFrame:
+    """The training order of a plan with all documents: doc_id, size, source_size, target, taken (words of all takes of
+    the document), first_copy (null if there is none), then copy, words, position of this take."""
+    summed = plan.selectExpr(
+        "*", "aggregate(takes, 0L, (s, t) -> s + t.words) AS taken", "get(takes, 0).copy AS first_copy"
+    )
+    return training_order(summed, ["doc_id", "size", "source_size", "target", "taken", "first_copy"], untaken=True)
+
+
 def mix_summary(plan: DataFrame) -> DataFrame:
     """For each document: doc_id, size, source_size, target, taken (words of all its takes), first_position."""
     return plan.selectExpr(

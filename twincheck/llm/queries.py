@@ -12,7 +12,7 @@ from twincheck.llm.decontaminate import decontaminate
 from twincheck.llm.language import predict_language, train_language
 from twincheck.llm.licenses import TEMPLATES, scan_licences, template_words
 from twincheck.llm.lmscore import score_texts
-from twincheck.llm.mixing import mix_summary, plan_mix, source_targets, with_size
+from twincheck.llm.mixing import mix_positions, plan_mix, source_targets, with_size
 from twincheck.llm.neardup import NearDuplicates, near_duplicate_classes
 from twincheck.llm.packing import pack_documents
 from twincheck.llm.quality import judge_quality, train_quality
@@ -120,11 +120,24 @@ FROM starts
 """
 
 
+def _training_positions(spark, sf_dir, scratch: Scratch) -> DataFrame:
+    sized = with_size(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    short = scratch.save(sized.select("doc_id", "source", "size"), "sizes")
+    return mix_positions(plan_mix(short, source_targets(short)))
+
+
 @query("op6_mixing_curriculum", MIXING_SQL)
 def op6_mixing_curriculum(spark, sf_dir):
-    sized = with_size(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
-    short = Scratch(spark, "mixing").save(sized.select("doc_id", "source", "size"), "sizes")
-    return mix_summary(plan_mix(short, source_targets(short))).drop("first_position")
+    """Writes the training order with its positions, and returns a row of it for each document, in the SQL's columns."""
+    scratch = Scratch(spark, "mixing")
+    order = scratch.save(_training_positions(spark, sf_dir, scratch), "order")
+    return order.filter("copy <=> first_copy").select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("mixing_positions")
+def mixing_positions(spark, sf_dir):
+    """The training order of ``op6_mixing_curriculum`` itself: a row for each take, sorted by position."""
+    return _training_positions(spark, sf_dir, Scratch(spark, "mixing")).drop("first_copy")
 
 
 @query("op4_token_packing")
