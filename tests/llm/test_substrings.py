@@ -67,6 +67,47 @@ def test_copies_are_cut_out(spark, frame):
     assert without_repeats(documents, repeated_spans(documents)).columns == documents.columns
 
 
+def test_passages_of_a_repeated_word_are_found(frame):
+    rng = random.Random(6)
+    rows, passages = [], {}
+    for n, word in enumerate(["so", "again", "é", "日本", "repeated", "a b c d", "fifteen-letters"]):
+        for words in (51, 80):
+            passage = " ".join(" ".join([word] * words).split()[:words])
+            for copy in range(2):
+                doc = len(rows)
+                rows.append((doc, f"{prose(rng, 40 + 7 * copy)} {passage} {prose(rng, 30)}"))
+                passages[doc] = passage
+    spans = repeated_spans(frame(rows), Chunking(least_words=20)).collect()
+    texts = dict(rows)
+    for doc, passage in passages.items():
+        own = [r for r in spans if r["doc_id"] == doc]
+        covered = set()
+        for r in own:
+            piece = texts[doc][r["span_start"] : r["span_end"]]
+            assert set(piece.split()) <= set(passage.split()) | {""} or piece.strip() in passage
+            covered |= set(range(r["span_start"], r["span_end"]))
+        assert own and len(covered) > 0.5 * len(passage) - 40, (doc, passage[:20])
+
+
+def test_exact_copies_of_texts_of_repeated_words_or_of_one_chunk(frame):
+    short = " ".join("abcdefghijklmnopqrstuv")
+    loop, other = "loop " * 200, "日本 " * 60
+    rows = [(1, loop), (2, loop), (3, short), (4, short), (5, other), (6, other), (7, "x " * 10)]
+    spans = repeated_spans(frame(rows)).collect()
+    found = {(r["doc_id"], r["removed"]) for r in spans}
+    assert {(2, True), (3, False), (4, True), (6, True)} <= found and 7 not in {d for d, _ in found}
+    whole = {r["doc_id"]: (r["span_start"], r["span_end"]) for r in spans if r["removed"]}
+    assert whole[2] == (0, len(loop)) and whole[4] == (0, len(short)) and whole[6] == (0, len(other))
+
+
+def test_no_chunk_is_longer_than_a_bound():
+    for text in ("z" * 5000, "no " * 2000, "é" * 3000, "日本語" * 1000, "fourteen bytes" * 300):
+        starts, _ = chunk_starts(next(blocks(pa.array([text]))), 16)
+        gaps = np.diff(np.append(starts, len(text.encode())))
+        assert gaps.max() <= 64 and gaps[:-1].min() > 16
+        assert len(set(gaps[1:-1].tolist())) == 1
+
+
 def test_edge_cases(frame):
     rng = random.Random(5)
     long = prose(rng, 40_000)

@@ -24,7 +24,9 @@ _FIRST_BYTES[0x80:0xC0] = False
 class Chunking:
     """A chunk begins where the gear hash of the last 16 bytes is least among the ``radius`` places on either side.
 
-    Chunks are longer than ``radius`` bytes and about twice that on average; a place depends on the ``radius`` + 15
+    Only places where a character begins count. Text of a period up to ``radius`` has such a place in each period: of
+    these, those are taken that lie more than ``radius`` after the one taken before, counted from the first of the run,
+    so its chunks are equal wherever the run begins. Chunks are longer than ``radius`` bytes and about twice that on average; a place depends on the ``radius`` + 15
     bytes before it and the ``radius`` after it, so an insertion changes the chunks around it only. What repeats is
     reported from ``least_words`` on. With radius 16, a passage of 50 words of six bytes spans about seven chunks.
     """
@@ -44,7 +46,7 @@ def gear_hashes(data: np.ndarray) -> np.ndarray:
 def chunk_starts(block: Block, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Where chunks begin, the texts' own beginnings (of texts that are not empty) included, and the text of each."""
     data, bounds = block.data, block.bounds
-    h = gear_hashes(data)
+    h = np.where(_FIRST_BYTES[data], gear_hashes(data), np.uint32(0xFFFFFFFF)) if len(data) else gear_hashes(data)
     n = len(h)
     inner = np.zeros(0, dtype=np.int64)
     if n > 2 * radius:
@@ -55,15 +57,32 @@ def chunk_starts(block: Block, radius: int) -> tuple[np.ndarray, np.ndarray]:
             width += step
         at = np.arange(radius, n - radius)
         own = h[radius : n - radius]
-        inner = at[(own < low[: len(at)]) & (own <= low[radius + 1 : radius + 1 + len(at)]) & _FIRST_BYTES[data[at]]]
+        inner = at[(own <= low[: len(at)]) & (own <= low[radius + 1 : radius + 1 + len(at)]) & _FIRST_BYTES[data[at]]]
         text = np.searchsorted(bounds, inner, side="right") - 1
         # All that a place depends on lies within its text.
-        inner = inner[(inner - radius - 15 >= bounds[text]) & (inner + radius < bounds[text + 1])]
+        inner = _thinned(inner[(inner - radius - 15 >= bounds[text]) & (inner + radius < bounds[text + 1])], radius)
     filled = np.flatnonzero(np.diff(bounds))
     starts = np.sort(np.concatenate([bounds[filled], inner]))
     return starts, np.searchsorted(bounds, starts, side="right") - 1
 
 
+def _thinned(places: np.ndarray, radius: int) -> np.ndarray:
+    """``places`` without those within ``radius`` after one that stays; only equal hashes are that close."""
+    close = np.diff(places) <= radius
+    if not close.any():
+        return places
+    kept = np.concatenate([[True], ~close])
+    firsts = np.flatnonzero(kept)
+    for first, end in zip(firsts.tolist(), np.append(firsts[1:], len(places)).tolist()):
+        if end - first > 1:
+            run = places[first:end]
+            at = int(np.searchsorted(run, run[0] + radius, side="right"))
+            while at < len(run):
+                kept[first + at] = True
+                at = int(np.searchsorted(run, run[at] + radius, side="right"))
+    return places[kept]
+
+
 def _pieces(rule: Chunking):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         line = TaskContext.get().partitionId() << 33
@@ -77,14 +96,16 @@ def _pieces(rule: Chunking):
 
 def _block_pieces(block: Block, doc_ids: pa.Array, line: int, rule: Chunking) -> pa.RecordBatch:
     starts, text = chunk_starts(block, rule.radius)
-    # The digest of a piece: two chunks in a row of the same text.
-    first = np.flatnonzero(text[:-1] == text[1:]) if len(text) else np.zeros(0, dtype=np.int64)
+    # The digest of a piece: two chunks in a row of the same text, or the only one.
+    same = text[:-1] == text[1:]
+    alone = ~np.append(same, False) & ~np.append(False, same)[: len(text)] if len(text) else np.zeros(0, dtype=bool)
+    first = np.flatnonzero(np.append(same, False)[: len(text)] | alone)
     ends = np.append(starts[1:], len(block.data))
     ends = np.minimum(ends, block.bounds[text + 1]) if len(text) else ends[:0]
     forth, back = powers(len(block.data))
     sums = np.zeros(len(block.data) + 1, dtype=np.uint64)
     np.cumsum((block.data.astype(np.uint64) + np.uint64(1)) * forth[: len(block.data)], out=sums[1:])
-    begin, end = starts[first], ends[first + 1] if len(first) else starts[:0]
+    begin, end = starts[first], ends[first + ~alone[first]]
     digests = mix((sums[end] - sums[begin]) * back[begin])
     owner = text[first]
     salted = mix(digests ^ mix(owner.astype(np.uint64) + np.uint64(1)))
@@ -125,7 +146,8 @@ def repeated_spans(documents: DataFrame, rule: Chunking = Chunking()) -> DataFra
     1. One pass writes each text's digests. 2. Digests are counted with map-side combine. 3. Occurrences of repeated
     digests are joined back (a hot digest splits over tasks), and runs of them in a text become spans.
 
-    Null and empty texts and texts of one chunk have no spans. Rows with equal ids are texts of their own, all of them
+    A text of one chunk is a passage as a whole. A word or short phrase said over and over repeats itself: all but its first
+    occurrence counts as a repeat. Null and empty texts have no spans. Rows with equal ids are texts of their own, all of them
     first occurrences if the id is the smallest; a null id is never first unless all are null. An empty table: no rows.
     """
     scratch = Scratch(documents.sparkSession, "substrings")
