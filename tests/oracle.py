@@ -34,6 +34,7 @@ _FAMILIES = {
     "string": "VARCHAR",
     "boolean": "BOOLEAN",
     "double": "DOUBLE",
+    "int": "INTEGER",
 }
 
 
