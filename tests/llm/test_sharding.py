@@ -1,0 +1,80 @@
+import glob
+import zlib
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from twincheck.llm import sharding
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 16, 17, 100, 1000, 4097])
+def test_the_permutation_and_its_inverse(spark, n):
+    numbers = spark.range(n).selectExpr("id", f"{n}L AS rows")
+    there = sharding.permuted(numbers, "id", "position", seed=n)
+    back = sharding.permuted(there, "position", "again", seed=n, back=True).collect()
+    assert sorted(r["position"] for r in back) == list(range(n))
+    assert all(r["again"] == r["id"] for r in back)
+
+
+def test_the_shuffle_depends_on_the_seed_and_leaves_no_order(spark):
+    rows = sharding.permuted(spark.range(2000).selectExpr("id", "2000L AS rows"), "id", "a", 1)
+    rows = sharding.permuted(rows, "id", "b", 2)
+    assert abs(rows.select(F.corr("id", "a")).first()[0]) < 0.1 and abs(rows.select(F.corr("a", "b")).first()[0]) < 0.1
+
+
+def check(found, rows, shards=16):
+    sizes = Counter(r["shard"] for r in found)
+    assert len(found) == rows and (not rows or max(sizes.values()) - min(sizes.get(s, 0) for s in range(shards)) <= 1)
+    for shard, n in sizes.items():
+        assert sorted(r["slot"] for r in found if r["shard"] == shard) == list(range(n))
+
+
+def test_documents(spark, documents, texts):
+    found = sharding.shard_documents(documents).collect()
+    check(found, len(texts))
+    plain = {i: (len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in texts}
+    assert {r["doc_id"]: (r["size"], r["text_crc32"]) for r in found} == plain
+    assert {(r["law"], r["grown_shard"]) for r in found} == {("rows", None)}
+
+
+def test_files_and_partitions_do_not_matter(documents):
+    first = sorted(tuple(r)[:6] for r in sharding.shard_documents(documents).collect())
+    again = sorted(tuple(r)[:6] for r in sharding.shard_documents(documents.repartition(13)).collect())
+    assert first == again
+
+
+def test_edge_cases(spark, frame, monkeypatch):
+    monkeypatch.setattr(sharding, "RUN", 7)
+    rows = [(1, None), (1, ""), (None, "x" * 100_000), (None, None), (3, "ä")] + [(9, "copy")] * 50
+    found = sharding.shard_documents(frame(rows).withColumnRenamed("n_chars", "slot")).collect()
+    check(found, 55)
+    expected = Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows)
+    assert Counter(tuple(r)[:3] for r in found) == expected
+    assert sharding.shard_documents(frame([])).count() == 0
+    assert [tuple(r)[4:6] for r in sharding.shard_documents(frame([(4, "one")])).collect()] == [(0, 0)]
+
+
+def test_whole_rows_with_clashing_names_and_the_way_back(spark):
+    names = ["row", "number", "shard", "slot", "copies", "digest", "high", "rows"]
+    data = [tuple(None if (i + k) % 7 == 0 else i // 3 for k in range(len(names))) for i in range(100)]
+    frame = spark.createDataFrame(data, ", ".join(f"{n} long" for n in names))
+    placed = sharding.shard_rows(frame, shards=3, seed=5)
+    found = placed.collect()
+    check(found, 100, 3)
+    assert Counter(tuple(r["row"]) for r in found) == Counter(data)
+    known = {(r["shard"], r["slot"]): r["number"] for r in found}
+    back = sharding.row_numbers(placed.select("shard", "slot", "rows"), shards=3, seed=5).collect()
+    assert {(r["shard"], r["slot"]): r["number"] for r in back} == known
+
+
+def test_written_shards(spark, frame, tmp_path):
+    rows = [(i, f"text {i}") for i in range(100)]
+    folder = str(tmp_path / "shards")
+    sharding.write_shards(frame(rows), folder, shards=4, files=2)
+    read = spark.read.parquet(folder).collect()
+    check(read, 100, 4)
+    assert sorted(r["row"]["doc_id"] for r in read) == list(range(100))
+    for shard in range(4):
+        slots = [r["slot"] for path in sorted(glob.glob(f"{folder}/shard={shard}/*.parquet")) for r in spark.read.parquet(path).collect()]
+        assert slots == list(range(25))

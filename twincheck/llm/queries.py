@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from twincheck.llm.chat import format_chats, read_back, turns_from_columns, turns_from_json
 from twincheck.llm.decontaminate import decontaminate
+from twincheck.llm.divergence import audit_sources
 from twincheck.llm.language import predict_language, train_language
+from twincheck.llm.lexical import search
 from twincheck.llm.licenses import TEMPLATES, scan_licences, template_words
 from twincheck.llm.lmscore import score_texts
 from twincheck.llm.mixing import mix_positions, plan_mix, source_targets, with_size
@@ -17,6 +19,7 @@ from twincheck.llm.neardup import NearDuplicates, near_duplicate_classes
 from twincheck.llm.packing import pack_documents
 from twincheck.llm.quality import judge_quality, train_quality
 from twincheck.llm.scratch import Scratch
+from twincheck.llm.sharding import shard_documents
 from twincheck.llm.substrings import repeated_spans
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -277,3 +280,108 @@ def op1_license_scan(spark, sf_dir):
     path = ARCHIVE_PATH.format("doc_id div 1000", "doc_id div 100")
     files = table(spark, sf_dir, "documents").selectExpr("doc_id", f"{path} AS path", "text")
     return scan_licences(files).selectExpr("doc_id", "licence", "round(score, 6) AS score", "origin")
+
+
+DIVERGENCE_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+spots AS (SELECT d, lang, source, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term, CAST(count(*) AS BIGINT) AS c FROM spots GROUP BY ALL HAVING count(DISTINCT d) >= 10),
+sizes AS (SELECT lang, count(*) AS v, sum(c) AS n FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+uses AS (SELECT lang, source, term, count(*) AS c FROM spots SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+totals AS (SELECT lang, source, sum(c) AS n FROM uses GROUP BY ALL),
+priced AS (SELECT g.lang, g.source, k.term, coalesce(u.c, 0) AS c,
+        CAST(1 + (1000000000 * (coalesce(u.c, 0) + 2)::HUGEINT) // (coalesce(t.n, 0) + 2 * s.v) AS BIGINT) AS p,
+        CAST(1 + (1000000000 * (k.c + 2)::HUGEINT) // (s.n + 2 * s.v) AS BIGINT) AS q
+    FROM groups g JOIN kept k USING (lang) JOIN sizes s USING (lang) LEFT JOIN totals t USING (lang, source)
+    LEFT JOIN uses u ON u.lang = g.lang AND u.source = g.source AND u.term = k.term),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM priced a JOIN priced b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+parts AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+    UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM priced WHERE c > 0 AND p > q
+)
+SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM parts QUALIFY part = 'pair' OR rank <= 10
+"""
+
+
+@query("op11_source_divergence", DIVERGENCE_SQL)
+def op11_source_divergence(spark, sf_dir):
+    return audit_sources(table(spark, sf_dir, "documents"))
+
+
+def _mixed_sql(step: int, value: str) -> str:
+    return f"CAST('0x' || substr(md5('0/{step}/' || CAST({value} AS VARCHAR)), 1, 15) AS BIGINT)"
+
+
+def _feistel_sql(name: str, given: str) -> str:
+    """Common tables ``name``0 to ``name``6: the rounds of the permutation over (x, tall, wide, ...) of ``given``."""
+    made = [f"{name}0 AS (SELECT *, x // wide AS l, x % wide AS r FROM {given})"]
+    for i in range(1, 7):
+        part, other, size = ("l", "r", "tall") if i % 2 else ("r", "l", "wide")
+        made.append(f"{name}{i} AS (SELECT * REPLACE (({part} + {_mixed_sql(i, other)} % {size}) % {size} AS {part}) FROM {name}{i - 1})")
+    return ", ".join(made)
+
+
+SHARDING_SQL = f"""
+WITH RECURSIVE crc_table AS (
+    SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, k:
+        CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, b)) AS crc_of
+),
+docs AS (
+    SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) + 1 AS BIGINT) AS size,
+        xor(4294967295, list_reduce(list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+            lambda h: CAST('0x' || h AS BIGINT)), lambda c, b: xor(c >> 8, crc_of[xor(c & 255, b) + 1]), 4294967295)) AS text_crc32
+    FROM documents, crc_table
+),
+placed AS (
+    SELECT *, row_number() OVER (ORDER BY md5(concat('{{', CASE WHEN doc_id IS NOT NULL THEN concat('"doc_id":', doc_id, ',')
+        ELSE '' END, '"size":', size, ',"text_crc32":', text_crc32, '}}/0')), doc_id, size, text_crc32) - 1 AS number,
+        count(*) OVER () AS n, CAST(ceil(sqrt(count(*) OVER ())) AS BIGINT) AS tall
+    FROM docs
+),
+every AS (SELECT x, n, tall, (n + tall - 1) // tall AS wide
+    FROM (SELECT DISTINCT n, tall FROM placed), LATERAL (SELECT unnest(range(tall * ((n + tall - 1) // tall))) AS x)),
+{_feistel_sql("f", "every")},
+steps AS (SELECT x, n, l * wide + r AS y FROM f6),
+walks AS (SELECT x, n, y FROM steps WHERE x < n
+    UNION ALL SELECT w.x, w.n, s.y FROM walks w JOIN steps s ON s.x = w.y WHERE w.y >= w.n)
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(y % 16 AS INTEGER) AS shard, y // 16 AS slot,
+    CAST(NULL AS INTEGER) AS grown_shard
+FROM placed JOIN walks ON walks.x = number AND walks.y < walks.n
+"""
+
+
+@query("op12_sharding", SHARDING_SQL)
+def op12_sharding(spark, sf_dir):
+    return shard_documents(table(spark, sf_dir, "documents"))
+
+
+SEARCH_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS d, doc_id, {ALNUM.format(LOWER.format("coalesce(text, '')"))} AS w FROM documents),
+sizes AS (SELECT d, doc_id, CAST(len(w) AS BIGINT) AS n FROM docs WHERE len(w) > 0),
+corpus AS (SELECT count(*) AS all_docs, CAST(sum(n) AS BIGINT) AS all_terms FROM sizes),
+items AS (SELECT row_number() OVER () AS i, item_id, {ALNUM.format(LOWER.format("coalesce(text, '')"))} AS w
+    FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+asked AS (SELECT i, item_id, term, count(*) AS times FROM (SELECT i, item_id, unnest(w) AS term FROM items) GROUP BY ALL),
+uses AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(w) AS term FROM docs)
+    SEMI JOIN asked USING (term) GROUP BY ALL),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * all_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight
+    FROM uses, corpus GROUP BY term, all_docs),
+scores AS (
+    SELECT i, item_id, doc_id, d, CAST(sum(times * weight *
+        ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * all_docs) // all_terms)))) AS BIGINT) AS score
+    FROM asked JOIN weights USING (term) JOIN uses USING (term) JOIN sizes USING (d), corpus GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 20
+"""
+
+
+@query("op13_lexical_search", SEARCH_SQL)
+def op13_lexical_search(spark, sf_dir):
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
