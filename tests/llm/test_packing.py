@@ -86,3 +86,21 @@ def test_edge_cases(spark, frame, encoding, tmp_path):
     assert pack_documents(frame(rows).limit(0), RULE).count() == 0
     write_packed(packed, str(tmp_path / "packed"))
     assert spark.read.parquet(str(tmp_path / "packed")).count() == packed.count()
+
+
+def test_only_the_long_stretch_is_cut(encoding):
+    words = "ordinary words, " * 1800
+    text = words + "x" * 45_000 + " and " + words + "é" * 20_001
+    ids = encode(encoding, text).tolist()
+    whole, after = encoding.encode_ordinary(words), encoding.encode_ordinary(" and " + words[:-1])
+    assert encoding.decode(ids) == text
+    assert ids[: len(whole) - 1] == whole[:-1]
+    assert any(ids[i : i + len(after)] == after for i in range(len(whole), len(ids)))
+    assert encode(encoding, words * 3).tolist() == encoding.encode_ordinary(words * 3)
+
+
+def test_runs_are_packed_apart_and_named(frame):
+    documents = frame([(i, f"text number {i}") for i in range(40)]).coalesce(1)
+    rows = pack_documents(documents, RULE, within="doc_id div 10").collect()
+    assert [sorted(r["doc_ids"]) for r in rows] == [list(range(i, i + 10)) for i in (0, 10, 20, 30)]
+    assert [r["sequence"] for r in rows] == ["0", "1", "2", "3"] and [r["row"] for r in rows] == [0, 1, 2, 3]

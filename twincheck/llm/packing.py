@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -12,8 +13,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 _encodings: dict[int, object] = {}
-#: Longer stretches without a white space are encoded in pieces, which bounds a token search.
+#: A longer stretch without white space is encoded in pieces of this many characters, which bounds a token search.
 LONGEST_STRETCH = 20_000
+_LONG_STRETCHES = re.compile(rf"\S{{{LONGEST_STRETCH + 1},}}")
 
 
 @dataclass(frozen=True)
@@ -102,10 +104,13 @@ def encoder(content: bytes):
 
 
 def encode(encoding, text: str) -> np.ndarray:
-    if len(text) > LONGEST_STRETCH and max(map(len, text.split())) > LONGEST_STRETCH:
-        parts = [text[i : i + LONGEST_STRETCH] for i in range(0, len(text), LONGEST_STRETCH)]
-        return np.concatenate([np.array(encoding.encode_ordinary(p), dtype=np.uint32) for p in parts])
-    return np.array(encoding.encode_ordinary(text), dtype=np.uint32)
+    """The tokenizer's ids; only inside of stretches beyond ``LONGEST_STRETCH`` may they differ from those of one piece."""
+    cuts = [0]
+    if len(text) > LONGEST_STRETCH:
+        for stretch in _LONG_STRETCHES.finditer(text):
+            cuts += range(stretch.start() + LONGEST_STRETCH, stretch.end(), LONGEST_STRETCH)
+    parts = [encoding.encode_ordinary(text[low:high]) for low, high in zip(cuts, [*cuts[1:], len(text)])]
+    return np.concatenate([np.array(p, dtype=np.uint32) for p in parts])
 
 
 SCHEMA = (
@@ -114,7 +119,7 @@ SCHEMA = (
 )
 
 
-def pack_documents(documents: DataFrame, rule: Packing = Packing()) -> DataFrame:
+def pack_documents(documents: DataFrame, rule: Packing = Packing(), within: str | None = None) -> DataFrame:
     """``documents`` (doc_id: long, text; more columns are ignored) to rows of an id matrix.
 
     ``ids``: ``length`` little-endian token ids of 16 bits (32 where ``end_token`` needs them), after ``n_tokens``
@@ -123,9 +128,14 @@ def pack_documents(documents: DataFrame, rule: Packing = Packing()) -> DataFrame
     which token of the document on. A document is its text's tokens and the end token; one longer than a row is cut into
     pieces, and the pieces in order give back every token. ``shard`` and ``row`` number the rows of each task.
 
+    ``within`` is SQL for the run of documents that a document is read in, such as the part of a file. No row holds
+    documents of two runs, and the result has the run as ``sequence``: sorted by it and ``row``, packed rows follow the
+    order of the runs, whichever tasks read them.
+
     One pass without a shuffle: a task packs the documents it reads in windows of ``window_tokens``, so its memory does
     not grow with the data. Null and empty texts give no tokens; rows with equal or null ids are packed each for itself;
-    an empty table gives no rows.
+    an empty table gives no rows. A text of any length is one task's; stretches of more than 20,000 characters without
+    white space are encoded in pieces (see :func:`encode`), which decode to the same text.
     """
     with open(rule.tokenizer, "rb") as file:
         content = documents.sparkSession.sparkContext.broadcast(file.read())
@@ -134,26 +144,36 @@ def pack_documents(documents: DataFrame, rule: Packing = Packing()) -> DataFrame
         encoding = encoder(content.value)
         shard, made = TaskContext.get().partitionId(), 0
         held: list[tuple[int | None, int, np.ndarray]] = []
-        tokens = 0
+        tokens, sequence = 0, None
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
+            for doc_id, text, run_of in zip(batch.column("doc_id"), batch.column("text"), batch.column("sequence")):
                 text = text.as_py()
                 if not text:
                     continue
+                if run_of.as_py() != sequence:
+                    if held:
+                        packed = _packed(held, rule, shard, made, sequence)
+                        made, held, tokens = made + packed.num_rows, [], 0
+                        yield packed
+                    sequence = run_of.as_py()
                 ids = np.append(encode(encoding, text), rule.end_token).astype(rule.width)
                 held += [(doc_id.as_py(), at, ids[at : at + rule.length]) for at in range(0, len(ids), rule.length)]
                 tokens += len(ids)
                 if tokens >= rule.window_tokens:
-                    packed = _packed(held, rule, shard, made)
+                    packed = _packed(held, rule, shard, made, sequence)
                     made, held, tokens = made + packed.num_rows, [], 0
                     yield packed
         if held:
-            yield _packed(held, rule, shard, made)
+            yield _packed(held, rule, shard, made, sequence)
 
-    return documents.selectExpr("cast(doc_id AS bigint) AS doc_id", "cast(text AS string) AS text").mapInArrow(run, SCHEMA)
+    read = documents.selectExpr(
+        "cast(doc_id AS bigint) AS doc_id", "cast(text AS string) AS text", f"cast({within or 'NULL'} AS string) AS sequence"
+    )
+    packed = read.mapInArrow(run, SCHEMA + ", sequence string")
+    return packed if within else packed.drop("sequence")
 
 
-def _packed(held, rule: Packing, shard: int, made: int) -> pa.RecordBatch:
+def _packed(held, rule: Packing, shard: int, made: int, sequence: str | None) -> pa.RecordBatch:
     rows = best_fit_decreasing([len(ids) for _, _, ids in held], rule.length)
     n_tokens, ids, ends, resets, doc_ids, starts = [], [], [], [], [], []
     for row in rows:
@@ -179,8 +199,9 @@ def _packed(held, rule: Packing, shard: int, made: int) -> pa.RecordBatch:
             pa.array(resets, ints),
             pa.array(doc_ids, pa.list_(pa.int64())),
             pa.array(starts, ints),
+            pa.array([sequence] * len(rows), pa.string()),
         ],
-        names=[field.split()[0] for field in SCHEMA.split(", ")],
+        names=[*(field.split()[0] for field in SCHEMA.split(", ")), "sequence"],
     )
 
 
