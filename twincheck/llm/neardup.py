@@ -124,12 +124,13 @@ def _sketch_task(rule: NearDuplicates):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(block.first, block.texts),
+                        batch.column("digest").slice(block.first, block.texts),
                         pa.array([len(x) for x in sets], pa.int64()),
                         as_long(one),
                         as_long(two),
                         pa.ListArray.from_arrays(pa.array(starts), as_long(keys.reshape(-1))),
                     ],
-                    names=["doc_id", "n_shingles", "digest_a", "digest_b", "bands"],
+                    names=["doc_id", "digest", "n_shingles", "digest_a", "digest_b", "bands"],
                 )
 
     return run
@@ -168,8 +169,11 @@ def _set_task(rule: NearDuplicates):
     return run
 
 
-def near_duplicate_classes(documents: DataFrame, rule: NearDuplicates = NearDuplicates()) -> DataFrame:
-    """``documents`` (doc_id: long, text; more columns are ignored) to doc_id, n_shingles, component_id, kept.
+def near_duplicate_classes(
+    documents: DataFrame, rule: NearDuplicates = NearDuplicates(), with_digest: bool = False
+) -> DataFrame:
+    """``documents`` (doc_id: long, text; more columns are ignored) to doc_id, n_shingles, component_id, kept,
+    and ``with_digest`` that of the text, which tells rows of equal id apart.
 
     1. Each text becomes a set of shingle hashes, a digest of the set, and band keys of its sketch.
     2. Texts of equal sets fall into one class by their digest, with the smallest doc_id as representative, so exact
@@ -187,9 +191,9 @@ def near_duplicate_classes(documents: DataFrame, rule: NearDuplicates = NearDupl
     scratch = Scratch(spark, "neardup")
     texts = documents.selectExpr("cast(doc_id AS bigint) AS doc_id", "cast(text AS string) AS text")
     made = scratch.save(
-        texts.mapInArrow(
+        texts.selectExpr("*", "coalesce(xxhash64(text), 0L) AS digest").mapInArrow(
             _sketch_task(rule),
-            "doc_id long, n_shingles long, digest_a long, digest_b long, bands array<long>",
+            "doc_id long, digest long, n_shingles long, digest_a long, digest_b long, bands array<long>",
         ),
         "sketches",
     )
@@ -205,7 +209,7 @@ def near_duplicate_classes(documents: DataFrame, rule: NearDuplicates = NearDupl
     members = scratch.save(reps.join(keys, "key").select("key", "rep", "n_shingles", "digest_a", "digest_b"), "members")
     labels = _components(texts, members, rule, scratch)
     nodes = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    joined = made.select("doc_id", *digest).join(
+    joined = made.select("doc_id", "digest", *digest).join(
         nodes.select(*digest, F.coalesce("component", "rep").alias("component")), digest, "left"
     )
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
@@ -213,7 +217,10 @@ def near_duplicate_classes(documents: DataFrame, rule: NearDuplicates = NearDupl
         "doc_id",
         "n_shingles",
         F.when(F.col("doc_id").isNotNull(), component).alias("component_id"),
-    ).withColumn("kept", F.expr("doc_id <=> component_id"))
+        "digest",
+    ).selectExpr(
+        "doc_id", "n_shingles", "component_id", "doc_id <=> component_id AS kept", *(["digest"] if with_digest else [])
+    )
 
 
 def _components(texts: DataFrame, members: DataFrame, rule: NearDuplicates, scratch: Scratch) -> DataFrame:
