@@ -61,3 +61,11 @@ def test_edge_cases(spark, frame):
     assert found(spark, frame(docs).withColumnRenamed("source", "n_hit"), items) == plain(docs, items)
     assert found(spark, frame(docs), []) == plain(docs, [])
     assert found(spark, frame(docs).limit(0), items) == []
+
+
+def test_equal_words_cost_no_pairs_of_places(spark, frame):
+    """30,000 equal words against an item of 10,000: all pairs of places would be 300 M, each compared over the item."""
+    docs = [(1, "a " * 30_000), (2, "b " * 9), (3, "x " + "a " * 9)]
+    items = [(1, "a " * 10_000), (2, "a " * 10_000 + "c"), (3, "b b")]
+    rows = found(spark, frame(docs), items)
+    assert [r[:4] for r in rows] == [(1, 30_000, 30_000, 2), (2, 9, 9, 1), (3, 10, 0, 0)]

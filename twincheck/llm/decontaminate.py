@@ -1,4 +1,4 @@
-"""Benchmark decontamination by winnowing: shared fingerprints find aligned pairs, which are then extended word by word.
+"""Benchmark decontamination by winnowing: shared fingerprints are extended to whole windows of words, which are compared.
 
 Everything here is DataFrame and SQL functions.
 """
@@ -55,15 +55,16 @@ def _least(grams: str, window: int) -> str:
     )
 
 
-def _placed(grams: str, window: int) -> str:
-    """SQL for the (print, back) of all windows; back is minus the place of the least hash's last occurrence.
+def _placed(grams: str, window: int, span: int) -> str:
+    """SQL for the (print, back, span) of all windows; back is minus the place of the least hash's last occurrence.
 
     Neighbouring windows often share them. array_distinct() would compare structs pair by pair, so they stay.
     """
     return (
         f"CASE WHEN size({grams}) >= {window} THEN transform(sequence(0, size({grams}) - {window}),"
-        f" i -> array_min(transform(sequence(i, i + {window - 1}), j -> struct(get({grams}, j) AS print, -j AS back))))"
-        " ELSE cast(array() AS array<struct<print: bigint, back: int>>) END"
+        f" i -> array_min(transform(sequence(i, i + {window - 1}),"
+        f" j -> struct(get({grams}, j) AS print, -j AS back, {span} AS span))))"
+        " ELSE cast(array() AS array<struct<print: bigint, back: int, span: int>>) END"
     )
 
 
@@ -88,12 +89,14 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, rule: Winnowing =
 
     1. Both sides keep the least hash of each run of word grams; items shorter than ``span`` are one gram of their own
        size, looked up at every place. Documents that share a kept hash with an item are candidates.
-    2. Candidates and items are aligned wherever they share a kept hash at known places.
-    3. Each alignment is extended over the whole item, comparing words; what matches over a whole window is a hit.
+    2. A shared hash in a candidate is extended to all windows of words around it. Every window that the document shares
+       with an item holds a kept hash of both at the same place, so none is missed.
+    3. These windows are looked up by their words among the distinct windows of the items. A place is looked up once,
+       whatever the number of places and items that repeat its window.
 
     Items join by shuffle unless Spark sees that they are small. Null and empty texts have no words; a null item_id can
     hit but is not counted or listed; repeated rows and ids are judged by their own texts; an empty table on either side
-    leaves nothing contaminated.
+    leaves nothing contaminated. Texts may be of any length: a task holds the words and the windows of one at a time.
     """
     scratch = Scratch(documents.sparkSession, "decontaminate")
     items = scratch.save(
@@ -106,22 +109,28 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, rule: Winnowing =
     # At most span - 1 numbers.
     short = sorted(r[0] for r in items.filter(f"size(w) < {rule.span}").selectExpr("size(w)").distinct().collect())
     sizes = sorted({rule.gram, *short})
-    windows = [(rule.gram, rule.window), *((k, 1) for k in short)]
+    windows = [(rule.gram, rule.window, rule.span), *((k, 1, k) for k in short)]
 
+    item_windows = scratch.save(
+        items.selectExpr("item_id", "w", f"least(size(w), {rule.span}) AS span")
+        .selectExpr("item_id", "span", "explode(transform(sequence(0, size(w) - span), i -> array_join(slice(w, i + 1, span), ' '))) AS gram")
+        .distinct(),
+        "item-windows",
+    )
     item_prints = scratch.save(
         _with_grams(items, sizes)
+        .withColumn("span", F.expr(f"least(size(w), {rule.span})"))
         .withColumn(
             "kept",
             F.expr(
-                f"CASE WHEN size(w) >= {rule.span} THEN {_placed(f'g{rule.gram}', rule.window)} "
-                + " ".join(f"WHEN size(w) = {k} THEN {_placed(f'g{k}', 1)}" for k in short)
+                f"CASE WHEN span = {rule.span} THEN {_least(f'g{rule.gram}', rule.window)} "
+                + " ".join(f"WHEN span = {k} THEN {_least(f'g{k}', 1)}" for k in short)
                 + " END"
             ),
         )
         # explode() would let Spark infer a filter on the array's size, which computes all its parts once for each word.
-        .select("item_id", "digest", F.explode_outer("kept").alias("kept"))
-        .filter("kept IS NOT NULL")
-        .selectExpr("item_id", "digest", "kept.print", "-kept.back AS item_at")
+        .select("span", F.explode_outer("kept").alias("print"))
+        .filter("print IS NOT NULL")
         .distinct(),
         "item-prints",
     )
@@ -130,7 +139,7 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, rule: Winnowing =
         "doc_id", "coalesce(xxhash64(text), 0) AS digest", "text"
     )
     split = texts.selectExpr("doc_id", "digest", f"{words('text')} AS w")
-    prints = "concat(" + ", ".join(_least(f"g{k}", window) for k, window in windows) + ")"
+    prints = "concat(" + ", ".join(_least(f"g{k}", window) for k, window, _ in windows) + ")"
     marked = scratch.save(
         _with_grams(split, sizes)
         .selectExpr("doc_id", "digest", "cast(size(w) AS bigint) AS n_words", f"explode_outer({prints}) AS print")
@@ -144,46 +153,50 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, rule: Winnowing =
     candidates = scratch.save(
         split.alias("d").join(wanted.alias("c"), _same("d", "c", "doc_id"), "left_semi"), "candidates"
     )
-    doc_prints = _with_grams(candidates, sizes).select(
-        "doc_id",
-        "digest",
-        F.explode_outer(F.expr("concat(" + ", ".join(_placed(f"g{k}", window) for k, window in windows) + ")")).alias("kept"),
-    ).filter("kept IS NOT NULL")
-    aligned = (
-        doc_prints.selectExpr("doc_id", "digest", "kept.print AS print", "-kept.back AS doc_at")
-        .join(item_prints.withColumnRenamed("digest", "item_digest"), "print")
-        .selectExpr("doc_id", "digest", "item_id", "item_digest", "doc_at - item_at AS shift")
-        .distinct()
+    placed = ", ".join(_placed(f"g{k}", window, span) for k, window, span in windows)
+    places = (
+        _with_grams(candidates, sizes)
+        .select("doc_id", "digest", F.explode_outer(F.expr(f"concat({placed})")).alias("kept"))
+        .filter("kept IS NOT NULL")
+        .selectExpr("doc_id", "digest", "kept.print AS print", "kept.span AS span", "-kept.back AS at")
+        .join(item_prints, ["print", "span"], "left_semi")
+        # The places of one document, at most as many as it has words.
+        .groupBy("doc_id", "digest", "span")
+        .agg(F.collect_set("at").alias("places"))
     )
-    window = f"least(size(i.w), {rule.span})"
-    extended = (
-        aligned.alias("a")
-        .join(candidates.distinct().alias("d"), _same("a", "d", "doc_id"))
-        .join(items.alias("i"), F.expr("a.item_id <=> i.item_id AND a.item_digest = i.digest"))
-        .selectExpr(
-            "a.doc_id",
-            "a.digest",
-            "a.item_id",
-            "shift",
-            f"{window} AS window",
-            # get() is null outside of the document.
-            "transform(i.w, (x, j) -> coalesce(get(d.w, shift + j) = x, false)) AS equal",
-        )
+    around = (
+        f"CASE WHEN span = {rule.span} THEN sequence(greatest(at - {rule.window - 1}, 0), least(at, size(w) - span))"
+        " ELSE array(at) END"
+    )
+    extended = scratch.save(
+        places.alias("p")
+        .join(candidates.distinct().alias("d"), _same("p", "d", "doc_id"))
+        .selectExpr("p.doc_id", "p.digest", "span", "w", f"array_distinct(flatten(transform(places, at -> {around}))) AS starts")
         .selectExpr(
-            "*",
-            "filter(sequence(0, size(equal) - window), s -> forall(slice(equal, s + 1, window), e -> e)) AS starts",
+            "doc_id", "digest", "span",
+            "explode(transform(starts, s -> struct(s AS at, array_join(slice(w, s + 1, span), ' ') AS gram))) AS start",
         )
-        .filter("size(starts) > 0")
+        .selectExpr("doc_id", "digest", "span", "start.at AS at", "start.gram AS gram")
+        .join(item_windows.select("span", "gram").distinct(), ["span", "gram"], "left_semi"),
+        "extended",
+    )
+    hit_words = (
+        extended.selectExpr("doc_id", "digest", "explode(sequence(at, at + span - 1)) AS at")
+        .distinct()
+        .groupBy("doc_id", "digest")
+        .agg(F.count("*").alias("n_hit"))
     )
-    hits = (
-        extended.selectExpr(
-            "doc_id",
-            "digest",
-            "item_id",
-            "explode(array_distinct(flatten(transform(starts, s -> sequence(shift + s, shift + s + window - 1))))) AS at",
-        )
+    hit_items = (
+        extended.select("doc_id", "digest", "span", "gram")
+        .distinct()
+        .join(item_windows, ["span", "gram"])
         .groupBy("doc_id", "digest")
-        .agg(F.countDistinct("at").alias("n_hit"), F.array_sort(F.collect_set("item_id")).alias("hit_items"))
+        .agg(F.array_sort(F.collect_set("item_id")).alias("hit_items"))
+    )
+    hits = (
+        hit_words.alias("h")
+        .join(hit_items.alias("i"), _same("h", "i", "doc_id"), "left")
+        .select("h.doc_id", "h.digest", "n_hit", "hit_items")
     )
     judged = (
         marked.alias("m")
