@@ -120,3 +120,52 @@ def test_edge_cases(frame):
     assert whole[7] == whole[8] == (0, len(long), 40_000)
     assert repeated_spans(frame(rows).limit(0)).count() == 0
     assert repeated_spans(frame(rows), Chunking(least_words=100_000)).count() == 0
+
+
+def spanned(frame, rows, **rule):
+    return sorted((r["doc_id"], r["removed"], r["n_words"]) for r in repeated_spans(frame(rows), Chunking(**rule)).collect())
+
+
+def test_exact_copies_of_any_length(frame):
+    rng = random.Random(8)
+    text = prose(rng, 17)
+    rows = [(1, text), (2, text), (3, "one"), (4, "one"), (5, f"{text} {prose(rng, 30)}"), (6, " "), (7, " "), (8, "two")]
+    assert spanned(frame, rows, exact_copies=True) == [(1, False, 17), (2, True, 17), (3, False, 1), (4, True, 1)]
+    assert spanned(frame, rows) == []
+
+
+def test_a_phrase_said_over_and_over_is_no_repeat_of_itself(frame):
+    rng = random.Random(9)
+    loop = "ha " * 200
+    assert spanned(frame, [(1, "start " + loop), (2, prose(rng, 100))]) == []
+    passage = prose(rng, 60)
+    assert {(d, r) for d, r, _ in spanned(frame, [(1, f"{passage} {passage}")])} == {(1, False), (1, True)}
+    assert {(d, r) for d, r, _ in spanned(frame, [(1, "start " + loop), (2, prose(rng, 9) + " " + loop)])} == {(1, False), (2, True)}
+
+
+def test_hot_digests_are_salted_without_a_change(frame):
+    rng = random.Random(10)
+    line = prose(rng, 40)
+    rows = [(i, f"{prose(rng, 30)}\n{line}\n{prose(rng, 10)}") for i in range(120)]
+    plain = spanned(frame, rows, hot_share=1.0)
+    assert len(plain) == 120 and spanned(frame, rows, hot_share=0.0001, salts=7) == plain
+
+
+def test_shared_spans_of_small_texts_against_brute_force(frame):
+    """What two texts share over at least 40 words is found in both; what is reported occurs twice."""
+    rng = random.Random(11)
+    parts = [prose(rng, 45) for _ in range(6)]
+    rows = [(i, " ".join([prose(rng, 8), *rng.sample(parts, rng.randrange(0, 3)), prose(rng, 8)])) for i in range(25)]
+    texts = dict(rows)
+    spans = repeated_spans(frame(rows)).collect()
+    covered = {i: set() for i in texts}
+    for r in spans:
+        piece = texts[r["doc_id"]][r["span_start"] : r["span_end"]]
+        assert all(any(piece[at : at + 30] in t for i, t in rows if i != r["doc_id"]) for at in range(0, len(piece) - 30, 15))
+        covered[r["doc_id"]].update(range(r["span_start"], r["span_end"]))
+    for part in parts:
+        holders = [i for i, t in rows if part in t]
+        for i in holders if len(holders) > 1 else []:
+            at = texts[i].index(part)
+            assert len(covered[i] & set(range(at, at + len(part)))) > 0.6 * len(part)
+        assert len(holders) != 1 or not covered[holders[0]] & set(range(texts[holders[0]].index(part) + 60, texts[holders[0]].index(part) + 120))

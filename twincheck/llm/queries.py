@@ -20,7 +20,7 @@ from twincheck.llm.packing import pack_documents
 from twincheck.llm.quality import judge_quality, train_quality
 from twincheck.llm.scratch import Scratch
 from twincheck.llm.sharding import shard_documents
-from twincheck.llm.substrings import repeated_spans
+from twincheck.llm.substrings import Chunking, repeated_spans
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -221,7 +221,7 @@ def op7_language_id(spark, sf_dir):
 
 @query("op8_substring_dedup")
 def op8_substring_dedup(spark, sf_dir):
-    return repeated_spans(table(spark, sf_dir, "documents"))
+    return repeated_spans(table(spark, sf_dir, "documents"), Chunking(exact_copies=True))
 
 
 #: Every document is a file of an archive of its source: a folder for each thousand ids, in it one for each hundred;

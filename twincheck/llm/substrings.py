@@ -28,11 +28,16 @@ class Chunking:
     these, those are taken that lie more than ``radius`` after the one taken before, counted from the first of the run,
     so its chunks are equal wherever the run begins. Chunks are longer than ``radius`` bytes and about twice that on average; a place depends on the ``radius`` + 15
     bytes before it and the ``radius`` after it, so an insertion changes the chunks around it only. What repeats is
-    reported from ``least_words`` on. With radius 16, a passage of 50 words of six bytes spans about seven chunks.
+    reported from ``least_words`` on, with ``exact_copies`` also a copy of a whole text at any length; what comes again within ``least_words`` words is a
+    phrase said over and over, not a repeat. With radius 16, a passage of 50 words of six bytes spans about seven chunks.
     """
 
     radius: int = 16
     least_words: int = 20
+    exact_copies: bool = False
+    #: A digest with more than this share of all pieces is spread over ``salts`` tasks; there are less than its inverse.
+    hot_share: float = 0.001
+    salts: int = 64
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
@@ -96,6 +101,10 @@ def _pieces(rule: Chunking):
 
 def _block_pieces(block: Block, doc_ids: pa.Array, line: int, rule: Chunking) -> pa.RecordBatch:
     starts, text = chunk_starts(block, rule.radius)
+    if rule.exact_copies:
+        # A text that is shorter than any passage is one chunk, and found as a whole only.
+        kept = np.isin(starts, block.bounds) | (block.n_words >= rule.least_words)[text]
+        starts, text = starts[kept], text[kept]
     # The digest of a piece: two chunks in a row of the same text, or the only one.
     same = text[:-1] == text[1:]
     alone = ~np.append(same, False) & ~np.append(False, same)[: len(text)] if len(text) else np.zeros(0, dtype=bool)
@@ -109,12 +118,14 @@ def _block_pieces(block: Block, doc_ids: pa.Array, line: int, rule: Chunking) ->
     digests = mix((sums[end] - sums[begin]) * back[begin])
     owner = text[first]
     salted = mix(digests ^ mix(owner.astype(np.uint64) + np.uint64(1)))
+    words = block.spans[0]
+    words_before = np.searchsorted(words, begin) - block.word_bounds[owner]
     order = np.argsort(salted, kind="stable")
-    again = np.zeros(len(first), dtype=bool)
+    again, close = np.zeros(len(first), dtype=bool), np.zeros(len(first), dtype=bool)
     again[order[1:]] = salted[order[1:]] == salted[order[:-1]]
+    close[order[1:]] = again[order[1:]] & (words_before[order[1:]] - words_before[order[:-1]] < rule.least_words)
     chars = np.zeros(len(block.data) + 1, dtype=np.int64)
     np.cumsum(_FIRST_BYTES[block.data], out=chars[1:])
-    words = block.spans[0]
     edges = pa.array(np.searchsorted(owner, np.arange(block.texts + 1)).astype(np.int32))
 
     def lists(values, kind):
@@ -126,10 +137,10 @@ def _block_pieces(block: Block, doc_ids: pa.Array, line: int, rule: Chunking) ->
             pa.array(np.arange(line, line + block.texts)),
             doc_ids,
             pa.ListArray.from_arrays(edges, as_long(digests)),
-            lists(again, pa.bool_()),
+            pa.ListArray.from_arrays(edges, pa.array(again, pa.bool_(), mask=close)),
             lists(chars[begin] - base, pa.int32()),
             lists(chars[end] - base, pa.int32()),
-            lists(np.searchsorted(words, begin) - block.word_bounds[owner], pa.int32()),
+            lists(words_before, pa.int32()),
             lists(np.searchsorted(words, end) - block.word_bounds[owner], pa.int32()),
         ],
         names=["line", "doc_id", "digests", "again", "starts", "ends", "words_before", "words_after"],
@@ -144,10 +155,10 @@ def repeated_spans(documents: DataFrame, rule: Chunking = Chunking()) -> DataFra
     nothing. The first occurrence, in the document with the smallest id, stays (``removed`` false); all others go.
 
     1. One pass writes each text's digests. 2. Digests are counted with map-side combine. 3. Occurrences of repeated
-    digests are joined back (a hot digest splits over tasks), and runs of them in a text become spans.
+    digests are joined back (those of a hot digest by salted keys), and runs of them in a text become spans.
 
-    A text of one chunk is a passage as a whole. A word or short phrase said over and over repeats itself: all but its first
-    occurrence counts as a repeat. Null and empty texts have no spans. Rows with equal ids are texts of their own, all of them
+    A text of one chunk is a passage as a whole, and so is any of less than ``least_words`` words with ``exact_copies``. A word or short phrase said
+    over and over, less than ``least_words`` words apart, is no repeat of itself, only of the same in another place. Null and empty texts have no spans. Rows with equal ids are texts of their own, all of them
     first occurrences if the id is the smallest; a null id is never first unless all are null. An empty table: no rows.
     """
     scratch = Scratch(documents.sparkSession, "substrings")
@@ -159,17 +170,25 @@ def repeated_spans(documents: DataFrame, rule: Chunking = Chunking()) -> DataFra
         ),
         "pieces",
     )
-    found = pieces.select("doc_id", F.explode("digests").alias("digest"))
-    repeated = (
-        found.groupBy("digest")
-        .agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc_id"))
-        .filter("n > 1")
-        .drop("n")
+    counted = "CASE WHEN exists(again, a -> a IS NULL) THEN filter(digests, (d, i) -> again[i] IS NOT NULL) ELSE digests END"
+    found = pieces.selectExpr("doc_id", f"explode({counted}) AS digest")
+    repeated = scratch.save(
+        found.groupBy("digest").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc_id")).filter("n > 1"),
+        "repeated",
+    )
+    total = pieces.selectExpr("coalesce(sum(cast(size(digests) AS bigint)), 0L)").first()[0]
+    # At most 1 / hot_share rows, as the counts of all digests add up to the total.
+    hot = repeated.filter(f"n > {rule.hot_share} * {total}").selectExpr("digest", "true AS hot")
+    salted = (
+        repeated.join(F.broadcast(hot), "digest", "left")
+        .selectExpr("digest", "first_doc_id", f"explode(sequence(0, if(hot, {rule.salts - 1}, 0))) AS salt")
     )
     placed = pieces.select("line", "doc_id", F.posexplode(F.arrays_zip("digests", "again")).alias("place", "piece"))
     hits = (
-        placed.selectExpr("line", "doc_id", "place", "piece.digests AS digest", "piece.again AS again")
-        .join(repeated, "digest")
+        placed.selectExpr("line", "doc_id", "place", "piece.digests AS digest", "coalesce(piece.again, false) AS again")
+        .join(F.broadcast(hot), "digest", "left")
+        .selectExpr("line", "doc_id", "place", "digest", "again", f"if(hot, cast(pmod(xxhash64(line), {rule.salts}) AS int), 0) AS salt")
+        .join(salted, ["digest", "salt"])
         .selectExpr("line", "place", "again OR NOT doc_id <=> first_doc_id AS removed", "first_doc_id")
     )
     runs = (
@@ -186,8 +205,10 @@ def repeated_spans(documents: DataFrame, rule: Chunking = Chunking()) -> DataFra
             "cast(words_after[high] - words_before[low] AS bigint) AS n_words",
             "removed",
             "first_doc_id",
+            f"low = 0 AND high = size(starts) - 1 AND words_after[high] > 0 AND {str(rule.exact_copies).lower()} AS whole",
         )
-        .filter(F.col("n_words") >= rule.least_words)
+        .filter(f"whole OR n_words >= {rule.least_words}")
+        .drop("whole")
     )
 
 
