@@ -103,3 +103,54 @@ def test_repeated_rows_nulls_and_clashing_columns(spark, stages):
         ("2", "one two three"), ("None", "one two three")
     ]
     assert corpus_pipeline.without_benchmark(spark, docs, SF).count() == 5
+
+
+def rows_of(spark, rows):
+    return spark.createDataFrame(
+        [(i, t, "en", s, len(t or "")) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long"
+    )
+
+
+def test_an_id_with_two_texts_loses_only_the_copy(spark):
+    x, y = " ".join(f"x{i}" for i in range(30)), " ".join(f"y{i}" for i in range(30))
+    found = corpus_pipeline.near_duplicates(spark, rows_of(spark, [(1, x, "s"), (2, x, "s"), (2, y, "s")]), SF).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in found) == [(1, x), (2, y)]
+
+
+def test_rows_equal_but_in_source_leave_the_same_one_in_every_run(spark):
+    rows = [(4, "some words here", s) for s in ("c", "a", None, "b")]
+    for order in (rows, rows[::-1], rows[2:] + rows[:2]):
+        found = corpus_pipeline.near_duplicates(spark, rows_of(spark, order).repartition(3), SF).collect()
+        assert [r["source"] for r in found] == [None]
+
+
+def test_the_order_of_the_mix_reaches_the_packed_rows(spark, tmp_path):
+    """Files of unequal size, which a scan reads largest first."""
+    folder = str(tmp_path / "mixed")
+    at = 0
+    for part, size in enumerate([40, 900, 5, 300, 900, 60]):
+        rows = [(i, f"document {i} " + "word " * 40, "s") for i in range(at, at + size)]
+        rows_of(spark, rows).coalesce(1).write.mode("append").parquet(f"{folder}/{part}")
+        at += size
+    docs = spark.read.option("recursiveFileLookup", True).parquet(folder)
+    packed = corpus_pipeline.pack_tokens(spark, docs, SF).orderBy("sequence", "row").collect()
+    spans = {}
+    for r in packed:
+        low, high = spans.get(r["sequence"], (at, -1))
+        spans[r["sequence"]] = min(low, *r["doc_ids"]), max(high, *r["doc_ids"])
+    found = [spans[s] for s in sorted(spans)]
+    assert len(found) == 6 and found[0][0] == 0 and found[-1][1] == at - 1
+    assert all(before[1] + 1 == after[0] for before, after in zip(found, found[1:]))
+
+
+def test_packing_of_nulls_clashing_columns_and_no_rows(spark, tmp_path):
+    docs = spark.createDataFrame(
+        [(1, None, "a"), (None, "no id", "b"), (3, "", "c"), (3, "three", "d"), (3, "three", "d")],
+        "doc_id long, text string, sequence string",
+    )
+    for given in (docs, docs.limit(0)):
+        path = str(tmp_path / f"docs{given.count()}")
+        given.write.parquet(path)
+        for read in (given, spark.read.parquet(path)):
+            packed = corpus_pipeline.pack_tokens(spark, read, SF).collect()
+            assert sorted((i or 0 for r in packed for i in r["doc_ids"])) == ([0, 3, 3] if given is docs else [])
