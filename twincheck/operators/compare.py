@@ -219,6 +219,21 @@ def digest_keys(source: DataFrame, target: DataFrame, pairing: Pairing) -> DataF
 DIFFERING_BUCKETS = 1 << 16
 
 
+# Aggregates over ``digest_keys``.
+_BOTH = f"{SOURCE_ROWS} > 0 AND {TARGET_ROWS} > 0"
+KEY_METRICS = [
+    f"count_if({SOURCE_ROWS} > 0) AS source_keys",
+    f"count_if({TARGET_ROWS} > 0) AS target_keys",
+    f"count_if({_BOTH}) AS common_keys",
+    f"count_if({_BOTH} AND _same) AS matched_keys",
+    f"count_if({_BOTH} AND NOT _same) AS mismatched_keys",
+    f"count_if({TARGET_ROWS} = 0) AS only_source_keys",
+    f"count_if({SOURCE_ROWS} = 0) AS only_target_keys",
+    f"coalesce(sum({SOURCE_ROWS}), 0L) AS {SOURCE_ROWS}",
+    f"coalesce(sum({TARGET_ROWS}), 0L) AS {TARGET_ROWS}",
+]
+
+
 @dataclass(frozen=True)
 class RowComparison:
     """A classified pair and the reports derived from it. Every report is a lazy DataFrame.
@@ -374,18 +389,13 @@ class RowComparison:
         """The metrics without those of single columns."""
         if self.sides is None:
             return self.metrics().drop(*[f"_mismatched_{i}" for i in range(len(self.pairing.columns))])
-        both = f"{SOURCE_ROWS} > 0 AND {TARGET_ROWS} > 0"
-        return digest_keys(*self.sides, self.pairing).selectExpr(
-            f"count_if({SOURCE_ROWS} > 0) AS source_keys",
-            f"count_if({TARGET_ROWS} > 0) AS target_keys",
-            f"count_if({both}) AS common_keys",
-            f"count_if({both} AND _same) AS matched_keys",
-            f"count_if({both} AND NOT _same) AS mismatched_keys",
-            f"count_if({TARGET_ROWS} = 0) AS only_source_keys",
-            f"count_if({SOURCE_ROWS} = 0) AS only_target_keys",
-            f"coalesce(sum({SOURCE_ROWS}), 0L) AS {SOURCE_ROWS}",
-            f"coalesce(sum({TARGET_ROWS}), 0L) AS {TARGET_ROWS}",
-        )
+        return digest_keys(*self.sides, self.pairing).selectExpr(*KEY_METRICS)
+
+    def key_metrics_by(self, key: str) -> DataFrame:
+        """The metrics without those of single columns, for each value of one of the keys. Needs both sides."""
+        place = f"_k{self.pairing.keys.index(key)}"
+        keyed = digest_keys(*self.sides, self.pairing).withColumnRenamed(place, key)
+        return keyed.groupBy(key).agg(*map(F.expr, KEY_METRICS))
 
     def counts(self) -> DataFrame:
         """One row: keys and raw rows per side, duplicates, and the size of every difference class."""

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from twincheck.functions.sqltext import alias, literal, quote
 from twincheck.operators.compare import NO_DIFFERENCE, RowComparison, columns_only, compare_rows
 from twincheck.session import ensure_checkpoint_dir
+from twincheck.sources.records import PAIR, ROW_INDEX
 from twincheck.verdict import verdict_text
 
-ROW_INDEX = "_row_index"
 _SPLITS_CHANGED = "the input was cut into other splits than when its rows were counted; number the rows again"
 # Per-split counts are broadcast only up to this many splits (about 200 bytes each, so some 20 MB).
 MAX_BROADCAST_SPLITS = 100_000
@@ -95,8 +95,13 @@ class PositionalComparison:
 def compare_positions(
     source: DataFrame, target: DataFrame, *, skip: Iterable[str] | None = None
 ) -> PositionalComparison:
-    """Compare row i with row i. Column names are case-sensitive; surplus rows of the longer side are reported."""
-    compared = compare_rows(
-        with_row_index(source), with_row_index(target), [ROW_INDEX], skip=skip, case_sensitive=True
-    )
+    """Compare row i with row i. Column names are case-sensitive; surplus rows of the longer side are reported.
+
+    Sides are numbered in file order, unless both have their row numbers, as records do. Rows of many pairs of files are
+    compared in one go where both sides tell the pair in ``_pair``.
+    """
+    numbered = ROW_INDEX in source.columns and ROW_INDEX in target.columns
+    sides = (source, target) if numbered else (with_row_index(source), with_row_index(target))
+    keys = [PAIR, ROW_INDEX] if all(PAIR in side.columns for side in sides) else [ROW_INDEX]
+    compared = compare_rows(*sides, keys, skip=skip, case_sensitive=True)
     return PositionalComparison(compared, columns_only(source, target, case_sensitive=True))

@@ -97,6 +97,21 @@ def export_differences(
     return dict(observation.get)
 
 
+def export_pair_differences(comparison: RowComparison, folder: str, pairs: DataFrame, *, key: str) -> None:
+    """Write the differences of many pairs in one job, partitioned by pair, table, check and status.
+
+    ``key`` is the key that tells the pair; ``pairs`` (diff_pair, diff_table) are those to write.
+    """
+    flat = flat_differences(comparison).withColumnRenamed(key, "diff_pair").join(pairs, "diff_pair")
+    (
+        flat.withColumn("diff_check", F.lit("file"))
+        .write.options(**CSV_OPTIONS)
+        .partitionBy("diff_pair", *PARTITIONS)
+        .mode("append")
+        .csv(folder)
+    )
+
+
 def metric_rows(metrics: DataFrame, *, table: str, check: str) -> DataFrame:
     """A one-row metrics frame in long form: ``table_name, check_name, metric, value``."""
     cells = [

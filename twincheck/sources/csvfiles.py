@@ -6,12 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from twincheck.functions.columns import blank_nulls
-from twincheck.functions.sqltext import alias, quote
-
-# Column with the cells of a row beyond its header, so that a ragged row never looks like a whole one.
-EXTRA_COLUMN = "_extra_cells"
-EXTRA_CELLS = 8
-
+from twincheck.sources.records import read_records
 
 def read_csv(
     spark: SparkSession,
@@ -27,20 +22,19 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a declared schema, or all text if none is given. Quotes within cells are doubled, as RFC 4180 has it.
 
-    ``multi_line`` reads cells with line breaks; such files cannot be split over tasks. ``extra_cells`` adds a column
-    with up to eight cells that a row has beyond its header, joined by the delimiter; it is empty for whole rows.
+    ``multi_line`` reads cells with line breaks, one file a task. ``extra_cells`` reads all-text files by
+    :func:`read_records`: cells may hold line breaks though files are split, and a column holds whatever a row has beyond
+    its header; rows come with their number in the file.
     """
+    if extra_cells:
+        if schema is not None or not header or escape != '"':
+            raise ValueError("extra cells are read of text files with a header and doubled quotes only")
+        return read_records(spark, path, delimiter=delimiter, encoding=encoding)
     options = {"sep": delimiter, "header": header, "escape": escape, "encoding": encoding, "multiLine": multi_line}
     reader = spark.read.options(**options)
     if schema is not None:
         return blank_nulls(reader.schema(schema).csv(path))
-    if not extra_cells:
-        return blank_nulls(reader.csv(path))
-    names = reader.csv(path).columns
-    cells = [f"c{i}" for i in range(len(names) + EXTRA_CELLS)]
-    rows = reader.schema(", ".join(f"{cell} string" for cell in cells)).csv(path)
-    extra = alias(f"concat_ws('{delimiter}', {', '.join(cells[len(names):])})", EXTRA_COLUMN)
-    return blank_nulls(rows.selectExpr(*[alias(quote(c), name) for c, name in zip(cells, names)], extra))
+    return blank_nulls(reader.csv(path))
 
 
 def read_csv_inferred(spark: SparkSession, path: str | list[str], *, delimiter: str = ",") -> DataFrame:

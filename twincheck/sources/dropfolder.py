@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import csv
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twincheck.functions.sqltext import alias, literal
-from twincheck.sources.csvfiles import EXTRA_CELLS, EXTRA_COLUMN
+from twincheck.sources.records import cells_of, header_names, read_records
 
 # Endings of the two extracts of a pair and of archives.
 SOURCE_SUFFIX = "_td.csv"
@@ -20,13 +18,14 @@ ERROR_LINE = -1
 
 
 def list_files(spark: SparkSession, folder: str, suffix: str = "") -> DataFrame:
-    """``path, length, modificationTime`` of the files below ``folder``; no content is read."""
+    """``path, length, modificationTime, file`` of the files below ``folder``; no content is read. ``file`` is the path as
+    scans of the file tell it."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", f"*{suffix}")
         .load(folder)
-        .select("path", "length", "modificationTime")
+        .select("path", "length", "modificationTime", F.col("_metadata.file_path").alias("file"))
     )
 
 
@@ -104,28 +103,28 @@ def archive_errors(spark: SparkSession, staging: str) -> DataFrame:
     return staged.where(f"line_number = {ERROR_LINE}").selectExpr("archive", "line AS error")
 
 
-def _header_names(line: str, delimiter: str) -> list[str]:
-    names = next(csv.reader([line], delimiter=delimiter))
-    folded = [name.lower() for name in names]
-    return [
-        f"_c{i}" if not name else f"{name}{i}" if folded.count(name.lower()) > 1 else name
-        for i, name in enumerate(names)
-    ]
+def staged_lines(spark: SparkSession, read_path: str) -> DataFrame:
+    """``file, block, line`` of staged members, as ``file_lines`` gives them for loose files; ``file`` ends in the member's
+    folder below the staging folder."""
+    return (
+        spark.read.parquet(read_path)
+        .where("line_number >= 0")
+        .selectExpr(
+            "_metadata.file_path AS file", "_metadata.file_block_start AS block", "cast(line AS binary) AS line"
+        )
+    )
 
 
 def read_staged_csv(
     spark: SparkSession, read_path: str, *, delimiter: str = ",", extra_cells: bool = False
 ) -> DataFrame:
     """A staged member as an all-text CSV scan in line order; the first line names the columns. See ``read_csv``."""
+    if extra_cells:
+        return read_records(spark, read_path, delimiter=delimiter, lines=staged_lines(spark, read_path))
     lines = spark.read.parquet(read_path)
     header = lines.where("line_number = 0").select("line").head()["line"]
-    names = _header_names(header.rstrip("\r"), delimiter)
-    cells = len(names) + EXTRA_CELLS
-    schema = ", ".join(f"c{i} string" for i in range(cells))
-    filled = lines.where("line_number > 0").selectExpr("rtrim('\\r', line) AS text").where("text <> ''")
+    names = header_names(cells_of(header.rstrip("\r"), delimiter))
+    schema = ", ".join(f"c{i} string" for i in range(len(names)))
+    filled = lines.where("line_number > 0").selectExpr("rtrim('\r', line) AS text").where("text <> ''")
     parsed = filled.select(F.from_csv("text", schema, {"sep": delimiter, "escape": '"'}).alias("row"))
-    extra = ", ".join(f"row.c{i}" for i in range(len(names), cells))
-    return parsed.selectExpr(
-        *[alias(f"coalesce(row.c{i}, '')", name) for i, name in enumerate(names)],
-        *([alias(f"concat_ws('{delimiter}', {extra})", EXTRA_COLUMN)] if extra_cells else []),
-    )
+    return parsed.selectExpr(*[alias(f"coalesce(row.c{i}, '')", name) for i, name in enumerate(names)])
