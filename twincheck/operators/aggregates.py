@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from fractions import Fraction
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from twincheck.functions.columns import resolve_names
 from twincheck.functions.comparability import EXACT, Tolerance, cast, common_type, is_numeric
+from twincheck.functions.exactsum import PIECES, as_double, exact_total, pieces
 from twincheck.functions.sqltext import array, literal, quote, struct
 from twincheck.operators.counts import compare_frequencies
 from twincheck.verdict import verdict_text
@@ -43,47 +46,131 @@ def aggregate_requests(
     return [r for r in requests if r.column.upper() not in unwanted]
 
 
-def _aggregate(name: str, own: T.DataType, common: T.DataType | None, function: str) -> str:
-    """Aggregate over the type both sides share, so that sums and averages get the same scale."""
+def _summed_type(own: T.DataType, common: T.DataType | None) -> T.DataType:
+    return own if common is None else common
+
+
+def _is_exact_average(r: AggregateRequest, kind: T.DataType) -> bool:
+    return r.function == "AVG" and is_numeric(kind) and not isinstance(kind, (T.FloatType, T.DoubleType))
+
+
+def _is_double_total(r: AggregateRequest, kind: T.DataType) -> bool:
+    return r.function in ("SUM", "AVG") and isinstance(kind, (T.FloatType, T.DoubleType))
+
+
+def _value(name: str, own: T.DataType, common: T.DataType | None, function: str) -> str:
+    """A column on the type both sides share, so that sums and averages get the same scale."""
     value = quote(name) if common is None else cast(quote(name), own, common)
-    kind = own if common is None else common
+    kind = _summed_type(own, common)
     if function in ("SUM", "AVG"):
         # Integers are summed as wide decimals: exact, and no overflow error at any row count.
         if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
             value = f"cast({value} AS decimal(22,0))"
         elif isinstance(kind, T.FloatType):
             value = f"cast({value} AS double)"
-    return f"{function}({value})"
+    return value
 
 
-def _totals(
-    df: DataFrame, names: Sequence[str], requests: Sequence[AggregateRequest], commons: Sequence[T.DataType | None]
+def _as_cells(
+    df: DataFrame,
+    names: Sequence[str],
+    requests: Sequence[AggregateRequest],
+    commons: Sequence[T.DataType | None],
+    is_source: bool,
 ) -> DataFrame:
-    """One row with every requested aggregate as ``v0, v1, ..``: one scan, one aggregate."""
-    schema = df.schema
-    return df.selectExpr(
-        *[
-            f"{_aggregate(name, schema[name].dataType, common, r.function)} AS v{i}"
-            for i, (name, r, common) in enumerate(zip(names, requests, commons))
-        ]
-    )
+    """Aggregates of one side in long form: ``is_source, position, text, number, total, n, class, p0, p1, p2``.
 
+    One scan and one aggregate for all requests. A sum or average of a floating-point column has a row for each class of
+    its values (see ``exactsum``) in place of a text; an average of exact numbers also has its exact total and count.
+    """
+    schema = df.schema
+    kinds = [_summed_type(schema[name].dataType, common) for name, common in zip(names, commons)]
+    values = [
+        _value(name, schema[name].dataType, common, r.function) for name, r, common in zip(names, requests, commons)
+    ]
+    doubles = [i for i, (r, kind) in enumerate(zip(requests, kinds)) if _is_double_total(r, kind)]
+    # A column that is summed and averaged is cut into pieces once.
+    summed = list(dict.fromkeys(values[i] for i in doubles))
+    plain = [i for i in range(len(requests)) if i not in doubles]
+    rows = df
+    where = ""
+    if doubles:
+        cut = [struct({"part": str(part), "piece": pieces(value)}) for part, value in enumerate(summed)]
+        nothing = struct({"part": "-1", "piece": pieces("cast(NULL AS double)")})
+        rows = df.selectExpr("*", f"inline({array([nothing, *cut])}) AS (_part, _piece)")
+        where = " FILTER (WHERE _part = -1)"
+    aggregates = []
+    for i in plain:
+        aggregates.append(f"{requests[i].function}({values[i]}){where} AS v{i}")
+        if _is_exact_average(requests[i], kinds[i]):
+            aggregates += [f"sum({values[i]}){where} AS total{i}", f"count({values[i]}){where} AS n{i}"]
+    if doubles:
+        sums = [f"sum(_piece.{name}) AS {name}" for name in PIECES] + ["count(1) AS n"]
+        grouped = rows.groupBy("_part", F.expr("_piece.class AS class"))
+        totals = grouped.agg(*map(F.expr, [*aggregates, *sums]))
+    else:
+        totals = rows.selectExpr(*aggregates)
+    types = {field.name: field.dataType for field in totals.schema.fields}
 
-def _as_cells(totals: DataFrame, is_source: bool) -> DataFrame:
-    """Long form ``is_source, position, text, number``."""
-    cells = [
-        struct(
+    def cell(i: int) -> str:
+        exact = _is_exact_average(requests[i], kinds[i])
+        numeric = is_numeric(types[f"v{i}"])
+        return struct(
             {
                 "position": str(i),
-                "text": f"cast({item.name} AS string)",
-                "number": f"cast({item.name if is_numeric(item.dataType) else 'NULL'} AS double)",
+                "text": f"cast(v{i} AS string)",
+                "number": f"cast({f'v{i}' if numeric else 'NULL'} AS double)",
+                "total": f"cast(total{i} AS string)" if exact else "cast(NULL AS string)",
+                "n": f"n{i}" if exact else "cast(NULL AS bigint)",
             }
         )
-        for i, item in enumerate(totals.schema.fields)
-    ]
-    return totals.selectExpr(f"explode({array(cells)}) AS cell").selectExpr(
-        f"{'true' if is_source else 'false'} AS is_source", "cell.*"
-    )
+
+    side = f"{'true' if is_source else 'false'} AS is_source"
+    none = [f"cast(NULL AS bigint) AS {name}" for name in PIECES]
+    parts = []
+    if plain:
+        of_plain = totals.where("_part = -1") if doubles else totals
+        cells = of_plain.selectExpr(f"inline({array([cell(i) for i in plain])})")
+        parts.append(cells.selectExpr(side, "*", "cast(NULL AS int) AS class", *none))
+    for i in doubles:
+        of_column = totals.where(f"_part = {summed.index(values[i])} AND class IS NOT NULL")
+        parts.append(
+            of_column.selectExpr(
+                side, f"{i} AS position", "cast(NULL AS string) AS text", "cast(NULL AS double) AS number",
+                "cast(NULL AS string) AS total", "n", "class", *PIECES,
+            )
+        )
+    return reduce(DataFrame.unionAll, parts)
+
+
+_JOINED = (
+    "position int, source_value string, target_value string, source_number double, target_number double,"
+    " source_exact string, target_exact string"
+)
+
+
+def _finish(averages: frozenset[int]):
+    """The rows of one request to one row of ``_JOINED``; exact values are fractions as text."""
+
+    def run(table: pa.Table) -> pa.Table:
+        position = table.column("position")[0].as_py()
+        found = {}
+        for is_source in (True, False):
+            rows = [r for r in table.to_pylist() if r["is_source"] is is_source]
+            text, number, exact = None, None, None
+            if rows and rows[0]["class"] is None:
+                text, number, n = rows[0]["text"], rows[0]["number"], rows[0]["n"]
+                exact = text if n is None else str(Fraction(rows[0]["total"]) / n) if n and rows[0]["total"] else None
+            elif rows:
+                value = exact_total((r["class"], *(r[p] for p in PIECES)) for r in rows)
+                value = value / sum(r["n"] for r in rows) if position in averages else value
+                number, exact = as_double(value), str(value)
+            found[is_source] = text, number, exact
+        columns = [[position], *([found[side][k]] for k in range(3) for side in (True, False))]
+        kinds = [pa.int32(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.string(), pa.string()]
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=[f.split()[0] for f in _JOINED.split(", ")])
+
+    return run
 
 
 def compare_aggregates(
@@ -99,7 +186,8 @@ def compare_aggregates(
 ) -> DataFrame:
     """Seven text columns per MIN / MAX / SUM / AVG request. Each side is scanned once for all of them.
 
-    Sums of floating-point columns depend on the order of addition; give a tolerance for those.
+    Sums and averages of floating-point columns are exact, so they do not depend on the order of the rows; averages of
+    all numbers are compared as fractions, not as they are rounded for the report.
     """
     wanted = [r for r in requests if r.function in VALUE_FUNCTIONS]
     if not wanted:
@@ -109,16 +197,29 @@ def compare_aggregates(
     commons = [
         common_type(source.schema[s].dataType, target.schema[t].dataType) for s, t in zip(source_names, target_names)
     ]
-    both = _as_cells(_totals(source, source_names, wanted, commons), True).unionAll(
-        _as_cells(_totals(target, target_names, wanted, commons), False)
-    )
-    joined = both.groupBy("position").agg(
-        F.expr("max(if(is_source, text, NULL)) AS source_value"),
-        F.expr("max(if(is_source, NULL, text)) AS target_value"),
-        F.expr("max(if(is_source, number, NULL)) AS source_number"),
-        F.expr("max(if(is_source, NULL, number)) AS target_number"),
+    both = _as_cells(source, source_names, wanted, commons, True).unionAll(
+        _as_cells(target, target_names, wanted, commons, False)
     )
-    equal = "source_value <=> target_value"
+    kinds = [_summed_type(source.schema[s].dataType, common) for s, common in zip(source_names, commons)]
+    if any(_is_double_total(r, k) or _is_exact_average(r, k) for r, k in zip(wanted, kinds)):
+        averages = frozenset(i for i, r in enumerate(wanted) if r.function == "AVG")
+        joined = both.groupBy("position").applyInArrow(_finish(averages), _JOINED)
+        # Columns without any value have no row.
+        every = source.sparkSession.range(len(wanted)).selectExpr("cast(id AS int) AS position")
+        joined = every.join(joined, "position", "left").selectExpr(
+            "position", "coalesce(source_value, cast(source_number AS string)) AS source_value",
+            "coalesce(target_value, cast(target_number AS string)) AS target_value", "source_number", "target_number",
+            "source_exact", "target_exact",
+        )
+        equal = "source_exact <=> target_exact"
+    else:
+        joined = both.groupBy("position").agg(
+            F.expr("max(if(is_source, text, NULL)) AS source_value"),
+            F.expr("max(if(is_source, NULL, text)) AS target_value"),
+            F.expr("max(if(is_source, number, NULL)) AS source_number"),
+            F.expr("max(if(is_source, NULL, number)) AS target_number"),
+        )
+        equal = "source_value <=> target_value"
     if not tolerance.exact:
         slack = f"{float(tolerance.absolute)!r}D + {float(tolerance.relative)!r}D * abs(target_number)"
         equal = f"({equal} OR coalesce(abs(source_number - target_number) <= {slack}, false))"
