@@ -196,22 +196,57 @@ def bucket(keys: Sequence[str], buckets: int) -> str:
     return f"pmod({null_aware_hash(keys, keys, 0)}, {buckets}L) AS _bucket"
 
 
-def digest_keys(source: DataFrame, target: DataFrame, pairing: Pairing) -> DataFrame:
+def column_digests(pairing: Pairing, *, target: bool) -> list[str]:
+    """A digest ``_c0..`` of each compared value, alike on both sides where the values match exactly."""
+    own, foreign = pairing.columns, pairing.target_columns
+    own_schema, foreign_schema = pairing.source_schema, pairing.target_schema
+    if target:
+        own, foreign, own_schema, foreign_schema = foreign, own, foreign_schema, own_schema
+    return [
+        null_aware_hash(
+            [canonical_value(quote(name), own_schema[name].dataType, foreign_schema[other].dataType, target=target)],
+            [quote(name)],
+            3,
+        )
+        + f" AS _c{i}"
+        for i, (name, other) in enumerate(zip(own, foreign))
+    ]
+
+
+# Columns in a mask of flags.
+MASK_BITS = 62
+
+
+def mask_flag(column: int) -> str:
+    """Whether a column differs, of a key with one row on each side."""
+    return f"_m{column // MASK_BITS} & {1 << (column % MASK_BITS)}L <> 0"
+
+
+def digest_keys(source: DataFrame, target: DataFrame, pairing: Pairing, *, columns: bool = False) -> DataFrame:
     """One short row per key: ``_k0..``, the rows of each side, and whether both hold the same rows equally often.
 
-    Only keys and digests travel, combined before the exchange in buffers of fixed width.
+    Only keys and digests travel, combined before the exchange in buffers of fixed width. With ``columns`` there are masks
+    ``_m0..`` of the columns that differ, 62 to each; they mean nothing for repeated keys.
     """
 
     def side(df: DataFrame, target: bool) -> DataFrame:
         keys = [alias(key, f"_k{i}") for i, key in enumerate(pairing.key_values(target))]
-        return df.selectExpr(*keys, *row_digests(pairing, target=target))
+        of_columns = column_digests(pairing, target=target) if columns else []
+        return df.selectExpr(*keys, *row_digests(pairing, target=target), *of_columns)
 
     sums = digest_sums()
     counted = {SOURCE_ROWS: "count_if(_sign > 0)", TARGET_ROWS: "count_if(_sign < 0)"} | sums
+    places = range(len(pairing.columns)) if columns else range(0)
+    counted |= {f"_x{i}": f"bit_xor(_c{i})" for i in places}
     keyed = side(source, False).unionAll(side(target, True)).groupBy(*[f"_k{i}" for i in range(len(pairing.keys))])
     same = " AND ".join(f"{name} = 0" for name in sums)
+    masks = [
+        " | ".join(f"if(_x{i} = 0, 0L, {1 << (i - start)}L)" for i in places[start : start + MASK_BITS])
+        + f" AS _m{start // MASK_BITS}"
+        for start in range(0, len(places), MASK_BITS)
+    ]
     return keyed.agg(*[F.expr(f"{value} AS {name}") for name, value in counted.items()]).selectExpr(
-        *[f"_k{i}" for i in range(len(pairing.keys))], SOURCE_ROWS, TARGET_ROWS, f"{same} AS _same"
+        *[f"_k{i}" for i in range(len(pairing.keys))], SOURCE_ROWS, TARGET_ROWS, f"{same} AS _same", *masks
     )
 
 
@@ -238,12 +273,14 @@ KEY_METRICS = [
 class RowComparison:
     """A classified pair and the reports derived from it. Every report is a lazy DataFrame.
 
-    With both ``sides`` given, counts and verdicts come from digests by key, without moving whole rows.
+    With both ``sides`` given, counts, verdicts and column metrics come from digests by key, without moving whole rows.
+    ``keyless`` tells that the key is a hash of all that is compared.
     """
 
     rows: DataFrame
     pairing: Pairing
     sides: tuple[DataFrame, DataFrame] | None = None
+    keyless: bool = False
 
     @property
     def _keys(self) -> list[str]:
@@ -369,21 +406,31 @@ class RowComparison:
         """One row of counts, including the mismatch count of every compared column."""
         if self.sides is None:
             return self.rows.selectExpr(*self.metric_expressions())
-        # Whole rows are fetched only where a key of their bucket differs.
-        keyed = digest_keys(*self.sides, self.pairing)
+        columns = range(len(self.pairing.columns))
+        if self.keyless or not columns:
+            # Rows of one hash agree in every column.
+            return self.key_metrics().selectExpr("*", *[f"0L AS _mismatched_{i}" for i in columns])
+        keyed = digest_keys(*self.sides, self.pairing, columns=True)
+        single = f"({SOURCE_ROWS} = 1 AND {TARGET_ROWS} = 1)"
+        of_single = keyed.selectExpr(
+            *KEY_METRICS, *[f"count_if({single} AND {mask_flag(i)}) AS _mismatched_{i}" for i in columns]
+        )
+        # Of a repeated key the smallest rows are compared. Rows are fetched only where such a key of their bucket differs.
+        # The condition on the masks keeps all of them in this branch, so that both read one exchange.
+        whole = " AND ".join(f"bit_count(_m{i}) >= 0" for i in range(-(-len(columns) // MASK_BITS)))
+        repeated = keyed.where(f"{_BOTH} AND NOT _same AND NOT {single} AND {whole}")
         names = [f"_k{i}" for i in range(len(self.pairing.keys))]
-        differing = keyed.where(f"NOT _same AND {SOURCE_ROWS} > 0 AND {TARGET_ROWS} > 0")
-        buckets = differing.selectExpr(bucket(names, DIFFERING_BUCKETS)).distinct()
+        buckets = repeated.selectExpr(bucket(names, DIFFERING_BUCKETS)).distinct()
         tagged = tag_sides(*self.sides, self.pairing).selectExpr("*", bucket(names, DIFFERING_BUCKETS))
         candidates = tagged.join(F.broadcast(buckets), "_bucket", "left_semi").drop("_bucket")
-        flags = classify(candidates, self.pairing).where(status_is(DIFFERENT))
-        columns = [f"_mismatched_{i}" for i in range(len(self.pairing.columns))]
-        per_column = flags.selectExpr(
-            *[f"count_if(NOT {MATCHES}.{quote(n)}) AS {c}" for c, n in zip(columns, self.pairing.columns)],
-            *(["count(1) AS _none"] if not columns else []),
+        flags = classify(candidates, self.pairing).where(f"{status_is(DIFFERENT)} AND NOT {single}")
+        of_repeated = flags.selectExpr(
+            *[f"count_if(NOT {MATCHES}.{quote(n)}) AS _mismatched_{i}" for i, n in enumerate(self.pairing.columns)]
+        )
+        both = of_single.unionByName(of_repeated, allowMissingColumns=True)
+        return both.selectExpr(
+            *[f"{'sum' if name.startswith('_mismatched_') else 'max'}({name}) AS {name}" for name in both.columns]
         )
-        both = self.key_metrics().unionByName(per_column, allowMissingColumns=True)
-        return both.selectExpr(*[f"max({name}) AS {name}" for name in both.columns if name != "_none"])
 
     def key_metrics(self) -> DataFrame:
         """The metrics without those of single columns."""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -121,7 +121,7 @@ def content_comparison(
     if spec.keys:
         return compare(source, target, spec.keys, skip=spec.skip, tolerance=tolerance)
     hashed_source, hashed_target = with_shared_hash_key(source, target, spec.skip, safe=True)
-    return compare(hashed_source, hashed_target, [HASH_COLUMN], tolerance=tolerance)
+    return replace(compare(hashed_source, hashed_target, [HASH_COLUMN], tolerance=tolerance), keyless=True)
 
 
 def plan_pair(

@@ -176,7 +176,7 @@ def compare_repeated_rows(spark, sf_dir):
 )
 def content_compare_keyless(spark, sf_dir):
     compared = content_comparison(*w.repeated_pair(spark, sf_dir), PairSpec("s", "t", "TABLE"))
-    return compared.metrics().select("only_source_keys", "only_target_keys", "mismatched_keys", "matched_keys")
+    return compared.key_metrics().select("only_source_keys", "only_target_keys", "mismatched_keys", "matched_keys")
 
 
 @query(
