@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from fractions import Fraction
 from functools import reduce
 
@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from twincheck.functions.columns import resolve_names
-from twincheck.functions.comparability import EXACT, Tolerance, cast, common_type, is_numeric
+from twincheck.functions.comparability import EXACT, Tolerance, cast, common_type, is_numeric, orderable_columns
 from twincheck.functions.exactsum import PIECES, as_double, exact_total, pieces
 from twincheck.functions.sqltext import array, literal, quote, struct
-from twincheck.operators.counts import compare_frequencies
+from twincheck.operators.counts import COUNT_STATUS, frequency_texts
+from twincheck.session import scratch_folder
 from twincheck.verdict import verdict_text
 
 # Aggregate function names.
@@ -71,17 +72,25 @@ def _value(name: str, own: T.DataType, common: T.DataType | None, function: str)
     return value
 
 
+_CELLS = (
+    "is_source boolean, position int, text string, number double, total string, n bigint, class int, p0 bigint, p1 bigint,"
+    " p2 bigint"
+)
+
+
 def _as_cells(
     df: DataFrame,
     names: Sequence[str],
     requests: Sequence[AggregateRequest],
     commons: Sequence[T.DataType | None],
     is_source: bool,
+    counted: Sequence[str] = (),
 ) -> DataFrame:
-    """Aggregates of one side in long form: ``is_source, position, text, number, total, n, class, p0, p1, p2``.
+    """Aggregates of one side in long form (``_CELLS``), after them for the texts ``counted`` a row for each value.
 
     One scan and one aggregate for all requests. A sum or average of a floating-point column has a row for each class of
-    its values (see ``exactsum``) in place of a text; an average of exact numbers also has its exact total and count.
+    its values (see ``exactsum``) in place of a text; an average of exact numbers also has its exact total and count. Rows
+    of counted values have position -1 - i, the value as text, and its count.
     """
     schema = df.schema
     kinds = [_summed_type(schema[name].dataType, common) for name, common in zip(names, commons)]
@@ -94,19 +103,24 @@ def _as_cells(
     plain = [i for i in range(len(requests)) if i not in doubles]
     rows = df
     where = ""
-    if doubles:
-        cut = [struct({"part": str(part), "piece": pieces(value)}) for part, value in enumerate(summed)]
-        nothing = struct({"part": "-1", "piece": pieces("cast(NULL AS double)")})
-        rows = df.selectExpr("*", f"inline({array([nothing, *cut])}) AS (_part, _piece)")
+    spread = bool(doubles or counted)
+    if spread:
+        # The row itself, a copy for each summed column, and one for each counted value.
+        no_piece, no_text = pieces("cast(NULL AS double)"), "cast(NULL AS string)"
+        copies = [("-1", no_piece, no_text)] if plain else []
+        copies += [(str(part), pieces(value), no_text) for part, value in enumerate(summed)]
+        copies += [(str(-2 - i), no_piece, text) for i, text in enumerate(counted)]
+        listed = [struct({"part": part, "piece": piece, "text": text}) for part, piece, text in copies]
+        rows = df.selectExpr("*", f"inline({array(listed)}) AS (_part, _piece, _text)")
         where = " FILTER (WHERE _part = -1)"
     aggregates = []
     for i in plain:
         aggregates.append(f"{requests[i].function}({values[i]}){where} AS v{i}")
         if _is_exact_average(requests[i], kinds[i]):
             aggregates += [f"sum({values[i]}){where} AS total{i}", f"count({values[i]}){where} AS n{i}"]
-    if doubles:
+    if spread:
         sums = [f"sum(_piece.{name}) AS {name}" for name in PIECES] + ["count(1) AS n"]
-        grouped = rows.groupBy("_part", F.expr("_piece.class AS class"))
+        grouped = rows.groupBy("_part", F.expr("_piece.class AS class"), "_text")
         totals = grouped.agg(*map(F.expr, [*aggregates, *sums]))
     else:
         totals = rows.selectExpr(*aggregates)
@@ -125,22 +139,26 @@ def _as_cells(
             }
         )
 
-    side = f"{'true' if is_source else 'false'} AS is_source"
-    none = [f"cast(NULL AS bigint) AS {name}" for name in PIECES]
-    parts = []
-    if plain:
-        of_plain = totals.where("_part = -1") if doubles else totals
-        cells = of_plain.selectExpr(f"inline({array([cell(i) for i in plain])})")
-        parts.append(cells.selectExpr(side, "*", "cast(NULL AS int) AS class", *none))
-    for i in doubles:
-        of_column = totals.where(f"_part = {summed.index(values[i])} AND class IS NOT NULL")
-        parts.append(
-            of_column.selectExpr(
-                side, f"{i} AS position", "cast(NULL AS string) AS text", "cast(NULL AS double) AS number",
-                "cast(NULL AS string) AS total", "n", "class", *PIECES,
-            )
-        )
-    return reduce(DataFrame.unionAll, parts)
+    side = "true" if is_source else "false"
+    if not spread:
+        cells = totals.selectExpr(f"inline({array([cell(i) for i in plain])})")
+        none = ", ".join(f"cast(NULL AS {kind}) AS {name}" for name, kind in (("class", "int"), *((p, "bigint") for p in PIECES)))
+        return cells.selectExpr(f"{side} AS is_source", "*", *none.split(", "))
+
+    def grouped_cell(position: str, text: str) -> str:
+        return struct({"position": position, "text": text, "number": "cast(NULL AS double)", "total": "cast(NULL AS string)", "n": "n"})
+
+    # One projection of the groups, so that the sides are read once. A summed column may be wanted by several requests.
+    wanted = {part: [i for i in doubles if values[i] == value] for part, value in enumerate(summed)}
+    cases = [f"WHEN _part = -1 THEN {array([cell(i) for i in plain])}"] if plain else []
+    cases += [
+        f"WHEN _part = {part} AND class IS NOT NULL THEN {array([grouped_cell(str(i), 'cast(NULL AS string)') for i in places])}"
+        for part, places in wanted.items()
+    ]
+    if counted:
+        cases.append(f"WHEN _part < -1 THEN {array([grouped_cell('_part + 1', '_text')])}")
+    cells = totals.selectExpr("class", *PIECES, f"inline(CASE {' '.join(cases)} END)")
+    return cells.selectExpr(f"{side} AS is_source", "position", "text", "number", "total", "n", "class", *PIECES)
 
 
 _JOINED = (
@@ -173,6 +191,134 @@ def _finish(averages: frozenset[int]):
     return run
 
 
+@dataclass(frozen=True)
+class Profile:
+    """Aggregates and frequencies of both sides: one scan a side for all of them, in long form.
+
+    ``cells`` are lazy; :meth:`saved` writes them, so that any number of reports reads them from there.
+    """
+
+    cells: DataFrame
+    requests: tuple[AggregateRequest, ...]
+    exact: bool
+    tolerance: Tolerance = EXACT
+
+    @property
+    def values(self) -> list[AggregateRequest]:
+        return [r for r in self.requests if r.function in VALUE_FUNCTIONS]
+
+    @property
+    def counted(self) -> list[str]:
+        return list(dict.fromkeys(r.column for r in self.requests if r.function == COUNT_FUNCTION))
+
+    def saved(self) -> Profile:
+        spark = self.cells.sparkSession
+        folder = scratch_folder(spark, "profile")
+        self.cells.write.parquet(folder)
+        return replace(self, cells=spark.read.schema(_CELLS).parquet(folder))
+
+    def aggregates(
+        self, source_name: str = "source", target_name: str = "target", source_filter: str = "", target_filter: str = ""
+    ) -> DataFrame:
+        """See :func:`compare_aggregates`."""
+        wanted = self.values
+        if not wanted:
+            raise ValueError("no MIN, MAX, SUM or AVG requested")
+        cells = self.cells.where("position >= 0")
+        spark = cells.sparkSession
+        if self.exact:
+            averages = frozenset(i for i, r in enumerate(wanted) if r.function == "AVG")
+            joined = cells.groupBy("position").applyInArrow(_finish(averages), _JOINED)
+            # Columns without any value have no row.
+            every = spark.range(len(wanted)).selectExpr("cast(id AS int) AS position")
+            joined = every.join(joined, "position", "left").selectExpr(
+                "position", "coalesce(source_value, cast(source_number AS string)) AS source_value",
+                "coalesce(target_value, cast(target_number AS string)) AS target_value", "source_number",
+                "target_number", "source_exact", "target_exact",
+            )
+            equal = "source_exact <=> target_exact"
+        else:
+            joined = cells.groupBy("position").agg(
+                F.expr("max(if(is_source, text, NULL)) AS source_value"),
+                F.expr("max(if(is_source, NULL, text)) AS target_value"),
+                F.expr("max(if(is_source, number, NULL)) AS source_number"),
+                F.expr("max(if(is_source, NULL, number)) AS target_number"),
+            )
+            equal = "source_value <=> target_value"
+        tolerance = self.tolerance
+        if not tolerance.exact:
+            slack = f"{float(tolerance.absolute)!r}D + {float(tolerance.relative)!r}D * abs(target_number)"
+            equal = f"({equal} OR coalesce(abs(source_number - target_number) <= {slack}, false))"
+
+        def pick(items: Sequence[str]) -> str:
+            return f"element_at({array(map(literal, items))}, position + 1)"
+
+        def query(r: AggregateRequest, table: str, where: str) -> str:
+            return f"SELECT {r.function}({r.column}) FROM {table} {where}".strip()
+
+        return joined.selectExpr(
+            f"{pick([r.column for r in wanted])} AS COLUMN_NAME",
+            f"{pick([r.function for r in wanted])} AS AGG_FUNCTION",
+            "source_value AS SOURCE_VALUE",
+            "target_value AS TARGET_VALUE",
+            f"{verdict_text(equal)} AS MATCH_RESULT",
+            f"{pick([query(r, source_name, source_filter) for r in wanted])} AS SOURCE_QUERY",
+            f"{pick([query(r, target_name, target_filter) for r in wanted])} AS TARGET_QUERY",
+        )
+
+    def frequencies(self) -> DataFrame:
+        """See :func:`twincheck.operators.counts.compare_frequencies`."""
+        names = array(map(literal, self.counted))
+        counts = self.cells.where("position < 0").groupBy("position", "text").agg(
+            F.expr("coalesce(sum(n) FILTER (WHERE is_source), 0L) AS source_rows"),
+            F.expr("coalesce(sum(n) FILTER (WHERE NOT is_source), 0L) AS target_rows"),
+        )
+        return counts.selectExpr(
+            f"element_at({names}, -position) AS column_name", "text AS value", "source_rows", "target_rows", COUNT_STATUS
+        )
+
+    def verdict(self) -> DataFrame:
+        """One row: number of checks, failed checks and the verdict over all requests, COUNT included."""
+        parts = []
+        if self.values:
+            parts.append(self.aggregates().selectExpr("MATCH_RESULT = 'MATCH' AS equal"))
+        if self.counted:
+            per_column = self.frequencies().groupBy("column_name").agg(F.expr("bool_and(status = 'match') AS equal"))
+            parts.append(per_column.select("equal"))
+        if not parts:
+            # Nothing was asked for, or every column was skipped: that proves nothing.
+            return self.cells.sparkSession.sql("SELECT 0L AS checks, 0L AS failed_checks, 'UNKNOWN' AS verdict")
+        return reduce(DataFrame.unionAll, parts).selectExpr(
+            "count(1) AS checks",
+            "count_if(NOT equal) AS failed_checks",
+            f"{verdict_text('bool_and(equal)')} AS verdict",
+        )
+
+
+def profile_sides(
+    source: DataFrame, target: DataFrame, requests: Sequence[AggregateRequest], *, tolerance: Tolerance = EXACT
+) -> Profile:
+    """The profile of two tables for all requests."""
+    empty = Profile(source.sparkSession.createDataFrame([], _CELLS), tuple(requests), False, tolerance)
+    wanted, counted = empty.values, empty.counted
+    if not wanted and not counted:
+        return empty
+    columns = [r.column for r in wanted]
+    source_names, target_names = resolve_names(source, columns), resolve_names(target, columns)
+    commons = [
+        common_type(source.schema[s].dataType, target.schema[t].dataType) for s, t in zip(source_names, target_names)
+    ]
+    if counted:
+        source, target = orderable_columns(source), orderable_columns(target)
+    source_texts, target_texts = frequency_texts(source, target, counted)
+    cells = _as_cells(source, source_names, wanted, commons, True, source_texts).unionAll(
+        _as_cells(target, target_names, wanted, commons, False, target_texts)
+    )
+    kinds = [_summed_type(source.schema[s].dataType, common) for s, common in zip(source_names, commons)]
+    exact = any(_is_double_total(r, k) or _is_exact_average(r, k) for r, k in zip(wanted, kinds))
+    return replace(empty, cells=cells, exact=exact)
+
+
 def compare_aggregates(
     source: DataFrame,
     target: DataFrame,
@@ -189,56 +335,12 @@ def compare_aggregates(
     Sums and averages of floating-point columns are exact, so they do not depend on the order of the rows; averages of
     all numbers are compared as fractions, not as they are rounded for the report.
     """
-    wanted = [r for r in requests if r.function in VALUE_FUNCTIONS]
-    if not wanted:
-        raise ValueError("no MIN, MAX, SUM or AVG requested")
-    columns = [r.column for r in wanted]
-    source_names, target_names = resolve_names(source, columns), resolve_names(target, columns)
-    commons = [
-        common_type(source.schema[s].dataType, target.schema[t].dataType) for s, t in zip(source_names, target_names)
-    ]
-    both = _as_cells(source, source_names, wanted, commons, True).unionAll(
-        _as_cells(target, target_names, wanted, commons, False)
-    )
-    kinds = [_summed_type(source.schema[s].dataType, common) for s, common in zip(source_names, commons)]
-    if any(_is_double_total(r, k) or _is_exact_average(r, k) for r, k in zip(wanted, kinds)):
-        averages = frozenset(i for i, r in enumerate(wanted) if r.function == "AVG")
-        joined = both.groupBy("position").applyInArrow(_finish(averages), _JOINED)
-        # Columns without any value have no row.
-        every = source.sparkSession.range(len(wanted)).selectExpr("cast(id AS int) AS position")
-        joined = every.join(joined, "position", "left").selectExpr(
-            "position", "coalesce(source_value, cast(source_number AS string)) AS source_value",
-            "coalesce(target_value, cast(target_number AS string)) AS target_value", "source_number", "target_number",
-            "source_exact", "target_exact",
-        )
-        equal = "source_exact <=> target_exact"
-    else:
-        joined = both.groupBy("position").agg(
-            F.expr("max(if(is_source, text, NULL)) AS source_value"),
-            F.expr("max(if(is_source, NULL, text)) AS target_value"),
-            F.expr("max(if(is_source, number, NULL)) AS source_number"),
-            F.expr("max(if(is_source, NULL, number)) AS target_number"),
-        )
-        equal = "source_value <=> target_value"
-    if not tolerance.exact:
-        slack = f"{float(tolerance.absolute)!r}D + {float(tolerance.relative)!r}D * abs(target_number)"
-        equal = f"({equal} OR coalesce(abs(source_number - target_number) <= {slack}, false))"
-
-    def pick(items: Sequence[str]) -> str:
-        return f"element_at({array(map(literal, items))}, position + 1)"
-
-    def query(r: AggregateRequest, table: str, where: str) -> str:
-        return f"SELECT {r.function}({r.column}) FROM {table} {where}".strip()
-
-    return joined.selectExpr(
-        f"{pick([r.column for r in wanted])} AS COLUMN_NAME",
-        f"{pick([r.function for r in wanted])} AS AGG_FUNCTION",
-        "source_value AS SOURCE_VALUE",
-        "target_value AS TARGET_VALUE",
-        f"{verdict_text(equal)} AS MATCH_RESULT",
-        f"{pick([query(r, source_name, source_filter) for r in wanted])} AS SOURCE_QUERY",
-        f"{pick([query(r, target_name, target_filter) for r in wanted])} AS TARGET_QUERY",
-    )
+    names = {
+        "source_name": source_name, "target_name": target_name, "source_filter": source_filter,
+        "target_filter": target_filter,
+    }
+    values = [r for r in requests if r.function in VALUE_FUNCTIONS]
+    return profile_sides(source, target, values, tolerance=tolerance).aggregates(**names)
 
 
 def aggregate_verdict(
@@ -249,20 +351,4 @@ def aggregate_verdict(
     tolerance: Tolerance = EXACT,
 ) -> DataFrame:
     """One row: number of checks, failed checks and the verdict over all requests, COUNT included."""
-    parts = []
-    if any(r.function in VALUE_FUNCTIONS for r in requests):
-        compared = compare_aggregates(source, target, requests, tolerance=tolerance)
-        parts.append(compared.selectExpr("MATCH_RESULT = 'MATCH' AS equal"))
-    counted = list(dict.fromkeys(r.column for r in requests if r.function == COUNT_FUNCTION))
-    if counted:
-        frequencies = compare_frequencies(source, target, counted)
-        per_column = frequencies.groupBy("column_name").agg(F.expr("bool_and(status = 'match') AS equal"))
-        parts.append(per_column.select("equal"))
-    if not parts:
-        # Nothing was asked for, or every column was skipped: that proves nothing.
-        return source.sparkSession.sql("SELECT 0L AS checks, 0L AS failed_checks, 'UNKNOWN' AS verdict")
-    return reduce(DataFrame.unionAll, parts).selectExpr(
-        "count(1) AS checks",
-        "count_if(NOT equal) AS failed_checks",
-        f"{verdict_text('bool_and(equal)')} AS verdict",
-    )
+    return profile_sides(source, target, requests, tolerance=tolerance).verdict()

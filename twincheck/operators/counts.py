@@ -15,7 +15,7 @@ from twincheck.operators.hashkeys import aligned_texts
 from twincheck.verdict import verdict_text
 
 _SIDE_COUNTS = ["count_if(_is_source) AS source_rows", "count_if(NOT _is_source) AS target_rows"]
-_COUNT_STATUS = (
+COUNT_STATUS = (
     "CASE WHEN target_rows = 0 THEN 'only_source' WHEN source_rows = 0 THEN 'only_target' "
     "WHEN source_rows = target_rows THEN 'match' ELSE 'mismatch' END AS status"
 )
@@ -51,6 +51,17 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return grouped.where("row_count > 1")
 
 
+def frequency_texts(source: DataFrame, target: DataFrame, columns: Sequence[str]) -> tuple[list[str], list[str]]:
+    """SQL for the columns of both sides as text, on the type both are compared on."""
+    source_names, target_names = resolve_names(source, columns), resolve_names(target, columns)
+    kinds = [(source.schema[s].dataType, target.schema[t].dataType) for s, t in zip(source_names, target_names)]
+    commons = [key_type(*pair) for pair in kinds]
+    return tuple(
+        [as_text(cast(quote(name), pair[side], common), common) for name, pair, common in zip(names, kinds, commons)]
+        for side, names in enumerate((source_names, target_names))
+    )
+
+
 def compare_frequencies(source: DataFrame, target: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows per distinct value of each column on both sides (NULL is a value): ``column_name, value, source_rows,
     target_rows, status``.
@@ -59,22 +70,15 @@ def compare_frequencies(source: DataFrame, target: DataFrame, columns: Sequence[
     combine collapses again before the exchange.
     """
     source, target = orderable_columns(source), orderable_columns(target)
-    source_names, target_names = resolve_names(source, columns), resolve_names(target, columns)
-    kinds = [(source.schema[s].dataType, target.schema[t].dataType) for s, t in zip(source_names, target_names)]
+    source_texts, target_texts = frequency_texts(source, target, columns)
+
+    def spread(df: DataFrame, texts: Sequence[str], is_source: str) -> DataFrame:
+        pairs = [struct({"column_name": literal(label), "value": value}) for label, value in zip(columns, texts)]
+        return df.selectExpr(f"explode({array(pairs)}) AS pair").selectExpr("pair.*", f"{is_source} AS _is_source")
 
-    def spread(df: DataFrame, names: Sequence[str], side: int) -> DataFrame:
-        pairs = []
-        for label, name, pair in zip(columns, names, kinds):
-            common = key_type(*pair)
-            value = as_text(cast(quote(name), pair[side], common), common)
-            pairs.append(struct({"column_name": literal(label), "value": value}))
-        return df.selectExpr(f"explode({array(pairs)}) AS pair").selectExpr(
-            "pair.*", f"{'true' if side == 0 else 'false'} AS _is_source"
-        )
-
-    both = spread(source, source_names, 0).unionAll(spread(target, target_names, 1))
+    both = spread(source, source_texts, "true").unionAll(spread(target, target_texts, "false"))
     counted = both.groupBy("column_name", "value").agg(*map(F.expr, _SIDE_COUNTS))
-    return counted.selectExpr("*", _COUNT_STATUS)
+    return counted.selectExpr("*", COUNT_STATUS)
 
 
 def multiset_differences(

@@ -12,11 +12,11 @@ from twincheck.functions.columns import impose_schema, trim_strings, upper_names
 from twincheck.functions.comparability import EXACT, Tolerance
 from twincheck.functions.hashing import HASH_COLUMN
 from twincheck.functions.sqltext import array, literal, struct
-from twincheck.operators.aggregates import aggregate_requests, aggregate_verdict, compare_aggregates
+from twincheck.operators.aggregates import Profile, aggregate_requests, profile_sides
 from twincheck.operators.audit import compare_queries, date_columns, future_dates, successful_loads
 from twincheck.operators.catalog import compare_catalogs
 from twincheck.operators.compare import NO_DIFFERENCE, RowComparison, compare_rows, verdict_of_metrics
-from twincheck.operators.counts import compare_frequencies, compare_given_counts, compare_row_counts
+from twincheck.operators.counts import compare_given_counts, compare_row_counts
 from twincheck.operators.hashkeys import with_shared_hash_key
 from twincheck.operators.prune import compare_pruned
 from twincheck.sources.config import ConfigError, PairSpec
@@ -75,14 +75,33 @@ class PairChecks:
     pruned: bool = False
     row_counts: DataFrame | None = None
     types: RowComparison | None = None
-    aggregates: DataFrame | None = None
-    frequencies: DataFrame | None = None
-    aggregate_verdict: DataFrame | None = None
+    profile: Profile | None = None
     content: RowComparison | None = None
     future: RowComparison | None = None
     business: tuple[tuple[str, RowComparison], ...] = ()
     loads: DataFrame | None = None
 
+    @property
+    def aggregates(self) -> DataFrame | None:
+        """Details of the MIN, MAX, SUM and AVG requests."""
+        if self.profile is None or not self.profile.values:
+            return None
+        spec = self.spec
+        return self.profile.aggregates(spec.source_table, spec.target_table, spec.source_filter, spec.target_filter)
+
+    @property
+    def frequencies(self) -> DataFrame | None:
+        """Details of the COUNT requests."""
+        return None if self.profile is None or not self.profile.counted else self.profile.frequencies()
+
+    @property
+    def aggregate_verdict(self) -> DataFrame | None:
+        return None if self.profile is None else self.profile.verdict()
+
+    def saved(self) -> PairChecks:
+        """The same checks with the profile of both sides written, so that details and verdict share one scan a side."""
+        return self if self.profile is None else replace(self, profile=self.profile.saved())
+
 
 @dataclass(frozen=True)
 class BusinessQuery:
@@ -157,19 +176,7 @@ def plan_pair(
     if DATA_TYPE in selected and catalogs is not None:
         planned["types"] = compare_catalogs(*catalogs, one_table=True)
     if AGGREGATION in selected and requests:
-        values = [r for r in requests if r.function != "COUNT"]
-        counted = [r.column for r in requests if r.function == "COUNT"]
-        names = {
-            "source_name": spec.source_table,
-            "target_name": spec.target_table,
-            "source_filter": spec.source_filter,
-            "target_filter": spec.target_filter,
-        }
-        if values:
-            planned["aggregates"] = compare_aggregates(left, right, values, tolerance=tolerance, **names)
-        if counted:
-            planned["frequencies"] = compare_frequencies(left, right, counted)
-        planned["aggregate_verdict"] = aggregate_verdict(left, right, requests, tolerance=tolerance)
+        planned["profile"] = profile_sides(left, right, requests, tolerance=tolerance)
     if FUTURE_DATES in selected and cutoff is not None and date_columns(left) and date_columns(right):
         planned["future"] = compare_rows(future_dates(left, cutoff), future_dates(right, cutoff), ["column_name"])
     if BUSINESS in selected:
@@ -209,7 +216,7 @@ def check_report(checks: PairChecks) -> DataFrame:
         ETL_AUDIT: (checks.loads is None, "no load audit given"),
         FILES: (True, "file pairs are compared by the drop folder run"),
         DATA_TYPE: (checks.types is None, "no catalogs given"),
-        AGGREGATION: (checks.aggregate_verdict is None, "no aggregate requested"),
+        AGGREGATION: (checks.profile is None, "no aggregate requested"),
     }
     unknown = [
         (name, "", UNKNOWN, reason) for name, (lacking, reason) in missing.items() if name in checks.selected and lacking
@@ -255,7 +262,7 @@ def check_rows(checks: PairChecks, content_metrics: DataFrame | None = None) ->
         rows.append(_exploded(checks.row_counts, _check_row(name, "verdict", counted=True)))
     if checks.types is not None:
         rows.append(_exploded(checks.types.key_metrics(), _check_row("DATA_TYPE_STATUS", verdict_of_metrics())))
-    if checks.aggregate_verdict is not None:
+    if checks.profile is not None:
         rows.append(_exploded(checks.aggregate_verdict, _check_row("AGG_STATUS", "verdict")))
     return reduce(DataFrame.unionAll, rows) if rows else None
 
@@ -295,5 +302,5 @@ def summarize(checks: PairChecks, content_metrics: DataFrame | None = None) -> D
 def validate_pair(
     source: DataFrame, target: DataFrame, spec: PairSpec, checks: Iterable[str] = (ALL_CHECKS,), **options
 ) -> DataFrame:
-    """Summary row of one pair; ``options`` are those of :func:`plan_pair`."""
-    return summarize(plan_pair(source, target, spec, checks, **options))
+    """Summary row of one pair; ``options`` are those of :func:`plan_pair`. Requested aggregates are computed at once."""
+    return summarize(plan_pair(source, target, spec, checks, **options).saved())

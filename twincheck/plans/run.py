@@ -25,7 +25,15 @@ from twincheck.plans.pair import (
     summarize,
 )
 from twincheck.plans.parallel import run_each
-from twincheck.sinks.exports import export_csv, export_differences, metric_rows, run_id
+from twincheck.session import scratch_folder
+from twincheck.sinks.exports import (
+    export_csv,
+    export_differences,
+    metric_rows,
+    run_id,
+    save_differences,
+    write_differences,
+)
 from twincheck.sources.config import ConfigError, PairSpec, active_rows, pair_from_row, parse_config
 from twincheck.sources.tables import TableSpec
 from twincheck.verdict import UNKNOWN
@@ -125,17 +133,25 @@ def export_pair(
     """Write every difference class, the first ``sample_size`` rows of each, the aggregate details, the metrics and the
     other selected checks of one pair below ``folder``.
 
-    Returns the observed metrics of the row comparisons, so the summary needs no second pass.
+    Returns the observed metrics of the row comparisons, so the summary needs no second pass. Differing rows are written
+    once and read again for export and samples, aggregates and frequencies come from one written profile: both sides are
+    read twice, whatever is selected of these.
     """
     table = checks.spec.target_table
     observed = {}
+    differing = None
     for check, comparison in (("data_type", checks.types), ("content", checks.content)):
         if comparison is None:
             continue
-        observed[check] = export_differences(
-            comparison, f"{folder}/differences/{check}", table=table, check=check, compression=compression
-        )
         spark = comparison.rows.sparkSession
+        target_folder = f"{folder}/differences/{check}"
+        if check == "content" and sample_size and _writable(comparison.rows.schema):
+            differing, observed[check] = save_differences(comparison, scratch_folder(spark, "differences"))
+            write_differences(differing, target_folder, table=table, check=check, compression=compression)
+        else:
+            observed[check] = export_differences(
+                comparison, target_folder, table=table, check=check, compression=compression
+            )
         # Column mismatch counts are named after their column in the report.
         names = {f"_mismatched_{i}": f"mismatched {name}" for i, name in enumerate(comparison.pairing.columns)}
         named = {names.get(metric, metric): value for metric, value in observed[check].items()}
@@ -151,7 +167,7 @@ def export_pair(
         export_csv(reported, f"{folder}/metrics/{table}/{check}", single_file=True)
     if checks.content is not None and sample_size:
         statuses = [DIFFERENT, ONLY_SOURCE, ONLY_TARGET]
-        sample = checks.content.sample(sample_size, statuses=statuses)
+        sample = (differing or checks.content).sample(sample_size, statuses=statuses)
         flat = sample.selectExpr(
             f"{STATUS} AS diff_status",
             "sample_number",
@@ -175,6 +191,12 @@ def export_pair(
     return observed
 
 
+def _writable(schema: T.StructType) -> bool:
+    """Whether Parquet can hold all types."""
+    text = schema.simpleString()
+    return not any(kind in text for kind in ("void", "interval"))
+
+
 def _one_row(spark: SparkSession, values: dict[str, int]) -> DataFrame:
     schema = T.StructType([T.StructField(name, T.LongType()) for name in values])
     return spark.createDataFrame([tuple(values.values())], schema)
@@ -199,7 +221,7 @@ def run_pair(
     """Run one pair to its summary row. A failure becomes an UNKNOWN row with the error text; other pairs go on."""
     start = time.monotonic()
     try:
-        checks = plan(spec)
+        checks = plan(spec).saved()
         metrics = None
         if folder is not None:
             observed = export_pair(checks, folder)

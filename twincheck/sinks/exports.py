@@ -73,27 +73,46 @@ def flat_differences(comparison: RowComparison, rows: DataFrame | None = None) -
     return rows.selectExpr(*columns)
 
 
-def export_differences(
-    comparison: RowComparison, folder: str, *, table: str, check: str, compression: str = "gzip"
-) -> dict[str, int]:
-    """Write all difference classes in one job, partitioned by table, check and status; return the metrics.
+def save_differences(comparison: RowComparison, folder: str) -> tuple[RowComparison, dict[str, int]]:
+    """The comparison with its differing rows written below ``folder``, and the metrics of all rows, in one job.
 
     The metrics are observed while the rows pass to the writer, so neither a second pass nor a cache is needed. They
     are collected in the last stage, where a task that is run again counts once.
     """
-    if compression not in COMPRESSIONS:
-        raise ValueError(f"compression must be one of {COMPRESSIONS}")
     observation = Observation()
     observed = comparison.rows.observe(observation, *comparison.metric_columns())
-    flat = flat_differences(comparison, observed.where(f"{STATUS} <> {literal(MATCHED)}"))
+    differing = observed.where(f"{STATUS} <> {literal(MATCHED)}")
+    differing.write.parquet(folder)
+    saved = comparison.rows.sparkSession.read.schema(differing.schema).parquet(folder)
+    return RowComparison(saved, comparison.pairing), dict(observation.get)
+
+
+def write_differences(
+    comparison: RowComparison, folder: str, *, table: str, check: str, compression: str = "gzip"
+) -> None:
+    """Write all difference classes of a comparison as CSV, partitioned by table, check and status."""
+    if compression not in COMPRESSIONS:
+        raise ValueError(f"compression must be one of {COMPRESSIONS}")
     (
-        flat.withColumns({"diff_table": F.lit(table), "diff_check": F.lit(check)})
+        flat_differences(comparison)
+        .withColumns({"diff_table": F.lit(table), "diff_check": F.lit(check)})
         .write.options(**CSV_OPTIONS)
         .option("compression", compression)
         .partitionBy(*PARTITIONS)
         .mode("append")
         .csv(folder)
     )
+
+
+def export_differences(
+    comparison: RowComparison, folder: str, *, table: str, check: str, compression: str = "gzip"
+) -> dict[str, int]:
+    """Write all difference classes in one job, partitioned by table, check and status; return the observed metrics."""
+    observation = Observation()
+    observed = comparison.rows.observe(observation, *comparison.metric_columns())
+    write_differences(
+        RowComparison(observed, comparison.pairing), folder, table=table, check=check, compression=compression
+    )
     return dict(observation.get)
 
 
