@@ -107,3 +107,21 @@ def test_catalog_of_a_spark_table(spark):
         ("D", 4, "DATE", 0, 0, 0),
         ("E", 5, "ARRAY", 0, 0, 0),
     ]
+
+
+def test_declared_lengths_are_part_of_the_catalog(spark):
+    for name, length in (("declared_a", 10), ("declared_b", 20)):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} (a VARCHAR({length}), b CHAR(5), c STRING, d DECIMAL(9,2)) USING parquet")
+    try:
+        a, b = (catalog_of(spark, spark.table(f"declared_{x}"), "s", "t") for x in "ab")
+        assert [tuple(r)[2:6] for r in in_position_order(a).collect()] == [
+            ("A", 1, "TEXT", 10), ("B", 2, "TEXT", 5), ("C", 3, "TEXT", 0), ("D", 4, "NUMBER", 0)
+        ]
+        cells = compare_catalogs(a, b).cells().collect()
+        assert [tuple(c) for c in cells] == [("S", "T", "A", "CHARACTER_MAX_LENGTH", "10", "20")]
+        renamed = spark.table("declared_a").selectExpr("a AS other", "concat(a, 'x') AS made")
+        assert [r["CHARACTER_MAX_LENGTH"] for r in in_position_order(catalog_of(spark, renamed, "s", "t")).collect()] == [10, 0]
+    finally:
+        for name in ("declared_a", "declared_b"):
+            spark.sql(f"DROP TABLE {name}")

@@ -6,6 +6,7 @@ NUMERIC_PRECISION, NUMERIC_SCALE``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -117,6 +118,18 @@ def in_position_order(catalog: DataFrame) -> DataFrame:
     return catalog.orderBy("SCHEMA_NAME", "TABLE_NAME", "COLUMN_POSITION")
 
 
+# Fixed value: where Spark keeps the declared type of a CHAR or VARCHAR column.
+_DECLARED = "__CHAR_VARCHAR_TYPE_STRING"
+
+
+def declared_length(field: T.StructField) -> int:
+    """Characters of a CHAR or VARCHAR column, 0 for text of any length and other types."""
+    if isinstance(field.dataType, (T.CharType, T.VarcharType)):
+        return field.dataType.length
+    declared = re.fullmatch(r"(?:var)?char\((\d+)\)", str(field.metadata.get(_DECLARED, "")).strip().lower())
+    return int(declared.group(1)) if declared else 0
+
+
 def _described(kind: T.DataType) -> tuple[str, int, int]:
     if isinstance(kind, T.DecimalType):
         return "NUMBER", kind.precision, kind.scale
@@ -134,17 +147,17 @@ def _described(kind: T.DataType) -> tuple[str, int, int]:
         T.StructType: "OBJECT",
         T.VariantType: "VARIANT",
     }
-    if isinstance(kind, T.StringType):
+    if isinstance(kind, (T.StringType, T.CharType, T.VarcharType)):
         return "TEXT", 0, 0
     return names.get(type(kind), typemap.UNKNOWN_TYPE), 0, 0
 
 
 def catalog_of(spark: SparkSession, df: DataFrame, schema_name: str, table_name: str) -> DataFrame:
-    """Catalog of a table that Spark itself holds, taken from its schema."""
+    """Catalog of a table that Spark itself holds, taken from its schema, with the declared lengths of CHAR and VARCHAR."""
     rows = []
     for position, item in enumerate(df.schema.fields, start=1):
         name, precision, scale = _described(item.dataType)
-        rows.append((schema_name.upper(), table_name.upper(), item.name.upper(), position, name, 0, precision, scale))
+        rows.append((schema_name.upper(), table_name.upper(), item.name.upper(), position, name, declared_length(item), precision, scale))
     layout = ", ".join(
         f"{name} {'string' if name in (*CATALOG_KEY, 'DATA_TYPE') else 'bigint'}" for name in CATALOG_COLUMNS
     )

@@ -1,10 +1,23 @@
-"""Intake of dropped files as a file stream: every file is reported once, whatever is restarted."""
+"""Intake of dropped files as a file stream: every file is reported once, whatever is restarted, and paired as it arrives."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from datetime import timedelta
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from twincheck.functions.sqltext import literal
+from twincheck.operators.filepairs import base_name, folder_name
+from twincheck.sources.dropfolder import SOURCE_SUFFIX, TARGET_SUFFIX
 
 _BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
+PAIR_SCHEMA = "folder string, stem string, source_path string, target_path string, status string"
+#: What becomes of a name: both halves came in time, only one did, or the second came after the time was up.
+PAIRED, UNPAIRED, LATE = "pair", "unpaired", "late pair"
+_STATE_SCHEMA = "source_path string, source_time double, target_path string, target_time double, reported boolean"
 
 
 def arriving_files(spark: SparkSession, folder: str, suffix: str = ".csv") -> DataFrame:
@@ -19,16 +32,94 @@ def arriving_files(spark: SparkSession, folder: str, suffix: str = ".csv") -> Da
     )
 
 
-def record_arrivals(spark: SparkSession, folder: str, table: str, checkpoint: str, suffix: str = ".csv") -> None:
-    """Append the files that are new since the last call to ``table``, then stop.
-
-    The stream's checkpoint knows the files already seen, so nothing has to be moved out of the drop folder.
-    """
+def append_stream(stream: DataFrame, table: str, checkpoint: str) -> None:
+    """Append what is new in a stream to ``table``, then stop."""
     query = (
-        arriving_files(spark, folder, suffix)
-        .writeStream.format("parquet")
+        stream.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start(table)
     )
     query.awaitTermination()
+
+
+def record_arrivals(spark: SparkSession, folder: str, table: str, checkpoint: str, suffix: str = ".csv") -> None:
+    """Append the files that are new since the last call to ``table``, then stop.
+
+    The stream's checkpoint knows the files already seen, so nothing has to be moved out of the drop folder.
+    """
+    append_stream(arriving_files(spark, folder, suffix), table, checkpoint)
+
+
+def _match(wait_seconds: float):
+    """The state of one name: the halves that came, and whether the first was reported as unpaired."""
+
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = dict(zip(("source", "source_time", "target", "target_time", "reported"), state.get if state.exists else (None,) * 5))
+        rows = []
+
+        def report(status: str) -> None:
+            rows.append((*key, held["source"], held["target"], status))
+
+        if state.hasTimedOut:
+            report(UNPAIRED)
+            held["reported"] = True
+        else:
+            for files in batches:
+                for side, path, time in sorted(zip(files["side"], files["path"], files["time"]), key=lambda f: (f[2], f[0], f[1])):
+                    # A half that comes again before its counterpart takes the place of the first.
+                    held[side], held[f"{side}_time"] = path, time
+                    if held["source"] is not None and held["target"] is not None:
+                        apart = abs(held["source_time"] - held["target_time"])
+                        report(LATE if held["reported"] or apart > wait_seconds else PAIRED)
+                        held = dict.fromkeys(held)
+        if held["source"] is None and held["target"] is None:
+            state.remove()
+        else:
+            state.update(tuple(held.values()))
+            if not held["reported"]:
+                latest = max(t for t in (held["source_time"], held["target_time"]) if t is not None)
+                due = int((latest + wait_seconds) * 1000)
+                state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame(rows, columns=["folder", "stem", "source_path", "target_path", "status"])
+
+    return run
+
+
+def pair_arrivals(
+    files: DataFrame,
+    wait: timedelta = timedelta(days=1),
+    *,
+    source_suffix: str = SOURCE_SUFFIX,
+    target_suffix: str = TARGET_SUFFIX,
+) -> DataFrame:
+    """A stream of files (``path, modificationTime``) to a stream of ``PAIR_SCHEMA``, each name once its fate is known.
+
+    The first half of a pair is kept as state until the second comes: then both are a ``pair``. When files that are more
+    than ``wait`` younger have come, the half is reported as ``unpaired``; a second half after that, or more than ``wait``
+    younger than the first, makes a ``late pair``. After a pair its name begins anew, so redelivered pairs are paired again.
+    State is a short row for each open name, so it grows with the halves that wait, not with the files that came.
+    """
+    name = base_name("path")
+    side = f"CASE WHEN endswith(path, {literal(source_suffix)}) THEN 'source' WHEN endswith(path, {literal(target_suffix)}) THEN 'target' END"
+    sides = files.withWatermark("modificationTime", "0 seconds").selectExpr(
+        "modificationTime", f"{folder_name('path')} AS folder", f"{name} AS name", f"{side} AS side", "path",
+        "cast(modificationTime AS double) AS time",
+    )
+    stem = f"left(name, length(name) - if(side = 'source', {len(source_suffix)}, {len(target_suffix)}))"
+    return (
+        sides.where("side IS NOT NULL")
+        .selectExpr("modificationTime", "folder", f"{stem} AS stem", "side", "path", "time")
+        .groupBy("folder", "stem")
+        .applyInPandasWithState(
+            _match(wait.total_seconds()), PAIR_SCHEMA, _STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout
+        )
+    )
+
+
+def record_pairs(
+    spark: SparkSession, folder: str, table: str, checkpoint: str, wait: timedelta = timedelta(days=1)
+) -> None:
+    """Append the pairs, unpaired and late files that are new since the last call to ``table``, then stop."""
+    append_stream(pair_arrivals(arriving_files(spark, folder), wait), table, checkpoint)
+

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 
+from twincheck.operators.catalog import catalog_of, compare_catalogs
 from twincheck.operators.positions import compare_positions
 from twincheck.plans.drop import validate_drop
 from twincheck.session import scratch_folder
 from twincheck.sinks.exports import export_csv
 from twincheck.sources.dropfolder import SOURCE_SUFFIX, TARGET_SUFFIX
 from twincheck.sources.records import read_records
+from twincheck.streaming.arrivals import PAIR_SCHEMA, append_stream, pair_arrivals
 from workload import oracle_parts as o
 from workload.registry import query, table
 
@@ -127,3 +132,55 @@ def drop_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_extracts(target, "stem", TARGET_SUFFIX, drop)
     summary, _ = validate_drop(spark, drop, f"{output}/out", f"{output}/ledger")
     return summary.drop("folder", "source_only_columns", "target_only_columns")
+
+
+_FATES_SQL = """
+WITH names AS (SELECT doc_id, '/drop/' || source AS folder, 'report_' || doc_id AS stem,
+  CASE WHEN doc_id % 11 <> 0 THEN [0, 1, 3][CAST(doc_id % 3 + 1 AS INTEGER)] END AS s,
+  CASE WHEN doc_id % 13 <> 0 THEN [0, 1, 3][CAST(doc_id // 3 % 3 + 1 AS INTEGER)] END AS t FROM documents)
+SELECT folder, stem, CASE WHEN s IS NOT NULL THEN folder || '/' || stem || '_td.csv' END AS source_path,
+  CASE WHEN t IS NOT NULL THEN folder || '/' || stem || '_sf.csv' END AS target_path,
+  CASE WHEN s IS NULL OR t IS NULL THEN 'unpaired' WHEN abs(s - t) > 1.5 THEN 'late pair' ELSE 'pair' END AS status
+FROM names WHERE (s IS NOT NULL AND t IS NOT NULL) OR coalesce(s, t) < 3"""
+
+
+@query("drop_pair_stream", _FATES_SQL)
+def drop_pair_stream(spark, sf_dir):
+    """Extracts of every document that come in three drops, on days 0, 1 and 3, and may wait for 36 hours."""
+    folder, pairs, state = (scratch_folder(spark, label) for label in ("listing", "pairs", "pairs-state"))
+    day = "element_at(array(0, 1, 3), cast({0} % 3 + 1 AS int))"
+    listed = table(spark, sf_dir, "documents").selectExpr(
+        "concat('/drop/', source, '/report_', doc_id) AS stem",
+        f"if(doc_id % 11 <> 0, {day.format('doc_id')}, NULL) AS s",
+        f"if(doc_id % 13 <> 0, {day.format('doc_id div 3')}, NULL) AS t",
+    )
+    files = listed.selectExpr(
+        "inline(array(struct(concat(stem, '_td.csv') AS path, s AS day), struct(concat(stem, '_sf.csv') AS path, t AS day)))"
+    ).selectExpr("path", "day", "timestamp '2024-01-01 00:00:00' + make_dt_interval(day) AS modificationTime")
+    for number in (0, 1, 3):
+        files.where(f"day = {number}").drop("day").write.mode("append").parquet(folder)
+        stream = spark.readStream.schema("path string, modificationTime timestamp").parquet(folder)
+        append_stream(pair_arrivals(stream, timedelta(hours=36)), pairs, state)
+    return spark.read.schema(PAIR_SCHEMA).parquet(pairs)
+
+
+@query(
+    "catalog_declared_types",
+    """SELECT 'C_NAME' AS column_name, 'CHARACTER_MAX_LENGTH' AS differs, '25' AS source_value, '30' AS target_value
+       UNION ALL SELECT 'C_ACCTBAL', 'NUMERIC_SCALE', '2', '4'""",
+)
+def catalog_declared_types(spark, sf_dir):
+    """Two copies of the customers as tables with declared types, of which one name and one scale differ."""
+    customer = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey", "c_name", "c_mktsegment", "cast(c_acctbal AS decimal(12,2)) AS c_acctbal"
+    )
+    catalogs = []
+    for length, scale in ((25, 2), (30, 4)):
+        name = f"declared_{uuid4().hex}"
+        columns = f"c_custkey BIGINT, c_name VARCHAR({length}), c_mktsegment CHAR(10), c_acctbal DECIMAL(12,{scale})"
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{scratch_folder(spark, name)}'")
+        customer.write.insertInto(name)
+        catalogs.append(catalog_of(spark, spark.table(name), "s", "customer"))
+        spark.sql(f"DROP TABLE {name}")
+    cells = compare_catalogs(*catalogs, one_table=True).cells()
+    return cells.toDF("column_name", "differs", "source_value", "target_value")
