@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twincheck.functions.sqltext import alias, literal
+from twincheck.sources.zipsource import ERROR_LINE, LINES_PER_BATCH, SCHEMA, ZipLines, open_file
 from twincheck.sources.records import cells_of, header_names, read_records
 
 # Endings of the two extracts of a pair and of archives.
@@ -13,9 +16,6 @@ SOURCE_SUFFIX = "_td.csv"
 TARGET_SUFFIX = "_sf.csv"
 ARCHIVE_SUFFIX = ".zip"
 
-_LINES_PER_BATCH = 20_000
-ERROR_LINE = -1
-
 
 def list_files(spark: SparkSession, folder: str, suffix: str = "") -> DataFrame:
     """``path, length, modificationTime, file`` of the files below ``folder``; no content is read. ``file`` is the path as
@@ -29,15 +29,32 @@ def list_files(spark: SparkSession, folder: str, suffix: str = "") -> DataFrame:
     )
 
 
+def _can_open(path: str) -> bool:
+    try:
+        open_file(path).close()
+    except (OSError, ValueError, NotImplementedError):
+        return False
+    return True
+
+
 def archive_lines(spark: SparkSession, folder: str) -> DataFrame:
     """``archive, member, line_number, line`` of every file in the zip archives below ``folder``.
 
-    An archive is unpacked by one task (zip is not splittable) and its members are streamed line by line. Line ends
-    are removed, a carriage return stays. Bytes that are no UTF-8 become escapes such as ``\\xff``, different ones
-    different text. An unreadable archive adds one row with line number -1 and the error text.
+    Each member is unpacked by a task of its own, as a stream. Line ends are removed, a carriage return stays. Bytes that
+    are no UTF-8 become escapes such as ``\\xff``, different ones different text. What is unreadable adds a row with line
+    number -1, no member, and the error text. Archives on storage that only Spark's readers can open are unpacked whole, one
+    by a task.
     """
-    schema = "archive string, member string, line_number bigint, line string"
-    lines_per_batch, error_line = _LINES_PER_BATCH, ERROR_LINE
+    paths = [row["path"] for row in list_files(spark, folder, ARCHIVE_SUFFIX).select("path").toLocalIterator()]
+    if not paths or _can_open(paths[0]):
+        spark.dataSource.register(ZipLines)
+        return spark.read.format(ZipLines.name()).option("paths", json.dumps(sorted(paths))).load()
+    return _whole_archive_lines(spark, folder)
+
+
+def _whole_archive_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from archives as binary columns."""
+    lines_per_batch, error_line = LINES_PER_BATCH, ERROR_LINE
 
     def unpack(batches):
         import io
@@ -72,7 +89,7 @@ def archive_lines(spark: SparkSession, folder: str) -> DataFrame:
         .load(folder)
         .select("path", "content")
     )
-    return archives.mapInPandas(unpack, schema)
+    return archives.mapInPandas(unpack, SCHEMA)
 
 
 def stage_archives(spark: SparkSession, folder: str, staging: str) -> DataFrame:
@@ -98,9 +115,9 @@ def stage_archives(spark: SparkSession, folder: str, staging: str) -> DataFrame:
 
 
 def archive_errors(spark: SparkSession, staging: str) -> DataFrame:
-    """``archive, error`` of staged archives that could not be read to the end."""
+    """``archive, error`` of staged archives that could not be read to the end, one error for each."""
     staged = spark.read.parquet(staging)
-    return staged.where(f"line_number = {ERROR_LINE}").selectExpr("archive", "line AS error")
+    return staged.where(f"line_number = {ERROR_LINE}").groupBy("archive").agg(F.expr("min(line) AS error"))
 
 
 def staged_lines(spark: SparkSession, read_path: str) -> DataFrame:
