@@ -58,3 +58,53 @@ def test_anchors_bound_the_cosine():
     vectors = [{"a": 3.0, "b": 2.0, "c": 1.0}, {"c": 1.0}]
     assert anchors(vectors, 0.7) == {"a", "c"}
     assert anchors([{}], 0.7) == set() and template_words("A-b, (C) 2.0") == ["a", "b", "c", "2", "0"]
+
+
+GNU = "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU {0} License\nas published by the Free Software Foundation; either version {1}\nof the License, or (at your option) any later version.\n\nThis program is distributed in the hope that it will be useful."
+
+
+def test_headers_name_their_own_family_and_version(spark, filler):
+    cases = {
+        "gpl2": (GNU.format("General Public", 2), "GPL-2.0"),
+        "gpl3": (GNU.format("General Public", 3), "GPL-3.0"),
+        "lgpl21": (GNU.format("Lesser General Public", 2.1).replace("program", "library"), "LGPL-2.1"),
+        "lgpl3": (GNU.format("Lesser General Public", 3), "LGPL-3.0"),
+        "agpl": (GNU.format("Affero General Public", 3), "AGPL-3.0"),
+        "gpl4": (GNU.format("General Public", 4), None),
+        "nd": ("Licensed under CC BY-ND 4.0.", "CC-BY-ND-4.0"),
+        "ncnd": ("This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.", "CC-BY-NC-ND-4.0"),
+        "by": ("Licensed under CC BY 4.0.", "CC-BY-4.0"),
+        "igo": ("Licensed under CC BY IGO 4.0.", None),
+        "apache1": ("Licensed under the Apache License, Version 1.1", None),
+        "mpl": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "MPL-2.0"),
+        "mpl1": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1.", None),
+        "none": ("This work is licensed under a proprietary license, version 3", None),
+    }
+    found = scan(spark, [(f"h/{name}.c", text) for name, (text, _) in cases.items()] + filler)
+    assert {name: found[f"h/{name}.c"][0] for name in cases} == {name: licence for name, (_, licence) in cases.items()}
+
+
+def test_declared_identifiers_decide(spark, filler):
+    cases = {
+        "GPL-2.0-only": "GPL-2.0", "GPL-3.0-or-later": "GPL-3.0", "MIT": "MIT", "BSD-2-Clause": "BSD-2-Clause", "LGPL-2.1+": "LGPL-2.1",
+        "Apache-2.0 OR GPL-2.0-or-later": "Apache-2.0 OR GPL-2.0", "GPL-2.0-only WITH Classpath-exception-2.0": "GPL-2.0 WITH Classpath-exception-2.0",
+        "EPL-2.0.": "EPL-2.0", "Anything-9.9": "Anything-9.9",
+    }
+    rows = [(f"s/{i}.c", f"/* SPDX-License-Identifier: {name} */\n// Released under the MIT License") for i, name in enumerate(cases)]
+    found = scan(spark, rows + [("s/bad.c", "SPDX-License-Identifier: */ x")] + filler)
+    assert [found[f"s/{i}.c"][0] for i in range(len(cases))] == list(cases.values())
+    assert found["s/bad.c"][0] is None
+
+
+def test_whole_licence_texts(spark, filler):
+    text = dict((licence, t) for licence, t in TEMPLATES if licence.startswith("BSD"))
+    broken = {k: t.replace("met: 1.", "met:\n\n1.").replace(" 2. Re", "\n\n2. Re").replace(" 3. N", "\n\n3. N") for k, t in text.items()}
+    titles = {
+        "GPL-3.0": "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n\n", "GPL-2.0": "GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991\n\n",
+        "LGPL-2.1": "GNU LESSER GENERAL PUBLIC LICENSE\nVersion 2.1, February 1999\n\n", "MPL-2.0": "Mozilla Public License Version 2.0\n====\n\n",
+        "Apache-2.0": "Apache License\nVersion 2.0, January 2004\nhttp://www.apache.org/licenses/\n\n", "EPL-2.0": "Eclipse Public License - v 2.0\n\n",
+    }
+    rows = [(f"{k}/LICENSE", f"Copyright (c) 2024, someone\n\n{t}") for k, t in broken.items()]
+    rows += [(f"{k}/COPYING", t + "Preamble of many words. " * 300) for k, t in titles.items()]
+    found = scan(spark, rows + filler)
+    assert {path.split("/")[0]: found[path][0] for path, _ in rows} == {k: k for k in [*broken, *titles]}

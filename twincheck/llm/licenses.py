@@ -16,45 +16,107 @@ from pyspark.sql import functions as F
 from twincheck.llm.decontaminate import _LOWER, _UPPER
 from twincheck.llm.scratch import Scratch
 
-#: (licence, template): common notices, short and long. Fixed values.
+# Fixed values: (licence, template), common notices, short and long, and what tells licence texts apart.
+_GNU_HEADERS = tuple(
+    (licence, f"This {thing} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as "
+     f"published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version")
+    for licence, thing, name, version in (
+        ("GPL-3.0", "program", "General Public License", "3"), ("GPL-2.0", "program", "General Public License", "2"),
+        ("LGPL-3.0", "library", "Lesser General Public License", "3"),
+        ("LGPL-2.1", "library", "Lesser General Public License", "2.1"),
+        ("AGPL-3.0", "program", "Affero General Public License", "3"),
+    )
+)
+_GNU_NAMES = tuple(
+    (licence, text.format(name=name, version=version, date=date))
+    for licence, name, version, date in (
+        ("GPL-3.0", "General Public License", "3", "29 June 2007"), ("GPL-2.0", "General Public License", "2", "June 1991"),
+        ("LGPL-3.0", "Lesser General Public License", "3", "29 June 2007"),
+        ("LGPL-2.1", "Lesser General Public License", "2.1", "February 1999"),
+        ("AGPL-3.0", "Affero General Public License", "3", "19 November 2007"),
+    )
+    for text in ("This work is licensed under the GNU {name}, version {version}", "GNU {name} Version {version}, {date}")
+)
+_CREATIVE = tuple(
+    (f"CC-{code}-4.0", text.format(code=code, name=name))
+    for code, name in (
+        ("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"),
+        ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+        ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+    )
+    for text in ("Licensed under CC {code} 4.0", "Creative Commons {name} 4.0 International",
+                 "This work is licensed under a Creative Commons {name} 4.0 International License")
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+    "distribution. {third}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR "
+    "IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR "
+    "PURPOSE ARE DISCLAIMED."
+)
+_BSD_THIRD = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission. "
+)
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
     ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
      "compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
-    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
     ("MIT", "Released under the MIT License"),
-    ("MIT", "SPDX-License-Identifier: MIT"),
+    ("MIT", "The MIT License (MIT)"),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
      'associated documentation files (the "Software"), to deal in the Software without restriction, including without '
      "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
      "Software"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3"),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
-     "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
-     "option) any later version"),
-    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-or-later"),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2"),
-    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3"),
-    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3"),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
-     "provided that the following conditions are met"),
+    *_GNU_NAMES,
+    *_GNU_HEADERS,
+    ("BSD-2-Clause", "Released under the BSD 2-Clause License"),
+    ("BSD-2-Clause", _BSD.format(third="")),
     ("BSD-3-Clause", "Released under the BSD 3-Clause License"),
+    ("BSD-3-Clause", _BSD.format(third=_BSD_THIRD)),
+    ("ISC", "Released under the ISC License"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+     "granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
+     "was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
-    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0"),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+     "2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("EPL-2.0", "Eclipse Public License - v 2.0"),
+    *_CREATIVE,
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work "
      "under CC0 1.0"),
+    ("CC0-1.0", "Creative Commons CC0 1.0 Universal"),
     ("Unlicense", "This is free and unencumbered software released into the public domain"),
 )
+#: A passage must have all of these that the template has: names and version digits.
+DECISIVE = (
+    "1", "2", "3", "4", "affero", "apache", "attribution", "bsd", "by", "cc", "cc0", "clause", "creative", "eclipse", "endorse",
+    "general", "gnu", "isc", "lesser", "mit", "mozilla", "nc", "nd", "noderivatives", "noncommercial", "sa", "sharealike",
+    "unencumbered",
+)
+#: It must have none of these that the template lacks: they turn one licence into another.
+QUALIFIERS = (
+    "affero", "lesser", "nc", "nd", "sa", "noncommercial", "noderivatives", "noderivs", "sharealike", "endorse", "igo",
+)
+#: A declared identifier, or an expression of several; it decides before any cosine.
+SPDX = (
+    r"SPDX-License-Identifier:[ \t]*([A-Za-z0-9](?:[A-Za-z0-9.+-]*[A-Za-z0-9+])?"
+    r"(?: +(?:AND|OR|WITH) +[A-Za-z0-9](?:[A-Za-z0-9.+-]*[A-Za-z0-9+])?)*)"
+)
+#: Part of an identifier that names the same licence.
+SPDX_VARIANT = r"(?:-only|-or-later|[+])( |$)"
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|unlicense|notice)([.-].*)?$"
 
 
 @dataclass(frozen=True)
 class LicenceScan:
-    """A passage has a template's licence from a cosine of ``least`` on."""
+    """A passage has a template's licence from a cosine of ``least`` on, if names and versions (``DECISIVE``) and
+    ``QUALIFIERS`` agree."""
 
     templates: Sequence[tuple[str, str]] = TEMPLATES
     least: float = 0.7
@@ -90,8 +152,24 @@ def anchors(vectors: list[dict[str, float]], least: float) -> set[str]:
     return found
 
 
+def qualifier_mask(terms) -> int:
+    return sum(1 << i for i, q in enumerate(QUALIFIERS) if q in terms)
+
+
+def _identified(files: DataFrame) -> DataFrame:
+    """path, digest, best: the first declared identifier of each text that has one."""
+    pattern, variant = SPDX.replace("\\", "\\\\"), SPDX_VARIANT.replace("\\", "\\\\")
+    return (
+        files.filter("contains(text, 'SPDX-License-Identifier:')")
+        .selectExpr("path", "digest", f"regexp_extract(text, '{pattern}', 1) AS declared")
+        .filter("declared <> ''")
+        .selectExpr("path", "digest", f"struct(2D AS score, regexp_replace(declared, '{variant}', '$1') AS licence) AS best")
+    )
+
+
 def own_licences(files: DataFrame, scratch: Scratch, rule: LicenceScan = LicenceScan()) -> DataFrame:
-    """``files`` (path, text) to path, digest, licence, score: the best template of each text that has any.
+    """``files`` (path, text) to path, digest, licence, score: the declared SPDX identifier of each text (score 1), else its
+    best template.
 
     Passages are all lines, all blocks between empty lines, and the whole text of a licence file. Weights are term
     frequency times ln((1 + files) / (1 + files with the term)) + 1, counted over all files; a word that no template has
@@ -112,11 +190,15 @@ def own_licences(files: DataFrame, scratch: Scratch, rule: LicenceScan = Licence
     spark = files.sparkSession
     weights = spark.createDataFrame([(t, idf[t]) for t in sorted(vocabulary)], "term string, idf double")
     template_rows = [
-        (number, licence, t, w / math.sqrt(sum(x * x for x in vector.values())))
+        (number, licence, t, w / math.sqrt(sum(x * x for x in vector.values())), int(t in DECISIVE),
+         len(vector.keys() & set(DECISIVE)), qualifier_mask(vector))
         for number, ((licence, _), vector) in enumerate(zip(rule.templates, vectors))
         for t, w in sorted(vector.items())
-    ]
-    by_term = spark.createDataFrame(template_rows, "template int, licence string, term string, weight double")
+    ]
+    by_term = spark.createDataFrame(
+        template_rows,
+        "template int, licence string, term string, weight double, decisive int, wanted int, allowed long",
+    )
 
     name = "element_at(split(path, '/'), -1)"
     passages = (
@@ -140,20 +222,26 @@ def own_licences(files: DataFrame, scratch: Scratch, rule: LicenceScan = Licence
     )
     vector = scratch.save(counted.selectExpr("*", "tf * idf AS weight"), "passages")
     key = ["path", "digest", "passage"]
+    marks = " ".join(f"WHEN '{q}' THEN {1 << i}L" for i, q in enumerate(QUALIFIERS))
     lengths = vector.groupBy(*key).agg(
-        F.expr(f"sqrt(sum(CASE WHEN idf IS NULL THEN tf * {strange!r}D * {strange!r}D ELSE weight * weight END))").alias("length")
+        F.expr(f"sqrt(sum(CASE WHEN idf IS NULL THEN tf * {strange!r}D * {strange!r}D ELSE weight * weight END))").alias("length"),
+        F.expr(f"bit_or(CASE term {marks} ELSE 0L END)").alias("qualifiers"),
     )
     return (
         vector.withColumnRenamed("weight", "own")
         .join(F.broadcast(by_term), "term")
-        .groupBy(*key, "template", "licence")
-        .agg(F.sum(F.expr("own * weight")).alias("dot"))
+        .groupBy(*key, "template", "licence", "wanted", "allowed")
+        .agg(F.sum(F.expr("own * weight")).alias("dot"), F.sum("decisive").alias("found"))
+        .filter("found = wanted")
         .join(lengths, key)
+        .filter("qualifiers & ~allowed = 0")
         .selectExpr("path", "digest", "licence", "dot / length AS score")
         .filter(F.col("score") >= rule.least)
+        .selectExpr("path", "digest", "struct(round(score, 9) AS score, licence) AS best")
+        .unionByName(_identified(texts))
         .groupBy("path", "digest")
-        .agg(F.max(F.expr("struct(round(score, 9) AS score, licence)")).alias("best"))
-        .selectExpr("path", "digest", "best.licence AS licence", "best.score AS score")
+        .agg(F.max("best").alias("best"))
+        .selectExpr("path", "digest", "best.licence AS licence", "least(best.score, 1D) AS score")
     )
 
 

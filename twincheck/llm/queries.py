@@ -12,7 +12,7 @@ from twincheck.llm.decontaminate import decontaminate
 from twincheck.llm.divergence import audit_sources
 from twincheck.llm.language import predict_language, train_language
 from twincheck.llm.lexical import search
-from twincheck.llm.licenses import TEMPLATES, scan_licences, template_words
+from twincheck.llm.licenses import DECISIVE, QUALIFIERS, SPDX, SPDX_VARIANT, TEMPLATES, scan_licences, template_words
 from twincheck.llm.lmscore import score_texts
 from twincheck.llm.mixing import mix_positions, plan_mix, source_targets, with_size
 from twincheck.llm.neardup import NearDuplicates, near_duplicate_classes
@@ -242,6 +242,7 @@ LICENCE_SQL = f"""
 WITH templates(template, licence, t) AS (VALUES {", ".join(
     f"({i}, {_quoted(licence)}, {_quoted(' '.join(template_words(text)))})" for i, (licence, text) in enumerate(TEMPLATES)
 )}),
+decisive(term) AS (VALUES {", ".join(f"('{t}')" for t in DECISIVE)}), qualifiers(term) AS (VALUES {", ".join(f"('{t}')" for t in QUALIFIERS)}),
 template_tf AS (SELECT template, licence, term, count(*) AS tf
     FROM (SELECT template, licence, unnest(string_split(t, ' ')) AS term FROM templates) GROUP BY ALL),
 files AS (SELECT doc_id, {ARCHIVE_PATH.format("doc_id // 1000", "doc_id // 100")} AS path,
@@ -263,8 +264,18 @@ lengths AS (SELECT doc_id, path, p, sqrt(sum(CASE WHEN w IS NULL THEN tf * pow(l
     FROM vectors, size GROUP BY ALL),
 scores AS (SELECT doc_id, path, p, template, licence, sum(v.w * t.w) AS dot
     FROM vectors v JOIN template_vectors t USING (term) GROUP BY ALL),
-own AS (SELECT doc_id, path, max({{'score': round(dot / len, 9), 'licence': licence}}) AS best
-    FROM scores JOIN lengths USING (doc_id, path, p) WHERE dot / len >= 0.7 GROUP BY ALL),
+vetoed AS (
+    SELECT s.doc_id, s.path, s.p, s.template FROM scores s JOIN template_tf t USING (template) SEMI JOIN decisive ON decisive.term = t.term
+    ANTI JOIN terms x ON x.doc_id = s.doc_id AND x.path = s.path AND x.p = s.p AND x.term = t.term
+    UNION SELECT s.doc_id, s.path, s.p, s.template FROM scores s JOIN terms x ON x.doc_id = s.doc_id AND x.path = s.path AND x.p = s.p
+    SEMI JOIN qualifiers ON qualifiers.term = x.term ANTI JOIN template_tf t ON t.template = s.template AND t.term = x.term),
+declared AS (SELECT doc_id, path, regexp_extract(text, '{SPDX}', 1) AS id FROM files),
+found AS (
+    SELECT doc_id, path, {{'score': round(dot / len, 9), 'licence': licence}} AS best
+    FROM scores JOIN lengths USING (doc_id, path, p) ANTI JOIN vetoed USING (doc_id, path, p, template) WHERE dot / len >= 0.7
+    UNION ALL SELECT doc_id, path, {{'score': 2.0::DOUBLE, 'licence': regexp_replace(id, '{SPDX_VARIANT}', '\\1', 'g')}}
+    FROM declared WHERE id <> ''),
+own AS (SELECT doc_id, path, {{'score': least(max(best).score, 1), 'licence': max(best).licence}} AS best FROM found GROUP BY ALL),
 licensed AS (SELECT regexp_replace(path, '[^/]*$', '') AS above, max(best) AS given
     FROM own WHERE path LIKE '%/LICENSE' GROUP BY 1),
 inherited AS (SELECT f.doc_id, arg_max(given, length(above)) AS given
