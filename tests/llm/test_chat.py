@@ -92,3 +92,33 @@ def test_formatted_rows_and_edge_cases(spark):
         assert r["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest() and r["formatted_chars"] == len(text)
     empty = spark.createDataFrame([], schema)
     assert chat.read_back(chat.format_chats(chat.turns_from_columns(empty))).count() == 0
+
+
+MORE = [
+    ({"instruction": "i", "input": "n", "output": "o", "text": "all of it"}, [("user", "i"), ("user", "n"), ("assistant", "o")]),
+    ({"system": "s", "instruction": "i", "output": "o"}, [("system", "s"), ("user", "i"), ("assistant", "o")]),
+    ({"system": None, "instruction": "i", "output": "o"}, [("user", "i"), ("assistant", "o")]),
+    ({"system": "s", "messages": [{"role": "user", "content": "a"}]}, [("system", "s"), ("user", "a")]),
+    ({"prompt": "p", "response": "r", "text": "t", "question": "q"}, [("user", "p"), ("assistant", "r")]),
+    ({"messages": []}, None),
+    ({"messages": [{"role": "user"}]}, None),
+    ({"text": "t"}, None),
+]
+
+
+@pytest.mark.parametrize("record, turns", MORE)
+def test_layouts_with_further_fields(record, turns):
+    assert chat.record_turns(record) == turns
+
+
+def test_unformed_records_are_listed_and_not_formatted(spark):
+    rows = [(i, json.dumps(r)) for i, (r, _) in enumerate(MORE)]
+    turns = chat.turns_from_json(spark.createDataFrame(rows, "conv_id long, record string"))
+    formatted = chat.format_chats(turns)
+    assert {r["conv_id"] for r in formatted.collect()} == {0, 1, 2, 3, 4}
+    assert sorted(r["conv_id"] for r in chat.unformed(turns).collect()) == [5, 6, 7]
+    prefaced = spark.sql("SELECT * FROM VALUES (1L, 's', 'p', 'c'), (2L, NULL, 'q', 'd') t(conv_id, system, prompt, completion)")
+    found = chat.turns_from_columns(prefaced).orderBy("conv_id", "turn").collect()
+    assert [tuple(r)[:4] for r in found] == [
+        (1, 0, "system", "s"), (1, 1, "user", "p"), (1, 2, "assistant", "c"), (2, 1, "user", "q"), (2, 2, "assistant", "d")
+    ]

@@ -47,6 +47,25 @@ def fingerprint(paths: Iterable[str]) -> str:
 
 
 MAPPINGS = {fingerprint(_paths(layout)): layout for layout in LAYOUTS.values()}
+#: A field that any layout without one like it may have beside its own; it gives a turn before all others.
+PREFACE = ("=system", "system")
+_found: dict[str, tuple[tuple[str, str], ...] | None] = {}
+
+
+def mapping(paths: Iterable[str]) -> tuple[tuple[str, str], ...] | None:
+    """The layout of some field paths: that of their fingerprint, else the one with the most paths that are all there, the
+    first of several; with the preface if its field is there too. Found once for each fingerprint."""
+    paths = KNOWN_PATHS.intersection(paths)
+    key = fingerprint(paths)
+    if key in MAPPINGS:
+        return MAPPINGS[key]
+    if key not in _found:
+        held = [layout for layout in LAYOUTS.values() if _paths(layout) <= paths]
+        layout = max(held, key=lambda layout: len(_paths(layout))) if held else None
+        if layout is not None and PREFACE[1] in paths - _paths(layout) and layout != LAYOUTS["turn rows"]:
+            layout = (PREFACE, *layout)
+        _found[key] = layout
+    return _found[key]
 
 
 def schema_paths(kind: T.DataType, at: str = "") -> Iterator[str]:
@@ -79,10 +98,12 @@ def _text(value) -> str:
 
 
 def record_turns(record) -> list[tuple[str, str]] | None:
-    """The turns of a parsed record by its own fingerprint, None if no layout has it."""
-    layout = MAPPINGS.get(fingerprint(value_paths(record))) if isinstance(record, dict) else None
+    """The turns of a parsed record by its own fingerprint, None if no layout has it. A preface that is null is no turn."""
+    layout = mapping(value_paths(record)) if isinstance(record, dict) else None
     if layout is None:
         return None
+    if layout[0] == PREFACE and layout not in LAYOUTS.values() and record[PREFACE[1]] is None:
+        layout = layout[1:]
     found = []
     for role, text in layout:
         if "[]" in text:
@@ -143,9 +164,12 @@ def turns_from_columns(df: DataFrame) -> DataFrame:
 
     Rows by turn keep their ``turn`` column. A schema of no known layout is an error. Extra columns are ignored.
     """
-    layout = MAPPINGS.get(fingerprint(schema_paths(df.schema)))
+    layout = mapping(schema_paths(df.schema))
     if layout is None:
         raise ValueError(f"no layout has the fields {sorted(schema_paths(df.schema))}")
+    prefaced = layout[0] == PREFACE and layout not in LAYOUTS.values()
+    if prefaced:
+        layout = layout[1:]
     (first_role, first_text), *_ = layout
 
     def named(role, path):
@@ -162,6 +186,11 @@ def turns_from_columns(df: DataFrame) -> DataFrame:
     else:
         pairs = F.array(*[F.struct(F.lit(r[1:]).alias("role"), F.col(t).alias("text")) for r, t in layout])
         rows = df.select("conv_id", F.posexplode(pairs).alias("turn", "each")).select("conv_id", "turn", "each.*")
+    if prefaced:
+        first = df.filter(F.col(PREFACE[1]).isNotNull()).select(
+            "conv_id", F.lit(0).alias("turn"), F.lit(PREFACE[0][1:]).alias("role"), F.col(PREFACE[1]).alias("text")
+        )
+        rows = rows.withColumn("turn", F.col("turn") + 1).unionByName(first)
     return rows.selectExpr(
         "cast(conv_id AS bigint) AS conv_id", "cast(turn AS bigint) AS turn", "role",
         "coalesce(cast(text AS string), '') AS text", "true AS formed",
@@ -197,6 +226,11 @@ class Template:
         return f"{START}{escape_role(role)}\n"
 
 
+def unformed(turns: DataFrame) -> DataFrame:
+    """conv_id of each record that :func:`turns_from_json` could not map; a row for each such record."""
+    return turns.filter("NOT formed").select("conv_id")
+
+
 FORMATTED = "conv_id long, place long, formatted string, loss_start long, loss_end long"
 
 
@@ -206,8 +240,11 @@ def format_chats(turns: DataFrame, template: Template = Template()) -> DataFrame
     The rows of a conversation in the order of ``place`` make up its formatted text; loss_start and loss_end are code
     point offsets in that whole text, equal where a turn has no loss. Conversations are sorted, never gathered: a task
     holds one batch of turns, however long a conversation is. Equal turn numbers are ordered by role and text; null
-    turn numbers come first; a null conv_id is a conversation of its own; null roles and texts are empty.
+    turn numbers come first; a null conv_id is a conversation of its own; null roles and texts are empty. Rows that are not
+    ``formed`` stand for records without turns and are left out; :func:`unformed` lists them.
     """
+    if "formed" in turns.columns:
+        turns = turns.filter("formed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, place, offset = object(), 0, 0
