@@ -1,5 +1,9 @@
 """Row numbers, file pairs and the drop folder."""
 
+import os
+import pathlib
+import subprocess
+import sys
 import zipfile
 
 import pytest
@@ -7,7 +11,7 @@ import pytest
 from twincheck.operators.filepairs import pair_files, unpaired_files
 from twincheck.operators.positions import compare_positions, with_row_index
 from twincheck.plans.drop import validate_drop
-from twincheck.session import ensure_checkpoint_dir, scratch_folder
+from twincheck.session import clear_scratch, ensure_checkpoint_dir, scratch_folder
 from twincheck.sinks.exports import export_csv, read_export
 from twincheck.sources.csvfiles import read_csv
 from twincheck.sources.dropfolder import archive_lines, list_files, read_staged_csv, stage_archives
@@ -223,6 +227,7 @@ class _Session:
         self.master = master
         self.conf = settings
         self.sparkContext = self
+        self.applicationId = "test"
 
     def getConf(self):
         return self.conf
@@ -236,3 +241,24 @@ def test_shared_folder_is_taken_from_the_session(spark):
             scratch_folder(_Session({}, master), "x")
     ensure_checkpoint_dir(spark)
     assert spark.sparkContext.getCheckpointDir() is not None
+
+
+def test_scratch_folders_can_be_cleared(spark):
+    folders = [scratch_folder(spark, f"s{i}") for i in range(3)]
+    for folder in folders:
+        spark.range(3).write.parquet(folder)
+    assert clear_scratch(spark) >= 3 and clear_scratch(spark) == 0
+    assert not any(os.path.exists(folder) for folder in folders)
+
+
+def test_workers_import_the_package_from_any_folder(tmp_path):
+    script = (
+        "import sys, os; sys.path.insert(0, sys.argv[1]); import __spark_entry__ as e; from pyspark.sql import SparkSession;"
+        "sys.path.remove(sys.argv[1]);"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate();"
+        "print('rows', e.queries()['csv_ragged_rows'](spark, '/root/testdata/sf0.001').count())"
+    )
+    root = str(pathlib.Path(__file__).resolve().parent.parent)
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", script, root], cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=240)
+    assert "rows 1" in run.stdout, run.stderr[-2000:]
