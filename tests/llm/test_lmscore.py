@@ -85,3 +85,38 @@ def test_edge_cases(frame):
     untrained = score_texts(documents, "true").collect()
     assert {r["train_tokens"] for r in untrained} == {0} and {r["n_known"] for r in untrained} == {0}
     assert score_texts(documents.limit(0), HELD).count() == 0
+
+
+@pytest.mark.parametrize(("filter_bytes", "head"), [(1 << 20, 1 << 20), (0, 1 << 20), (1 << 20, 0)])
+def test_scores_against_brute_force(frame, filter_bytes, head):
+    """With sixteen probes no n-gram is found by chance here."""
+    rows = [(i, " ".join("abcdefgh"[(i * k * k + k) % (3 + i % 6)] for k in range(5 + i % 40))) for i in range(150)]
+    rows += [(500, "never seen words"), (501, None)]
+    tokens = {i: [*WORD.findall(t or ""), None] for i, t in rows}
+    held = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i, _ in rows}
+    words, pairs = Counter(), Counter()
+    for i, own in tokens.items():
+        if not held[i]:
+            words.update(own)
+            pairs.update(zip([None, *own], own))
+    total, distinct = sum(words.values()), len(words)
+
+    def rough(count):
+        return 1.5 * 2 ** (count.bit_length() - 1) - 0.5 if count else 0.0
+
+    def count(word):
+        return words[word] if head else rough(words[word])
+
+    for r in score_texts(frame(rows), HELD, Model(probes=16, filter_bytes=filter_bytes, head=head)).collect():
+        own, expected = tokens[r["doc_id"]], 0.0
+        for u, w in zip([None, *own], own):
+            word_p = (count(w) + 0.1) / (total + 0.1 * (distinct + 1))
+            expected += math.log10((min(rough(pairs[u, w]), count(u)) + 4 * word_p) / (count(u) + 4))
+        assert r["score"] == pytest.approx(expected, rel=1e-9)
+
+
+def test_buckets_follow_the_size_of_the_texts(documents, texts):
+    whole = sorted(map(tuple, score_texts(documents, HELD).collect()))
+    rule = Model(bucket_bytes=20_000, filter_bytes=0)
+    check(score_texts(documents, HELD, rule).collect(), plain(texts))
+    assert sorted(map(tuple, score_texts(documents, HELD, Model(bucket_bytes=1 << 20)).collect())) == whole

@@ -25,14 +25,15 @@ SLICE_TOKENS = 1_000_000
 class Model:
     """``probes`` bits for each entry of the filter; ``prior`` tokens of weight for the unigrams in a bigram's estimate.
 
-    The filter holds every n-gram, however rare, and grows with them; it is broadcast in groups of buckets of
-    ``filter_bytes`` at most (one bucket at least), one pass over the texts for each. Scores do not depend on the number
-    of groups. ``head`` words are kept with their exact counts; those beyond are looked up by a join.
+    The filter holds every n-gram, however rare, and grows with them. Up to ``filter_bytes`` it is broadcast; beyond, the
+    n-grams of the texts go to its segments, in one round whatever their number, and find the same. A bucket is made for
+    each ``bucket_bytes`` of text. ``head`` words are kept with their exact counts; those beyond are looked up by a join.
     """
 
     probes: int = 4
     prior: float = 4.0
     filter_bytes: int = 48 << 20
+    bucket_bytes: int = 32 << 20
     head: int = 1 << 20
 
 
@@ -40,7 +41,7 @@ class Model:
 class Filter:
     """Bit segments, one for each bucket of n-grams. A count c is there as 1 + floor(log2 c) entries.
 
-    A bucket of size 0 is empty or belongs to another group; none of its n-grams is found.
+    A bucket of size 0 is empty; none of its n-grams is found.
     """
 
     bits: np.ndarray
@@ -197,24 +198,9 @@ def _merged(bucket, words, counts, bits) -> pa.RecordBatch:
     )
 
 
-def _groups(merged: DataFrame, rule: Model) -> list[tuple[int, int]]:
-    """First and last bucket of each group of segments that is broadcast at once; one group at least."""
-    sizes = merged.select("bucket", F.length("bits").alias("size")).collect()
-    groups: list[tuple[int, int]] = []
-    held = 0
-    for bucket, size in sorted(sizes):
-        if groups and held + size <= rule.filter_bytes:
-            groups[-1] = groups[-1][0], bucket
-            held += size
-        else:
-            groups.append((bucket, bucket))
-            held = size
-    return groups or [(0, 0)]
-
-
-def _filter(merged: DataFrame, group: tuple[int, int], buckets: int, rule: Model) -> Filter:
-    """The segments of a group's buckets; the others have none."""
-    chosen = merged.filter(F.col("bucket").between(*group)).select("bucket", "bits").toArrow()
+def _filter(merged: DataFrame, buckets: int, rule: Model) -> Filter:
+    """The segments of all buckets, where together they are small enough."""
+    chosen = merged.select("bucket", "bits").toArrow()
     found = dict(zip(chosen.column("bucket").to_pylist(), chosen.column("bits").to_pylist()))
     lengths = np.array([8 * len(found.get(b, b"")) for b in range(buckets)], dtype=np.uint64)
     bits = np.frombuffer(b"".join(found[b] for b in sorted(found)), dtype=np.uint8)
@@ -241,102 +227,216 @@ def _head(words: DataFrame, rule: Model) -> tuple[int, np.ndarray, np.ndarray]:
     return least, keys[order], found.column("c").to_numpy()[order]
 
 
-def _look_up(model: Filter, found: np.ndarray, each: np.ndarray, back: np.ndarray, carried: np.ndarray | None):
-    """For each token its level and that of its bigram, of this group or, ``carried`` along, of an earlier one."""
-    pairs, pair_back = np.unique(bigrams(found), return_inverse=True)
-    levels = np.stack([model.levels(each)[back], model.levels(pairs)[pair_back]], axis=1).astype(np.uint8)
-    return levels if carried is None else np.maximum(levels, carried)
-
-
-def _carried(batch: pa.RecordBatch, block: Block) -> np.ndarray | None:
-    if "levels" not in batch.schema.names:
-        return None
-    own = batch.column("levels").slice(block.first, block.texts).to_pylist()
-    return np.frombuffer(b"".join(own), dtype=np.uint8).reshape(-1, 2)
-
-
-def _level_task(filter_):
-    """The texts, with the levels found in this group and the earlier ones: two bytes for each token."""
+@dataclass(frozen=True)
+class _Scorer:
+    """Scores of texts, from the levels of their words and bigrams and the exact counts of head words."""
+
+    keys: np.ndarray
+    counts: np.ndarray
+    total: int
+    distinct: int
+    rule: Model
+
+    def scores(self, found: np.ndarray, bounds: np.ndarray, levels: np.ndarray) -> list[pa.Array]:
+        """Columns of ``_SCORES`` from the third on, for texts whose tokens ``found`` begin at ``bounds``; ``levels`` has
+        a row for each token: its own and that of its bigram."""
+        room = np.log10(self.total + 0.1 * (self.distinct + 1))
+        each, back = np.unique(found, return_inverse=True)
+        exact, known = np.zeros(len(each)), np.zeros(len(each), dtype=bool)
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, each), len(self.keys) - 1)
+            known = self.keys[at] == each
+            exact = np.where(known, self.counts[at], 0.0)
+        base = np.where(known, np.log10(exact + 0.1), 0.0)
+        rest = ~known[back]
+        tails = np.searchsorted(np.flatnonzero(rest), bounds)
+        roughly, pairs = counts_of(levels).T
+        words = np.where(known[back], exact[back], roughly)
+        word_p = (words + 0.1) / (self.total + 0.1 * (self.distinct + 1))
+        # The last token is an end, as the one before the first.
+        history = np.concatenate([words[-1:], words[:-1]])
+        p = (np.minimum(pairs, history) + self.rule.prior * word_p) / (history + self.rule.prior)
+        return [
+            pa.array(np.diff(bounds), pa.int64()),
+            pa.array(np.add.reduceat(known[back], bounds[:-1], dtype=np.int64)),
+            pa.array(np.add.reduceat(base[back], bounds[:-1]) - np.diff(bounds) * room),
+            pa.array(np.add.reduceat(np.log10(p), bounds[:-1])),
+            pa.ListArray.from_arrays(pa.array(tails.astype(np.int32)), as_long(found[rest])),
+        ]
+
+
+_SCORES = (
+    "line long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, tail array<long>"
+)
+
+
+def _scored(line: int, doc_ids: pa.Array, held_out: pa.Array, columns: list[pa.Array]) -> pa.RecordBatch:
+    lines = pa.array(np.arange(line, line + len(doc_ids)))
+    names = [field.split()[0] for field in _SCORES.split(", ")]
+    return pa.RecordBatch.from_arrays([lines, doc_ids, held_out, *columns], names=names)
+
+
+def _score_task(filter_, scorer):
+    """Texts to ``_SCORES``, with the whole filter at hand."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        line = TaskContext.get().partitionId() << 33
         for batch in batches:
             for block in blocks(batch.column("text")):
                 found, bounds = tokens(block)
                 each, back = np.unique(found, return_inverse=True)
-                levels = _look_up(filter_.value, found, each, back, _carried(batch, block))
-                own = [levels[low:high].tobytes() for low, high in zip(bounds[:-1], bounds[1:])]
-                given = [batch.column(c).slice(block.first, block.texts) for c in ("doc_id", "text", "held_out")]
-                yield pa.RecordBatch.from_arrays(
-                    [*given, pa.array(own, pa.binary())], names=["doc_id", "text", "held_out", "levels"]
-                )
+                pairs, pair_back = np.unique(bigrams(found), return_inverse=True)
+                model = filter_.value
+                levels = np.stack([model.levels(each)[back], model.levels(pairs)[pair_back]], axis=1)
+                given = [batch.column(c).slice(block.first, block.texts) for c in ("doc_id", "held_out")]
+                yield _scored(line, *given, scorer.value.scores(found, bounds, levels))
+                line += block.texts
 
     return run
 
 
-def _score_task(filter_, head, total: int, distinct: int, rule: Model):
-    room = np.log10(total + 0.1 * (distinct + 1))
+def _requested(found: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct words and bigrams of some texts by bucket, sorted in each, and where the buckets begin."""
+    grams = np.unique(np.concatenate([found, bigrams(found)]))
+    bucket = bucket_of(grams, buckets)
+    by = np.argsort(bucket, kind="stable")
+    return grams[by], np.searchsorted(bucket[by], np.arange(buckets + 1))
+
+
+_REQUESTS = "bucket int, kind int, slice long, grams binary"
+_ANSWERS = "slice long, kind int, bucket int, levels binary, doc_ids array<long>, held_out array<boolean>, texts array<string>"
+
+
+def _request_task(buckets: int):
+    """Texts to the n-grams that each slice asks of each bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, (head_keys, head_counts) = filter_.value, head.value
-        line = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for block in blocks(batch.column("text")):
-                found, bounds = tokens(block)
-                each, back = np.unique(found, return_inverse=True)
-                at = np.minimum(np.searchsorted(head_keys, each), max(len(head_keys) - 1, 0))
-                known = head_keys[at] == each if len(head_keys) else np.zeros(len(each), dtype=bool)
-                exact = np.where(known, np.log10(head_counts[at] + 0.1), 0.0) if len(head_keys) else np.zeros(len(each))
-                rest = ~known[back]
-                tails = np.searchsorted(np.flatnonzero(rest), bounds)
-
-                roughly, pairs = counts_of(_look_up(model, found, each, back, _carried(batch, block))).T
-                word_p = (roughly + 0.1) / (total + 0.1 * (distinct + 1))
-                # The last token is an end, as the one before the first.
-                history = np.concatenate([roughly[-1:], roughly[:-1]])
-                together = np.minimum(pairs, history)
-                p = (together + rule.prior * word_p) / (history + rule.prior)
-                n = block.texts
+            for number, texts in zip(batch.column("slice").to_pylist(), batch.column("texts")):
+                found, _ = tokens(next(blocks(texts.values, 1 << 62)))
+                grams, edges = _requested(found, buckets)
+                own = np.flatnonzero(np.diff(edges))
+                n = len(own)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.arange(line, line + n)),
-                        batch.column("doc_id").slice(block.first, n),
-                        batch.column("held_out").slice(block.first, n),
-                        pa.array(np.diff(bounds), pa.int64()),
-                        pa.array(np.add.reduceat(known[back], bounds[:-1], dtype=np.int64)),
-                        pa.array(np.add.reduceat(exact[back], bounds[:-1]) - np.diff(bounds) * room),
-                        pa.array(np.add.reduceat(np.log10(p), bounds[:-1])),
-                        pa.ListArray.from_arrays(pa.array(tails.astype(np.int32)), as_long(found[rest])),
+                        pa.array(own, pa.int32()), pa.array([1] * n, pa.int32()), pa.array([number] * n, pa.int64()),
+                        pa.array([grams[edges[b] : edges[b + 1]].tobytes() for b in own], pa.binary()),
                     ],
-                    names=["line", "doc_id", "held_out", "n_tokens", "known", "base", "score", "tail"],
+                    names=["bucket", "kind", "slice", "grams"],
+                )
+
+    return run
+
+
+def _slice_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts to rows of many texts, of about half a megabyte each."""
+    number = TaskContext.get().partitionId() << 33
+    for batch in batches:
+        for block in blocks(batch.column("text")):
+            given = [batch.column(c).slice(block.first, block.texts) for c in ("doc_id", "held_out", "text")]
+            lists = [pa.ListArray.from_arrays(pa.array([0, block.texts], pa.int32()), column) for column in given]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number], pa.int64()), *lists], names=["slice", "doc_ids", "held_out", "texts"]
+            )
+            number += 1
+
+
+def _answer_task(rule: Model):
+    """Segments and requests, sorted by bucket and kind, to the levels of the n-grams of each request, in their order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, segment_ = None, None
+        for batch in batches:
+            rows = []
+            for own, kind, number, grams in zip(*(batch.column(c).to_pylist() for c in ("bucket", "kind", "slice", "grams"))):
+                if own != bucket:
+                    bucket, segment_ = own, Filter(np.zeros(0, np.uint8), *np.zeros((2, 0), np.uint64), rule.probes)
+                if kind == 0:
+                    bits = np.frombuffer(grams, dtype=np.uint8)
+                    segment_ = Filter(bits, np.zeros(1, np.uint64), np.array([8 * len(bits)], np.uint64), rule.probes)
+                else:
+                    levels = segment_.levels(np.frombuffer(grams, dtype=np.uint64)).astype(np.uint8)
+                    rows.append((number, own, levels.tobytes()))
+            columns = list(zip(*rows)) or [(), (), ()]
+            kinds = (pa.int64(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["slice", "bucket", "levels"])
+
+    return run
+
+
+def _answered_score_task(scorer, buckets: int):
+    """Answers and texts of slices, sorted by slice, kind and bucket, to ``_SCORES``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        line = TaskContext.get().partitionId() << 33
+        answers: list[bytes] = []
+        for batch in batches:
+            for i, kind in enumerate(batch.column("kind").to_pylist()):
+                if kind == 0:
+                    answers.append(batch.column("levels")[i].as_py())
+                    continue
+                found, bounds = tokens(next(blocks(batch.column("texts")[i].values, 1 << 62)))
+                grams, _ = _requested(found, buckets)
+                level = np.frombuffer(b"".join(answers), dtype=np.uint8)
+                answers = []
+                order = np.argsort(grams)
+                sorted_grams, sorted_level = grams[order], level[order]
+                levels = np.stack(
+                    [sorted_level[np.searchsorted(sorted_grams, part)] for part in (found, bigrams(found))], axis=1
                 )
-                line += n
+                given = [batch.column(c)[i].values for c in ("doc_ids", "held_out")]
+                yield _scored(line, *given, scorer.value.scores(found, bounds, levels))
+                line += len(given[0])
 
     return run
 
 
+def _scores_by_shuffle(texts: DataFrame, merged: DataFrame, scorer, buckets: int, rule: Model, scratch: Scratch) -> DataFrame:
+    """Scores with a filter that is nowhere held whole: texts in slices ask its segments for their n-grams."""
+    slices = scratch.save(
+        texts.mapInArrow(_slice_task, "slice long, doc_ids array<long>, held_out array<boolean>, texts array<string>"),
+        "slices",
+    )
+    segments = merged.selectExpr("bucket", "0 AS kind", "0L AS slice", "bits AS grams")
+    asked = segments.unionByName(slices.select("slice", "texts").mapInArrow(_request_task(buckets), _REQUESTS))
+    levels = (
+        asked.repartition("bucket")
+        .sortWithinPartitions("bucket", "kind")
+        .mapInArrow(_answer_task(rule), "slice long, bucket int, levels binary")
+    )
+    answers = levels.selectExpr("slice", "0 AS kind", "bucket", "levels").unionByName(
+        slices.selectExpr("slice", "1 AS kind", "doc_ids", "held_out", "texts"), allowMissingColumns=True
+    )
+    ordered = answers.repartition("slice").sortWithinPartitions("slice", "kind", "bucket")
+    return ordered.mapInArrow(_answered_score_task(scorer, buckets), _SCORES)
+
+
 def score_texts(documents: DataFrame, held_out: str, rule: Model = Model()) -> DataFrame:
     """``documents`` (doc_id: long, text; more columns are ignored) to doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score. The SQL condition ``held_out`` names the rows that are not learned from.
 
     Tokens are the lower-cased words and one end for each text. ``base_score`` is the exact add-0.1 unigram score.
-    ``score`` is the bigram model's: P(w | u) = (c(u, w) + prior * P(w)) / (c(u) + prior), counts from the filter.
+    ``score`` is the bigram model's: P(w | u) = (c(u, w) + prior * P(w)) / (c(u) + prior). P(w) is the base's. Counts of
+    head words are exact, all others those of the filter, which knows a count by its power of two: the probabilities after
+    a word add up to one nearly, not exactly.
 
     1. Tasks count the n-grams of slices of their training texts; packed counts are shuffled by bucket and summed, so
        frequent n-grams cost one entry for each slice. Each bucket becomes a segment of the filter, in a shared folder.
-    2. Segments are broadcast group after group. All groups but the last take a pass that adds what they find to the
-       texts, in a table that replaces the one before; so passes grow with the distinct n-grams.
-    3. The pass of the last group scores each text, with the exact counts of the head words broadcast too; words outside
-       the head are joined with their exact counts.
+    2. A filter of ``filter_bytes`` at most is broadcast. Of a larger one every task holds one segment at a time: the
+       distinct n-grams of each slice of the texts are shuffled to the segments, and their levels back to the texts.
+    3. Each text is scored, with the exact counts of the head words broadcast too; words outside the head are joined with
+       their exact counts.
 
     Null and empty texts are one end token. Rows are scored each for itself, also with equal or null ids. Without
-    training texts all counts are 0. An empty table gives no rows.
+    training texts all counts are 0. An empty table gives no rows. A text may be of any length; it is one task's.
     """
     spark = documents.sparkSession
     scratch = Scratch(spark, "lmscore")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = documents.selectExpr(
         "cast(doc_id AS bigint) AS doc_id", "cast(text AS string) AS text", f"coalesce({held_out}, true) AS held_out"
     )
+    size = texts.selectExpr("coalesce(sum(cast(octet_length(text) AS bigint)), 0L)").first()[0]
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // rule.bucket_bytes))
     merged = scratch.save(
         texts.filter("NOT held_out")
         .select("text")
@@ -349,30 +449,14 @@ def score_texts(documents: DataFrame, held_out: str, rule: Model = Model()) -> D
     totals = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     least, *head = _head(words, rule)
     context = spark.sparkContext
-    *earlier, last = _groups(merged, rule)
-    before = None
-    for group in earlier:
-        shared, own = context.broadcast(_filter(merged, group, buckets, rule)), Scratch(spark, "lmscore-levels")
-        texts = own.save(
-            texts.mapInArrow(_level_task(shared), "doc_id long, text string, held_out boolean, levels binary"), "levels"
-        )
-        shared.unpersist()
-        if before is not None:
-            before.clear()
-        before = own
-    scored = scratch.save(
-        texts.mapInArrow(
-            _score_task(
-                context.broadcast(_filter(merged, last, buckets, rule)), context.broadcast(tuple(head)),
-                totals["n"], totals["v"], rule,
-            ),
-            "line long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double,"
-            " tail array<long>",
-        ),
-        "scored",
-    )
-    if before is not None:
-        before.clear()
+    scorer = context.broadcast(_Scorer(*head, totals["n"], totals["v"], rule))
+    filter_bytes = merged.selectExpr("coalesce(sum(cast(octet_length(bits) AS bigint)), 0L)").first()[0]
+    if filter_bytes <= rule.filter_bytes:
+        shared = context.broadcast(_filter(merged, buckets, rule))
+        scores = texts.mapInArrow(_score_task(shared, scorer), _SCORES)
+    else:
+        scores = _scores_by_shuffle(texts, merged, scorer, buckets, rule, scratch)
+    scored = scratch.save(scores, "scored")
     tail = (
         scored.select("line", F.explode("tail").alias("word"))
         .groupBy("line", "word")
