@@ -152,6 +152,12 @@ def anchors(vectors: list[dict[str, float]], least: float) -> set[str]:
     return found
 
 
+def _needed(vector: dict[str, float], idf: dict[str, float], least: float) -> set[str]:
+    """Terms of which a passage that may have the template has one: its rarest decisive term, which it must have, if any."""
+    decisive = [t for t in vector if t in DECISIVE]
+    return {max(decisive, key=lambda t: (idf[t], t))} if decisive else anchors([vector], least)
+
+
 def qualifier_mask(terms) -> int:
     return sum(1 << i for i, q in enumerate(QUALIFIERS) if q in terms)
 
@@ -185,7 +191,7 @@ def own_licences(files: DataFrame, scratch: Scratch, rule: LicenceScan = Licence
     idf = {t: math.log((1 + n) / (1 + df.get(t, 0))) + 1 for t in vocabulary}
     strange = math.log(1 + n) + 1
     vectors = [{t: tf * idf[t] for t, tf in template.items()} for template in templates]
-    needed = _listed(anchors(vectors, rule.least))
+    needed = _listed(set().union(*(_needed(vector, idf, rule.least) for vector in vectors)))
 
     spark = files.sparkSession
     weights = spark.createDataFrame([(t, idf[t]) for t in sorted(vocabulary)], "term string, idf double")
