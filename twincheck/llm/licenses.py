@@ -93,10 +93,11 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC0-1.0", "Creative Commons CC0 1.0 Universal"),
     ("Unlicense", "This is free and unencumbered software released into the public domain"),
 )
-#: A passage must have all of these that the template has: names and version digits.
+#: A passage must have all of these that the template has: names, version digits, and the word that tells a licence's name
+#: from a common word of some language.
 DECISIVE = (
     "1", "2", "3", "4", "affero", "apache", "attribution", "bsd", "by", "cc", "cc0", "clause", "creative", "eclipse", "endorse",
-    "general", "gnu", "isc", "lesser", "mit", "mozilla", "nc", "nd", "noderivatives", "noncommercial", "sa", "sharealike",
+    "general", "gnu", "isc", "lesser", "license", "mit", "mozilla", "nc", "nd", "noderivatives", "noncommercial", "sa", "sharealike",
     "unencumbered",
 )
 #: It must have none of these that the template lacks: they turn one licence into another.
