@@ -1,8 +1,9 @@
+import math
 from collections import Counter
 
 import numpy as np
 
-from twincheck.llm.language import LanguageModel, LanguageRule, grams, letters, predict_language, train_language
+from twincheck.llm.language import _MULTIPLIERS, LanguageModel, LanguageRule, grams, letters, predict_language, train_language
 
 
 def test_features_depend_on_a_text_alone():
@@ -40,3 +41,34 @@ def test_edge_cases(spark, frame):
     ]
     assert predict_language(documents.limit(0), model).count() == 0
     assert LanguageModel([], np.zeros(1), np.zeros((1, 0)), 1.0).predict(np.array([0]), np.array([1])) == ("und", 0.0)
+
+
+def plain_prediction(model, text, bits):
+    """One n-gram at a time, in whole numbers and plain floats."""
+    table = letters()
+    points = [int(table[ord(c)]) for c in f"  {text}  "]
+    counts = Counter()
+    for start in range(1, len(text) + 2):
+        key = 0
+        for order in range(3):
+            key = ((key ^ (points[start + order] + order + 1)) * int(_MULTIPLIERS[order])) % 2**32 if start + order < len(points) else key
+            if start + order < len(points) and any(p != 32 for p in points[start : start + order + 1]):
+                counts[((key ^ (key >> 15)) * 0x27D4EB2F) % 2**32 >> (32 - bits)] += 1
+    if not counts:
+        return "und", 0.0
+    x = {i: (1 + math.log(n)) * float(model.idf[i]) for i, n in counts.items()}
+    length = math.sqrt(sum(v * v for v in x.values()))
+    logits = [
+        sum(v / length * float(model.weights[i, k]) for i, v in x.items()) / model.temperature for k in range(len(model.languages))
+    ]
+    powers = [math.exp(z - max(logits)) for z in logits]
+    return model.languages[powers.index(max(powers))], max(powers) / sum(powers)
+
+
+def test_predictions_against_brute_force(spark, documents, frame):
+    model = train_language(documents, LanguageRule(sample=120))
+    texts = [r["text"] for r in documents.limit(25).collect()] + ["", "12", "a", "É", "日本 x", "Straße IST\tlang"]
+    found = {r["doc_id"]: r for r in predict_language(frame(list(enumerate(texts))), model).collect()}
+    for i, text in enumerate(texts):
+        language, score = plain_prediction(model, text, LanguageRule().bits)
+        assert found[i]["lang_pred"] == language and abs(found[i]["score"] - score) < 1e-9
