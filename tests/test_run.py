@@ -241,3 +241,57 @@ def test_every_selected_check_is_reported(spark, tmp_path):
     assert {(r["diff_status"], r["K"]) for r in sample} == {("only_source", "7"), ("mismatch", "9")}
     metrics = {r["metric"]: r["value"] for r in read_export(spark, str(tmp_path / "out" / "metrics" / "d.t" / "content")).collect()}
     assert metrics["mismatched_keys"] == "1" and "s.t" in metrics["source_query"]
+
+
+def test_files_of_a_table_run(spark, tmp_path):
+    from twincheck.plans.pair import FILES, FUTURE_DATES
+    from twincheck.plans.run import FileDrop
+
+    drop = tmp_path / "drop"
+    (drop / "x").mkdir(parents=True)
+    (drop / "y").mkdir()
+    for name, text in {
+        "x/orders_td": "id,v\n1,a\n2,b\n", "x/orders_sf": "id,v\n1,a\n2,b\n",
+        "y/D.Orders_td": "id,v\n1,a\n", "y/D.Orders_sf": "id,v\n1,c\n2,b\n",
+        "x/lines_sf": "id\n1\n", "x/orders_old_td": "id\n1\n", "x/orders_old_sf": "id\n2\n",
+    }.items():
+        (drop / f"{name}.csv").write_text(text)
+    config = tmp_path / "config.csv"
+    config.write_text(f"{HEADER}\n" + "".join(
+        f"Y,Tax: TAX,Table,,s,{name},d,{name},*,*,ID,,,,,,\n" for name in ("ORDERS", "LINES", "OTHER")
+    ))
+    rows = spark.createDataFrame([(1, "2020-01-01")], "id int, day string")
+    systems = Systems(lambda *_: rows, lambda *_: rows)
+
+    def run(label, checks, folder=drop, **options):
+        out = str(tmp_path / label)
+        given = FileDrop(str(folder), str(tmp_path / "ledger"))
+        summary = run_config(spark, read_config(spark, str(config)), systems, checks, folder=out, drop=given, **options)
+        found = read_export(spark, f"{out}/pair_*/checks/*").where("check_name = 'File Comparison'")
+        return summary.collect(), sorted(
+            ((r["item"] or "").rsplit("/", 1)[-1], r["status"], r["reason"] or "") for r in found.collect()
+        )
+
+    summary, found = run("first", [FILES, ROW_COUNT], parallel=2)
+    assert [(r["STATUS"], r["ROW_COUNT_STATUS"], r["ERROR"]) for r in summary] == [("MATCH", "MATCH", "")] * 3
+    nothing = ("", "UNKNOWN", "no new file is named like the table")
+    differing = ("D.Orders", "MISMATCH", "1 rows differ, 0 more in the source, 1 more in the target")
+    lonely = ("lines", "UNKNOWN", "only the target file has arrived")
+    assert found == [nothing, differing, lonely, ("orders", "MATCH", "")]
+    # The ledger holds what was compared. Checks without a column of the summary are enough for a run.
+    summary, found = run("second", FILES)
+    assert [(r["STATUS"], r["ERROR"]) for r in summary] == [("UNKNOWN", "")] * 3
+    assert found == [nothing, nothing, lonely]
+    # Other checks go on where the folder cannot be read.
+    summary, found = run("third", [FILES, ROW_COUNT, FUTURE_DATES], tmp_path / "missing")
+    assert {r["STATUS"] for r in summary} == {"MATCH"} and len(found) == 3
+    assert all(status == "UNKNOWN" and "Exception" in reason for _, status, reason in found)
+
+
+def test_file_check_without_a_drop_folder(spark, pair):
+    from twincheck.plans.pair import FILES, check_report
+
+    checks = plan_pair(*pair, PairSpec("s.t", "d.t", keys=("ID",)), [FILES])
+    assert [tuple(r) for r in check_report(checks).collect()] == [
+        ("File Comparison", "", "UNKNOWN", "no drop folder given")
+    ]

@@ -235,3 +235,29 @@ def validate_drop(
     export_csv(summary, f"{output}/{run}/summary", single_file=True)
     export_csv(unpaired, f"{output}/{run}/unpaired", single_file=True)
     return summary, unpaired
+
+
+FILE_REPORT_SCHEMA = "stem string, item string, status string, reason string"
+
+
+def file_report(summary: DataFrame, unpaired: DataFrame) -> DataFrame:
+    """What :func:`validate_drop` found, as ``stem, item, status, reason``: a row for each pair, file without its
+    counterpart, and unreadable archive. ``item`` is the folder and the stem."""
+    differing = (
+        "concat(mismatched_rows, ' rows differ, ', surplus_source_rows, ' more in the source, ', surplus_target_rows, "
+        "' more in the target', if(source_only_columns = '' AND target_only_columns = '', '', ', other columns'))"
+    )
+    compared = summary.selectExpr(
+        "stem",
+        "concat(folder, '/', stem) AS item",
+        "verdict AS status",
+        f"CASE verdict WHEN {literal(MISMATCH)} THEN {differing} WHEN {literal(MATCH)} THEN '' ELSE error END AS reason",
+    )
+    suffix = f"if(side = 'source', {len(SOURCE_SUFFIX)}, {len(TARGET_SUFFIX)})"
+    single = unpaired.selectExpr(
+        f"left(name, length(name) - {suffix}) AS stem",
+        f"left(path, length(path) - {suffix}) AS item",
+        f"{literal(UNKNOWN)} AS status",
+        "concat('only the ', side, ' file has arrived') AS reason",
+    )
+    return compared.unionAll(single)

@@ -49,6 +49,7 @@ SUMMARY_COLUMNS = [
     "VALIDATION_TIME",
 ]
 _UNREPORTED_COUNT = "row count of a pruned check"
+CHECK_ROW_SCHEMA = "name string, status string, source_rows bigint, target_rows bigint"
 STATUS_COLUMNS = ["ROW_COUNT_STATUS", "DATA_TYPE_STATUS", "DATA_CONTENT_STATUS", "AGG_STATUS"]
 
 
@@ -80,6 +81,7 @@ class PairChecks:
     future: RowComparison | None = None
     business: tuple[tuple[str, RowComparison], ...] = ()
     loads: DataFrame | None = None
+    files: DataFrame | None = None
 
     @property
     def aggregates(self) -> DataFrame | None:
@@ -98,6 +100,11 @@ class PairChecks:
     def aggregate_verdict(self) -> DataFrame | None:
         return None if self.profile is None else self.profile.verdict()
 
+    @property
+    def reported(self) -> bool:
+        """Whether a check is planned that :func:`check_report` tells and the summary has no column for."""
+        return bool(self.business) or any(check is not None for check in (self.future, self.loads, self.files))
+
     def saved(self) -> PairChecks:
         """The same checks with the profile of both sides written, so that details and verdict share one scan a side."""
         return self if self.profile is None else replace(self, profile=self.profile.saved())
@@ -156,14 +163,16 @@ def plan_pair(
     cutoff: str | None = None,
     business: Iterable[BusinessQuery] = (),
     audit: LoadAudit | None = None,
+    files: DataFrame | None = None,
 ) -> PairChecks:
     """Plan the selected checks over two loaded tables. Nothing runs yet.
 
     ``counts`` are one-row frames with the row counts, where the systems count themselves; they are used unless the
     content check yields the counts anyway.
     ``prune`` suits large copies with few differences: equal parts are recognised by digests and never shuffled.
-    ``cutoff`` (a date), ``business`` and ``audit`` feed the checks of future dates, business queries and loads; a
-    selected check without its input is reported as UNKNOWN by :func:`check_report`.
+    ``cutoff`` (a date), ``business``, ``audit`` and ``files`` (see :func:`~twincheck.plans.drop.file_report`) feed the
+    checks of future dates, business queries, loads and files; a selected check without its input is reported as UNKNOWN
+    by :func:`check_report`.
     """
     selected = select_checks(checks)
     left, right = prepare(source, target, spec)
@@ -189,14 +198,25 @@ def plan_pair(
     if ETL_AUDIT in selected and audit is not None:
         own = f"upper(trim(source_table_name)) = {literal(spec.source_table.split('.')[-1].strip().upper())}"
         planned["loads"] = successful_loads(audit.audit, audit.inventory, audit.workflow).where(own)
+    if FILES in selected and files is not None:
+        planned["files"] = files.where(f"stem IS NULL OR upper(trim(stem)) IN ({', '.join(_extract_names(spec))})")
     return PairChecks(spec=spec, selected=selected, pruned=prune, **planned)
 
 
+def _extract_names(spec: PairSpec) -> list[str]:
+    """SQL literals of the stems, in upper case, that a pair's extracts may bear: either table's name, with its schema or
+    without."""
+    full = [table.strip().upper() for table in (spec.source_table, spec.target_table)]
+    return [literal(name) for name in dict.fromkeys([*full, *(name.rpartition(".")[2] for name in full)])]
+
+
 def check_report(checks: PairChecks) -> DataFrame:
-    """One row for each selected check and business query that the summary has no column for: ``check_name, item,
-    status, reason``. What was selected but could not run is UNKNOWN, with the reason; nothing selected vanishes.
+    """One row for each selected check, business query and pair of files that the summary has no column for:
+    ``check_name, item, status, reason``. What was selected but could not run is UNKNOWN, with the reason; nothing
+    selected vanishes.
 
-    Loads MATCH if the table was loaded at least once with success. File pairs belong to the drop folder.
+    Loads MATCH if the table was loaded at least once with success. Files are those of the drop folder that are named like
+    a table of the pair; ``item`` tells which, as several folders may hold such files.
     """
     reported = []
 
@@ -210,11 +230,14 @@ def check_report(checks: PairChecks) -> DataFrame:
     if checks.loads is not None:
         loads = checks.loads.selectExpr("count(1) AS n")
         reported.append(_exploded(loads, row(ETL_AUDIT, "", verdict_text("n > 0"))))
+    extracts = checks.files is not None and not checks.files.isEmpty()
+    if extracts:
+        reported.append(checks.files.selectExpr(f"{literal(FILES)} AS check_name", "item", "status", "reason"))
     missing = {
         FUTURE_DATES: (checks.future is None, "no cutoff, or no date column on both sides"),
         BUSINESS: (not checks.business, "no business query given"),
         ETL_AUDIT: (checks.loads is None, "no load audit given"),
-        FILES: (True, "file pairs are compared by the drop folder run"),
+        FILES: (not extracts, f"no {'drop folder given' if checks.files is None else 'new file is named like the table'}"),
         DATA_TYPE: (checks.types is None, "no catalogs given"),
         AGGREGATION: (checks.profile is None, "no aggregate requested"),
     }
@@ -268,11 +291,14 @@ def check_rows(checks: PairChecks, content_metrics: DataFrame | None = None) ->
 
 
 def summarize(checks: PairChecks, content_metrics: DataFrame | None = None) -> DataFrame:
-    """The summary row of a pair: 12 text columns. A check that did not run is UNKNOWN."""
+    """The summary row of a pair: 12 text columns. A check that did not run is UNKNOWN, so are all columns of a pair whose
+    only checks are those of :func:`check_report`."""
     spec = checks.spec
     rows = check_rows(checks, content_metrics)
     if rows is None:
-        raise ConfigError("none of the selected checks applies to this pair")
+        if not checks.reported:
+            raise ConfigError("none of the selected checks applies to this pair")
+        rows = SparkSession.active().createDataFrame([], CHECK_ROW_SCHEMA)
 
     def of(name: str, value: str) -> str:
         return f"max(if(name = {literal(name)}, {value}, NULL))"

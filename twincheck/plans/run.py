@@ -14,8 +14,10 @@ from pyspark.sql import types as T
 from twincheck.functions.sqltext import quote
 from twincheck.operators.catalog import catalog_of, reader_schemas
 from twincheck.operators.compare import DIFFERENT, ONLY_SOURCE, ONLY_TARGET, SOURCE, STATUS, TARGET
+from twincheck.plans.drop import FILE_REPORT_SCHEMA, file_report, validate_drop
 from twincheck.plans.pair import (
     ALL_CHECKS,
+    FILES,
     STATUS_COLUMNS,
     SUMMARY_COLUMNS,
     PairChecks,
@@ -66,6 +68,18 @@ class Systems:
     staging: str | None = None
 
 
+@dataclass(frozen=True)
+class FileDrop:
+    """The folder into which extracts of the tables are dropped, and the ledger of those that earlier runs compared.
+
+    A pair's extracts bear the name of one of its tables, with the schema or without, in any case.
+    """
+
+    folder: str
+    ledger: str
+    parallel: int = 1
+
+
 def _split_name(table: str) -> tuple[str, str]:
     schema, _, name = table.rpartition(".")
     return schema, name
@@ -253,6 +267,22 @@ def run_pairs(
     return spark.createDataFrame([tuple(r[n] for n in [*SUMMARY_COLUMNS, ERROR_COLUMN]) for r in rows], SUMMARY_SCHEMA)
 
 
+def compare_files(spark: SparkSession, drop: FileDrop, output: str) -> DataFrame:
+    """Compare all new pairs of files once, for every table of a run; the report is written and read again.
+
+    A drop folder that cannot be read is reported to every table (no stem), and stops none of their other checks.
+    """
+    try:
+        found = validate_drop(spark, drop.folder, output, drop.ledger, parallel=drop.parallel)
+        report = file_report(*found)
+        written = scratch_folder(spark, "file-report")
+        report.write.parquet(written)
+    except Exception as error:  # the tables can still be compared
+        rows = [(None, drop.folder, UNKNOWN, f"{type(error).__name__}: {error}")]
+        return spark.createDataFrame(rows, FILE_REPORT_SCHEMA)
+    return spark.read.schema(FILE_REPORT_SCHEMA).parquet(written)
+
+
 def run_config(
     spark: SparkSession,
     config: DataFrame,
@@ -261,14 +291,19 @@ def run_config(
     *,
     folder: str | None = None,
     parallel: int = 1,
+    drop: FileDrop | None = None,
     **options,
 ) -> DataFrame:
     """Validate every active row of a configuration; with ``folder``, write all results and the configuration there.
 
-    ``options`` are those of :func:`plan_pair`.
+    With ``drop`` the check of files compares what lies there, once for all tables; its differences, its summary and the
+    unpaired files go below ``files``. ``options`` are those of :func:`plan_pair`.
     """
     started = run_id()
     selected = select_checks(checks)
+    if drop is not None and FILES in selected:
+        output = scratch_folder(spark, "files") if folder is None else f"{folder}/files"
+        options["files"] = compare_files(spark, drop, output)
     parsed = parse_config(active_rows(config))
     specs, broken = [], []
     for row in parsed.toLocalIterator():
