@@ -11,7 +11,7 @@ from twincheck.operators.catalog import catalog_of, compare_catalogs
 from twincheck.operators.positions import compare_positions
 from twincheck.plans.drop import validate_drop
 from twincheck.session import scratch_folder
-from twincheck.sinks.exports import export_csv
+from twincheck.sinks.exports import export_csv, read_export
 from twincheck.sources.dropfolder import SOURCE_SUFFIX, TARGET_SUFFIX
 from twincheck.sources.records import read_records
 from twincheck.streaming.arrivals import PAIR_SCHEMA, append_stream, pair_arrivals
@@ -108,17 +108,11 @@ tgt AS (SELECT stem, c_custkey, c_name, CASE WHEN c_custkey % 7 = 0 AND c_custke
   FROM given WHERE NOT (c_custkey % {PAIRS} % 10 = 4 AND c_custkey // {PAIRS} % 5 = 4))"""
 
 
-@query(
-    "drop_validate",
-    o.classified(_DROP_SQL, ["stem", "row_index"], ["c_custkey", "c_name", "c_acctbal"])
-    + """SELECT stem, CASE WHEN count(*) FILTER (status <> 'match') = 0 THEN 'MATCH' ELSE 'MISMATCH' END AS verdict,
-      CAST(sum(source_rows) AS BIGINT) AS source_rows, CAST(sum(target_rows) AS BIGINT) AS target_rows,
-      count(*) FILTER (status = 'mismatch') AS mismatched_rows,
-      count(*) FILTER (status = 'only_source') AS surplus_source_rows,
-      count(*) FILTER (status = 'only_target') AS surplus_target_rows, '' AS error FROM cls GROUP BY stem""",
-)
-def drop_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A hundred pairs of files written from the customers, validated in one go."""
+_DROP_CLS = o.classified(_DROP_SQL, ["stem", "row_index"], ["c_custkey", "c_name", "c_acctbal"])
+
+
+def _validated_drop(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """A hundred pairs of files written from the customers, validated in one go: the summary and the results' folder."""
     drop, output = scratch_folder(spark, "drop"), scratch_folder(spark, "results")
     source = table(spark, sf_dir, "customer").selectExpr(
         f"concat('report_', c_custkey % {PAIRS}) AS stem", "c_custkey", "c_name",
@@ -131,7 +125,40 @@ def drop_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_extracts(source, "stem", SOURCE_SUFFIX, drop)
     write_extracts(target, "stem", TARGET_SUFFIX, drop)
     summary, _ = validate_drop(spark, drop, f"{output}/out", f"{output}/ledger")
-    return summary.drop("folder", "source_only_columns", "target_only_columns")
+    return summary, f"{output}/out"
+
+
+@query(
+    "drop_validate",
+    _DROP_CLS
+    + """SELECT stem, CASE WHEN count(*) FILTER (status <> 'match') = 0 THEN 'MATCH' ELSE 'MISMATCH' END AS verdict,
+      CAST(sum(source_rows) AS BIGINT) AS source_rows, CAST(sum(target_rows) AS BIGINT) AS target_rows,
+      count(*) FILTER (status = 'mismatch') AS mismatched_rows,
+      count(*) FILTER (status = 'only_source') AS surplus_source_rows,
+      count(*) FILTER (status = 'only_target') AS surplus_target_rows, '' AS error FROM cls GROUP BY stem""",
+)
+def drop_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A hundred pairs of files written from the customers, validated in one go."""
+    return _validated_drop(spark, sf_dir)[0].drop("folder", "source_only_columns", "target_only_columns")
+
+
+@query(
+    "drop_differences",
+    _DROP_CLS
+    + """SELECT stem AS diff_table, status AS diff_status, CAST(row_index AS VARCHAR) AS row_index,
+      coalesce(CAST(c_custkey_source AS VARCHAR), '') AS key_source, coalesce(c_acctbal_source, '') AS balance_source,
+      coalesce(CAST(c_custkey_target AS VARCHAR), '') AS key_target, coalesce(c_acctbal_target, '') AS balance_target,
+      CAST(c_acctbal_match AS VARCHAR) AS balance_match FROM cls WHERE status <> 'match'""",
+)
+def drop_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The differing rows of the same pairs, as they were written."""
+    _, output = _validated_drop(spark, sf_dir)
+    return read_export(spark, f"{output}/*/differences").selectExpr(
+        "diff_table", "diff_status", "_row_index AS row_index",
+        *[f"coalesce({column}_{side}, '') AS {name}_{side}" for side in ("source", "target")
+          for column, name in (("c_custkey", "key"), ("c_acctbal", "balance"))],
+        "c_acctbal_match AS balance_match",
+    )
 
 
 _FATES_SQL = """

@@ -277,10 +277,19 @@ def normalize_columns(spark, sf_dir):
     return upper_names(source).select("O_ORDERKEY", "O_CUSTKEY", "O_ORDERSTATUS", "O_ORDERPRIORITY")
 
 
+_ONE_SIDED = f"""
+one AS (SELECT upper(column_name) AS c FROM (DESCRIBE SELECT {", ".join(ORDER_COLUMNS)} FROM orders)),
+other AS (SELECT upper(column_name) AS c FROM (
+  DESCRIBE SELECT * EXCLUDE (o_totalprice, o_orderdate), CAST(NULL AS TIMESTAMP) AS loaded_at
+  FROM (SELECT {", ".join(ORDER_COLUMNS)} FROM orders)))"""
+
+
 @query(
     "columns_only",
-    """SELECT 'O_ORDERDATE,O_TOTALPRICE' AS source_only, 'LOADED_AT' AS target_only, count(*) AS source_rows
-       FROM orders""",
+    f"""WITH {_ONE_SIDED} SELECT
+       (SELECT string_agg(c, ',' ORDER BY c) FROM one WHERE c NOT IN (SELECT c FROM other)) AS source_only,
+       (SELECT string_agg(c, ',' ORDER BY c) FROM other WHERE c NOT IN (SELECT c FROM one)) AS target_only,
+       count(*) AS source_rows FROM orders""",
 )
 def columns_only_query(spark, sf_dir):
     """Columns of one side only, beside the row count of the source."""

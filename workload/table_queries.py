@@ -63,18 +63,22 @@ _SQL_OF_REQUEST = {
 }
 
 
-def _aggregate_sql(request: AggregateRequest) -> str:
-    scale = 2 if request.column == "o_totalprice" else 0
+def aggregate_sql(
+    request: AggregateRequest,
+    names: tuple[str, str] = ("source", "target"),
+    sides: tuple[str, str] = ("src", "tgt"),
+) -> str:
+    scale = 2 if request.column.lower() == "o_totalprice" else 0
     value = _SQL_OF_REQUEST[request.function].format(c=request.column, s=scale)
     statement = f"SELECT {request.function}({request.column}) FROM"
     return f"""SELECT '{request.column}' AS "COLUMN_NAME", '{request.function}' AS "AGG_FUNCTION",
         s.v AS "SOURCE_VALUE", t.v AS "TARGET_VALUE",
         CASE WHEN s.v IS NOT DISTINCT FROM t.v THEN 'MATCH' ELSE 'MISMATCH' END AS "MATCH_RESULT",
-        '{statement} source' AS "SOURCE_QUERY", '{statement} target' AS "TARGET_QUERY"
-        FROM (SELECT {value} AS v FROM src) s, (SELECT {value} AS v FROM tgt) t"""
+        '{statement} {names[0]}' AS "SOURCE_QUERY", '{statement} {names[1]}' AS "TARGET_QUERY"
+        FROM (SELECT {value} AS v FROM {sides[0]}) s, (SELECT {value} AS v FROM {sides[1]}) t"""
 
 
-@query("agg_compare", f"WITH {w.ORDERS_SQL} " + " UNION ALL ".join(_aggregate_sql(r) for r in _REQUESTS))
+@query("agg_compare", f"WITH {w.ORDERS_SQL} " + " UNION ALL ".join(aggregate_sql(r) for r in _REQUESTS))
 def agg_compare(spark, sf_dir):
     return compare_aggregates(*w.orders_pair(spark, sf_dir), _REQUESTS)
 
@@ -413,6 +417,20 @@ def file_discovery(spark, sf_dir):
     return _written_folders(list_files(spark, _write_by_segment(spark, sf_dir), ".csv"))
 
 
+@query(
+    "file_listing",
+    """SELECT 'c_nationkey=' || c_nationkey AS folder, 1::BIGINT AS files,
+       CAST(sum(strlen(c_name) + strlen(c_mktsegment) + 2) AS BIGINT) AS bytes FROM customer GROUP BY c_nationkey""",
+)
+def file_listing(spark, sf_dir):
+    """Number and length of the files in every folder, one for each nation, told without reading them."""
+    folder = scratch_folder(spark, "drop")
+    lines = table(spark, sf_dir, "customer").selectExpr("c_nationkey", "concat(c_name, ',', c_mktsegment) AS line")
+    lines.repartition("c_nationkey").write.partitionBy("c_nationkey").text(folder)
+    listed = list_files(spark, folder, ".txt").selectExpr(f"{base_name(folder_name('path'))} AS folder", "length")
+    return listed.groupBy("folder").agg(F.expr("count(1) AS files"), F.expr("sum(length) AS bytes"))
+
+
 @query("file_arrivals", _WRITTEN_SQL)
 def file_arrivals(spark, sf_dir):
     """The same folder taken in as a stream of files."""
