@@ -156,6 +156,26 @@ def test_many_pairs_in_parallel_redelivery_and_clashes(spark, tmp_path):
     assert found == {"p3": ("MISMATCH", 1), "m": ("UNKNOWN", None)}
 
 
+def test_pairs_of_several_headers_are_written_at_the_same_time(spark, tmp_path):
+    drop, out = tmp_path / "drop", str(tmp_path / "out")
+    drop.mkdir()
+    for number in range(5):
+        header = "id," + ",".join(f"c{i}" for i in range(number + 1))
+        for suffix, value in (("td", "x"), ("sf", "y")):
+            rows = [f"{i},{value * (i % 2)}" + ",z" * number for i in range(300)]
+            write(drop / f"r{number}_{suffix}.csv", rows, header)
+    summary, _ = validate_drop(spark, str(drop), out, str(tmp_path / "ledger"), parallel=5)
+    assert {(r["stem"], r["mismatched_rows"], r["error"]) for r in summary.collect()} == {(f"r{n}", 150, "") for n in range(5)}
+    folders = list(pathlib.Path(out).glob("*/differences/diff_headers=*"))
+    assert len(folders) == 5
+    for folder in folders:
+        rows = read_export(spark, str(folder))
+        names = {r["diff_table"] for r in rows.select("diff_table").distinct().collect()}
+        assert len(names) == 1 and rows.count() == 150
+        assert {(r[0], r[1]) for r in rows.select("c0_source", "c0_target").distinct().collect()} == {("x", "y")}
+        assert f"c{max(names)[1:]}_match" in rows.columns
+
+
 def test_csv_cells_survive_a_round_trip(spark, tmp_path):
     texts = ['say "hi"', "back\\", 'both \\"', "two\nlines", " padded ", "a,b", ""]
     frame = spark.createDataFrame(list(enumerate(texts)), "id int, v string")

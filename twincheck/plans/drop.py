@@ -187,7 +187,8 @@ def validate_drop(
     Returns the summary (one row per pair) and the unpaired files. Only file names, headers and metrics reach the driver;
     rows stay on the executors. All files are read in one go and all pairs of the same headers are compared in one, up to
     ``parallel`` of these at a time, so the number of jobs grows with the headers, not with the pairs. Cells may hold line
-    breaks, and rows may be of any width.
+    breaks, and rows may be of any width. Differences of files with the same headers share a folder
+    ``differences/diff_headers=...``, in which all files have the same columns.
 
     The ledger is written once, after all pairs. A pair that fails is reported and stays out of the ledger, so the next run
     takes it up again. So does a name that several files bear in one folder, archives included: which of them belong
@@ -215,9 +216,9 @@ def validate_drop(
             groups[tuple(tuple(names.get(f["file"], ())) for f in (pair.source, pair.target))].append(pair)
 
         def group(item: tuple) -> list[tuple]:
-            return _or_halves(
-                lambda part: _compare_group(spark, records, part, item[0], f"{output}/{run}/differences"), item[1]
-            )
+            # Jobs that write to one folder at a time would clear away each other's files.
+            headed = f"{output}/{run}/differences/diff_headers=h{md5(repr(item[0]).encode()).hexdigest()}"
+            return _or_halves(lambda part: _compare_group(spark, records, part, item[0], headed), item[1])
 
         return [row for rows in run_each(spark, group, groups.items(), parallel) for row in rows]
 

@@ -89,9 +89,8 @@ def run_with_files(spark, sf_dir):
     keys = {name: columns[0] for name, (columns, *_) in _EXTRACTS.items()}
     keys |= {"nation": "n_nationkey", "region": "r_regionkey"}
     config = _config(spark, [_config_row(*item) for item in keys.items()])
-    run_config(
-        spark, config, _systems(spark, sf_dir), [FILES], folder=output, parallel=5, drop=FileDrop(drop, f"{output}/ledger", parallel=3)
-    )
+    given = FileDrop(drop, f"{output}/ledger", parallel=3)
+    run_config(spark, config, _systems(spark, sf_dir), [FILES], folder=output, parallel=5, drop=given)
     report = read_export(spark, f"{output}/pair_*/checks/*")
     return report.selectExpr(
         "coalesce(regexp_extract(item, '([^/]*)$', 1), '') AS item", "status", "coalesce(reason, '') AS reason"
