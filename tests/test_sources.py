@@ -146,3 +146,43 @@ def test_remote_catalogs(spark):
 def test_counts_from_the_systems(spark):
     three, five = spark.sql("SELECT 3L AS ROW_COUNT"), spark.sql("SELECT 5 AS n")
     assert tuple(compare_given_counts(three, five).first()) == (3, 5, -2, "MISMATCH")
+
+
+def test_each_remote_table_has_its_own_split(spark, monkeypatch):
+    """The session answers the statements in place of a database."""
+    from twincheck.sources import remote
+
+    spark.sql(
+        "SELECT id AS k, cast(id / 8 AS decimal(9,3)) - 1 AS price, date_add(DATE '2024-01-31', cast(id AS int)) AS day "
+        "FROM range(40)"
+    ).createOrReplaceTempView("split_orders")
+    spark.sql("SELECT 1 AS k WHERE false").createOrReplaceTempView("split_nothing")
+    sent = []
+
+    def read(spark, connection, query, custom_schema=None, split=None):
+        sent.append((query, custom_schema, split))
+        return spark.sql(query)
+
+    monkeypatch.setattr(remote, "read_query", read)
+    connection = Connection("d", "u")
+
+    def splits_of(split, columns="*", condition="", table="split_orders"):
+        sent.clear()
+        load = remote.jdbc_loader(spark, connection, {" Split_Orders": split, "split_nothing": split})
+        load(table, columns, condition, "k bigint")
+        assert sent[-1][0] == TableSpec(table, columns=columns, filter=condition).query and sent[-1][1] == "k bigint"
+        return len(sent), sent[-1][2]
+
+    given = ReadRange("k", "0", "9", 3)
+    assert splits_of(given) == (1, given)
+    assert splits_of(remote.SplitBy("k", 4), condition="WHERE k > 4") == (2, ReadRange("k", "5", "39", 4))
+    assert sent[0][0].endswith("FROM split_orders WHERE k > 4")
+    assert splits_of(remote.SplitBy("price", 2), "k, PRICE") == (2, ReadRange("price", "-1", "4", 2))
+    assert splits_of(remote.SplitBy("day", 2)) == (2, ReadRange("day", "2024-01-31", "2024-03-10", 2))
+    # Nothing to cut, and a table without a split: one task.
+    assert splits_of(remote.SplitBy("k", 4), table="split_nothing") == (2, None)
+    assert splits_of(remote.SplitBy("k", 4), condition="WHERE k < 0") == (2, None)
+    spark.range(3).createOrReplaceTempView("split_other")
+    assert splits_of(given, table="split_other") == (1, None)
+    with pytest.raises(ValueError, match="not among the columns"):
+        splits_of(given, "price")

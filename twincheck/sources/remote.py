@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from twincheck.operators.catalog import source_catalog, target_catalog
 from twincheck.sources.jdbc import Connection, ReadRange, read_connector, read_query
-from twincheck.sources.tables import TableSpec
+from twincheck.sources.tables import TableSpec, split_list
 
 # Catalog views of the two systems, and name and type of a row count.
 SOURCE_TABLES_VIEW = "dbc.tablesV"
@@ -27,6 +30,54 @@ def jdbc_runner(spark: SparkSession, connection: Connection, split: ReadRange |
     return lambda query, schema: read_query(spark, connection, query, custom_schema=schema, split=split)
 
 
+@dataclass(frozen=True)
+class SplitBy:
+    """Split of a remote table on a numeric, date or timestamp column whose bounds the database tells, by one statement."""
+
+    column: str
+    tasks: int
+
+
+def _bound(value: object, rounded: Callable) -> str:
+    # Spark takes whole numbers for cuts, of fractions too; dates and times as text.
+    return str(value) if isinstance(value, date) else str(rounded(value))
+
+
+def find_range(run: Run, table: TableSpec, split: SplitBy) -> ReadRange | None:
+    """Range that cuts a table into even pieces of the column's span; None if no row has a value there.
+
+    One row travels. Rows that come or change between this statement and the read are read all the same, as the first and
+    the last task take what lies outside the bounds, and the first one the rows without a value.
+    """
+    asked = f"MIN({split.column}) AS LOWER_BOUND, MAX({split.column}) AS UPPER_BOUND"
+    found = run(TableSpec(table.name, columns=asked, filter=table.filter).query, None).first()
+    if found is None or found[0] is None:
+        return None
+    return ReadRange(split.column, _bound(found[0], math.floor), _bound(found[1], math.ceil), split.tasks)
+
+
+def jdbc_loader(
+    spark: SparkSession, connection: Connection, splits: Mapping[str, ReadRange | SplitBy] | None = None
+) -> Callable[[str, str, str, str | None], DataFrame]:
+    """Loader of a run over many pairs, in which each table has a split of its own; others are read by one task.
+
+    ``splits`` goes by the full table name, in any case. The column must be among those that are read.
+    """
+    by_table = {name.strip().upper(): split for name, split in (splits or {}).items()}
+
+    def load(table: str, columns: str, condition: str, schema: str | None) -> DataFrame:
+        spec = TableSpec(table, columns=columns, filter=condition)
+        split = by_table.get(table.strip().upper())
+        if split is not None and columns.strip() != "*":
+            if split.column.upper() not in [name.upper() for name in split_list(columns)]:
+                raise ValueError(f"{table} is split on {split.column}, which is not among the columns read: {columns}")
+        if isinstance(split, SplitBy):
+            split = find_range(jdbc_runner(spark, connection), spec, split)
+        return jdbc_runner(spark, connection, split)(spec.query, schema)
+
+    return load
+
+
 def connector_runner(spark: SparkSession, connector: str, options: Mapping[str, str]) -> Run:
     """Statements through a warehouse connector, which splits results by itself."""
     return lambda query, schema: read_connector(spark, connector, options, query, schema)
