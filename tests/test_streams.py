@@ -54,6 +54,31 @@ def test_pairs_of_other_suffixes(spark, tmp_path):
     assert [tuple(r) for r in spark.table("paired").collect()] == [("/d", "a", "/d/a.left", "/d/a.right", "pair")]
 
 
+def test_names_of_a_bucket_share_a_call_and_a_row_of_state(spark, tmp_path):
+    days, names = (0, 1, 3), {}
+    for i in range(300):
+        names[f"n{i}"] = (days[i % 3] if i % 11 else None, days[i // 3 % 3] if i % 13 else None)
+    came = [(f"/d/{n}{end}", day * DAY) for n, halves in names.items() for end, day in zip(("_td.csv", "_sf.csv"), halves) if day is not None]
+    # A name that begins anew in the batch of its pair.
+    came += [("/d/again_td.csv", 0), ("/d/again_sf.csv", 0), ("/d/again_td.csv", 60), ("/e/n1_td.csv", DAY)]
+    files, pairs, state = (str(tmp_path / name) for name in ("files", "pairs", "state"))
+    for day in days:
+        rows = [(path, START + at) for path, at in came if at // DAY == day]
+        table = spark.createDataFrame(rows, "path string, at long").selectExpr("path", "timestamp_seconds(at) AS modificationTime")
+        table.write.mode("append").parquet(files)
+        stream = pair_arrivals(spark.readStream.schema(table.schema).parquet(files), timedelta(hours=36), buckets=4)
+        query = stream.writeStream.format("parquet").option("checkpointLocation", state).trigger(availableNow=True).start(pairs)
+        query.awaitTermination()
+        assert [progress.stateOperators[0].numRowsTotal <= 4 for progress in query.recentProgress] == [True] * len(query.recentProgress)
+    expected = [("/d", "again", "pair"), ("/d", "again", "unpaired"), ("/e", "n1", "unpaired")]
+    for name, (s, t) in names.items():
+        if s is not None and t is not None:
+            expected.append(("/d", name, "late pair" if abs(s - t) > 1.5 else "pair"))
+        elif s != t and (t if s is None else s) < 3:
+            expected.append(("/d", name, "unpaired"))
+    assert sorted(tuple(r) for r in spark.read.parquet(pairs).select("folder", "stem", "status").collect()) == sorted(expected)
+
+
 SCRIPT = """
 import sys, time
 sys.path.insert(0, {root!r})
