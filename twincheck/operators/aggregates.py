@@ -14,8 +14,8 @@ from pyspark.sql import types as T
 
 from twincheck.functions.columns import resolve_names
 from twincheck.functions.comparability import EXACT, Tolerance, cast, common_type, is_numeric, orderable_columns
-from twincheck.functions.exactsum import PIECES, as_double, exact_total, pieces
-from twincheck.functions.sqltext import array, literal, quote, struct
+from twincheck.functions.exactsum import PIECES, as_double, exact_total, with_pieces
+from twincheck.functions.sqltext import alias, array, literal, quote, struct
 from twincheck.operators.counts import COUNT_STATUS, frequency_texts
 from twincheck.session import scratch_folder
 from twincheck.verdict import verdict_text
@@ -101,27 +101,29 @@ def _as_cells(
     # A column that is summed and averaged is cut into pieces once.
     summed = list(dict.fromkeys(values[i] for i in doubles))
     plain = [i for i in range(len(requests)) if i not in doubles]
-    rows = df
+    inputs = [alias(values[i], f"a{i}") for i in plain] + [alias(value, f"s{part}") for part, value in enumerate(summed)]
+    rows = df.selectExpr(*inputs, *[alias(text, f"t{i}") for i, text in enumerate(counted)])
     where = ""
     spread = bool(doubles or counted)
     if spread:
         # The row itself, a copy for each summed column, and one for each counted value.
-        no_piece, no_text = pieces("cast(NULL AS double)"), "cast(NULL AS string)"
-        copies = [("-1", no_piece, no_text)] if plain else []
-        copies += [(str(part), pieces(value), no_text) for part, value in enumerate(summed)]
-        copies += [(str(-2 - i), no_piece, text) for i, text in enumerate(counted)]
-        listed = [struct({"part": part, "piece": piece, "text": text}) for part, piece, text in copies]
-        rows = df.selectExpr("*", f"inline({array(listed)}) AS (_part, _piece, _text)")
+        no_number, no_text = "cast(NULL AS double)", "cast(NULL AS string)"
+        copies = [("-1", no_number, no_text)] if plain else []
+        copies += [(str(part), f"s{part}", no_text) for part in range(len(summed))]
+        copies += [(str(-2 - i), no_number, f"t{i}") for i in range(len(counted))]
+        listed = [struct({"part": part, "number": number, "text": text}) for part, number, text in copies]
+        rows = rows.selectExpr(*[f"a{i}" for i in plain], f"inline({array(listed)}) AS (_part, _number, _text)")
+        # Copies are cut into pieces after they were made, so that the code does not grow with the columns.
+        rows = with_pieces(rows, "_number")
         where = " FILTER (WHERE _part = -1)"
     aggregates = []
     for i in plain:
-        aggregates.append(f"{requests[i].function}({values[i]}){where} AS v{i}")
+        aggregates.append(f"{requests[i].function}(a{i}){where} AS v{i}")
         if _is_exact_average(requests[i], kinds[i]):
-            aggregates += [f"sum({values[i]}){where} AS total{i}", f"count({values[i]}){where} AS n{i}"]
+            aggregates += [f"sum(a{i}){where} AS total{i}", f"count(a{i}){where} AS n{i}"]
     if spread:
-        sums = [f"sum(_piece.{name}) AS {name}" for name in PIECES] + ["count(1) AS n"]
-        grouped = rows.groupBy("_part", F.expr("_piece.class AS class"), "_text")
-        totals = grouped.agg(*map(F.expr, [*aggregates, *sums]))
+        sums = [f"sum({name}) AS {name}" for name in PIECES] + ["count(1) AS n"]
+        totals = rows.groupBy("_part", "class", "_text").agg(*map(F.expr, [*aggregates, *sums]))
     else:
         totals = rows.selectExpr(*aggregates)
     types = {field.name: field.dataType for field in totals.schema.fields}

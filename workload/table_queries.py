@@ -112,7 +112,7 @@ def _doubles_sql(request: AggregateRequest) -> str:
 def agg_compare_doubles(spark, sf_dir):
     """Sums of doubles of a copy in other partitions and another order, in which a few taxes are off by 1e-12."""
     source = table(spark, sf_dir, "lineitem")
-    moved = source.withColumn("l_tax", F.expr(f"if({_MOVED}, l_tax + 1e-12D, l_tax)")).repartition(7)
+    moved = source.withColumn("l_tax", F.expr(f"if({_MOVED}, l_tax + 1e-12D, l_tax)")).repartition("l_orderkey", "l_linenumber")
     rows = compare_aggregates(source, moved, _DOUBLES)
     return rows.selectExpr(
         "COLUMN_NAME", "AGG_FUNCTION", "MATCH_RESULT", "round(cast(SOURCE_VALUE AS double), 2) AS source_value"
